@@ -89,10 +89,13 @@ def rule_predicates(rules: Mapping | None, columns: Iterable[str]) -> dict[str,
 
 
 def any_violation(predicates: Mapping[str, Column]) -> Column:
-    """One predicate that is true when any rule is broken (NULL-safe)."""
+    """True when any rule is broken; NULL (treated as false by ``filter``)
+    when no rule is broken but some value is NULL. Kept a plain OR of
+    comparisons so Spark pushes it into the Parquet scan; wrap it in
+    ``coalesce(..., false)`` before negating."""
     if not predicates:
         return F.lit(False)
-    preds = [F.coalesce(p, F.lit(False)) for p in predicates.values()]
+    preds = list(predicates.values())
     out = preds[0]
     for p in preds[1:]:
         out = out | p

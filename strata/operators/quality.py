@@ -90,7 +90,7 @@ def quarantine_rows(df: DataFrame, rules: Mapping | None, rule_col: str = "rule"
 
 def drop_bad_rows(df: DataFrame, rules: Mapping | None) -> DataFrame:
     """The rows that break no rule."""
-    return df.filter(~any_violation(rule_predicates(rules, df.columns)))
+    return df.filter(~F.coalesce(any_violation(rule_predicates(rules, df.columns)), F.lit(False)))
 
 
 def duplicate_count(df: DataFrame, id_field: str = "event_id") -> DataFrame:

@@ -213,7 +213,7 @@ def gold_live_stream(
     return _start_with_state_partitions(spark, state_partitions, lambda: _trigger(writer, trigger).start())
 
 
-def _await_all(spark: SparkSession, paths: LayerPaths, layer_queries: list[tuple[str, StreamingQuery, str | None]]):
+def await_layers(spark: SparkSession, paths: LayerPaths, layer_queries: list[tuple[str, StreamingQuery, str | None]]):
     """Wait for each query; write its metric lines; on failure write an error
     line and re-raise."""
     rows: list[tuple] = []
@@ -249,14 +249,14 @@ def run_layers(
     layer after layer, and write their metric lines. Re-running with the
     same folders resumes from the checkpoints and processes only new input.
     """
-    _await_all(spark, paths, _named("bronze", bronze_stream(raw, paths, rules)))
-    _await_all(spark, paths, _named("silver", silver_stream(spark, paths, rules, max_files=max_files)))
+    await_layers(spark, paths, _named("bronze", bronze_stream(raw, paths, rules)))
+    await_layers(spark, paths, _named("silver", silver_stream(spark, paths, rules, max_files=max_files)))
     gold_queries = []
     if "final" in gold_modes:
         gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, max_files=max_files, state_partitions=state_partitions), None))
     if "live" in gold_modes:
         gold_queries.append(("gold_live", gold_live_stream(spark, paths, watermark, max_files=max_files, state_partitions=state_partitions), None))
-    _await_all(spark, paths, gold_queries)
+    await_layers(spark, paths, gold_queries)
 
 
 def _named(layer: str, queries: list[StreamingQuery]):

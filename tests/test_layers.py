@@ -1,0 +1,147 @@
+import datetime as dt
+import json
+import math
+
+from pyspark.sql import functions as F
+
+from strata.operators.bronze import bronze_parse, with_flat_metrics
+from strata.operators.gold import gold_hourly, gold_latest
+from strata.operators.silver import silver_flatten
+from strata.schemas import BRONZE_FIELDS, GOLD, SILVER_FIELDS
+from strata.sources.events import event_rows, events_to_json
+
+from .conftest import SF_MID, SF_SMALL
+
+
+def _event(eid="e1", ts="2024-01-01T10:15:00.000Z", **metrics):
+    m = {"distance": 1.5, "temperature": 20.0, "amount": 3.0, "duration": 60}
+    m.update(metrics)
+    return {
+        "event_id": eid, "timestamp": ts, "event_type": "trip_start", "source": "device_1",
+        "status": "active", "metrics": m, "extra": {"note": "Normal"},
+    }
+
+
+def _raw(spark, texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def test_parse_good_event(spark):
+    row = bronze_parse(_raw(spark, [json.dumps(_event())])).first()
+    assert row.event_id == "e1" and row.metrics.duration == 60 and row.extra.note == "Normal"
+    assert bronze_parse(_raw(spark, ["{}"])).columns == BRONZE_FIELDS
+
+
+def test_parse_is_permissive(spark):
+    wrong_type = _event("e2", distance="far")
+    unknown = dict(_event("e3"), surprise=1)
+    number_id = dict(_event(), event_id=42)
+    texts = ["{not json", json.dumps(wrong_type), json.dumps(unknown), json.dumps(number_id)]
+    rows = bronze_parse(_raw(spark, texts)).collect()
+    assert all(getattr(rows[0], f) is None for f in BRONZE_FIELDS)
+    assert rows[1].event_id == "e2" and rows[1].metrics.distance is None and rows[1].metrics.amount == 3.0
+    assert rows[2].event_id == "e3"
+    assert rows[3].event_id == "42"
+
+
+def test_parse_keeps_corrupt_text(spark):
+    rows = bronze_parse(_raw(spark, ["{not json", json.dumps(_event())]), keep_corrupt=True).collect()
+    assert rows[0]._corrupt_record == "{not json" and rows[0].event_id is None
+    assert rows[1]._corrupt_record is None and rows[1].event_id == "e1"
+
+
+def test_parse_binary_value(spark):
+    raw = _raw(spark, [json.dumps(_event())]).select(F.col("value").cast("binary").alias("value"))
+    assert bronze_parse(raw).first().event_id == "e1"
+
+
+def test_flat_metrics_keep_structs(spark):
+    df = with_flat_metrics(bronze_parse(_raw(spark, [json.dumps(_event())])))
+    assert df.columns == BRONZE_FIELDS + ["distance", "temperature", "amount", "duration"]
+
+
+def test_silver_fills_null_and_nan(spark):
+    e = _event(distance=None, temperature=None)
+    e["extra"] = {}
+    bronze = bronze_parse(_raw(spark, [json.dumps(e)])).withColumn(
+        "metrics", F.col("metrics").withField("amount", F.lit(math.nan))
+    )
+    row = silver_flatten(bronze).first()
+    assert silver_flatten(bronze).columns == SILVER_FIELDS
+    assert (row.distance, row.temperature, row.amount, row.duration, row.note) == (0.0, 0.0, 0.0, 60, "")
+    kept = silver_flatten(bronze, fill=None).first()
+    assert kept.distance is None and math.isnan(kept.amount) and kept.note is None
+
+
+def _silver(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "event_id string, timestamp string, event_type string, source string, status string, "
+        "distance double, temperature double, amount double, duration int, note string",
+    )
+
+
+def test_gold_hour_edges_and_bad_timestamps(spark):
+    rows = [
+        ("a", "2024-01-01T23:59:59.999Z", "t", "d1", "ok", 1.0, 10.0, 5.0, 10, ""),
+        ("b", "2024-01-02T00:00:00.000Z", "t", "d1", "ok", 3.0, 20.0, 7.0, 20, ""),
+        ("c", "2024-01-01T23:00:00.000Z", "t", "d1", "ok", 5.0, 30.0, 9.0, 30, ""),
+        ("d", "not a time", "t", "d1", "ok", 100.0, 100.0, 100.0, 100, ""),
+        ("e", None, "t", "d1", "ok", 100.0, 100.0, 100.0, 100, ""),
+        ("f", "1704067200", "t", "d1", "ok", 100.0, 100.0, 100.0, 100, ""),
+        (None, "2024-01-02T00:30:00Z", "t", "d1", "ok", 1.0, 1.0, 1.0, 1, ""),
+    ]
+    gold = gold_hourly(_silver(spark, rows))
+    assert gold.schema.fieldNames() == GOLD.fieldNames()
+    out = {(r.date_hour, r.hour): r for r in gold.collect()}
+    assert set(out) == {(dt.date(2024, 1, 1), 23), (dt.date(2024, 1, 2), 0)}
+    late = out[(dt.date(2024, 1, 1), 23)]
+    assert late.event_count == 2 and late.avg_distance == 3.0 and late.min_duration == 10 and late.max_duration == 30
+    first = out[(dt.date(2024, 1, 2), 0)]
+    # count(event_id) skips the NULL id; the averages still see its metrics
+    assert first.event_count == 1 and first.avg_distance == 2.0 and first.max_amount == 7.0
+
+
+def test_gold_latest_picks_last_batch(spark):
+    base = gold_hourly(
+        _silver(spark, [("a", "2024-01-01T10:00:00.000Z", "t", "d1", "ok", 1.0, 1.0, 1.0, 1, "")]),
+        created_at=False,
+    )
+    v1 = base.withColumn("batch_id", F.lit(1).cast("long"))
+    v2 = base.withColumn("event_count", F.lit(5).cast("long")).withColumn("batch_id", F.lit(2).cast("long"))
+    v0 = base.withColumn("event_count", F.lit(9).cast("long")).withColumn("batch_id", F.lit(0).cast("long"))
+    rows = gold_latest(v1.unionByName(v2).unionByName(v0)).collect()
+    assert len(rows) == 1 and rows[0].event_count == 5
+
+
+def test_event_rows_mapping(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    rows = event_rows(ev)
+    assert rows.columns == BRONZE_FIELDS
+    r = rows.filter("event_id = 'e0'").first()
+    src = ev.filter("event_id = 0").first()
+    k = json.loads(src.props)["k"]
+    assert r.timestamp.endswith("Z") and r.timestamp[10] == "T" and len(r.timestamp) == 24
+    assert r.source == f"device_{src.user_id}"
+    assert r.metrics.distance == k * 110.0 and r.metrics.duration == k * 1000
+    assert r.metrics.amount is None and r.extra.note is None  # id 0: %10 and %7 are 0
+    assert r.status == ("error" if src.event_type == "error" else "pending")
+
+
+def test_rule_violations_on_sf001(spark, rules):
+    from strata.operators.quality import quality_report
+
+    flat = with_flat_metrics(event_rows(spark.read.parquet(f"{SF_MID}/events.parquet")))
+    rep = {r.field: r.out_of_range for r in quality_report(flat, rules).collect()}
+    assert rep == {"distance": 934, "temperature": 172, "amount": 0, "duration": 1352}
+
+
+def test_json_round_trip(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    rows = event_rows(ev)
+    enc = events_to_json(rows)
+    assert enc.columns == ["key", "value"]
+    back = bronze_parse(enc)
+    assert back.exceptAll(rows).count() == 0 and rows.exceptAll(back).count() == 0
+    first = json.loads(enc.filter("key = 'e0'").first().value)
+    assert "amount" not in first["metrics"] and first["extra"] == {}
