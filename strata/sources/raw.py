@@ -74,6 +74,10 @@ def land_in_time_order(rows: DataFrame, path: str, n_chunks: int) -> Iterator[in
     span = hi - lo + 1
     chunk = F.coalesce(F.least(F.floor((t - F.lit(lo)) * F.lit(n_chunks) / F.lit(span)), F.lit(n_chunks - 1)), F.lit(0))
     tagged = rows.withColumn("_chunk", chunk.cast("int"))
+    from strata.sources.events import events_to_json
+
     for i in range(n_chunks):
-        write_raw_files(tagged.filter(F.col("_chunk") == i).drop("_chunk"), path, 1)
+        # A slice lands as one micro-batch, so its files need no order among
+        # themselves: write with the scan's own partitioning, no shuffle.
+        events_to_json(tagged.filter(F.col("_chunk") == i).drop("_chunk")).write.mode("append").parquet(path)
         yield i

@@ -29,3 +29,39 @@ def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a layer written by a file sink (or a batch writer). Spark honours
     the sink log, so files of an uncommitted batch are never visible."""
     return read_or_empty(spark, path, schema)
+
+
+def read_gold(spark: SparkSession, path: str, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+    """Read the final Gold table (partitioned by ``date_hour``). A date range
+    prunes whole partitions before any file is opened."""
+    from pyspark.sql import functions as F
+
+    from strata.schemas import GOLD
+
+    gold = read_layer(spark, path, GOLD)
+    if start_date:
+        gold = gold.filter(F.col("date_hour") >= F.to_date(F.lit(start_date)))
+    if end_date:
+        gold = gold.filter(F.col("date_hour") <= F.to_date(F.lit(end_date)))
+    return gold
+
+
+def read_gold_live(spark: SparkSession, path: str) -> DataFrame:
+    """Current Gold rows from the live (update-mode) table."""
+    from strata.operators.gold import gold_latest
+    from strata.schemas import GOLD_LIVE
+
+    return gold_latest(read_layer(spark, path, GOLD_LIVE))
+
+
+def read_quarantine(spark: SparkSession, root: str, layers: tuple[str, ...] = ("bronze", "silver")) -> dict[str, DataFrame]:
+    """Quarantine tables per layer (each with its own schema: Bronze rows
+    keep their structs). Layers with nothing quarantined yet are skipped."""
+    out = {}
+    for layer in layers:
+        try:
+            out[layer] = spark.read.parquet(os.path.join(root, layer))
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+                raise
+    return out

@@ -2,10 +2,12 @@
 
 from strata.streaming.layers import (  # noqa: F401
     LayerPaths,
+    await_layers,
     bronze_stream,
     gold_final_stream,
     gold_live_stream,
     run_layers,
     silver_stream,
+    start_layers,
 )
 from strata.streaming.metrics_sink import MetricsListener, progress_metrics, write_batch_metrics  # noqa: F401

@@ -30,10 +30,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from strata.operators.bronze import bronze_parse, with_flat_metrics
 from strata.operators.gold import gold_hourly
-from strata.operators.quality import quality_counts, quarantine_rows
+from strata.operators.quality import drop_bad_rows, quality_counts, quarantine_rows
 from strata.operators.silver import SILVER_FILL, silver_flatten
 from strata.schemas import BRONZE, SILVER
-from strata.streaming.metrics_sink import error_metric, query_metrics, write_batch_metrics
+from strata.streaming.metrics_sink import MetricsListener, error_metric, query_metrics, write_batch_metrics
 
 DEFAULT_WATERMARK = "25 hours"
 
@@ -95,13 +95,20 @@ def _observed(df: DataFrame, name: str, rules) -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("rows"), *quality_counts(df, rules))
 
 
-def bronze_stream(raw: DataFrame, paths: LayerPaths, rules, trigger: dict | None = None) -> list[StreamingQuery]:
-    """Start the Bronze write and the Bronze quarantine queries."""
+def _keep(df: DataFrame, rules, drop_bad: bool) -> DataFrame:
+    return drop_bad_rows(df, rules) if drop_bad else df
+
+
+def bronze_stream(
+    raw: DataFrame, paths: LayerPaths, rules, trigger: dict | None = None, drop_bad: bool = False
+) -> list[StreamingQuery]:
+    """Start the Bronze write and the Bronze quarantine queries. Quarantined
+    rows stay in the layer too unless ``drop_bad``."""
     parsed = bronze_parse(raw)
     flat = with_flat_metrics(parsed)
     # Observe on the flattened projection so the rule counts see the metric
-    # columns, then write only the Bronze columns.
-    written = _observed(flat, "bronze", rules).select(*BRONZE.fieldNames())
+    # columns (and every row), then write only the Bronze columns.
+    written = _keep(_observed(flat, "bronze", rules), rules, drop_bad).select(*BRONZE.fieldNames())
     main = _file_sink(written, paths.bronze, paths.checkpoint("bronze"), "bronze", trigger)
     bad = quarantine_rows(flat, rules)
     quarantine = _file_sink(
@@ -126,11 +133,18 @@ def silver_stream(
     trigger: dict | None = None,
     max_files: int | None = None,
     fill: dict | None = SILVER_FILL,
+    drop_bad: bool = False,
 ) -> list[StreamingQuery]:
     """Start the Silver write and the Silver quarantine queries."""
     bronze = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
     silver = silver_flatten(bronze, fill)
-    main = _file_sink(_observed(silver, "silver", rules), paths.silver, paths.checkpoint("silver"), "silver", trigger)
+    main = _file_sink(
+        _keep(_observed(silver, "silver", rules), rules, drop_bad),
+        paths.silver,
+        paths.checkpoint("silver"),
+        "silver",
+        trigger,
+    )
     quarantine = _file_sink(
         quarantine_rows(silver, rules),
         paths.quarantine("silver"),
@@ -244,21 +258,58 @@ def run_layers(
     watermark: str = DEFAULT_WATERMARK,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    drop_bad: bool = False,
 ) -> None:
     """Run every layer once over all available input (``availableNow``),
     layer after layer, and write their metric lines. Re-running with the
     same folders resumes from the checkpoints and processes only new input.
     """
-    await_layers(spark, paths, _named("bronze", bronze_stream(raw, paths, rules)))
-    await_layers(spark, paths, _named("silver", silver_stream(spark, paths, rules, max_files=max_files)))
+    await_layers(spark, paths, _named("bronze", bronze_stream(raw, paths, rules, drop_bad=drop_bad)))
+    await_layers(
+        spark, paths, _named("silver", silver_stream(spark, paths, rules, max_files=max_files, drop_bad=drop_bad))
+    )
     gold_queries = []
+    kw = dict(max_files=max_files, state_partitions=state_partitions)
     if "final" in gold_modes:
-        gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, max_files=max_files, state_partitions=state_partitions), None))
+        gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, **kw), None))
     if "live" in gold_modes:
-        gold_queries.append(("gold_live", gold_live_stream(spark, paths, watermark, max_files=max_files, state_partitions=state_partitions), None))
+        gold_queries.append(("gold_live", gold_live_stream(spark, paths, watermark, **kw), None))
     await_layers(spark, paths, gold_queries)
 
 
+def start_layers(
+    spark: SparkSession,
+    raw: DataFrame,
+    paths: LayerPaths,
+    rules,
+    *,
+    trigger: dict | None = None,
+    gold_modes: tuple[str, ...] = ("final",),
+    watermark: str = DEFAULT_WATERMARK,
+    max_files: int | None = None,
+    max_file_age: str | None = None,
+    state_partitions: int | None = None,
+    drop_bad: bool = False,
+) -> tuple[list[StreamingQuery], MetricsListener]:
+    """Start all layers as long-running queries (default trigger: every
+    5 minutes) and a listener that buffers their metric lines; call
+    ``listener.flush(spark, paths.metrics)`` periodically and
+    ``spark.streams.awaitAnyTermination()`` to supervise."""
+    trigger = trigger or {"processingTime": "5 minutes"}
+    listener = MetricsListener(
+        {"bronze": ("bronze", "bronze"), "silver": ("silver", "silver"), "gold_final": ("gold", None), "gold_live": ("gold_live", None)}
+    )
+    spark.streams.addListener(listener)
+    queries = bronze_stream(raw, paths, rules, trigger, drop_bad)
+    queries += silver_stream(spark, paths, rules, trigger, max_files, drop_bad=drop_bad)
+    kw = dict(trigger=trigger, max_files=max_files, max_file_age=max_file_age, state_partitions=state_partitions)
+    if "final" in gold_modes:
+        queries.append(gold_final_stream(spark, paths, watermark, **kw))
+    if "live" in gold_modes:
+        queries.append(gold_live_stream(spark, paths, watermark, **kw))
+    return queries, listener
+
+
 def _named(layer: str, queries: list[StreamingQuery]):
     main, quarantine = queries
     return [(layer, main, layer), (f"{layer}_quarantine", quarantine, None)]

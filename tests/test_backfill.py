@@ -1,0 +1,48 @@
+from pyspark.sql import functions as F
+
+from strata.operators.gold import gold_hourly
+from strata.operators.health import quarantine_total
+from strata.operators.kpi import kpis_by_event_type
+from strata.operators.silver import silver_flatten
+from strata.plans.backfill import backfill_layers
+from strata.schemas import SILVER
+from strata.session import scratch_path
+from strata.sources.events import event_rows, events_to_json
+from strata.sources.tables import read_gold, read_layer, read_quarantine
+from strata.streaming.layers import LayerPaths
+
+from .conftest import SF_SMALL
+
+
+def test_backfill_equals_direct_plan(spark, rules):
+    rows = event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    paths = LayerPaths(scratch_path(spark, "test-backfill"))
+    backfill_layers(spark, events_to_json(rows), paths, rules)
+    silver = read_layer(spark, paths.silver, SILVER)
+    assert silver.exceptAll(silver_flatten(rows)).count() == 0 and silver.count() == rows.count()
+    gold = read_gold(spark, paths.gold).drop("created_at")
+    direct = gold_hourly(silver_flatten(rows), created_at=False)
+    assert gold.select(*direct.columns).exceptAll(direct).count() == 0 and gold.count() == direct.count()
+    assert kpis_by_event_type(gold).count() == 5
+    q = {r.layer: r.rows for r in quarantine_total(read_quarantine(spark, paths.root + "/quarantine")).collect()}
+    assert q["bronze"] == q["silver"] and q["all"] == 2 * q["bronze"] > 0
+
+
+def test_gold_date_range_prunes_partitions(spark, rules):
+    rows = event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    paths = LayerPaths(scratch_path(spark, "test-prune"))
+    backfill_layers(spark, events_to_json(rows), paths, rules)
+    some = read_gold(spark, paths.gold, "2024-01-05", "2024-01-06")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_hour" in plan
+    dates = {r.date_hour.isoformat() for r in some.select("date_hour").distinct().collect()}
+    assert dates <= {"2024-01-05", "2024-01-06"} and dates
+
+
+def test_backfill_drop_bad(spark, rules):
+    rows = event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    paths = LayerPaths(scratch_path(spark, "test-dropbad"))
+    backfill_layers(spark, events_to_json(rows), paths, rules, drop_bad=True)
+    silver = read_layer(spark, paths.silver, SILVER)
+    assert silver.filter((F.col("distance") > 10000) | (F.col("duration") > 86400)).count() == 0
+    assert 0 < silver.count() < rows.count()

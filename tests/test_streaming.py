@@ -149,3 +149,33 @@ def test_failed_batch_is_recorded_and_retried(spark, tmp_path):
     assert len(errors) == 1 and "disk full" in errors[0].error and errors[0].layer == "silver"
     await_layers(spark, paths, [("silver", start(), None)])
     assert spark.read.parquet(out).count() == 10  # the failed batch was not lost
+
+
+def test_long_running_layers_with_listener(spark, rules):
+    from strata.streaming.layers import start_layers
+
+    paths = LayerPaths(scratch_path(spark, "test-continuous"))
+    raw = f"{paths.root}/raw"
+    rows = _rows(spark)
+    write_raw_files(rows, raw, 2)
+    queries, listener = start_layers(
+        spark, read_raw_stream(spark, path=raw), paths, rules, trigger={"processingTime": "1 second"}, state_partitions=4
+    )
+    try:
+        for q in queries:  # upstream first, so each layer sees the last one's files
+            q.processAllAvailable()
+    finally:
+        for q in queries:
+            q.stop()
+        # progress events reach the listener asynchronously
+        import time
+
+        deadline = time.time() + 20
+        while time.time() < deadline and {r[1] for r in listener.rows} < {"bronze", "silver"}:
+            time.sleep(0.2)
+        spark.streams.removeListener(listener)
+    listener.flush(spark, paths.metrics)
+    assert read_layer(spark, paths.silver, SILVER).count() == rows.count()
+    m = read_metrics(spark, paths.metrics)
+    sums = {r.layer: r.rows for r in m.groupBy("layer").agg(F.sum("row_count").alias("rows")).collect()}
+    assert sums.get("bronze") == rows.count() and sums.get("silver") == rows.count()
