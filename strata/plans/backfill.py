@@ -35,14 +35,21 @@ def backfill_layers(
     partitions; with ``mode="overwrite"`` and dynamic partition overwrite a
     re-run of a date range replaces only those dates.
     """
-    flat = with_flat_metrics(bronze_parse(raw))
+    # Parse once: write the parsed rows, then derive the quarantine (and,
+    # with drop_bad, the kept rows) from the written table, where the rule
+    # filter is pushed into the Parquet scan.
+    parsed_path = paths.bronze if not drop_bad else paths._p("_staging", "bronze_all")
+    bronze_parse(raw).write.mode(mode).parquet(parsed_path)
+    flat = with_flat_metrics(read_layer(spark, parsed_path, BRONZE))
     quarantine_rows(flat, rules).write.mode(mode).parquet(paths.quarantine("bronze"))
-    kept = drop_bad_rows(flat, rules) if drop_bad else flat
-    kept.select(*BRONZE_FIELDS).write.mode(mode).parquet(paths.bronze)
+    if drop_bad:
+        drop_bad_rows(flat, rules).select(*BRONZE_FIELDS).write.mode(mode).parquet(paths.bronze)
 
     silver = silver_flatten(read_layer(spark, paths.bronze, BRONZE), fill)
-    quarantine_rows(silver, rules).write.mode(mode).parquet(paths.quarantine("silver"))
     (drop_bad_rows(silver, rules) if drop_bad else silver).write.mode(mode).parquet(paths.silver)
+    silver_written = read_layer(spark, paths.silver, SILVER)
+    # Bad rows are not in a drop_bad Silver table: check the flattened input.
+    quarantine_rows(silver if drop_bad else silver_written, rules).write.mode(mode).parquet(paths.quarantine("silver"))
 
     gold = gold_hourly(read_layer(spark, paths.silver, SILVER))
     (

@@ -28,12 +28,13 @@ from strata.operators.kpi import (
 )
 from strata.operators.quality import duplicate_count, quality_report, quarantine_rows
 from strata.operators.silver import silver_flatten
+from strata.plans.backfill import backfill_layers
 from strata.schemas import BRONZE, GOLD, GOLD_LIVE, ID_FIELDS, METRIC_FIELDS, SILVER
 from strata.session import scratch_path, use_utc
 from strata.sources.events import event_rows, events_to_json
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
 from strata.sources.raw import land_in_time_order, read_raw_stream
-from strata.sources.tables import read_layer, read_table
+from strata.sources.tables import read_gold, read_layer, read_table
 from strata.streaming.layers import LayerPaths, run_layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -233,6 +234,26 @@ def q_gold_hourly_live(spark, sf_dir):
     return rounded_gold(gold_latest(live))
 
 
+_backfill_roots: dict[tuple, LayerPaths] = {}
+
+
+def backfilled_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
+    """All layers built by the batch back-fill from the whole ``events``
+    table (as JSON records), once per session and folder."""
+    key = (id(spark.sparkContext), sf_dir)
+    with _lock:
+        paths = _backfill_roots.get(key)
+        if paths is None:
+            paths = LayerPaths(scratch_path(spark, "backfill"))
+            backfill_layers(spark, events_to_json(bronze_rows(spark, sf_dir)), paths, load_rules())
+            _backfill_roots[key] = paths
+    return paths
+
+
+def q_gold_backfill(spark, sf_dir):
+    return rounded_gold(read_gold(spark, backfilled_layers(spark, sf_dir).gold))
+
+
 def q_gold_hourly_final(spark, sf_dir):
     paths = streamed_layers(spark, sf_dir)
     return rounded_gold(read_layer(spark, paths.gold, GOLD))
@@ -260,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "silver_stream": q_silver_stream,
     "gold_hourly_live": q_gold_hourly_live,
     "gold_hourly_final": q_gold_hourly_final,
+    "gold_backfill": q_gold_backfill,
 }
 
 

@@ -160,6 +160,7 @@ FROM gold GROUP BY event_type ORDER BY total_events DESC, event_type"""
     sql["bronze_stream"] = sql["bronze_parse"]
     sql["silver_stream"] = sql["silver_flatten"]
     sql["gold_hourly_live"] = gold
+    sql["gold_backfill"] = gold
     # Append mode writes a window once the watermark (max event time seen
     # minus 25 hours) reaches its end.
     sql["gold_hourly_final"] = (
