@@ -85,6 +85,30 @@ lines AS (
 )"""
 
 
+# JSON text of each event as Spark's to_json writes it: fields in schema
+# order, NULL fields left out, doubles in shortest round-trip form.
+_JSON = r"""
+WITH ev AS (
+    SELECT event_id, ts, user_id, event_type, value,
+           CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+    FROM events
+)
+SELECT 'e' || CAST(event_id AS VARCHAR) AS key,
+       '{"event_id":"e' || CAST(event_id AS VARCHAR) || '"'
+       || ',"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"'
+       || ',"event_type":"' || event_type || '"'
+       || ',"source":"device_' || CAST(user_id AS VARCHAR) || '"'
+       || ',"status":"' || CASE WHEN event_type = 'error' THEN 'error'
+                                WHEN event_id % 3 = 0 THEN 'pending'
+                                ELSE 'completed' END || '"'
+       || ',"metrics":{"distance":' || CAST(CAST(k AS DOUBLE) * 110.0 AS VARCHAR)
+       || ',"temperature":' || CAST(value - 50 AS VARCHAR)
+       || CASE WHEN event_id % 10 = 0 THEN '' ELSE ',"amount":' || CAST(value AS VARCHAR) END
+       || ',"duration":' || CAST(k * 1000 AS VARCHAR) || '}'
+       || ',"extra":{' || CASE WHEN event_id % 7 = 0 THEN '' ELSE '"note":"Normal"' END || '}}' AS value
+FROM ev"""
+
+
 def _rule_sql(rules) -> list[tuple[str, float | None, float | None, str]]:
     out = []
     for field, spec in (rules.get("numeric_ranges") or {}).items():
@@ -126,6 +150,7 @@ FROM gold GROUP BY event_type ORDER BY total_events DESC, event_type"""
     )
     per_layer = " + ".join(f"count(*) FILTER (WHERE {cond})" for _, _, _, cond in rules)
     sql = {
+        "events_to_json": _JSON,
         "bronze_parse": f"WITH {_ROWS}\nSELECT {flat_cols} FROM flat",
         "silver_flatten": f"WITH {_ROWS}\nSELECT {flat_cols} FROM silver",
         "gold_hourly": gold,

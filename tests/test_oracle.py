@@ -10,7 +10,7 @@ from scripts.check_oracle import TABLES, rows_of
 
 from .conftest import SF_SMALL
 
-NO_ORACLE = {"events_to_json", "quarantine_files"}
+NO_ORACLE = {"quarantine_files"}
 
 
 @pytest.fixture(scope="module")
