@@ -30,7 +30,7 @@ from strata.operators.quality import duplicate_count, quality_report, quarantine
 from strata.operators.silver import silver_flatten
 from strata.plans.backfill import backfill_layers
 from strata.schemas import BRONZE, GOLD, GOLD_LIVE, ID_FIELDS, METRIC_FIELDS, SILVER
-from strata.session import scratch_path, use_utc
+from strata.session import default_parallelism, scratch_path, session_key, use_utc
 from strata.sources.events import event_rows, events_to_json
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
 from strata.sources.raw import land_in_time_order, read_raw_stream
@@ -137,7 +137,7 @@ _lock = threading.Lock()
 def metrics_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics log derived from ``events``, written once per session and
     table folder as NDJSON in the shared folder, read back leniently."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (session_key(spark), sf_dir)
     with _lock:
         path = _metrics_logs.get(key)
         if path is None:
@@ -167,7 +167,7 @@ _quarantine_roots: dict[tuple, str] = {}
 def quarantine_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Bronze and Silver quarantine tables written by batch jobs over the
     whole ``events`` table (once per session and folder), read back."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (session_key(spark), sf_dir)
     rules = load_rules()
     with _lock:
         root = _quarantine_roots.get(key)
@@ -201,7 +201,7 @@ def streamed_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
     """Land ``events`` as raw JSON files in event-time slices and, after each
     slice, resume Bronze -> Silver -> Gold (final and live) with
     ``availableNow``; once per session and folder."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (session_key(spark), sf_dir)
     with _lock:
         paths = _stream_roots.get(key)
         if paths is None:
@@ -215,7 +215,7 @@ def streamed_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
                     paths,
                     rules,
                     gold_modes=("final", "live"),
-                    state_partitions=spark.sparkContext.defaultParallelism,
+                    state_partitions=default_parallelism(spark),
                 )
             _stream_roots[key] = paths
     return paths
@@ -240,7 +240,7 @@ _backfill_roots: dict[tuple, LayerPaths] = {}
 def backfilled_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
     """All layers built by the batch back-fill from the whole ``events``
     table (as JSON records), once per session and folder."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (session_key(spark), sf_dir)
     with _lock:
         paths = _backfill_roots.get(key)
         if paths is None:

@@ -49,6 +49,26 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return None
+
+
+def session_key(spark: SparkSession) -> int:
+    """Identity of the application behind a session (for per-run caches)."""
+    sc = _context(spark)
+    return id(sc) if sc is not None else id(spark)
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream checkpoints.
 
@@ -56,7 +76,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     with ``SparkContext.setCheckpointDir``). Only when neither is set, as in
     local tests, a temporary folder is created and registered.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
