@@ -51,7 +51,8 @@ def event_json(columns: list[str] | None = None) -> Column:
     return F.to_json(F.struct(*(columns or BRONZE_FIELDS)))
 
 
-def events_to_json(rows: DataFrame) -> DataFrame:
+def events_to_json(rows: DataFrame, *carry: str) -> DataFrame:
     """Bronze-shaped rows -> ``(key, value)`` records: the event id and the
-    JSON text of the event, the layout a Kafka sink expects."""
-    return rows.select(F.col("event_id").alias("key"), event_json().alias("value"))
+    JSON text of the event, the layout a Kafka sink expects. ``carry``
+    names extra columns to keep alongside."""
+    return rows.select(F.col("event_id").alias("key"), event_json().alias("value"), *carry)

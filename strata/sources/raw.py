@@ -58,26 +58,36 @@ def write_raw_files(rows: DataFrame, path: str, num_files: int) -> None:
     events_to_json(rows.repartitionByRange(num_files, "timestamp")).write.mode("append").parquet(path)
 
 
-def land_in_time_order(rows: DataFrame, path: str, n_chunks: int) -> Iterator[int]:
+def land_in_time_order(rows: DataFrame, path: str, n_chunks: int, staging: str | None = None) -> Iterator[int]:
     """Append Bronze-shaped rows to a raw folder in ``n_chunks`` event-time
     slices, oldest first, yielding after each slice lands, so a stream
     resumed between slices sees data arrive in time order (the way a
-    producer would deliver it). Rows without a parseable time go first."""
+    producer would deliver it). Rows without a parseable time go first.
+
+    The input is scanned twice in all: once for the time bounds and once
+    into a staging table partitioned by slice; each slice is then copied
+    with a partition-pruned read. No shuffle: a slice lands as one
+    micro-batch, so its files need no order among themselves.
+    """
     from strata.functions.timefmt import event_time
+    from strata.sources.events import events_to_json
 
     t = F.unix_micros(event_time("timestamp"))
     lo, hi = rows.agg(F.min(t), F.max(t)).first()
     if lo is None:
-        write_raw_files(rows, path, 1)
+        events_to_json(rows).write.mode("append").parquet(path)
         yield 0
         return
     span = hi - lo + 1
     chunk = F.coalesce(F.least(F.floor((t - F.lit(lo)) * F.lit(n_chunks) / F.lit(span)), F.lit(n_chunks - 1)), F.lit(0))
-    tagged = rows.withColumn("_chunk", chunk.cast("int"))
-    from strata.sources.events import events_to_json
-
+    staging = staging or path.rstrip("/") + "_staging"
+    (
+        events_to_json(rows.withColumn("_chunk", chunk.cast("int")), "_chunk")
+        .write.mode("overwrite")
+        .partitionBy("_chunk")
+        .parquet(staging)
+    )
+    staged = rows.sparkSession.read.parquet(staging)
     for i in range(n_chunks):
-        # A slice lands as one micro-batch, so its files need no order among
-        # themselves: write with the scan's own partitioning, no shuffle.
-        events_to_json(tagged.filter(F.col("_chunk") == i).drop("_chunk")).write.mode("append").parquet(path)
+        staged.filter(F.col("_chunk") == i).drop("_chunk").write.mode("append").parquet(path)
         yield i
