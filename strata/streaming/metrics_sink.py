@@ -65,10 +65,12 @@ class MetricsListener(StreamingQueryListener):
         # query name -> (layer, observation name)
         self.layers = layers
         self.rows: list[tuple] = []
+        self._names: dict[str, str] = {}
         self._lock = threading.Lock()
 
     def onQueryStarted(self, event):
-        pass
+        with self._lock:
+            self._names[str(event.id)] = event.name
 
     def onQueryProgress(self, event):
         p = event.progress
@@ -83,7 +85,9 @@ class MetricsListener(StreamingQueryListener):
     def onQueryTerminated(self, event):
         if event.exception:
             with self._lock:
-                self.rows.append(error_metric("unknown", None, event.exception))
+                name = self._names.get(str(event.id))
+                layer = self.layers.get(name, (name or "unknown", None))[0]
+                self.rows.append(error_metric(layer, None, event.exception))
 
     def flush(self, spark: SparkSession, path: str) -> None:
         with self._lock:
