@@ -155,9 +155,10 @@ def silver_stream(
     return [main, quarantine]
 
 
-def _gold_input(spark, paths, watermark, max_files, max_file_age):
+def _gold_input(spark, paths, watermark, max_files, max_file_age, name):
     silver = _read_layer_stream(spark, paths.silver, SILVER, max_files, max_file_age)
-    return gold_hourly(silver, watermark=watermark)
+    # Count the rows each batch emits (observed after the aggregate).
+    return gold_hourly(silver, watermark=watermark).observe(name, F.count(F.lit(1)).alias("rows"))
 
 
 def _start_with_state_partitions(spark: SparkSession, state_partitions: int | None, start):
@@ -186,7 +187,7 @@ def gold_final_stream(
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append-mode Gold: one row per key, written once its window closes."""
-    gold = _gold_input(spark, paths, watermark, max_files, max_file_age)
+    gold = _gold_input(spark, paths, watermark, max_files, max_file_age, "gold")
     return _start_with_state_partitions(
         spark,
         state_partitions,
@@ -217,7 +218,7 @@ def gold_live_stream(
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Update-mode Gold: changed keys' cumulative rows, tagged by batch."""
-    gold = _gold_input(spark, paths, watermark, max_files, max_file_age)
+    gold = _gold_input(spark, paths, watermark, max_files, max_file_age, "gold_live")
     writer = (
         gold.writeStream.outputMode("update")
         .option("checkpointLocation", paths.checkpoint("gold_live"))
@@ -227,23 +228,44 @@ def gold_live_stream(
     return _start_with_state_partitions(spark, state_partitions, lambda: _trigger(writer, trigger).start())
 
 
-def await_layers(spark: SparkSession, paths: LayerPaths, layer_queries: list[tuple[str, StreamingQuery, str | None]]):
-    """Wait for each query; write its metric lines; on failure write an error
-    line and re-raise."""
+def await_layers(
+    spark: SparkSession,
+    paths: LayerPaths,
+    layer_queries: list[tuple[str, StreamingQuery, str | None]],
+    poll_seconds: float = 0.2,
+):
+    """Wait for a group of queries, gathering every batch's progress while
+    they run (Spark keeps only the most recent updates), then write one
+    metric line per batch. On failure: stop the group, write an error line
+    and re-raise."""
+    progress: dict[str, dict[int, object]] = {str(q.id): {} for _, q, _ in layer_queries}
     rows: list[tuple] = []
+
+    def drain(q: StreamingQuery) -> None:
+        for p in q.recentProgress:
+            progress[str(q.id)][p.batchId] = p
+
+    pending = list(layer_queries)
     try:
+        while pending:
+            for entry in list(pending):
+                layer, query, _ = entry
+                try:
+                    done = query.awaitTermination(poll_seconds)
+                except Exception as exc:  # record, then propagate
+                    last = query.lastProgress
+                    rows.append(error_metric(layer, last.batchId if last else None, exc))
+                    for _, other, _ in layer_queries:
+                        if other.isActive:
+                            other.stop()
+                    raise
+                drain(query)
+                if done:
+                    pending.remove(entry)
         for layer, query, observation in layer_queries:
-            try:
-                query.awaitTermination()
-            except Exception as exc:  # record, then propagate
-                last = query.lastProgress
-                rows.append(error_metric(layer, last.batchId if last else None, exc))
-                for _, other, _ in layer_queries:
-                    if other.isActive:
-                        other.stop()
-                raise
             if not layer.endswith("_quarantine"):
-                rows.extend(query_metrics(layer, query, observation))
+                batches = [progress[str(query.id)][b] for b in sorted(progress[str(query.id)])]
+                rows.extend(query_metrics(layer, batches, observation))
     finally:
         write_batch_metrics(spark, rows, paths.metrics)
 
@@ -271,9 +293,9 @@ def run_layers(
     gold_queries = []
     kw = dict(max_files=max_files, state_partitions=state_partitions)
     if "final" in gold_modes:
-        gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, **kw), None))
+        gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, **kw), "gold"))
     if "live" in gold_modes:
-        gold_queries.append(("gold_live", gold_live_stream(spark, paths, watermark, **kw), None))
+        gold_queries.append(("gold_live", gold_live_stream(spark, paths, watermark, **kw), "gold_live"))
     await_layers(spark, paths, gold_queries)
 
 
@@ -297,7 +319,7 @@ def start_layers(
     ``spark.streams.awaitAnyTermination()`` to supervise."""
     trigger = trigger or {"processingTime": "5 minutes"}
     listener = MetricsListener(
-        {"bronze": ("bronze", "bronze"), "silver": ("silver", "silver"), "gold_final": ("gold", None), "gold_live": ("gold_live", None)}
+        {"bronze": ("bronze", "bronze"), "silver": ("silver", "silver"), "gold_final": ("gold", "gold"), "gold_live": ("gold_live", "gold_live")}
     )
     spark.streams.addListener(listener)
     queries = bronze_stream(raw, paths, rules, trigger, drop_bad)

@@ -27,16 +27,16 @@ def progress_metrics(layer: str, progress, observation: str | None = None) -> tu
     """One metric row ``(ts, layer, batch_id, row_count, error, extra)`` from
     a ``StreamingQueryProgress``. ``row_count`` is the observed ``rows``
     count when an observation is named (its other counts go to ``extra``),
-    else the rows the sink wrote; a batch that wrote nothing is noted as
+    else the input row count; a batch with no rows is noted as
     ``empty_batch``."""
     observed = {}
     if observation and progress.observedMetrics and observation in progress.observedMetrics:
         observed = progress.observedMetrics[observation].asDict()
     rows = observed.pop("rows", None)
     if rows is None:
-        rows = max(progress.sink.numOutputRows, 0) if progress.sink else progress.numInputRows
-        if rows == 0:
-            observed["note"] = "empty_batch"
+        rows = progress.numInputRows
+    if rows == 0:
+        observed["note"] = "empty_batch"
     extra = {k: str(v) for k, v in observed.items()} or None
     return (_epoch_seconds(progress.timestamp), layer, int(progress.batchId), int(rows), None, extra)
 
@@ -51,9 +51,20 @@ def write_batch_metrics(spark: SparkSession, rows: list[tuple], path: str) -> No
         spark.createDataFrame(rows, METRICS).coalesce(1).write.mode("append").json(path)
 
 
-def query_metrics(layer: str, query: StreamingQuery, observation: str | None = None) -> list[tuple]:
-    """Metric rows for every data batch in the query's recent progress."""
-    return [progress_metrics(layer, p, observation) for p in query.recentProgress if p.numInputRows > 0]
+def _did_work(p) -> bool:
+    # A no-data batch can still write: append-mode aggregates emit the
+    # windows a newly advanced watermark has closed (seen in the observed
+    # row count; file sinks do not report output rows).
+    observed = (p.observedMetrics or {}).values()
+    return p.numInputRows > 0 or any((m.asDict().get("rows") or 0) > 0 for m in observed)
+
+
+def query_metrics(layer: str, batches, observation: str | None = None) -> list[tuple]:
+    """Metric rows for the batches (progress objects, or a query whose
+    recent progress is used) that read or wrote rows."""
+    if isinstance(batches, StreamingQuery):
+        batches = batches.recentProgress
+    return [progress_metrics(layer, p, observation) for p in batches if _did_work(p)]
 
 
 class MetricsListener(StreamingQueryListener):
@@ -74,7 +85,7 @@ class MetricsListener(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         p = event.progress
-        if p.name in self.layers and p.numInputRows > 0:
+        if p.name in self.layers and _did_work(p):
             layer, obs = self.layers[p.name]
             with self._lock:
                 self.rows.append(progress_metrics(layer, p, obs))

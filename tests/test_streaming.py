@@ -179,3 +179,10 @@ def test_long_running_layers_with_listener(spark, rules):
     m = read_metrics(spark, paths.metrics)
     sums = {r.layer: r.rows for r in m.groupBy("layer").agg(F.sum("row_count").alias("rows")).collect()}
     assert sums.get("bronze") == rows.count() and sums.get("silver") == rows.count()
+
+
+def test_gold_metric_lines_count_written_windows(spark, layered):
+    paths, _, _ = layered
+    m = read_metrics(spark, paths.metrics).filter("layer = 'gold'")
+    written = read_layer(spark, paths.gold, GOLD).count()
+    assert m.agg(F.sum("row_count")).first()[0] == written
