@@ -24,13 +24,15 @@ def read_raw_stream(
     topic: str | None = None,
     starting_offsets: str = "latest",
     max_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Streaming DataFrame with one ``value: string`` column.
 
     With ``kafka_servers`` and ``topic`` it subscribes to the topic (binary
     ``value`` cast to text); otherwise it reads ``path`` as a file stream with
     a fixed schema. ``max_per_trigger`` bounds each micro-batch (offsets for
-    Kafka, files for a file source).
+    Kafka, files for a file source); ``min_partitions`` lets Spark split
+    Kafka partitions so parsing is not capped at the topic's partition count.
     """
     if kafka_servers:
         reader = (
@@ -41,6 +43,8 @@ def read_raw_stream(
         )
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+        if min_partitions:
+            reader = reader.option("minPartitions", min_partitions)
         return reader.load().select(F.col("value").cast("string").alias("value"))
     if path is None:
         raise ValueError("read_raw_stream needs a path or kafka_servers + topic")

@@ -161,20 +161,32 @@ def _gold_input(spark, paths, watermark, max_files, max_file_age, name):
     return gold_hourly(silver, watermark=watermark).observe(name, F.count(F.lit(1)).alias("rows"))
 
 
-def _start_with_state_partitions(spark: SparkSession, state_partitions: int | None, start):
-    """Start a stateful query with ``state_partitions`` shuffle/state
-    partitions. The number is fixed by the first run's checkpoint; it should
-    follow the number of keys alive within the watermark horizon, not the
-    session default."""
-    if not state_partitions:
-        return start()
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _start_stateful(spark: SparkSession, state_partitions: int | None, rocksdb: bool, start):
+    """Start a stateful query with its own state settings, which the first
+    run records in the checkpoint: ``state_partitions`` shuffle/state
+    partitions (size them to the keys alive within the watermark horizon,
+    not to the session default) and, with ``rocksdb``, state kept in RocksDB
+    off the JVM heap with changelog checkpointing (for large state)."""
+    conf = {}
+    if state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if rocksdb:
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         return start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def gold_final_stream(
@@ -185,12 +197,14 @@ def gold_final_stream(
     max_files: int | None = None,
     max_file_age: str | None = None,
     state_partitions: int | None = None,
+    rocksdb: bool = False,
 ) -> StreamingQuery:
     """Append-mode Gold: one row per key, written once its window closes."""
     gold = _gold_input(spark, paths, watermark, max_files, max_file_age, "gold")
-    return _start_with_state_partitions(
+    return _start_stateful(
         spark,
         state_partitions,
+        rocksdb,
         lambda: _file_sink(gold, paths.gold, paths.checkpoint("gold_final"), "gold_final", trigger, ["date_hour"]),
     )
 
@@ -216,6 +230,7 @@ def gold_live_stream(
     max_files: int | None = None,
     max_file_age: str | None = None,
     state_partitions: int | None = None,
+    rocksdb: bool = False,
 ) -> StreamingQuery:
     """Update-mode Gold: changed keys' cumulative rows, tagged by batch."""
     gold = _gold_input(spark, paths, watermark, max_files, max_file_age, "gold_live")
@@ -225,7 +240,7 @@ def gold_live_stream(
         .queryName("gold_live")
         .foreachBatch(_live_writer(paths.gold_live))
     )
-    return _start_with_state_partitions(spark, state_partitions, lambda: _trigger(writer, trigger).start())
+    return _start_stateful(spark, state_partitions, rocksdb, lambda: _trigger(writer, trigger).start())
 
 
 def await_layers(
@@ -280,6 +295,7 @@ def run_layers(
     watermark: str = DEFAULT_WATERMARK,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    rocksdb: bool = False,
     drop_bad: bool = False,
 ) -> None:
     """Run every layer once over all available input (``availableNow``),
@@ -291,7 +307,7 @@ def run_layers(
         spark, paths, _named("silver", silver_stream(spark, paths, rules, max_files=max_files, drop_bad=drop_bad))
     )
     gold_queries = []
-    kw = dict(max_files=max_files, state_partitions=state_partitions)
+    kw = dict(max_files=max_files, state_partitions=state_partitions, rocksdb=rocksdb)
     if "final" in gold_modes:
         gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, **kw), "gold"))
     if "live" in gold_modes:
@@ -311,6 +327,7 @@ def start_layers(
     max_files: int | None = None,
     max_file_age: str | None = None,
     state_partitions: int | None = None,
+    rocksdb: bool = False,
     drop_bad: bool = False,
 ) -> tuple[list[StreamingQuery], MetricsListener]:
     """Start all layers as long-running queries (default trigger: every
@@ -324,7 +341,13 @@ def start_layers(
     spark.streams.addListener(listener)
     queries = bronze_stream(raw, paths, rules, trigger, drop_bad)
     queries += silver_stream(spark, paths, rules, trigger, max_files, drop_bad=drop_bad)
-    kw = dict(trigger=trigger, max_files=max_files, max_file_age=max_file_age, state_partitions=state_partitions)
+    kw = dict(
+        trigger=trigger,
+        max_files=max_files,
+        max_file_age=max_file_age,
+        state_partitions=state_partitions,
+        rocksdb=rocksdb,
+    )
     if "final" in gold_modes:
         queries.append(gold_final_stream(spark, paths, watermark, **kw))
     if "live" in gold_modes:

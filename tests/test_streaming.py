@@ -186,3 +186,16 @@ def test_gold_metric_lines_count_written_windows(spark, layered):
     m = read_metrics(spark, paths.metrics).filter("layer = 'gold'")
     written = read_layer(spark, paths.gold, GOLD).count()
     assert m.agg(F.sum("row_count")).first()[0] == written
+
+
+def test_gold_on_rocksdb_state(spark, rules):
+    paths = LayerPaths(scratch_path(spark, "test-rocksdb"))
+    raw = f"{paths.root}/raw"
+    rows = _rows(spark)
+    write_raw_files(rows, raw, 1)
+    run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=("live",), state_partitions=2, rocksdb=True)
+    live = gold_latest(read_layer(spark, paths.gold_live, GOLD_LIVE))
+    batch = gold_hourly(silver_flatten(rows), created_at=False)
+    assert _same(live.select(*batch.columns), batch)
+    # the session keeps its own settings
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or "")
