@@ -22,6 +22,7 @@ swallowed: the caller records an error line and the exception propagates.
 from __future__ import annotations
 
 import os
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,32 @@ def _keep(df: DataFrame, rules, drop_bad: bool) -> DataFrame:
     return drop_bad_rows(df, rules) if drop_bad else df
 
 
+def duplicate_stream(
+    df: DataFrame, paths: LayerPaths, layer: str, trigger: dict | None = None, id_field: str = "event_id"
+) -> StreamingQuery:
+    """Per micro-batch exact duplicate count (rows minus distinct ids), as a
+    ``<layer>_duplicates`` metric line whose ``extra`` holds the count.
+    Exact distinct counting is not available in ``observe`` or a streaming
+    aggregate, so this is a separate query over the same input; a replayed
+    batch may write its line twice (the count itself is unchanged)."""
+    from strata.operators.quality import duplicate_count
+    from strata.streaming.metrics_sink import write_batch_metrics as write
+
+    def check(batch: DataFrame, batch_id: int) -> None:
+        r = duplicate_count(batch, id_field).first()
+        if r.total:
+            line = (int(time.time()), f"{layer}_duplicates", batch_id, int(r.total), None, {"duplicates": str(r.duplicates)})
+            write(batch.sparkSession, [line], paths.metrics)
+
+    writer = (
+        df.select(id_field)
+        .writeStream.foreachBatch(check)
+        .option("checkpointLocation", paths.checkpoint(f"{layer}_duplicates"))
+        .queryName(f"{layer}_duplicates")
+    )
+    return _trigger(writer, trigger).start()
+
+
 def bronze_stream(
     raw: DataFrame, paths: LayerPaths, rules, trigger: dict | None = None, drop_bad: bool = False
 ) -> list[StreamingQuery]:
@@ -278,7 +305,7 @@ def await_layers(
                 if done:
                     pending.remove(entry)
         for layer, query, observation in layer_queries:
-            if not layer.endswith("_quarantine"):
+            if not layer.endswith(("_quarantine", "_duplicates")):
                 batches = [progress[str(query.id)][b] for b in sorted(progress[str(query.id)])]
                 rows.extend(query_metrics(layer, batches, observation))
     finally:
@@ -297,15 +324,23 @@ def run_layers(
     state_partitions: int | None = None,
     rocksdb: bool = False,
     drop_bad: bool = False,
+    duplicate_metrics: bool = False,
 ) -> None:
     """Run every layer once over all available input (``availableNow``),
     layer after layer, and write their metric lines. Re-running with the
     same folders resumes from the checkpoints and processes only new input.
+    With ``duplicate_metrics`` each Bronze and Silver batch also gets an
+    exact duplicate count (one more query per layer).
     """
-    await_layers(spark, paths, _named("bronze", bronze_stream(raw, paths, rules, drop_bad=drop_bad)))
-    await_layers(
-        spark, paths, _named("silver", silver_stream(spark, paths, rules, max_files=max_files, drop_bad=drop_bad))
-    )
+    bronze = _named("bronze", bronze_stream(raw, paths, rules, drop_bad=drop_bad))
+    if duplicate_metrics:
+        bronze.append(("bronze_duplicates", duplicate_stream(bronze_parse(raw), paths, "bronze"), None))
+    await_layers(spark, paths, bronze)
+    silver = _named("silver", silver_stream(spark, paths, rules, max_files=max_files, drop_bad=drop_bad))
+    if duplicate_metrics:
+        source = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
+        silver.append(("silver_duplicates", duplicate_stream(source, paths, "silver"), None))
+    await_layers(spark, paths, silver)
     gold_queries = []
     kw = dict(max_files=max_files, state_partitions=state_partitions, rocksdb=rocksdb)
     if "final" in gold_modes:

@@ -199,3 +199,16 @@ def test_gold_on_rocksdb_state(spark, rules):
     assert _same(live.select(*batch.columns), batch)
     # the session keeps its own settings
     assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or "")
+
+
+def test_duplicate_metrics_per_batch(spark, rules):
+    paths = LayerPaths(scratch_path(spark, "test-dups"))
+    raw = f"{paths.root}/raw"
+    rows = _rows(spark)
+    dup = rows.limit(7)  # the same seven events delivered twice
+    write_raw_files(rows, raw, 1)
+    write_raw_files(dup, raw, 1)
+    run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=(), duplicate_metrics=True)
+    m = read_metrics(spark, paths.metrics).filter("layer LIKE '%_duplicates'").collect()
+    got = {(r.layer, int(r.extra["duplicates"]), r.row_count) for r in m}
+    assert got == {("bronze_duplicates", 7, 1007), ("silver_duplicates", 7, 1007)}
