@@ -3,6 +3,8 @@
 from strata.streaming.layers import (  # noqa: F401
     LayerPaths,
     await_layers,
+    bronze_quarantine_stream,
+    duplicate_stream,
     bronze_stream,
     gold_final_stream,
     gold_live_stream,

@@ -1,7 +1,7 @@
 """The layer jobs as Structured Streaming queries.
 
-* Bronze: raw JSON stream -> parsed events -> Parquet file sink, plus a
-  quarantine query over the same source.
+* Bronze: raw JSON stream -> parsed events -> Parquet file sink; its
+  quarantine query reads the committed Bronze files (JSON is parsed once).
 * Silver: Bronze file stream -> flattened, filled rows -> file sink, plus
   its quarantine query.
 * Gold, final form: Silver file stream -> hourly windows with a watermark ->
@@ -129,19 +129,39 @@ def duplicate_stream(
 def bronze_stream(
     raw: DataFrame, paths: LayerPaths, rules, trigger: dict | None = None, drop_bad: bool = False
 ) -> list[StreamingQuery]:
-    """Start the Bronze write and the Bronze quarantine queries. Quarantined
-    rows stay in the layer too unless ``drop_bad``."""
+    """Start the Bronze write (quarantined rows stay in the layer unless
+    ``drop_bad``). With ``drop_bad`` the Bronze quarantine query is started
+    here too, over the raw stream; otherwise it runs later over the written
+    Bronze files (:func:`bronze_quarantine_stream`), so JSON is parsed once.
+    """
     parsed = bronze_parse(raw)
     flat = with_flat_metrics(parsed)
     # Observe on the flattened projection so the rule counts see the metric
     # columns (and every row), then write only the Bronze columns.
     written = _keep(_observed(flat, "bronze", rules), rules, drop_bad).select(*BRONZE.fieldNames())
-    main = _file_sink(written, paths.bronze, paths.checkpoint("bronze"), "bronze", trigger)
-    bad = quarantine_rows(flat, rules)
-    quarantine = _file_sink(
-        bad, paths.quarantine("bronze"), paths.checkpoint("bronze_quarantine"), "bronze_quarantine", trigger
+    queries = [_file_sink(written, paths.bronze, paths.checkpoint("bronze"), "bronze", trigger)]
+    if drop_bad:
+        queries.append(_bronze_quarantine_sink(flat, paths, rules, trigger))
+    return queries
+
+
+def _bronze_quarantine_sink(flat: DataFrame, paths: LayerPaths, rules, trigger: dict | None) -> StreamingQuery:
+    return _file_sink(
+        quarantine_rows(flat, rules),
+        paths.quarantine("bronze"),
+        paths.checkpoint("bronze_quarantine"),
+        "bronze_quarantine",
+        trigger,
     )
-    return [main, quarantine]
+
+
+def bronze_quarantine_stream(
+    spark: SparkSession, paths: LayerPaths, rules, trigger: dict | None = None, max_files: int | None = None
+) -> StreamingQuery:
+    """Bronze quarantine from the committed Bronze files (a Parquet file
+    stream with the rule filter pushed to the scan)."""
+    bronze = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
+    return _bronze_quarantine_sink(with_flat_metrics(bronze), paths, rules, trigger)
 
 
 def _read_layer_stream(spark: SparkSession, path: str, schema, max_files: int | None, max_file_age: str | None):
@@ -337,6 +357,8 @@ def run_layers(
         bronze.append(("bronze_duplicates", duplicate_stream(bronze_parse(raw), paths, "bronze"), None))
     await_layers(spark, paths, bronze)
     silver = _named("silver", silver_stream(spark, paths, rules, max_files=max_files, drop_bad=drop_bad))
+    if not drop_bad:
+        silver.append(("bronze_quarantine", bronze_quarantine_stream(spark, paths, rules, max_files=max_files), None))
     if duplicate_metrics:
         source = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
         silver.append(("silver_duplicates", duplicate_stream(source, paths, "silver"), None))
@@ -375,6 +397,8 @@ def start_layers(
     )
     spark.streams.addListener(listener)
     queries = bronze_stream(raw, paths, rules, trigger, drop_bad)
+    if not drop_bad:
+        queries.append(bronze_quarantine_stream(spark, paths, rules, trigger, max_files))
     queries += silver_stream(spark, paths, rules, trigger, max_files, drop_bad=drop_bad)
     kw = dict(
         trigger=trigger,
@@ -391,5 +415,5 @@ def start_layers(
 
 
 def _named(layer: str, queries: list[StreamingQuery]):
-    main, quarantine = queries
-    return [(layer, main, layer), (f"{layer}_quarantine", quarantine, None)]
+    main, *quarantine = queries
+    return [(layer, main, layer)] + [(f"{layer}_quarantine", q, None) for q in quarantine]

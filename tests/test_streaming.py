@@ -212,3 +212,15 @@ def test_duplicate_metrics_per_batch(spark, rules):
     m = read_metrics(spark, paths.metrics).filter("layer LIKE '%_duplicates'").collect()
     got = {(r.layer, int(r.extra["duplicates"]), r.row_count) for r in m}
     assert got == {("bronze_duplicates", 7, 1007), ("silver_duplicates", 7, 1007)}
+
+
+def test_stream_quarantine_matches_batch(spark, layered):
+    from strata.operators.quality import quarantine_rows
+    from strata.sources.tables import read_quarantine
+
+    paths, _, rules = layered
+    q = read_quarantine(spark, f"{paths.root}/quarantine")
+    expected = quarantine_rows(silver_flatten(_rows(spark)), rules)
+    assert _same(q["silver"].select(*expected.columns), expected)
+    assert q["bronze"].count() == expected.count()
+    assert set(q["bronze"].columns) >= {"metrics", "extra", "distance", "rule"}
