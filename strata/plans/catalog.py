@@ -29,7 +29,7 @@ from strata.operators.kpi import (
 from strata.operators.quality import duplicate_count, quality_report, quarantine_rows
 from strata.operators.silver import silver_flatten
 from strata.plans.backfill import backfill_layers
-from strata.schemas import BRONZE, GOLD, GOLD_LIVE, ID_FIELDS, METRIC_FIELDS, SILVER
+from strata.schemas import BRONZE, EVENTS, GOLD, GOLD_LIVE, ID_FIELDS, METRIC_FIELDS, SILVER
 from strata.session import default_parallelism, scratch_path, session_key, use_utc
 from strata.sources.events import event_rows, events_to_json
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
@@ -49,7 +49,7 @@ AVG_PLACES = 6
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    return read_table(spark, sf_dir, "events")
+    return read_table(spark, sf_dir, "events", EVENTS)
 
 
 def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -87,6 +88,19 @@ METRICS = StructType(
     ]
 )
 
+# Driver ``events`` table (source of the event-shaped rows in tests and
+# registered queries). Declared, so reads skip schema inference.
+EVENTS = StructType(
+    [
+        StructField("event_id", LongType(), True),
+        StructField("ts", TimestampNTZType(), True),
+        StructField("user_id", LongType(), True),
+        StructField("event_type", StringType(), True),
+        StructField("value", DoubleType(), True),
+        StructField("props", StringType(), True),
+    ]
+)
+
 # Raw stream records: the JSON text of one event per row.
 RAW = StructType([StructField("value", StringType(), True)])
 

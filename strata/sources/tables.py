@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, e.g. ``read_table(spark, dir, "events")``."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """One driver table, e.g. ``read_table(spark, dir, "events", EVENTS)``;
+    with a schema, Spark skips reading footers to infer one."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options) -> DataFrame:
