@@ -224,3 +224,13 @@ def test_stream_quarantine_matches_batch(spark, layered):
     assert _same(q["silver"].select(*expected.columns), expected)
     assert q["bronze"].count() == expected.count()
     assert set(q["bronze"].columns) >= {"metrics", "extra", "distance", "rule"}
+
+
+def test_empty_input_runs_clean(spark, rules):
+    paths = LayerPaths(scratch_path(spark, "test-empty"))
+    raw = f"{paths.root}/raw"
+    write_raw_files(_rows(spark).limit(0), raw, 1)
+    run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=("final", "live"), state_partitions=2)
+    assert read_layer(spark, paths.silver, SILVER).count() == 0
+    assert read_layer(spark, paths.gold, GOLD).count() == 0
+    assert read_metrics(spark, paths.metrics).count() == 0
