@@ -10,7 +10,7 @@ from strata.schemas import GOLD_KEYS, METRIC_FIELDS
 
 GROUP_FIELDS = ["event_type", "source", "status"]
 
-# Output column order of the Gold table (fixed layout).
+# Output column order of the Gold table.
 GOLD_ORDER = [
     "date_hour", "hour", "event_type", "source", "status", "event_count",
     "avg_distance", "avg_temperature", "avg_amount", "avg_duration",

@@ -57,6 +57,8 @@ def recent_errors(metrics: DataFrame, n: int = 10) -> DataFrame:
 def quarantine_total(layers: Mapping[str, DataFrame]) -> DataFrame:
     """Quarantined rows per layer plus an ``all`` row. A record quarantined at
     two layers counts once in each."""
+    if not layers:
+        raise ValueError("no quarantine tables given")
     tagged = None
     for name, df in layers.items():
         part = df.select(F.lit(name).alias("layer"))
@@ -68,6 +70,8 @@ def quarantine_total(layers: Mapping[str, DataFrame]) -> DataFrame:
 def quarantine_files(layers: Mapping[str, DataFrame]) -> DataFrame:
     """Number of non-empty quarantine files per layer plus an ``all`` row.
     Each input must be a file scan (it reads ``_metadata.file_path``)."""
+    if not layers:
+        raise ValueError("no quarantine tables given")
     tagged = None
     for name, df in layers.items():
         part = df.select(F.lit(name).alias("layer"), F.col("_metadata.file_path").alias("file"))
