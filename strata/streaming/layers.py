@@ -211,13 +211,17 @@ def _gold_input(spark, paths, watermark, max_files, max_file_age, name):
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _start_stateful(spark: SparkSession, state_partitions: int | None, rocksdb: bool, start):
+def _start_stateful(spark: SparkSession, state_partitions: int | None, rocksdb: bool, start, no_data_batches: bool = True):
     """Start a stateful query with its own state settings, which the first
     run records in the checkpoint: ``state_partitions`` shuffle/state
     partitions (size them to the keys alive within the watermark horizon,
     not to the session default) and, with ``rocksdb``, state kept in RocksDB
-    off the JVM heap with changelog checkpointing (for large state)."""
+    off the JVM heap with changelog checkpointing (for large state).
+    ``no_data_batches=False`` skips the extra batch Spark runs only to
+    advance the watermark."""
     conf = {}
+    if not no_data_batches:
+        conf["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     if state_partitions:
         conf["spark.sql.shuffle.partitions"] = str(state_partitions)
     if rocksdb:
@@ -287,7 +291,9 @@ def gold_live_stream(
         .queryName("gold_live")
         .foreachBatch(_live_writer(paths.gold_live))
     )
-    return _start_stateful(spark, state_partitions, rocksdb, lambda: _trigger(writer, trigger).start())
+    # Update mode emits nothing in a batch without input (it would only
+    # evict expired state, which the next data batch does as well).
+    return _start_stateful(spark, state_partitions, rocksdb, lambda: _trigger(writer, trigger).start(), False)
 
 
 def await_layers(
