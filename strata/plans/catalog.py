@@ -49,7 +49,7 @@ AVG_PLACES = 6
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    return read_table(spark, sf_dir, "events", EVENTS)
+    return read_table(spark, sf_dir, "events", EVENTS, spread=True)
 
 
 def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

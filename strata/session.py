@@ -73,8 +73,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream checkpoints.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (or set
-    with ``SparkContext.setCheckpointDir``). Only when neither is set, as in
-    local tests, a temporary folder is created and registered.
+    with ``SparkContext.setCheckpointDir``); without it, a cluster session
+    raises. Only a ``local`` master with neither set, as in tests, gets a
+    temporary folder created and registered.
     """
     sc = _context(spark)
     if sc is None:
@@ -88,8 +89,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+    else:  # a machine-local folder is not visible to other executors
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     return sc.getCheckpointDir()
 
 

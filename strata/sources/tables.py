@@ -9,11 +9,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None, spread: bool = False
+) -> DataFrame:
     """One driver table, e.g. ``read_table(spark, dir, "events", EVENTS)``;
-    with a schema, Spark skips reading footers to infer one."""
+    with a schema, Spark skips reading footers to infer one. ``spread``
+    applies :func:`spread_small_scan`."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_small_scan(df) if spread else df
+
+
+def spread_small_scan(df: DataFrame, min_splits: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than ``min_splits`` (by
+    default the session's parallelism) over that many partitions, so the
+    CPU-bound work that follows (JSON encode/parse, timestamp text) uses
+    every core. Parquet splits by row group, so one large row group is one
+    task however many cores there are.
+
+    A scan that already has enough splits, which is any table large enough
+    to matter, is returned unchanged: no shuffle is added at scale. The
+    round-robin exchange sorts each input partition first, so a retried
+    task re-sends the same rows to the same partitions. Counting splits
+    plans the scan (file listing) but runs no job.
+    """
+    from strata.session import default_parallelism
+
+    target = min_splits or default_parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options) -> DataFrame:
