@@ -65,13 +65,16 @@ def gold_hourly(
     return shape_gold(gold_windows(silver, window, watermark), created_at)
 
 
-def gold_latest(live: DataFrame, version_col: str = "batch_id") -> DataFrame:
+def gold_latest(live: DataFrame, version_col: str = "batch_id", keep_version: bool = False) -> DataFrame:
     """Latest row per Gold grain key from a live (update-mode) Gold table that
-    holds one cumulative row per key and micro-batch.
+    holds one cumulative row per key and micro-batch. With ``keep_version``
+    the result keeps ``version_col`` (the batch of each row's version).
 
     ``max_by`` is an ordinary aggregate, so Spark pre-aggregates per map task
     before the shuffle; a key with many versions never lands whole in one task.
     """
     payload = [c for c in live.columns if c not in GOLD_KEYS and c != version_col]
+    if keep_version:
+        payload.append(version_col)
     latest = live.groupBy(*GOLD_KEYS).agg(F.max_by(F.struct(*payload), F.col(version_col)).alias("_row"))
     return latest.select(*GOLD_KEYS, "_row.*")

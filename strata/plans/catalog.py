@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.rules import load_rules
 from strata.operators.bronze import bronze_parse, with_flat_metrics
-from strata.operators.gold import GOLD_ORDER, gold_hourly, gold_latest
+from strata.operators.gold import GOLD_ORDER, gold_hourly
 from strata.operators.health import metrics_summary, metrics_timeline, quarantine_files, quarantine_total, recent_errors
 from strata.operators.kpi import (
     hourly_volume,
@@ -29,12 +29,13 @@ from strata.operators.kpi import (
 from strata.operators.quality import duplicate_count, quality_report, quarantine_rows
 from strata.operators.silver import silver_flatten
 from strata.plans.backfill import backfill_layers
-from strata.schemas import BRONZE, EVENTS, GOLD, GOLD_LIVE, ID_FIELDS, METRIC_FIELDS, SILVER
+from strata.schemas import BRONZE, EVENTS, GOLD, ID_FIELDS, METRIC_FIELDS, SILVER
 from strata.session import default_parallelism, scratch_path, session_key, use_utc
 from strata.sources.events import event_rows, events_to_json
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
 from strata.sources.raw import land_in_time_order, read_raw_stream
-from strata.sources.tables import read_gold, read_layer, read_table
+from strata.sources.tables import read_gold, read_gold_live, read_layer, read_table
+from strata.streaming.compaction import compact_live_gold
 from strata.streaming.layers import LayerPaths, run_layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,8 +194,11 @@ def q_quarantine_files(spark, sf_dir):
 _stream_roots: dict[tuple, LayerPaths] = {}
 
 # Event-time slices in which the raw data arrives; the layer jobs resume
-# from their checkpoints after each slice.
+# from their checkpoints after each slice. Live Gold is compacted once, after
+# the slice numbered COMPACT_AFTER, so reads go through a snapshot plus the
+# batches that followed it.
 ARRIVALS = 4
+COMPACT_AFTER = 1
 
 
 def streamed_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
@@ -208,7 +212,7 @@ def streamed_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
             paths = LayerPaths(scratch_path(spark, "layers"))
             raw_path = f"{paths.root}/raw"
             rules = load_rules()
-            for _ in land_in_time_order(bronze_rows(spark, sf_dir), raw_path, ARRIVALS):
+            for i in land_in_time_order(bronze_rows(spark, sf_dir), raw_path, ARRIVALS):
                 run_layers(
                     spark,
                     read_raw_stream(spark, path=raw_path),
@@ -217,6 +221,8 @@ def streamed_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
                     gold_modes=("final", "live"),
                     state_partitions=default_parallelism(spark),
                 )
+                if i == COMPACT_AFTER:
+                    compact_live_gold(spark, paths.gold_live, paths.gold_live_snapshots)
             _stream_roots[key] = paths
     return paths
 
@@ -230,8 +236,8 @@ def q_silver_stream(spark, sf_dir):
 
 
 def q_gold_hourly_live(spark, sf_dir):
-    live = read_layer(spark, streamed_layers(spark, sf_dir).gold_live, GOLD_LIVE)
-    return rounded_gold(gold_latest(live))
+    paths = streamed_layers(spark, sf_dir)
+    return rounded_gold(read_gold_live(spark, paths.gold_live, paths.gold_live_snapshots))
 
 
 _backfill_roots: dict[tuple, LayerPaths] = {}

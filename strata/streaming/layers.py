@@ -64,6 +64,10 @@ class LayerPaths:
     def gold_live(self) -> str:
         return self._p("gold", "fact_events_hourly_live")
 
+    @property
+    def gold_live_snapshots(self) -> str:
+        return self._p("gold", "fact_events_hourly_live_snapshots")
+
     def quarantine(self, layer: str) -> str:
         return self._p("quarantine", layer)
 

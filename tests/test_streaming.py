@@ -234,3 +234,25 @@ def test_empty_input_runs_clean(spark, rules):
     assert read_layer(spark, paths.silver, SILVER).count() == 0
     assert read_layer(spark, paths.gold, GOLD).count() == 0
     assert read_metrics(spark, paths.metrics).count() == 0
+
+
+def test_live_gold_compaction_keeps_current_rows(spark, rules):
+    from strata.streaming.compaction import compact_live_gold, complete_snapshots, read_live_current
+
+    paths = LayerPaths(scratch_path(spark, "test-compact"))
+    raw = f"{paths.root}/raw"
+    rows = _rows(spark)
+    live_batches = lambda: read_layer(spark, paths.gold_live, GOLD_LIVE).select("batch_id").distinct().count()
+    snaps = paths.gold_live_snapshots
+    assert compact_live_gold(spark, paths.gold_live, snaps) is None  # nothing written yet
+    upto = []
+    for i in land_in_time_order(rows, raw, 4):
+        run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=("live",), state_partitions=2)
+        if i in (1, 2):
+            upto.append(compact_live_gold(spark, paths.gold_live, snaps))
+            assert live_batches() == 0  # folded partitions are gone
+            assert compact_live_gold(spark, paths.gold_live, snaps) == upto[-1]  # idempotent
+    assert upto[0] < upto[1] and sorted(complete_snapshots(spark, snaps)) == upto
+    assert live_batches() >= 1  # the last slice is read from the live tail
+    batch = gold_hourly(silver_flatten(rows), created_at=False)
+    assert _same(read_live_current(spark, paths.gold_live, snaps).select(*batch.columns), batch)
