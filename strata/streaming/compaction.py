@@ -84,7 +84,10 @@ def compact_live_gold(spark: SparkSession, live_path: str, snapshots: str, drop_
     """Fold live Gold up to its newest visible batch into a new snapshot;
     returns that batch id (None when there is nothing new to fold)."""
     rows, upto = _current_parts(spark, live_path, snapshots)
-    newest = read_layer(spark, live_path, GOLD_LIVE).agg(F.max("batch_id")).first()[0]
+    # A batch folder appears only when its dynamic-overwrite job commits, so
+    # listing the folders finds the newest complete batch without a job.
+    batches = _numbered_dirs(spark, live_path, "batch_id")
+    newest = max(batches, default=None)
     if newest is None or (upto is not None and newest <= upto):
         return upto
     bounded = rows.filter(F.col("batch_id") <= F.lit(newest))
@@ -93,7 +96,7 @@ def compact_live_gold(spark: SparkSession, live_path: str, snapshots: str, drop_
     if drop_folded:
         fs, _ = _fs(spark, live_path)
         jvm = spark._jvm
-        for b, p in _numbered_dirs(spark, live_path, "batch_id").items():
+        for b, p in batches.items():
             if b <= newest:
                 fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
         for b, p in sorted(_numbered_dirs(spark, snapshots, SNAPSHOT_KEY).items())[:-2]:
