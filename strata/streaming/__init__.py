@@ -9,6 +9,7 @@ from strata.streaming.layers import (  # noqa: F401
     gold_final_stream,
     gold_live_stream,
     run_layers,
+    silver_quarantine_stream,
     silver_stream,
     start_layers,
 )

@@ -2,8 +2,9 @@
 
 * Bronze: raw JSON stream -> parsed events -> Parquet file sink; its
   quarantine query reads the committed Bronze files (JSON is parsed once).
-* Silver: Bronze file stream -> flattened, filled rows -> file sink, plus
-  its quarantine query.
+* Silver: Bronze file stream -> flattened, filled rows -> file sink; its
+  quarantine query reads the committed Silver files, where the rules are
+  plain comparisons on flat columns that reach the Parquet scan.
 * Gold, final form: Silver file stream -> hourly windows with a watermark ->
   append-mode file sink partitioned by ``date_hour``; each window is written
   once, after the watermark passes its end.
@@ -186,7 +187,10 @@ def silver_stream(
     fill: dict | None = SILVER_FILL,
     drop_bad: bool = False,
 ) -> list[StreamingQuery]:
-    """Start the Silver write and the Silver quarantine queries."""
+    """Start the Silver write. With ``drop_bad`` the Silver quarantine query
+    is started here too, over the Bronze stream (the dropped rows never reach
+    Silver); otherwise it runs later over the written Silver files
+    (:func:`silver_quarantine_stream`)."""
     bronze = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
     silver = silver_flatten(bronze, fill)
     main = _file_sink(
@@ -196,14 +200,29 @@ def silver_stream(
         "silver",
         trigger,
     )
-    quarantine = _file_sink(
+    if not drop_bad:
+        return [main]
+    return [main, _silver_quarantine_sink(silver, paths, rules, trigger)]
+
+
+def _silver_quarantine_sink(silver: DataFrame, paths: LayerPaths, rules, trigger: dict | None) -> StreamingQuery:
+    return _file_sink(
         quarantine_rows(silver, rules),
         paths.quarantine("silver"),
         paths.checkpoint("silver_quarantine"),
         "silver_quarantine",
         trigger,
     )
-    return [main, quarantine]
+
+
+def silver_quarantine_stream(
+    spark: SparkSession, paths: LayerPaths, rules, trigger: dict | None = None, max_files: int | None = None
+) -> StreamingQuery:
+    """Silver quarantine from the committed Silver files. Silver columns are
+    flat and filled, so the any-rule filter is pushed to the Parquet scan
+    and row groups whose min/max lie inside every range are skipped."""
+    silver = _read_layer_stream(spark, paths.silver, SILVER, max_files, None)
+    return _silver_quarantine_sink(silver, paths, rules, trigger)
 
 
 def _gold_input(spark, paths, watermark, max_files, max_file_age, name):
@@ -374,6 +393,8 @@ def run_layers(
         silver.append(("silver_duplicates", duplicate_stream(source, paths, "silver"), None))
     await_layers(spark, paths, silver)
     gold_queries = []
+    if not drop_bad:
+        gold_queries.append(("silver_quarantine", silver_quarantine_stream(spark, paths, rules, max_files=max_files), None))
     kw = dict(max_files=max_files, state_partitions=state_partitions, rocksdb=rocksdb)
     if "final" in gold_modes:
         gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, **kw), "gold"))
@@ -410,6 +431,8 @@ def start_layers(
     if not drop_bad:
         queries.append(bronze_quarantine_stream(spark, paths, rules, trigger, max_files))
     queries += silver_stream(spark, paths, rules, trigger, max_files, drop_bad=drop_bad)
+    if not drop_bad:
+        queries.append(silver_quarantine_stream(spark, paths, rules, trigger, max_files))
     kw = dict(
         trigger=trigger,
         max_files=max_files,

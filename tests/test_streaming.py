@@ -256,3 +256,19 @@ def test_live_gold_compaction_keeps_current_rows(spark, rules):
     assert live_batches() >= 1  # the last slice is read from the live tail
     batch = gold_hourly(silver_flatten(rows), created_at=False)
     assert _same(read_live_current(spark, paths.gold_live, snaps).select(*batch.columns), batch)
+
+
+def test_silver_quarantine_filter_reaches_the_scan(spark, rules):
+    from strata.operators.quality import quarantine_rows
+    from strata.streaming.layers import silver_quarantine_stream
+
+    paths = LayerPaths(scratch_path(spark, "test-silver-q"))
+    silver = silver_flatten(_rows(spark))
+    silver.write.parquet(paths.silver)
+    q = silver_quarantine_stream(spark, paths, rules)
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(False)
+    assert "PushedFilters: [Or(" in plan and "LessThan(distance" in plan
+    got = spark.read.parquet(paths.quarantine("silver"))
+    expected = quarantine_rows(silver, rules)
+    assert _same(got.select(*expected.columns), expected)
