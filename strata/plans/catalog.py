@@ -222,7 +222,7 @@ def streamed_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
                     state_partitions=default_parallelism(spark),
                 )
                 if i == COMPACT_AFTER:
-                    compact_live_gold(spark, paths.gold_live, paths.gold_live_snapshots)
+                    compact_live_gold(spark, paths.gold_live, paths.gold_live_snapshot)
             _stream_roots[key] = paths
     return paths
 
@@ -237,7 +237,7 @@ def q_silver_stream(spark, sf_dir):
 
 def q_gold_hourly_live(spark, sf_dir):
     paths = streamed_layers(spark, sf_dir)
-    return rounded_gold(read_gold_live(spark, paths.gold_live, paths.gold_live_snapshots))
+    return rounded_gold(read_gold_live(spark, paths.gold_live, paths.gold_live_snapshot))
 
 
 _backfill_roots: dict[tuple, LayerPaths] = {}

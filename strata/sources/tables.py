@@ -75,14 +75,14 @@ def read_gold(spark: SparkSession, path: str, start_date: str | None = None, end
     return gold
 
 
-def read_gold_live(spark: SparkSession, path: str, snapshots: str | None = None) -> DataFrame:
+def read_gold_live(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
     """Current Gold rows from the live (update-mode) table; with the
-    ``snapshots`` folder of :mod:`strata.streaming.compaction`, from the
-    newest snapshot plus the batches after it."""
-    if snapshots:
+    ``snapshot`` table of :mod:`strata.streaming.compaction`, from the
+    snapshot plus the batches not yet folded into it."""
+    if snapshot:
         from strata.streaming.compaction import read_live_current
 
-        return read_live_current(spark, path, snapshots)
+        return read_live_current(spark, path, snapshot)
     from strata.operators.gold import gold_latest
     from strata.schemas import GOLD_LIVE
 

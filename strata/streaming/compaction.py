@@ -3,20 +3,22 @@
 Live Gold gains one ``batch_id`` partition per micro-batch, holding the
 cumulative rows of the keys that batch changed. Left alone, every read of
 the current rows (:func:`strata.operators.gold.gold_latest`) scans all the
-batches ever written. Compaction folds the batches up to the newest visible
-one, ``B``, into a snapshot table ``<snapshots>/upto=B``: the previous
-snapshot plus the live partitions after it, collapsed to the latest row per
-key (a pre-aggregated ``max_by``; each row keeps its ``batch_id``).
-:func:`read_live_current` then reads the newest complete snapshot plus only
-the live partitions after it, which partition pruning selects from the
-folder names.
-
-It runs as a batch job next to the stream. The stream only adds new batch
-partitions, and a partition becomes visible when its write job commits, so
-every partition up to ``B`` is complete. A batch at or below ``B`` that is
-replayed after a failure rewrites the same rows, which the reader ignores.
-With ``drop_folded`` the folded live partitions are deleted, and every
-snapshot but the newest two (a reader may still hold the previous one).
+batches ever written. Compaction folds the live batches into a snapshot
+table partitioned by ``date_hour`` that keeps one row per key (with the
+``batch_id`` of its version), then deletes the folded batch partitions.
+
+Each run touches only the dates present in the live batches it folds,
+which, with a watermark, are the last day or two. It reads the snapshot
+partitions of those dates (partition pruning), collapses them with the
+batches (a pre-aggregated ``max_by``), writes the result to a staging
+table, and swaps it in with a dynamic partition overwrite. A run costs
+the size of the touched dates, not the size of the history.
+
+Current rows are ``gold_latest(snapshot ∪ live)``. That is correct however
+far a run got: a batch that is both folded and still present, or a batch
+replayed after a failure, only repeats a version ``max_by`` already has. If
+a run dies while swapping partitions, its staging table (complete, marked by
+``_SUCCESS``) is applied again at the start of the next run.
 """
 
 from __future__ import annotations
@@ -28,12 +30,13 @@ from strata.operators.gold import gold_latest
 from strata.schemas import GOLD_LIVE
 from strata.sources.tables import read_layer
 
-SNAPSHOT_KEY = "upto"
+
+def _hadoop(spark: SparkSession):
+    return spark._jvm.org.apache.hadoop.fs.Path
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath = _hadoop(spark)(path)
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
 
 
@@ -53,52 +56,65 @@ def _numbered_dirs(spark: SparkSession, root: str, key: str) -> dict[int, str]:
     return out
 
 
-def complete_snapshots(spark: SparkSession, snapshots: str) -> dict[int, str]:
-    """Snapshot folders whose write job committed (``_SUCCESS`` present)."""
-    fs, _ = _fs(spark, snapshots)
-    jvm = spark._jvm
-    return {
-        b: p for b, p in _numbered_dirs(spark, snapshots, SNAPSHOT_KEY).items()
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
-    }
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
+def _staging_root(snapshot_path: str) -> str:
+    return snapshot_path.rstrip("/") + "_staging"
 
 
-def _current_parts(spark: SparkSession, live_path: str, snapshots: str) -> tuple[DataFrame, int | None]:
-    snaps = complete_snapshots(spark, snapshots)
+def read_live_current(spark: SparkSession, live_path: str, snapshot_path: str) -> DataFrame:
+    """Current Gold rows from the snapshot plus the live batches not yet
+    folded, collapsed to the latest row per key."""
+    snapshot = read_layer(spark, snapshot_path, GOLD_LIVE)
     live = read_layer(spark, live_path, GOLD_LIVE)
-    if not snaps:
-        return live, None
-    upto = max(snaps)
-    snapshot = spark.read.schema(GOLD_LIVE).parquet(snaps[upto])
-    return snapshot.unionByName(live.filter(F.col("batch_id") > F.lit(upto))), upto
+    return gold_latest(snapshot.unionByName(live))
+
+
+def _swap_in(spark: SparkSession, staged: str, snapshot_path: str) -> None:
+    (
+        spark.read.schema(GOLD_LIVE).parquet(staged)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date_hour")
+        .parquet(snapshot_path)
+    )
 
 
-def read_live_current(spark: SparkSession, live_path: str, snapshots: str) -> DataFrame:
-    """Current Gold rows: the newest complete snapshot plus the live batches
-    after it, collapsed to the latest row per key."""
-    rows, _ = _current_parts(spark, live_path, snapshots)
-    return gold_latest(rows)
+def compact_live_gold(spark: SparkSession, live_path: str, snapshot_path: str, drop_folded: bool = True) -> int | None:
+    """Fold the live batches visible now into the snapshot; returns the
+    newest folded batch id (None when there was nothing to fold).
 
+    With ``drop_folded=False`` the folded batch partitions stay (reads stay
+    correct, but keep scanning them)."""
+    fs, _ = _fs(spark, live_path)
+    Path = _hadoop(spark)
+    # Finish a run that died while swapping partitions in.
+    for _, staged in sorted(_numbered_dirs(spark, _staging_root(snapshot_path), "upto").items()):
+        if fs.exists(Path(staged, "_SUCCESS")):
+            _swap_in(spark, staged, snapshot_path)
+        _delete(spark, staged)
 
-def compact_live_gold(spark: SparkSession, live_path: str, snapshots: str, drop_folded: bool = True) -> int | None:
-    """Fold live Gold up to its newest visible batch into a new snapshot;
-    returns that batch id (None when there is nothing new to fold)."""
-    rows, upto = _current_parts(spark, live_path, snapshots)
     # A batch folder appears only when its dynamic-overwrite job commits, so
-    # listing the folders finds the newest complete batch without a job.
+    # listing the folders finds the complete batches without a job.
     batches = _numbered_dirs(spark, live_path, "batch_id")
-    newest = max(batches, default=None)
-    if newest is None or (upto is not None and newest <= upto):
-        return upto
-    bounded = rows.filter(F.col("batch_id") <= F.lit(newest))
-    target = f"{snapshots.rstrip('/')}/{SNAPSHOT_KEY}={newest}"
-    gold_latest(bounded, keep_version=True).write.mode("overwrite").parquet(target)
+    if not batches:
+        return None
+    newest = max(batches)
+    tail = read_layer(spark, live_path, GOLD_LIVE).filter(F.col("batch_id") <= F.lit(newest))
+    # The dates the tail touches: a handful (the watermark horizon), so the
+    # snapshot read below is pruned to those partitions.
+    dates = [r.date_hour for r in tail.select("date_hour").distinct().collect()]
+    touched = read_layer(spark, snapshot_path, GOLD_LIVE).filter(F.col("date_hour").isin(dates))
+    staged = f"{_staging_root(snapshot_path)}/upto={newest}"
+    merged = gold_latest(touched.unionByName(tail), keep_version=True)
+    merged.write.mode("overwrite").parquet(staged)
+    _swap_in(spark, staged, snapshot_path)
+    _delete(spark, staged)
     if drop_folded:
-        fs, _ = _fs(spark, live_path)
-        jvm = spark._jvm
         for b, p in batches.items():
             if b <= newest:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
-        for b, p in sorted(_numbered_dirs(spark, snapshots, SNAPSHOT_KEY).items())[:-2]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
+                _delete(spark, p)
     return newest

@@ -66,8 +66,8 @@ class LayerPaths:
         return self._p("gold", "fact_events_hourly_live")
 
     @property
-    def gold_live_snapshots(self) -> str:
-        return self._p("gold", "fact_events_hourly_live_snapshots")
+    def gold_live_snapshot(self) -> str:
+        return self._p("gold", "fact_events_hourly_live_snapshot")
 
     def quarantine(self, layer: str) -> str:
         return self._p("quarantine", layer)

@@ -237,25 +237,47 @@ def test_empty_input_runs_clean(spark, rules):
 
 
 def test_live_gold_compaction_keeps_current_rows(spark, rules):
-    from strata.streaming.compaction import compact_live_gold, complete_snapshots, read_live_current
+    import os
+
+    from strata.streaming.compaction import compact_live_gold, read_live_current
 
     paths = LayerPaths(scratch_path(spark, "test-compact"))
     raw = f"{paths.root}/raw"
     rows = _rows(spark)
-    live_batches = lambda: read_layer(spark, paths.gold_live, GOLD_LIVE).select("batch_id").distinct().count()
-    snaps = paths.gold_live_snapshots
-    assert compact_live_gold(spark, paths.gold_live, snaps) is None  # nothing written yet
-    upto = []
+    live, snap = paths.gold_live, paths.gold_live_snapshot
+    live_batches = lambda: read_layer(spark, live, GOLD_LIVE).select("batch_id").distinct().count()
+    local = snap.removeprefix("file:")
+    dated = lambda: {d: sorted(os.listdir(f"{local}/{d}")) for d in os.listdir(local) if d.startswith("date_hour=")}
+    assert compact_live_gold(spark, live, snap) is None  # nothing written yet
+    folded, before = [], {}
     for i in land_in_time_order(rows, raw, 4):
         run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=("live",), state_partitions=2)
+        if i == 2:
+            tail_dates = {f"date_hour={r[0]}" for r in read_layer(spark, live, GOLD_LIVE).select("date_hour").distinct().collect()}
+            before = dated()
         if i in (1, 2):
-            upto.append(compact_live_gold(spark, paths.gold_live, snaps))
+            folded.append(compact_live_gold(spark, live, snap))
             assert live_batches() == 0  # folded partitions are gone
-            assert compact_live_gold(spark, paths.gold_live, snaps) == upto[-1]  # idempotent
-    assert upto[0] < upto[1] and sorted(complete_snapshots(spark, snaps)) == upto
-    assert live_batches() >= 1  # the last slice is read from the live tail
+            assert compact_live_gold(spark, live, snap) is None  # nothing new
+    assert folded[0] < folded[1]
+    after = dated()
+    # dates the second run did not touch keep their files
+    assert set(before) - tail_dates
+    assert all(after[d] == files for d, files in before.items() if d not in tail_dates)
+    assert live_batches() >= 1  # the last slice is read from the live batches
     batch = gold_hourly(silver_flatten(rows), created_at=False)
-    assert _same(read_live_current(spark, paths.gold_live, snaps).select(*batch.columns), batch)
+    assert _same(read_live_current(spark, live, snap).select(*batch.columns), batch)
+
+    # A run that died after staging, before its swap: the next run applies it.
+    from strata.operators.gold import gold_latest
+
+    current = gold_latest(read_layer(spark, snap, GOLD_LIVE).unionByName(read_layer(spark, live, GOLD_LIVE)), keep_version=True)
+    current.write.parquet(f"{snap}_staging/upto=999")
+    compact_live_gold(spark, live, snap)
+    assert not os.path.exists(f"{local}_staging/upto=999")
+    assert live_batches() == 0
+    assert _same(read_live_current(spark, live, snap).select(*batch.columns), batch)
+    assert read_layer(spark, snap, GOLD_LIVE).count() == batch.count()  # one row per key
 
 
 def test_silver_quarantine_filter_reaches_the_scan(spark, rules):
