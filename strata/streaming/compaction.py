@@ -18,7 +18,10 @@ Current rows are ``gold_latest(snapshot ∪ live)``. That is correct however
 far a run got: a batch that is both folded and still present, or a batch
 replayed after a failure, only repeats a version ``max_by`` already has. If
 a run dies while swapping partitions, its staging table (complete, marked by
-``_SUCCESS``) is applied again at the start of the next run.
+``_SUCCESS``) is applied again at the start of the next run. Plain Parquet
+has no snapshot isolation: a reader whose scan overlaps a swap or a
+deletion can fail on a missing file and should retry, so schedule runs
+apart from heavy reads (e.g. hourly, after the Gold trigger).
 """
 
 from __future__ import annotations
