@@ -43,7 +43,8 @@ KPI_SQL = {
 
 def register_views(spark: SparkSession, paths: LayerPaths, gold: str = "final") -> list[str]:
     """Create temp views ``bronze``, ``silver``, ``gold`` (final table, or
-    the latest live rows with ``gold="live"``), ``metrics`` and
+    the latest live rows, compacted snapshot plus unfolded batches, with
+    ``gold="live"``), ``metrics`` and
     ``quarantine`` (both layers; ``quarantine_bronze``/``_silver`` each).
     Returns the view names."""
     from strata.schemas import BRONZE, SILVER
@@ -51,7 +52,9 @@ def register_views(spark: SparkSession, paths: LayerPaths, gold: str = "final")
     views = {
         "bronze": read_layer(spark, paths.bronze, BRONZE),
         "silver": read_layer(spark, paths.silver, SILVER),
-        "gold": read_layer(spark, paths.gold, GOLD) if gold == "final" else read_gold_live(spark, paths.gold_live),
+        "gold": read_layer(spark, paths.gold, GOLD)
+        if gold == "final"
+        else read_gold_live(spark, paths.gold_live, paths.gold_live_snapshot),
         "metrics": read_metrics(spark, paths.metrics),
     }
     quarantine = read_quarantine(spark, paths._p("quarantine"))
