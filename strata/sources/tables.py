@@ -20,15 +20,22 @@ def read_table(
     return spread_small_scan(df) if spread else df
 
 
-def spread_small_scan(df: DataFrame, min_splits: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than ``min_splits`` (by
-    default the session's parallelism) over that many partitions, so the
-    CPU-bound work that follows (JSON encode/parse, timestamp text) uses
-    every core. Parquet splits by row group, so one large row group is one
-    task however many cores there are.
-
-    A scan that already has enough splits, which is any table large enough
-    to matter, is returned unchanged: no shuffle is added at scale. The
+# Largest scan (in splits) that spread_small_scan will shuffle.
+SPREAD_MAX_SPLITS = 32
+
+
+def spread_small_scan(df: DataFrame, min_splits: int | None = None, max_splits: int = SPREAD_MAX_SPLITS) -> DataFrame:
+    """Round-robin a small, under-split scan over ``min_splits`` partitions
+    (by default the session's parallelism), so the CPU-bound work that
+    follows (JSON encode/parse, timestamp text) uses every core. Parquet
+    splits by row group, so one large row group is one task however many
+    cores there are.
+
+    Only scans with fewer than ``min_splits`` and at most ``max_splits``
+    splits are spread, so the shuffle this adds is bounded by
+    ``max_splits`` splits (each at most ``spark.sql.files.maxPartitionBytes``
+    unless a single row group is larger), whatever the cluster size. Any
+    larger table keeps its plain scan and no shuffle is added. The
     round-robin exchange sorts each input partition first, so a retried
     task re-sends the same rows to the same partitions. Counting splits
     plans the scan (file listing) but runs no job.
@@ -40,7 +47,7 @@ def spread_small_scan(df: DataFrame, min_splits: int | None = None) -> DataFrame
         splits = df.rdd.getNumPartitions()
     except Exception:  # no RDD access (Spark Connect): leave the scan as is
         return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(target) if splits < target and splits <= max_splits else df
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options) -> DataFrame:

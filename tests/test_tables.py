@@ -22,3 +22,10 @@ def test_scan_with_enough_splits_is_left_alone(spark):
     df = spark.range(0, 1000, 1, 16)
     assert spread_small_scan(df, 8) is df
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_scan_is_never_shuffled_even_on_a_wide_cluster(spark):
+    # 64 splits on a session of 1,000 cores: under-split, but too big to move
+    df = spark.range(0, 6400, 1, 64)
+    assert spread_small_scan(df, 1000) is df
+    assert spread_small_scan(df, 1000, max_splits=64) is not df
