@@ -56,10 +56,16 @@ def read_raw_stream(
 
 def write_raw_files(rows: DataFrame, path: str, num_files: int) -> None:
     """Land Bronze-shaped rows as JSON records in ``num_files`` Parquet files,
-    range-split on the event timestamp (a batch back-fill of a raw folder)."""
+    range-split on the event timestamp (a batch back-fill of a raw folder).
+
+    A per-row sequence number breaks ties, so a timestamp shared by a third
+    of the rows (or by every copy of a duplicated event) is cut across files
+    instead of landing in one task. For a file scan the sequence is the same
+    on a retried task, so the split is repeatable."""
     from strata.sources.events import events_to_json
 
-    events_to_json(rows.repartitionByRange(num_files, "timestamp")).write.mode("append").parquet(path)
+    ranged = rows.withColumn("_seq", F.monotonically_increasing_id()).repartitionByRange(num_files, "timestamp", "_seq")
+    events_to_json(ranged.drop("_seq")).write.mode("append").parquet(path)
 
 
 def land_in_time_order(rows: DataFrame, path: str, n_chunks: int, staging: str | None = None) -> Iterator[int]:

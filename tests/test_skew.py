@@ -64,3 +64,19 @@ def test_key_with_many_versions_keeps_the_latest(spark):
     latest = gold_latest(versions.unionByName(cold)).orderBy("hour").collect()
     assert [(r.hour, r.event_count) for r in latest] == [(10, 10_000), (11, 5)]
     assert "partial_max_by" in _plan(gold_latest(versions))
+
+
+def test_hot_timestamp_is_cut_across_raw_files(spark, tmp_path):
+    from strata.sources.raw import write_raw_files
+    from strata.sources.events import event_rows
+    from .conftest import SF_SMALL
+
+    # every event at the same instant: one range key for all rows
+    rows = event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet")).withColumn(
+        "timestamp", F.lit("2024-01-01T10:00:00.000Z")
+    )
+    path = str(tmp_path / "raw")
+    write_raw_files(rows, path, 4)
+    per_file = spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()
+    assert sum(r["count"] for r in per_file) == rows.count()
+    assert len(per_file) == 4 and max(r["count"] for r in per_file) < rows.count() / 2
