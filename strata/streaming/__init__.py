@@ -12,6 +12,7 @@ from strata.streaming.layers import (  # noqa: F401
     silver_quarantine_stream,
     silver_stream,
     start_layers,
+    supervise_layers,
 )
 from strata.streaming.compaction import compact_live_gold, read_live_current  # noqa: F401
 from strata.streaming.metrics_sink import MetricsListener, progress_metrics, write_batch_metrics  # noqa: F401

@@ -421,7 +421,8 @@ def start_layers(
     """Start all layers as long-running queries (default trigger: every
     5 minutes) and a listener that buffers their metric lines; call
     ``listener.flush(spark, paths.metrics)`` periodically and
-    ``spark.streams.awaitAnyTermination()`` to supervise."""
+    ``spark.streams.awaitAnyTermination()`` to supervise, or hand both to
+    :func:`supervise_layers`."""
     trigger = trigger or {"processingTime": "5 minutes"}
     listener = MetricsListener(
         {"bronze": ("bronze", "bronze"), "silver": ("silver", "silver"), "gold_final": ("gold", "gold"), "gold_live": ("gold_live", "gold_live")}
@@ -450,3 +451,56 @@ def start_layers(
 def _named(layer: str, queries: list[StreamingQuery]):
     main, *quarantine = queries
     return [(layer, main, layer)] + [(f"{layer}_quarantine", q, None) for q in quarantine]
+
+
+def supervise_layers(
+    spark: SparkSession,
+    queries: list[StreamingQuery],
+    listener: MetricsListener,
+    paths: LayerPaths,
+    *,
+    flush_every: float = 60.0,
+    compact_every: float | None = 3600.0,
+    run_for: float | None = None,
+    poll: float = 1.0,
+) -> None:
+    """Supervise long-running layers (from :func:`start_layers`) on the driver:
+    write the buffered metric lines every ``flush_every`` seconds, fold live
+    Gold into its snapshot every ``compact_every`` seconds (when the live
+    query runs), and return once a query stops or ``run_for`` seconds pass.
+
+    A failed query is not swallowed: the others are stopped, its error line
+    is written and the exception is raised. On return the queries are
+    stopped and the last lines flushed; restarting resumes from the
+    checkpoints."""
+    from strata.streaming.compaction import compact_live_gold
+
+    start = last_flush = last_compact = time.monotonic()
+    live = any(q.name == "gold_live" for q in queries)
+    failure = None
+    try:
+        while True:
+            failed = next((q for q in queries if not q.isActive and q.exception() is not None), None)
+            if failed is not None:
+                failure = failed.exception()
+                raise failure
+            now = time.monotonic()
+            if now - last_flush >= flush_every:
+                listener.flush(spark, paths.metrics)
+                last_flush = now
+            if live and compact_every is not None and now - last_compact >= compact_every:
+                compact_live_gold(spark, paths.gold_live, paths.gold_live_snapshot)
+                last_compact = time.monotonic()
+            if any(not q.isActive for q in queries) or (run_for is not None and now - start >= run_for):
+                return
+            time.sleep(poll)
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        if failure is not None:
+            # the listener records the failure asynchronously; wait briefly
+            deadline = time.monotonic() + 10
+            while time.monotonic() < deadline and not any(r[4] for r in listener.rows):
+                time.sleep(0.1)
+        listener.flush(spark, paths.metrics)

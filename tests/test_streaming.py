@@ -294,3 +294,59 @@ def test_silver_quarantine_filter_reaches_the_scan(spark, rules):
     got = spark.read.parquet(paths.quarantine("silver"))
     expected = quarantine_rows(silver, rules)
     assert _same(got.select(*expected.columns), expected)
+
+
+def test_supervise_flushes_compacts_and_stops(spark, rules):
+    from strata.streaming.compaction import read_live_current
+    from strata.streaming.layers import start_layers, supervise_layers
+
+    paths = LayerPaths(scratch_path(spark, "test-supervise"))
+    raw = f"{paths.root}/raw"
+    rows = _rows(spark)
+    write_raw_files(rows, raw, 2)
+    queries, listener = start_layers(
+        spark, read_raw_stream(spark, path=raw), paths, rules, trigger={"processingTime": "1 second"},
+        gold_modes=("final", "live"), state_partitions=2,
+    )
+    try:
+        for q in queries:  # upstream first
+            q.processAllAvailable()
+        supervise_layers(spark, queries, listener, paths, flush_every=0.5, compact_every=0.5, run_for=3, poll=0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert not any(q.isActive for q in queries)
+    assert read_layer(spark, paths.gold_live_snapshot, GOLD_LIVE).count() > 0  # compacted
+    batch = gold_hourly(silver_flatten(rows), created_at=False)
+    assert _same(read_live_current(spark, paths.gold_live, paths.gold_live_snapshot).select(*batch.columns), batch)
+    layers = {r.layer for r in read_metrics(spark, paths.metrics).select("layer").distinct().collect()}
+    assert {"bronze", "silver"} <= layers
+
+
+def test_supervise_reraises_a_failed_query(spark):
+    from strata.streaming.layers import supervise_layers
+    from strata.streaming.metrics_sink import MetricsListener
+
+    paths = LayerPaths(scratch_path(spark, "test-supervise-fail"))
+
+    def boom(batch, batch_id):
+        if batch_id >= 1:
+            raise ValueError("bad batch")
+
+    def rate(name, fn):
+        return (
+            spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+            .writeStream.queryName(name).foreachBatch(fn)
+            .option("checkpointLocation", paths.checkpoint(name)).trigger(processingTime="200 milliseconds").start()
+        )
+
+    listener = MetricsListener({"failing": ("failing", None), "steady": ("steady", None)})
+    spark.streams.addListener(listener)
+    queries = [rate("failing", boom), rate("steady", lambda b, i: None)]
+    try:
+        with pytest.raises(Exception, match="bad batch"):
+            supervise_layers(spark, queries, listener, paths, flush_every=60, compact_every=None, run_for=60, poll=0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert not any(q.isActive for q in queries)  # the steady query was stopped too
+    errors = read_metrics(spark, paths.metrics).filter("coalesce(error, '') <> ''").collect()
+    assert [r.layer for r in errors] == ["failing"] and "bad batch" in errors[0].error
