@@ -272,9 +272,19 @@ def gold_final_stream(
     max_file_age: str | None = None,
     state_partitions: int | None = None,
     rocksdb: bool = False,
+    output_files: int | None = None,
 ) -> StreamingQuery:
-    """Append-mode Gold: one row per key, written once its window closes."""
+    """Append-mode Gold: one row per key, written once its window closes.
+
+    Without ``output_files`` every state partition writes its own file into
+    each ``date_hour`` an emission touches; with hundreds of state
+    partitions that is hundreds of small files per closed hour. With it, the
+    emitted rows alone (not the input) are round-robined over that many
+    tasks before the sink, so each emission writes at most ``output_files``
+    files per date."""
     gold = _gold_input(spark, paths, watermark, max_files, max_file_age, "gold")
+    if output_files:
+        gold = gold.repartition(output_files)
     return _start_stateful(
         spark,
         state_partitions,
@@ -283,8 +293,10 @@ def gold_final_stream(
     )
 
 
-def _live_writer(path: str):
+def _live_writer(path: str, output_files: int | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
+        if output_files:
+            batch = batch.repartition(output_files)
         (
             batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
@@ -305,14 +317,16 @@ def gold_live_stream(
     max_file_age: str | None = None,
     state_partitions: int | None = None,
     rocksdb: bool = False,
+    output_files: int | None = None,
 ) -> StreamingQuery:
-    """Update-mode Gold: changed keys' cumulative rows, tagged by batch."""
+    """Update-mode Gold: changed keys' cumulative rows, tagged by batch
+    (``output_files`` as in :func:`gold_final_stream`)."""
     gold = _gold_input(spark, paths, watermark, max_files, max_file_age, "gold_live")
     writer = (
         gold.writeStream.outputMode("update")
         .option("checkpointLocation", paths.checkpoint("gold_live"))
         .queryName("gold_live")
-        .foreachBatch(_live_writer(paths.gold_live))
+        .foreachBatch(_live_writer(paths.gold_live, output_files))
     )
     # Update mode emits nothing in a batch without input (it would only
     # evict expired state, which the next data batch does as well).
@@ -374,6 +388,7 @@ def run_layers(
     rocksdb: bool = False,
     drop_bad: bool = False,
     duplicate_metrics: bool = False,
+    output_files: int | None = None,
 ) -> None:
     """Run every layer once over all available input (``availableNow``),
     layer after layer, and write their metric lines. Re-running with the
@@ -395,7 +410,7 @@ def run_layers(
     gold_queries = []
     if not drop_bad:
         gold_queries.append(("silver_quarantine", silver_quarantine_stream(spark, paths, rules, max_files=max_files), None))
-    kw = dict(max_files=max_files, state_partitions=state_partitions, rocksdb=rocksdb)
+    kw = dict(max_files=max_files, state_partitions=state_partitions, rocksdb=rocksdb, output_files=output_files)
     if "final" in gold_modes:
         gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, **kw), "gold"))
     if "live" in gold_modes:
@@ -417,6 +432,7 @@ def start_layers(
     state_partitions: int | None = None,
     rocksdb: bool = False,
     drop_bad: bool = False,
+    output_files: int | None = None,
 ) -> tuple[list[StreamingQuery], MetricsListener]:
     """Start all layers as long-running queries (default trigger: every
     5 minutes) and a listener that buffers their metric lines; call
@@ -440,6 +456,7 @@ def start_layers(
         max_file_age=max_file_age,
         state_partitions=state_partitions,
         rocksdb=rocksdb,
+        output_files=output_files,
     )
     if "final" in gold_modes:
         queries.append(gold_final_stream(spark, paths, watermark, **kw))

@@ -350,3 +350,22 @@ def test_supervise_reraises_a_failed_query(spark):
     assert not any(q.isActive for q in queries)  # the steady query was stopped too
     errors = read_metrics(spark, paths.metrics).filter("coalesce(error, '') <> ''").collect()
     assert [r.layer for r in errors] == ["failing"] and "bad batch" in errors[0].error
+
+
+def test_gold_output_files_bound_files_per_emission(spark, rules):
+    paths = LayerPaths(scratch_path(spark, "test-outfiles"))
+    raw = f"{paths.root}/raw"
+    rows = _rows(spark)
+    write_raw_files(rows, raw, 1)
+    run_layers(
+        spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=("final", "live"),
+        state_partitions=4, output_files=1,
+    )
+    final = read_layer(spark, paths.gold, GOLD)
+    per_date = final.groupBy("date_hour").agg(F.count_distinct("_metadata.file_path").alias("files")).collect()
+    assert per_date and max(r.files for r in per_date) == 1  # one emission, one file per date
+    live = read_layer(spark, paths.gold_live, GOLD_LIVE)
+    per_batch = live.groupBy("batch_id").agg(F.count_distinct("_metadata.file_path").alias("files")).collect()
+    assert max(r.files for r in per_batch) == 1
+    batch = gold_hourly(silver_flatten(rows), created_at=False)
+    assert _same(gold_latest(live).select(*batch.columns), batch)
