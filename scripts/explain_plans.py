@@ -19,7 +19,7 @@ HEADLINE = {
     "quality_report": "one pass, count_if per rule, single-row final",
     "quarantine_rows": "rule filter evaluated in the scan stage, explode without shuffle",
     "duplicate_count": "ids de-duplicated per map task before the shuffle",
-    "metrics_timeline": "pivot with fixed values (no distinct job)",
+    "metrics_timeline": "fixed-value pivot as one conditional aggregate: one aggregation shuffle, then the sort",
     "recent_errors": "TakeOrderedAndProject (top-k), no full sort",
     "gold_backfill": "date_hour partition column read from the folder layout",
 }

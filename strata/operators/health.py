@@ -29,18 +29,19 @@ def metrics_summary(metrics: DataFrame) -> DataFrame:
 def metrics_timeline(metrics: DataFrame, layers: Sequence[str] = LAYERS) -> DataFrame:
     """Rows processed per metric timestamp, one column per layer (0 where a
     layer wrote nothing). Lines without a timestamp (NULL or 0) or without a
-    layer are left out. The layer list is fixed, so the pivot needs no extra
-    job to discover values."""
+    layer are left out.
+
+    The layer list is fixed, so the pivot is written as one conditional
+    aggregation per timestamp: one partial + final aggregate and one shuffle,
+    where ``groupBy().pivot()`` would aggregate by (timestamp, layer) first
+    and shuffle twice."""
     timed = metrics.filter(F.col("ts").isNotNull() & (F.col("ts") != 0) & F.col("layer").isNotNull())
-    pivoted = (
-        timed.groupBy(F.timestamp_seconds("ts").cast("timestamp_ntz").alias("timestamp"))
-        .pivot("layer", list(layers))
-        .agg(F.sum("row_count"))
-    )
-    filled = pivoted.select(
-        "timestamp", *[F.coalesce(F.col(layer), F.lit(0)).cast("long").alias(layer) for layer in layers]
-    )
-    return filled.orderBy("timestamp")
+    per_layer = [
+        F.coalesce(F.sum(F.when(F.col("layer") == F.lit(layer), F.col("row_count"))), F.lit(0)).cast("long").alias(layer)
+        for layer in layers
+    ]
+    pivoted = timed.groupBy(F.timestamp_seconds("ts").cast("timestamp_ntz").alias("timestamp")).agg(*per_layer)
+    return pivoted.orderBy("timestamp")
 
 
 def recent_errors(metrics: DataFrame, n: int = 10) -> DataFrame:
