@@ -9,6 +9,7 @@ checkpoint folder) and read back what the sinks committed.
 
 from __future__ import annotations
 
+import os
 import threading
 from collections.abc import Callable
 
@@ -34,7 +35,7 @@ from strata.session import default_parallelism, scratch_path, session_key, use_u
 from strata.sources.events import event_rows, events_to_json
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
 from strata.sources.raw import land_in_time_order, read_raw_stream
-from strata.sources.tables import read_gold, read_gold_live, read_layer, read_table
+from strata.sources.tables import read_gold, read_gold_live, read_layer, read_quarantine, read_table
 from strata.streaming.compaction import compact_live_gold
 from strata.streaming.layers import LayerPaths, run_layers
 
@@ -160,35 +161,6 @@ def q_recent_errors(spark, sf_dir):
     return recent_errors(metrics_log(spark, sf_dir), 10)
 
 
-# ---------------------------------------------------------------- quarantine tables
-
-_quarantine_roots: dict[tuple, str] = {}
-
-
-def quarantine_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Bronze and Silver quarantine tables written by batch jobs over the
-    whole ``events`` table (once per session and folder), read back."""
-    key = (session_key(spark), sf_dir)
-    rules = load_rules()
-    with _lock:
-        root = _quarantine_roots.get(key)
-        if root is None:
-            root = scratch_path(spark, "quarantine")
-            bronze = with_flat_metrics(bronze_rows(spark, sf_dir))
-            quarantine_rows(bronze, rules).write.parquet(f"{root}/bronze")
-            quarantine_rows(silver_rows(spark, sf_dir), rules).write.parquet(f"{root}/silver")
-            _quarantine_roots[key] = root
-    return {layer: spark.read.parquet(f"{root}/{layer}") for layer in ("bronze", "silver")}
-
-
-def q_quarantine_total(spark, sf_dir):
-    return quarantine_total(quarantine_tables(spark, sf_dir))
-
-
-def q_quarantine_files(spark, sf_dir):
-    return quarantine_files(quarantine_tables(spark, sf_dir))
-
-
 # ---------------------------------------------------------------- streaming queries
 
 _stream_roots: dict[tuple, LayerPaths] = {}
@@ -235,6 +207,21 @@ def q_silver_stream(spark, sf_dir):
     return read_layer(spark, streamed_layers(spark, sf_dir).silver, SILVER)
 
 
+def streamed_quarantine(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The Bronze and Silver quarantine tables the stream chain wrote (each
+    read through its file-sink log)."""
+    paths = streamed_layers(spark, sf_dir)
+    return read_quarantine(spark, os.path.join(paths.root, "quarantine"))
+
+
+def q_quarantine_total(spark, sf_dir):
+    return quarantine_total(streamed_quarantine(spark, sf_dir))
+
+
+def q_quarantine_files(spark, sf_dir):
+    return quarantine_files(streamed_quarantine(spark, sf_dir))
+
+
 def q_gold_hourly_live(spark, sf_dir):
     paths = streamed_layers(spark, sf_dir)
     return rounded_gold(read_gold_live(spark, paths.gold_live, paths.gold_live_snapshot))
