@@ -36,6 +36,16 @@ KPI_SQL = {
         FROM gold
         GROUP BY event_type
         ORDER BY total_events DESC, event_type""",
+    "kpis_by_event_type_weighted": """
+        SELECT event_type,
+               sum(event_count) AS total_events,
+               round(sum(avg_distance * event_count) / sum(event_count), 2) AS avg_distance,
+               round(sum(avg_temperature * event_count) / sum(event_count), 2) AS avg_temperature,
+               round(sum(avg_amount * event_count) / sum(event_count), 2) AS avg_amount,
+               round(sum(avg_duration * event_count) / sum(event_count), 2) AS avg_duration
+        FROM gold
+        GROUP BY event_type
+        ORDER BY total_events DESC, event_type""",
     "hourly_volume": "SELECT hour, sum(event_count) AS events FROM gold GROUP BY hour ORDER BY hour",
     "quarantine_total": "SELECT count(*) AS rows FROM quarantine",
 }

@@ -1,4 +1,10 @@
-from strata.operators.kpi import hourly_volume, kpis_by_event_type, kpis_by_event_type_full, total_events
+from strata.operators.kpi import (
+    hourly_volume,
+    kpis_by_event_type,
+    kpis_by_event_type_full,
+    kpis_by_event_type_weighted,
+    total_events,
+)
 from strata.plans.backfill import backfill_layers
 from strata.plans.sql import KPI_SQL, register_views
 from strata.session import scratch_path
@@ -19,6 +25,7 @@ def test_sql_kpis_equal_dataframe_kpis(spark, rules):
         "total_events": total_events(gold),
         "kpis_by_event_type": kpis_by_event_type(gold),
         "kpis_by_event_type_full": kpis_by_event_type_full(gold),
+        "kpis_by_event_type_weighted": kpis_by_event_type_weighted(gold),
         "hourly_volume": hourly_volume(gold),
     }
     for name, df in pairs.items():
