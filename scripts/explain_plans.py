@@ -25,6 +25,45 @@ HEADLINE = {
 }
 
 
+STREAMS = {
+    "gold_final_stream": "partial aggregate before the state-store shuffle; the Silver scan reads only the columns Gold uses",
+    "silver_quarantine_stream": "the rule OR pushed into the Silver file scan (row groups inside every range are skipped)",
+}
+
+
+def stream_plans(spark, sf_dir: str) -> list[str]:
+    """Micro-batch plans of two streaming queries, run with ``availableNow``
+    over a Silver table back-filled from the same events."""
+    from strata.functions.rules import load_rules
+    from strata.plans.backfill import backfill_layers
+    from strata.plans.catalog import bronze_rows
+    from strata.session import scratch_path
+    from strata.sources.events import events_to_json
+    from strata.streaming.layers import LayerPaths, gold_final_stream, silver_quarantine_stream
+
+    rules = load_rules()
+    src = LayerPaths(scratch_path(spark, "plans-src"))
+    backfill_layers(spark, events_to_json(bronze_rows(spark, sf_dir)), src, rules)
+    paths = LayerPaths(scratch_path(spark, "plans"))
+    spark.read.parquet(src.silver).write.parquet(paths.silver)
+    # Only the data batch, so the captured plan is the one that reads Silver
+    # (a closing no-data batch would be the last execution otherwise).
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        started = {
+            "gold_final_stream": gold_final_stream(spark, paths, state_partitions=8),
+            "silver_quarantine_stream": silver_quarantine_stream(spark, paths, rules),
+        }
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    out = []
+    for name, query in started.items():
+        query.awaitTermination()
+        plan = query._jsq.explainInternal(False).strip()
+        out += [f"## {name} (one micro-batch)", "", f"What to look for: {STREAMS[name]}.", "", "```", plan, "```", ""]
+    return out
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("strata-plans", master="local[8]", shuffle_partitions=8)
@@ -53,6 +92,7 @@ def main() -> None:
             if line.startswith(("PushedFilters", "ReadSchema", "PartitionFilters", "Keys", "Functions", "Arguments"))
         ]
         out += [f"## {name}", "", f"What to look for: {why}.", "", "```", tree.strip(), "", *details, "```", ""]
+    out += stream_plans(spark, sf_dir)
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "PLANS.md")
     with open(path, "w") as fh:
         fh.write("\n".join(out))
