@@ -4,15 +4,17 @@ Live Gold gains one ``batch_id`` partition per micro-batch, holding the
 cumulative rows of the keys that batch changed. Left alone, every read of
 the current rows (:func:`strata.operators.gold.gold_latest`) scans all the
 batches ever written. Compaction folds the live batches into a snapshot
-table partitioned by ``date_hour`` that keeps one row per key (with the
-``batch_id`` of its version), then deletes the folded batch partitions.
-
-Each run touches only the dates present in the live batches it folds,
-which, with a watermark, are the last day or two. It reads the snapshot
-partitions of those dates (partition pruning), collapses them with the
-batches (a pre-aggregated ``max_by``), writes the result to a staging
-table, and swaps it in with a dynamic partition overwrite. A run costs
-the size of the touched dates, not the size of the history.
+table partitioned by ``date_hour`` and ``hour`` that keeps one row per key
+(with the ``batch_id`` of its version), then deletes the folded batch
+partitions.
+
+Each run touches only the event hours present in the live batches it
+folds: mostly the last hour or two, and at most the watermark horizon when
+events arrive late. It reads the snapshot partitions of those hours
+(partition pruning), collapses them with the batches (a pre-aggregated
+``max_by``), writes the result to a staging table, and swaps it in with a
+dynamic partition overwrite. A run costs the size of the touched hours,
+not the size of the history.
 
 Current rows are ``gold_latest(snapshot ∪ live)``. That is correct however
 far a run got: a batch that is both folded and still present, or a batch
@@ -33,6 +35,9 @@ from strata.operators.gold import gold_latest
 from strata.schemas import GOLD_LIVE
 from strata.sources.tables import read_layer
 
+# Partition columns of the snapshot table: one folder per event hour.
+SNAPSHOT_PARTITIONS = ("date_hour", "hour")
+
 
 def _hadoop(spark: SparkSession):
     return spark._jvm.org.apache.hadoop.fs.Path
@@ -81,7 +86,7 @@ def _swap_in(spark: SparkSession, staged: str, snapshot_path: str) -> None:
         spark.read.schema(GOLD_LIVE).parquet(staged)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date_hour")
+        .partitionBy(*SNAPSHOT_PARTITIONS)
         .parquet(snapshot_path)
     )
 
@@ -107,10 +112,14 @@ def compact_live_gold(spark: SparkSession, live_path: str, snapshot_path: str, d
         return None
     newest = max(batches)
     tail = read_layer(spark, live_path, GOLD_LIVE).filter(F.col("batch_id") <= F.lit(newest))
-    # The dates the tail touches: a handful (the watermark horizon), so the
-    # snapshot read below is pruned to those partitions.
-    dates = [r.date_hour for r in tail.select("date_hour").distinct().collect()]
-    touched = read_layer(spark, snapshot_path, GOLD_LIVE).filter(F.col("date_hour").isin(dates))
+    # The event hours the tail touches: bounded by the watermark horizon (at
+    # most a day or so of hours), so the snapshot read below is pruned to
+    # those partitions.
+    hours = tail.select(*SNAPSHOT_PARTITIONS).distinct().collect()
+    in_tail = F.lit(False)
+    for r in hours:
+        in_tail = in_tail | ((F.col("date_hour") == F.lit(r.date_hour)) & (F.col("hour") == F.lit(r.hour)))
+    touched = read_layer(spark, snapshot_path, GOLD_LIVE).filter(in_tail)
     staged = f"{_staging_root(snapshot_path)}/upto={newest}"
     merged = gold_latest(touched.unionByName(tail), keep_version=True)
     merged.write.mode("overwrite").parquet(staged)

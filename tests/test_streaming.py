@@ -247,13 +247,23 @@ def test_live_gold_compaction_keeps_current_rows(spark, rules):
     live, snap = paths.gold_live, paths.gold_live_snapshot
     live_batches = lambda: read_layer(spark, live, GOLD_LIVE).select("batch_id").distinct().count()
     local = snap.removeprefix("file:")
-    dated = lambda: {d: sorted(os.listdir(f"{local}/{d}")) for d in os.listdir(local) if d.startswith("date_hour=")}
+    def dated():  # files per (date, hour) partition of the snapshot
+        out = {}
+        for top, _, files in os.walk(local):
+            rel = os.path.relpath(top, local)
+            if rel.count("=") == 2:
+                out[rel] = sorted(f for f in files if f.endswith(".parquet"))
+        return out
+
     assert compact_live_gold(spark, live, snap) is None  # nothing written yet
     folded, before = [], {}
     for i in land_in_time_order(rows, raw, 4):
         run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=("live",), state_partitions=2)
         if i == 2:
-            tail_dates = {f"date_hour={r[0]}" for r in read_layer(spark, live, GOLD_LIVE).select("date_hour").distinct().collect()}
+            tail_dates = {
+                f"date_hour={r[0]}/hour={r[1]}"
+                for r in read_layer(spark, live, GOLD_LIVE).select("date_hour", "hour").distinct().collect()
+            }
             before = dated()
         if i in (1, 2):
             folded.append(compact_live_gold(spark, live, snap))
@@ -261,7 +271,7 @@ def test_live_gold_compaction_keeps_current_rows(spark, rules):
             assert compact_live_gold(spark, live, snap) is None  # nothing new
     assert folded[0] < folded[1]
     after = dated()
-    # dates the second run did not touch keep their files
+    # hours the second run did not touch keep their files
     assert set(before) - tail_dates
     assert all(after[d] == files for d, files in before.items() if d not in tail_dates)
     assert live_batches() >= 1  # the last slice is read from the live batches
