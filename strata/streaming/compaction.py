@@ -73,6 +73,12 @@ def _staging_root(snapshot_path: str) -> str:
     return snapshot_path.rstrip("/") + "_staging"
 
 
+def _hour_number():
+    """Hours since the epoch, from the two partition columns only (so a
+    filter on it is a partition filter)."""
+    return F.unix_date("date_hour").cast("long") * F.lit(24) + F.col("hour")
+
+
 def read_live_current(spark: SparkSession, live_path: str, snapshot_path: str) -> DataFrame:
     """Current Gold rows from the snapshot plus the live batches not yet
     folded, collapsed to the latest row per key."""
@@ -114,12 +120,10 @@ def compact_live_gold(spark: SparkSession, live_path: str, snapshot_path: str, d
     tail = read_layer(spark, live_path, GOLD_LIVE).filter(F.col("batch_id") <= F.lit(newest))
     # The event hours the tail touches: bounded by the watermark horizon (at
     # most a day or so of hours), so the snapshot read below is pruned to
-    # those partitions.
-    hours = tail.select(*SNAPSHOT_PARTITIONS).distinct().collect()
-    in_tail = F.lit(False)
-    for r in hours:
-        in_tail = in_tail | ((F.col("date_hour") == F.lit(r.date_hour)) & (F.col("hour") == F.lit(r.hour)))
-    touched = read_layer(spark, snapshot_path, GOLD_LIVE).filter(in_tail)
+    # those partitions. One flat IN over an hour number (not a chain of ORs,
+    # which grows the expression tree with every hour).
+    hours = [r.h for r in tail.select(_hour_number().alias("h")).distinct().collect()]
+    touched = read_layer(spark, snapshot_path, GOLD_LIVE).filter(_hour_number().isin(hours))
     staged = f"{_staging_root(snapshot_path)}/upto={newest}"
     merged = gold_latest(touched.unionByName(tail), keep_version=True)
     merged.write.mode("overwrite").parquet(staged)
