@@ -14,7 +14,10 @@ events arrive late. It reads the snapshot partitions of those hours
 (partition pruning), collapses them with the batches (a pre-aggregated
 ``max_by``), writes the result to a staging table, and swaps it in with a
 dynamic partition overwrite. A run costs the size of the touched hours,
-not the size of the history.
+not the size of the history. The merged rows are range-split on the Gold
+key, so each writer covers a run of consecutive hours (few files per hour)
+and a hot hour is cut across writers. The first run, with no snapshot yet,
+writes directly (there is nothing to read back or lose).
 
 Current rows are ``gold_latest(snapshot ∪ live)``. That is correct however
 far a run got: a batch that is both folded and still present, or a batch
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.gold import gold_latest
-from strata.schemas import GOLD_LIVE
+from strata.schemas import GOLD_KEYS, GOLD_LIVE
 from strata.sources.tables import read_layer
 
 # Partition columns of the snapshot table: one folder per event hour.
@@ -87,16 +90,20 @@ def read_live_current(spark: SparkSession, live_path: str, snapshot_path: str) -
     return gold_latest(snapshot.unionByName(live))
 
 
-def _swap_in(spark: SparkSession, staged: str, snapshot_path: str) -> None:
+def _write_snapshot(rows: DataFrame, snapshot_path: str) -> None:
+    """Replace the snapshot partitions present in ``rows``."""
     (
-        spark.read.schema(GOLD_LIVE).parquet(staged)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*SNAPSHOT_PARTITIONS)
         .parquet(snapshot_path)
     )
 
 
+def _swap_in(spark: SparkSession, staged: str, snapshot_path: str) -> None:
+    _write_snapshot(spark.read.schema(GOLD_LIVE).parquet(staged), snapshot_path)
+
+
 def compact_live_gold(spark: SparkSession, live_path: str, snapshot_path: str, drop_folded: bool = True) -> int | None:
     """Fold the live batches visible now into the snapshot; returns the
     newest folded batch id (None when there was nothing to fold).
@@ -118,6 +125,14 @@ def compact_live_gold(spark: SparkSession, live_path: str, snapshot_path: str, d
         return None
     newest = max(batches)
     tail = read_layer(spark, live_path, GOLD_LIVE).filter(F.col("batch_id") <= F.lit(newest))
+    snap_fs, snap_root = _fs(spark, snapshot_path)
+    if not snap_fs.exists(snap_root):
+        # First run: no snapshot rows can be lost, so no staging copy. If
+        # this write dies, the live batches are still there (they are
+        # deleted only after it succeeds) and the next run starts over.
+        _write_snapshot(gold_latest(tail, keep_version=True).repartitionByRange(*GOLD_KEYS), snapshot_path)
+        _drop_batches(spark, batches, newest, drop_folded)
+        return newest
     # The event hours the tail touches: bounded by the watermark horizon (at
     # most a day or so of hours), so the snapshot read below is pruned to
     # those partitions. One flat IN over an hour number (not a chain of ORs,
@@ -126,11 +141,19 @@ def compact_live_gold(spark: SparkSession, live_path: str, snapshot_path: str, d
     touched = read_layer(spark, snapshot_path, GOLD_LIVE).filter(_hour_number().isin(hours))
     staged = f"{_staging_root(snapshot_path)}/upto={newest}"
     merged = gold_latest(touched.unionByName(tail), keep_version=True)
-    merged.write.mode("overwrite").parquet(staged)
+    # Range-split on the full key (unique after max_by): each staged file
+    # covers a run of consecutive hours, so the swap writes about one file
+    # per hour and task boundary instead of one per hour per task, and a hot
+    # hour is still cut across several tasks.
+    merged.repartitionByRange(*GOLD_KEYS).write.mode("overwrite").parquet(staged)
     _swap_in(spark, staged, snapshot_path)
     _delete(spark, staged)
-    if drop_folded:
+    _drop_batches(spark, batches, newest, drop_folded)
+    return newest
+
+
+def _drop_batches(spark: SparkSession, batches: dict[int, str], newest: int, drop: bool) -> None:
+    if drop:
         for b, p in batches.items():
             if b <= newest:
                 _delete(spark, p)
-    return newest
