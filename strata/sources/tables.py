@@ -38,7 +38,9 @@ def spread_small_scan(df: DataFrame, min_splits: int | None = None, max_splits:
     larger table keeps its plain scan and no shuffle is added. The
     round-robin exchange sorts each input partition first, so a retried
     task re-sends the same rows to the same partitions. Counting splits
-    plans the scan (file listing) but runs no job.
+    plans the scan (file listing) but runs no job. Pass a scan (optionally
+    with filters and projections), not a plan with a shuffle: there,
+    building the RDD to count partitions would run the shuffle stages.
     """
     from strata.session import default_parallelism
 
