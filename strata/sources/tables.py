@@ -84,6 +84,22 @@ def read_gold(spark: SparkSession, path: str, start_date: str | None = None, end
     return gold
 
 
+def read_gold_periods(
+    spark: SparkSession, root, periods, start_date: str | None = None, end_date: str | None = None
+) -> DataFrame:
+    """Final Gold across period folders (``root.period(p)`` for each of
+    ``periods``). Each period is read through its own sink log, so a
+    replayed batch stays invisible; a glob over the folders would bypass
+    the logs. Date bounds prune partitions in every period."""
+    from strata.schemas import GOLD
+
+    out = None
+    for p in periods:
+        gold = read_gold(spark, root.period(p).gold, start_date, end_date)
+        out = gold if out is None else out.unionByName(gold)
+    return out if out is not None else spark.createDataFrame([], GOLD)
+
+
 def read_gold_live(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
     """Current Gold rows from the live (update-mode) table; with the
     ``snapshot`` table of :mod:`strata.streaming.compaction`, from the

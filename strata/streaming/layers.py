@@ -79,6 +79,12 @@ class LayerPaths:
     def checkpoint(self, name: str) -> str:
         return self._p("checkpoints", name)
 
+    def period(self, name: str) -> LayerPaths:
+        """The same layout under ``<root>/period=<name>``. Starting each
+        period (e.g. a month) in its own folder keeps every file-sink log
+        and checkpoint bounded by that period's batches."""
+        return LayerPaths(self._p(f"period={name}"))
+
 
 def _trigger(writer: DataStreamWriter, trigger: dict | None) -> DataStreamWriter:
     return writer.trigger(**(trigger or {"availableNow": True}))

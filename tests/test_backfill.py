@@ -46,3 +46,20 @@ def test_backfill_drop_bad(spark, rules):
     silver = read_layer(spark, paths.silver, SILVER)
     assert silver.filter((F.col("distance") > 10000) | (F.col("duration") > 86400)).count() == 0
     assert 0 < silver.count() < rows.count()
+
+
+def test_gold_across_period_folders(spark, rules):
+    from strata.sources.tables import read_gold_periods
+
+    root = LayerPaths(scratch_path(spark, "test-periods"))
+    rows = event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    first = rows.filter(F.col("timestamp") < "2024-01-15")
+    second = rows.filter(F.col("timestamp") >= "2024-01-15")
+    backfill_layers(spark, events_to_json(first), root.period("2024-01a"), rules)
+    backfill_layers(spark, events_to_json(second), root.period("2024-01b"), rules)
+    both = read_gold_periods(spark, root, ["2024-01a", "2024-01b"]).drop("created_at")
+    expected = gold_hourly(silver_flatten(rows), created_at=False)
+    assert both.exceptAll(expected.select(*both.columns)).count() == 0
+    assert expected.select(*both.columns).exceptAll(both).count() == 0
+    bounded = read_gold_periods(spark, root, ["2024-01a", "2024-01b"], "2024-01-10", "2024-01-20")
+    assert "PartitionFilters: [isnotnull(date_hour" in bounded._jdf.queryExecution().executedPlan().toString()
