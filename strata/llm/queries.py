@@ -7,14 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import language, line_dedup, mixing, packing, simhash
+from strata.llm import (
+    embedding_dedup, language, line_dedup, mixing, packing, simhash, substring_dedup, syncmers, toxicity, url_filters,
+)
 from strata.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filters.evaluate(url_filters.captures_of(pages), url_filters.entries_of(pages))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_digest(table(spark, sf_dir, "documents")).drop("keep")
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -24,6 +40,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", substring_dedup.digest(F.col("kept").cast("binary")).alias("kept_sha256"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -32,16 +53,26 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_url_filters": op2_url_filters,
     "op3_line_dedup": op3_line_dedup,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_simhash": op5_simhash,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
+    "op10_syncmer_fingerprints": op10_syncmer_fingerprints,
 }
 
 #: DuckDB SQL where it can express the query's rows.
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_filters": url_filters.SQL,
     "op3_line_dedup": line_dedup.SQL,
     "op9_source_mixing": mixing.SQL,
 }

@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from strata.llm import substring_dedup as sd
+
+from .helpers import SF_TINY, docs_of, edge_rows, words_of
+
+
+def brute(texts, length=35):
+    count = Counter()
+    for t in texts:
+        w = words_of(t)
+        count.update(tuple(w[i : i + length]) for i in range(len(w) - length + 1))
+    out = []
+    for t in texts:
+        w = words_of(t)
+        gone = [False] * len(w)
+        for i in range(len(w) - length + 1):
+            if count[tuple(w[i : i + length])] > 1:
+                gone[i : i + length] = [True] * length
+        out.append((len(w), sum(gone), " ".join(x for x, g in zip(w, gone, strict=True) if not g)))
+    return out
+
+
+def check(spark, rows, docs=None, **options):
+    docs = docs or docs_of(spark, rows)
+    found = sd.remove_repeats(docs, **options)
+    got = sorted(map(tuple, found.select("doc_id", "n_words", "n_removed", sd.digest(found["kept"].cast("binary"))).collect()), key=str)
+    want = [(i, n, r, hashlib.sha256(k.encode()).hexdigest()) for (i, *_), (n, r, k) in zip(rows, brute([r[1] for r in rows], options.get("length", 35)), strict=True)]
+    assert got == sorted(want, key=str)
+    return found
+
+
+def test_matches_brute_force_on_the_smallest_table(spark):
+    docs = spark.read.parquet(f"{SF_TINY}/documents.parquet")
+    check(spark, [(r["doc_id"], r["text"]) for r in docs.collect()], docs)
+
+
+def test_edge_rows(spark):
+    check(spark, edge_rows())
+
+
+@pytest.mark.parametrize("batch", [3, 10000])
+def test_planted_passages(spark, batch):
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
+    shared = [words(n) for n in (34, 35, 36, 60, 200)]
+    rows = []
+    for i in range(60):
+        text = words(rng.randrange(0, 80))
+        for _ in range(rng.randrange(0, 4)):
+            p = rng.choice(shared)
+            cut = rng.randrange(0, 5)
+            text += p[cut:] if rng.random() < 0.5 else p
+            text += words(rng.randrange(0, 9))
+        rows.append((i, " ".join(text), "en", "s"))
+    rows += [(100, "again " * 90, "en", "s"), (101, "a b c " * 40, "en", "s"), (102, " ".join(shared[4] * 2), "en", "s")]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        found = check(spark, rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spans = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in found.collect()}
+    assert spans[100] == [(0, 90)]
+
+
+def test_short_window_and_anchor(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(0, 60))), "en", "s") for i in range(20)]
+    check(spark, rows, length=8, k=3)
+
+
+def test_gram_hashes_tell_runs_apart():
+    words = [b"x%d" % (i % 7) for i in range(100)]
+    h = sd.word_hashes(words)
+    for n in (1, 2, 3, 12, 35, 100):
+        g = sd.gram_hashes(h[0], n, 0)
+        runs = [tuple(words[i : i + n]) for i in range(100 - n + 1)]
+        assert len(g) == len(runs)
+        assert len(set(g.tolist())) == len(set(runs))
+        assert all((g[i] == g[0]) == (runs[i] == runs[0]) for i in range(len(runs)))
+
+
+def test_anchor_is_the_first_smallest():
+    v = np.array([5, 3, 3, 9, 1, 1, 7, 2], np.uint64)
+    assert sd.anchors(v, 3).tolist() == [min(range(i, i + 3), key=lambda j: (v[j], j)) for i in range(6)]
