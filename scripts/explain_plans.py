@@ -73,13 +73,6 @@ def main() -> None:
         "",
         f"Generated by `scripts/explain_plans.py` on `{sf_dir}`.",
         "",
-        "The `Exchange` directly above the `events` scan is `RoundRobinPartitioning`, from",
-        "`strata.sources.tables.spread_small_scan`. Each test table is one Parquet row group, so the scan is",
-        "a single task. That exchange spreads the CPU-bound mapping and JSON work over the cores. It is added",
-        "only when a scan has fewer splits than the session's parallelism and at most 32 splits, so a large",
-        "table's plan has no such exchange; filters and column pruning still reach the scan (see",
-        "`PushedFilters` / `ReadSchema`).",
-        "",
     ]
     for name, why in HEADLINE.items():
         df = QUERIES[name](spark, sf_dir)

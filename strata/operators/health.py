@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The layer names a metric line can carry.
+# The layers with a column of their own in the timeline; the rest is ``other``.
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -27,11 +28,11 @@ def metrics_summary(metrics: DataFrame) -> DataFrame:
 
 
 def metrics_timeline(metrics: DataFrame, layers: Sequence[str] = LAYERS) -> DataFrame:
-    """Rows processed per metric timestamp, one column per layer (0 where a
-    layer wrote nothing). Lines without a timestamp (NULL or 0) or without a
-    layer are left out.
+    """Rows processed per metric timestamp, one column for each of ``layers``
+    (0 where a layer wrote nothing) and ``other`` for all layers not named.
+    Lines without a timestamp (NULL or 0) or without a layer are left out.
 
-    The layer list is fixed, so the pivot is written as one conditional
+    The caller names the layers, so the pivot is written as one conditional
     aggregation per timestamp: one partial + final aggregate and one shuffle,
     where ``groupBy().pivot()`` would aggregate by (timestamp, layer) first
     and shuffle twice."""
@@ -40,6 +41,8 @@ def metrics_timeline(metrics: DataFrame, layers: Sequence[str] = LAYERS) -> Data
         F.coalesce(F.sum(F.when(F.col("layer") == F.lit(layer), F.col("row_count"))), F.lit(0)).cast("long").alias(layer)
         for layer in layers
     ]
+    named = F.col("layer").isin(*layers) if layers else F.lit(False)
+    per_layer.append(F.coalesce(F.sum(F.when(~named, F.col("row_count"))), F.lit(0)).cast("long").alias("other"))
     pivoted = timed.groupBy(F.timestamp_seconds("ts").cast("timestamp_ntz").alias("timestamp")).agg(*per_layer)
     return pivoted.orderBy("timestamp")
 
@@ -55,27 +58,34 @@ def recent_errors(metrics: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def _with_all(parts: list[DataFrame], column: str) -> DataFrame:
+    """One-row counts per layer, and their sum as ``all``."""
+    counts = parts[0]
+    for part in parts[1:]:
+        counts = counts.unionByName(part)
+    return counts.unionByName(counts.agg(F.lit("all").alias("layer"), F.sum(column).alias(column)))
+
+
 def quarantine_total(layers: Mapping[str, DataFrame]) -> DataFrame:
-    """Quarantined rows per layer plus an ``all`` row. A record quarantined at
-    two layers counts once in each."""
+    """Quarantined rows per layer (0 where there are none) plus an ``all``
+    row. A record quarantined at two layers counts once in each. Each layer is
+    counted on its own, so Parquet footers can answer."""
     if not layers:
-        raise ValueError("no quarantine tables given")
-    tagged = None
-    for name, df in layers.items():
-        part = df.select(F.lit(name).alias("layer"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    counts = tagged.rollup("layer").agg(F.count(F.lit(1)).alias("rows"))
-    return counts.select(F.coalesce(F.col("layer"), F.lit("all")).alias("layer"), "rows")
+        raise ValueError("no layers given")
+    parts = [df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("rows")) for name, df in layers.items()]
+    return _with_all(parts, "rows")
 
 
 def quarantine_files(layers: Mapping[str, DataFrame]) -> DataFrame:
     """Number of non-empty quarantine files per layer plus an ``all`` row.
-    Each input must be a file scan (it reads ``_metadata.file_path``)."""
+    Each input must be a file scan (it reads ``_metadata.file_path``) or empty."""
     if not layers:
-        raise ValueError("no quarantine tables given")
-    tagged = None
+        raise ValueError("no layers given")
+    parts = []
     for name, df in layers.items():
-        part = df.select(F.lit(name).alias("layer"), F.col("_metadata.file_path").alias("file"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    counts = tagged.rollup("layer").agg(F.count_distinct("file").alias("files"))
-    return counts.select(F.coalesce(F.col("layer"), F.lit("all")).alias("layer"), "files")
+        try:
+            files = df.select(F.col("_metadata.file_path").alias("file"))
+        except AnalysisException:  # not a file scan: a layer with no folder yet
+            files = df.select(F.lit(None).cast("string").alias("file"))
+        parts.append(files.agg(F.lit(name).alias("layer"), F.count_distinct("file").alias("files")))
+    return _with_all(parts, "files")

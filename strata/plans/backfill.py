@@ -4,20 +4,67 @@ The same DataFrame functions as the streams, as batch jobs. Each layer is
 written to its folder and the next layer reads the written table, so every
 step starts from files in shared storage: lineage stays short and a lost
 executor only re-runs tasks of the current step.
+
+A back-fill has its own folders: it refuses a layout that a stream writes,
+because a file sink's log would go on listing the files that the back-fill
+replaced. Every layer is partitioned by event date, and a run replaces the
+dates it is given in every layer and no others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.functions.timefmt import event_time
 from strata.operators.bronze import bronze_parse, with_flat_metrics
 from strata.operators.gold import gold_hourly
 from strata.operators.quality import drop_bad_rows, quarantine_rows
 from strata.operators.silver import SILVER_FILL, silver_flatten
-from strata.schemas import BRONZE, BRONZE_FIELDS, SILVER
+from strata.schemas import BRONZE, BRONZE_FIELDS, SILVER, SILVER_FIELDS
 from strata.sources.tables import read_layer
+from strata.streaming.folders import delete, hadoop_path
 from strata.streaming.layers import LayerPaths
 
+DATE = "event_date"
+#: Name of the partition that Spark gives to rows without a date.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _refuse_streamed(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        fs, log = hadoop_path(spark, f"{folder}/_spark_metadata")
+        if fs.exists(log):
+            raise ValueError(f"{folder} is written by a stream (it has a sink log); back-fill into folders of its own")
+
+
+def _event_date() -> Column:
+    return F.to_date(event_time("timestamp"))
+
+
+def _replace(df: DataFrame, path: str, by: str, start: str | None, end: str | None) -> None:
+    """Write ``df`` over the partitions of the dates from ``start`` to ``end``
+    (all of the table without them). The range's old partitions are deleted
+    first, so dates that no longer have rows go too; a run that dies in
+    between is repeated."""
+    ranged = start is not None or end is not None
+    if ranged:
+        for day, folder in _dates(df.sparkSession, path, by).items():
+            if day != NO_DATE and (start or day) <= day <= (end or day):
+                delete(df.sparkSession, folder)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if ranged else "static")
+    writer.partitionBy(by).parquet(path)
+
+
+def _dates(spark: SparkSession, path: str, by: str) -> dict[str, str]:
+    fs, root = hadoop_path(spark, path)
+    if not fs.exists(root):
+        return {}
+    folders = [status.getPath() for status in fs.listStatus(root) if status.isDirectory()]
+    return {f.getName().split("=", 1)[1]: f.toString() for f in folders if f.getName().startswith(f"{by}=")}
+
 
 def backfill_layers(
     spark: SparkSession,
@@ -27,34 +74,53 @@ def backfill_layers(
     *,
     drop_bad: bool = False,
     fill: dict | None = SILVER_FILL,
-    mode: str = "overwrite",
+    start_date: str | None = None,
+    end_date: str | None = None,
 ) -> None:
     """raw JSON ``value`` rows -> Bronze -> Silver -> Gold (+ quarantine).
 
-    Gold is partitioned by ``date_hour`` so date-bounded KPI reads prune
-    partitions; with ``mode="overwrite"`` and dynamic partition overwrite a
-    re-run of a date range replaces only those dates.
+    Without dates the tables are rebuilt whole. With ``start_date`` and/or
+    ``end_date`` (ISO, inclusive, event dates) only rows of these dates are
+    taken from ``raw`` and only these dates are replaced, in every layer; rows
+    whose time does not parse have no date and belong to whole rebuilds alone.
     """
+    for day in (start_date, end_date):
+        if day is not None:
+            dt.date.fromisoformat(day)
+    outputs = [paths.bronze, paths.bronze_all, paths.silver, paths.gold, paths.quarantine("bronze"), paths.quarantine("silver")]
+    _refuse_streamed(spark, outputs)
+
+    def in_range(df: DataFrame, day: Column) -> DataFrame:
+        if start_date is not None:
+            df = df.filter(day >= F.lit(start_date).cast("date"))
+        if end_date is not None:
+            df = df.filter(day <= F.lit(end_date).cast("date"))
+        return df
+
+    def replace(df: DataFrame, path: str, by: str = DATE) -> None:
+        if by == DATE:
+            df = df.withColumn(DATE, _event_date())
+        _replace(df, path, by, start_date, end_date)
+
+    def written(path: str, schema, fields: list[str]) -> DataFrame:
+        """The dates of this run, read back with the layer's own columns."""
+        rows = read_layer(spark, path, schema)
+        return (in_range(rows, F.col(DATE)) if DATE in rows.columns else rows).select(*fields)  # no rows, no partition
+
     # Parse once: write the parsed rows, then derive the quarantine (and,
     # with drop_bad, the kept rows) from the written table, where the rule
     # filter is pushed into the Parquet scan.
-    parsed_path = paths.bronze if not drop_bad else paths._p("_staging", "bronze_all")
-    bronze_parse(raw).write.mode(mode).parquet(parsed_path)
-    flat = with_flat_metrics(read_layer(spark, parsed_path, BRONZE))
-    quarantine_rows(flat, rules).write.mode(mode).parquet(paths.quarantine("bronze"))
+    parsed_path = paths.bronze_all if drop_bad else paths.bronze
+    replace(in_range(bronze_parse(raw), _event_date()), parsed_path)
+    flat = with_flat_metrics(written(parsed_path, BRONZE, BRONZE_FIELDS))
+    replace(quarantine_rows(flat, rules), paths.quarantine("bronze"))
     if drop_bad:
-        drop_bad_rows(flat, rules).select(*BRONZE_FIELDS).write.mode(mode).parquet(paths.bronze)
+        replace(drop_bad_rows(flat, rules).select(*BRONZE_FIELDS), paths.bronze)
 
-    silver = silver_flatten(read_layer(spark, paths.bronze, BRONZE), fill)
-    (drop_bad_rows(silver, rules) if drop_bad else silver).write.mode(mode).parquet(paths.silver)
-    silver_written = read_layer(spark, paths.silver, SILVER)
+    silver = silver_flatten(written(paths.bronze, BRONZE, BRONZE_FIELDS), fill)
+    replace(drop_bad_rows(silver, rules) if drop_bad else silver, paths.silver)
+    silver_written = written(paths.silver, SILVER, SILVER_FIELDS)
     # Bad rows are not in a drop_bad Silver table: check the flattened input.
-    quarantine_rows(silver if drop_bad else silver_written, rules).write.mode(mode).parquet(paths.quarantine("silver"))
-
-    gold = gold_hourly(read_layer(spark, paths.silver, SILVER))
-    (
-        gold.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date_hour")
-        .parquet(paths.gold)
-    )
+    replace(quarantine_rows(silver if drop_bad else silver_written, rules), paths.quarantine("silver"))
+
+    replace(gold_hourly(silver_written), paths.gold, "date_hour")

@@ -30,12 +30,13 @@ from strata.operators.kpi import (
 from strata.operators.quality import duplicate_count, quality_report, quarantine_rows
 from strata.operators.silver import silver_flatten
 from strata.plans.backfill import backfill_layers
-from strata.schemas import BRONZE, EVENTS, GOLD, ID_FIELDS, METRIC_FIELDS, SILVER
+from strata.schemas import BRONZE, EVENTS, ID_FIELDS, METRIC_FIELDS, SILVER
 from strata.session import default_parallelism, scratch_path, session_key, use_utc
 from strata.sources.events import event_rows, events_to_json
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
-from strata.sources.raw import land_in_time_order, read_raw_stream
-from strata.sources.tables import read_gold, read_gold_live, read_layer, read_quarantine, read_table
+from strata.plans.arrivals import land_in_time_order
+from strata.sources.raw import read_raw_stream
+from strata.sources.tables import read_gold, read_gold_current, read_gold_live, read_layer, read_quarantine, read_table
 from strata.streaming.compaction import compact_live_gold
 from strata.streaming.layers import LayerPaths, run_layers
 
@@ -51,7 +52,7 @@ AVG_PLACES = 6
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    return read_table(spark, sf_dir, "events", EVENTS, spread=True)
+    return read_table(spark, sf_dir, "events", EVENTS)
 
 
 def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,23 +100,31 @@ def q_gold_hourly(spark, sf_dir):
 
 
 def q_total_events(spark, sf_dir):
-    return total_events(gold_rows(spark, sf_dir))
+    return total_events(gold_table(spark, sf_dir))
 
 
 def q_kpis_by_event_type(spark, sf_dir):
-    return kpis_by_event_type(gold_rows(spark, sf_dir))
+    return kpis_by_event_type(gold_table(spark, sf_dir))
 
 
 def q_kpis_by_event_type_full(spark, sf_dir):
-    return kpis_by_event_type_full(gold_rows(spark, sf_dir))
+    return kpis_by_event_type_full(gold_table(spark, sf_dir))
 
 
 def q_kpis_by_event_type_weighted(spark, sf_dir):
-    return kpis_by_event_type_weighted(gold_rows(spark, sf_dir))
+    return kpis_by_event_type_weighted(gold_table(spark, sf_dir))
 
 
 def q_hourly_volume(spark, sf_dir):
-    return hourly_volume(gold_rows(spark, sf_dir))
+    return hourly_volume(gold_table(spark, sf_dir))
+
+
+# The dates of the date-bounded KPI query.
+SOME_DATES = ("2024-01-05", "2024-01-11")
+
+
+def q_kpis_by_event_type_dates(spark, sf_dir):
+    return kpis_by_event_type(read_gold(spark, backfilled_layers(spark, sf_dir).gold, *SOME_DATES))
 
 
 def q_quality_report(spark, sf_dir):
@@ -133,14 +142,14 @@ def q_duplicate_count(spark, sf_dir):
 # ---------------------------------------------------------------- metrics log
 
 _metrics_logs: dict[tuple, str] = {}
-_lock = threading.Lock()
+_metrics_lock = threading.Lock()
 
 
 def metrics_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics log derived from ``events``, written once per session and
     table folder as NDJSON in the shared folder, read back leniently."""
     key = (session_key(spark), sf_dir)
-    with _lock:
+    with _metrics_lock:
         path = _metrics_logs.get(key)
         if path is None:
             path = scratch_path(spark, "metrics-log")
@@ -164,36 +173,40 @@ def q_recent_errors(spark, sf_dir):
 # ---------------------------------------------------------------- streaming queries
 
 _stream_roots: dict[tuple, LayerPaths] = {}
+_stream_lock = threading.Lock()
 
 # Event-time slices in which the raw data arrives; the layer jobs resume
-# from their checkpoints after each slice. Live Gold is compacted once, after
-# the slice numbered COMPACT_AFTER, so reads go through a snapshot plus the
-# batches that followed it.
-ARRIVALS = 4
-COMPACT_AFTER = 1
+# from their checkpoints after each slice. Each slice lands as SLICE_FILES
+# files and every query takes at most MAX_FILES of them in a micro-batch. Live
+# Gold is compacted after the first slice, so reads go through a snapshot plus
+# the batches that followed it.
+ARRIVALS = 2
+SLICE_FILES = 4
+MAX_FILES = 2
 
 
 def streamed_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
     """Land ``events`` as raw JSON files in event-time slices and, after each
     slice, resume Bronze -> Silver -> Gold (final and live) with
     ``availableNow``; once per session and folder."""
-    key = (session_key(spark), sf_dir)
-    with _lock:
+    with _stream_lock:
+        key = (session_key(spark), sf_dir)
         paths = _stream_roots.get(key)
         if paths is None:
             paths = LayerPaths(scratch_path(spark, "layers"))
             raw_path = f"{paths.root}/raw"
             rules = load_rules()
-            for i in land_in_time_order(bronze_rows(spark, sf_dir), raw_path, ARRIVALS):
+            for i in land_in_time_order(bronze_rows(spark, sf_dir), raw_path, ARRIVALS, SLICE_FILES):
                 run_layers(
                     spark,
-                    read_raw_stream(spark, path=raw_path),
+                    read_raw_stream(spark, path=raw_path, max_per_trigger=MAX_FILES),
                     paths,
                     rules,
                     gold_modes=("final", "live"),
+                    max_files=MAX_FILES * default_parallelism(spark),
                     state_partitions=default_parallelism(spark),
                 )
-                if i == COMPACT_AFTER:
+                if i == 0:
                     compact_live_gold(spark, paths.gold_live, paths.gold_live_snapshot)
             _stream_roots[key] = paths
     return paths
@@ -228,13 +241,14 @@ def q_gold_hourly_live(spark, sf_dir):
 
 
 _backfill_roots: dict[tuple, LayerPaths] = {}
+_backfill_lock = threading.Lock()
 
 
 def backfilled_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
     """All layers built by the batch back-fill from the whole ``events``
     table (as JSON records), once per session and folder."""
     key = (session_key(spark), sf_dir)
-    with _lock:
+    with _backfill_lock:
         paths = _backfill_roots.get(key)
         if paths is None:
             paths = LayerPaths(scratch_path(spark, "backfill"))
@@ -243,13 +257,54 @@ def backfilled_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
     return paths
 
 
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written Gold table, partitioned by date: what KPI queries read."""
+    return read_gold(spark, backfilled_layers(spark, sf_dir).gold)
+
+
 def q_gold_backfill(spark, sf_dir):
-    return rounded_gold(read_gold(spark, backfilled_layers(spark, sf_dir).gold))
+    return rounded_gold(gold_table(spark, sf_dir))
+
+
+_rerun_roots: dict[tuple, LayerPaths] = {}
+
+
+def q_backfill_rerun_range(spark, sf_dir):
+    """Gold after a whole back-fill and a re-run of some of its dates."""
+    key = (session_key(spark), sf_dir)
+    with _backfill_lock:
+        paths = _rerun_roots.get(key)
+        if paths is None:
+            paths = LayerPaths(scratch_path(spark, "rerun"))
+            raw = events_to_json(bronze_rows(spark, sf_dir))
+            backfill_layers(spark, raw, paths, load_rules())
+            backfill_layers(spark, raw, paths, load_rules(), start_date=SOME_DATES[0], end_date=SOME_DATES[1])
+            _rerun_roots[key] = paths
+    return rounded_gold(read_gold(spark, paths.gold))
+
+
+def q_backfill_after_stream(spark, sf_dir):
+    """Gold of a back-fill from the Bronze rows that a stream wrote, into
+    folders of its own (a back-fill refuses the stream's)."""
+    key = (session_key(spark), sf_dir, "after-stream")
+    streamed = streamed_layers(spark, sf_dir)
+    with _backfill_lock:
+        paths = _rerun_roots.get(key)
+        if paths is None:
+            paths = LayerPaths(scratch_path(spark, "after-stream"))
+            backfill_layers(spark, events_to_json(read_layer(spark, streamed.bronze, BRONZE)), paths, load_rules())
+            _rerun_roots[key] = paths
+    return rounded_gold(read_gold(spark, paths.gold))
 
 
 def q_gold_hourly_final(spark, sf_dir):
-    paths = streamed_layers(spark, sf_dir)
-    return rounded_gold(read_layer(spark, paths.gold, GOLD))
+    return rounded_gold(read_gold_current(spark, streamed_layers(spark, sf_dir)))
+
+
+def q_layer_metrics(spark, sf_dir):
+    """Rows per layer from the metric lines that the streams wrote."""
+    lines = read_metrics(spark, streamed_layers(spark, sf_dir).metrics)
+    return lines.filter(F.col("layer").isin("bronze", "silver")).groupBy("layer").agg(F.sum("row_count").alias("rows"), F.count_if(F.col("error").isNotNull()).alias("errors"))
 
 
 QUERIES: dict[str, Query] = {
@@ -261,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "kpis_by_event_type": q_kpis_by_event_type,
     "kpis_by_event_type_full": q_kpis_by_event_type_full,
     "kpis_by_event_type_weighted": q_kpis_by_event_type_weighted,
+    "kpis_by_event_type_dates": q_kpis_by_event_type_dates,
     "hourly_volume": q_hourly_volume,
     "quality_report": q_quality_report,
     "quarantine_rows": q_quarantine_rows,
@@ -274,7 +330,10 @@ QUERIES: dict[str, Query] = {
     "silver_stream": q_silver_stream,
     "gold_hourly_live": q_gold_hourly_live,
     "gold_hourly_final": q_gold_hourly_final,
+    "layer_metrics": q_layer_metrics,
     "gold_backfill": q_gold_backfill,
+    "backfill_rerun_range": q_backfill_rerun_range,
+    "backfill_after_stream": q_backfill_after_stream,
 }
 
 

@@ -174,6 +174,7 @@ FROM gold GROUP BY event_type ORDER BY total_events DESC, event_type"""
             f"CAST(coalesce(sum(row_count) FILTER (WHERE layer = '{x}'), 0) AS BIGINT) AS {x}"
             for x in ("bronze", "silver", "gold")
         )
+        + ", CAST(coalesce(sum(row_count) FILTER (WHERE layer NOT IN ('bronze', 'silver', 'gold')), 0) AS BIGINT) AS other"
         + " FROM lines WHERE ts IS NOT NULL AND ts <> 0 AND layer IS NOT NULL GROUP BY ts ORDER BY ts",
         "recent_errors": f"WITH {_LINES}\nSELECT ts, layer, batch_id, error FROM lines "
         "WHERE coalesce(error, '') <> '' ORDER BY ts DESC NULLS LAST, batch_id DESC NULLS LAST, "
@@ -186,12 +187,14 @@ FROM gold GROUP BY event_type ORDER BY total_events DESC, event_type"""
     sql["silver_stream"] = sql["silver_flatten"]
     sql["gold_hourly_live"] = gold
     sql["gold_backfill"] = gold
-    # Append mode writes a window once the watermark (max event time seen
-    # minus 25 hours) reaches its end.
-    sql["gold_hourly_final"] = (
-        f"WITH {_ROWS}\nSELECT {_GOLD_COLS}\nFROM gold\n"
-        "WHERE window_start + INTERVAL 1 HOUR <= "
-        "(SELECT max(event_ts) FROM silver) - INTERVAL 25 HOUR"
+    for name in ("gold_hourly_final", "backfill_rerun_range", "backfill_after_stream"):
+        sql[name] = gold
+    sql["kpis_by_event_type_dates"] = sql["kpis_by_event_type"].replace(
+        "FROM gold GROUP BY", "FROM gold WHERE date_hour BETWEEN DATE '2024-01-05' AND DATE '2024-01-11' GROUP BY"
+    )
+    sql["layer_metrics"] = (
+        f"WITH {_ROWS}\nSELECT layer, (SELECT count(*) FROM flat)::BIGINT AS rows, 0::BIGINT AS errors "
+        "FROM (VALUES ('bronze'), ('silver')) AS t(layer)"
     )
     return sql
 

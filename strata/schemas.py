@@ -76,6 +76,9 @@ GOLD = StructType(
 # Live Gold rows carry the micro-batch that produced them.
 GOLD_LIVE = StructType(list(GOLD.fields) + [StructField("batch_id", LongType(), True)])
 
+# Lines of a text file.
+TEXT = StructType([StructField("value", StringType(), True)])
+
 # One line per micro-batch of a layer job.
 METRICS = StructType(
     [
@@ -101,6 +104,14 @@ EVENTS = StructType(
     ]
 )
 
+# Quarantine rows: the layer's row (Bronze with its metrics flat as well) and
+# the rule it broke.
+_RULE = [StructField("rule", StringType(), True)]
+QUARANTINE = {
+    "bronze": StructType(list(BRONZE.fields) + list(METRICS_STRUCT.fields) + _RULE),
+    "silver": StructType(list(SILVER.fields) + _RULE),
+}
+
 # Raw stream records: the JSON text of one event per row.
 RAW = StructType([StructField("value", StringType(), True)])
 

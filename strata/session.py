@@ -56,10 +56,10 @@ def _context(spark: SparkSession):
         return None
 
 
-def session_key(spark: SparkSession) -> int:
+def session_key(spark: SparkSession) -> str:
     """Identity of the application behind a session (for per-run caches)."""
     sc = _context(spark)
-    return id(sc) if sc is not None else id(spark)
+    return sc.applicationId if sc is not None else spark.client.session_id
 
 
 def default_parallelism(spark: SparkSession) -> int:

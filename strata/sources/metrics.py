@@ -6,14 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.schemas import METRICS
+from strata.schemas import METRICS, TEXT
 from strata.sources.tables import read_or_empty
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Read metric lines with a fixed schema. Unparsable or wrongly typed
-    lines are dropped, the rest kept; a missing log reads as empty."""
-    return read_or_empty(spark, path, METRICS, fmt="json", mode="DROPMALFORMED")
+    """Read metric lines with a fixed schema. Lines that are not a JSON object
+    are dropped; a wrongly typed field is NULL and its line stays, whichever
+    columns a query reads. A missing log reads as empty."""
+    lines = read_or_empty(spark, path, TEXT, fmt="text")
+    objects = lines.filter(F.try_parse_json("value").isNotNull() & F.ltrim("value").startswith("{"))
+    return objects.select(F.from_json("value", METRICS).alias("line")).select("line.*")
 
 
 def metrics_lines_from_events(events: DataFrame) -> DataFrame:

@@ -7,14 +7,17 @@ column, so tests and batch back-fills use files.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import RAW
 
 
+# Spark's own default skips files more than 7 days older than the newest one
+# seen; history that was copied with its times kept would be lost silently.
+ANY_AGE = "36500d"
+
+
 def read_raw_stream(
     spark: SparkSession,
     *,
@@ -48,7 +51,7 @@ def read_raw_stream(
         return reader.load().select(F.col("value").cast("string").alias("value"))
     if path is None:
         raise ValueError("read_raw_stream needs a path or kafka_servers + topic")
-    reader = spark.readStream.format(fmt).schema(RAW)
+    reader = spark.readStream.format(fmt).schema(RAW).option("maxFileAge", ANY_AGE)
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
     return reader.load(path).select("value")
@@ -66,38 +69,3 @@ def write_raw_files(rows: DataFrame, path: str, num_files: int) -> None:
 
     ranged = rows.withColumn("_seq", F.monotonically_increasing_id()).repartitionByRange(num_files, "timestamp", "_seq")
     events_to_json(ranged.drop("_seq")).write.mode("append").parquet(path)
-
-
-def land_in_time_order(rows: DataFrame, path: str, n_chunks: int, staging: str | None = None) -> Iterator[int]:
-    """Append Bronze-shaped rows to a raw folder in ``n_chunks`` event-time
-    slices, oldest first, yielding after each slice lands, so a stream
-    resumed between slices sees data arrive in time order (the way a
-    producer would deliver it). Rows without a parseable time go first.
-
-    The input is scanned twice in all: once for the time bounds and once
-    into a staging table partitioned by slice; each slice is then copied
-    with a partition-pruned read. No shuffle: a slice lands as one
-    micro-batch, so its files need no order among themselves.
-    """
-    from strata.functions.timefmt import event_time
-    from strata.sources.events import events_to_json
-
-    t = F.unix_micros(event_time("timestamp"))
-    lo, hi = rows.agg(F.min(t), F.max(t)).first()
-    if lo is None:
-        events_to_json(rows).write.mode("append").parquet(path)
-        yield 0
-        return
-    span = hi - lo + 1
-    chunk = F.coalesce(F.least(F.floor((t - F.lit(lo)) * F.lit(n_chunks) / F.lit(span)), F.lit(n_chunks - 1)), F.lit(0))
-    staging = staging or path.rstrip("/") + "_staging"
-    (
-        events_to_json(rows.withColumn("_chunk", chunk.cast("int")), "_chunk")
-        .write.mode("overwrite")
-        .partitionBy("_chunk")
-        .parquet(staging)
-    )
-    staged = rows.sparkSession.read.parquet(staging)
-    for i in range(n_chunks):
-        staged.filter(F.col("_chunk") == i).drop("_chunk").write.mode("append").parquet(path)
-        yield i

@@ -6,50 +6,15 @@ import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_table(
-    spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None, spread: bool = False
-) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
     """One driver table, e.g. ``read_table(spark, dir, "events", EVENTS)``;
-    with a schema, Spark skips reading footers to infer one. ``spread``
-    applies :func:`spread_small_scan`."""
+    with a schema, Spark skips reading footers to infer one."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_small_scan(df) if spread else df
-
-
-# Largest scan (in splits) that spread_small_scan will shuffle.
-SPREAD_MAX_SPLITS = 32
-
-
-def spread_small_scan(df: DataFrame, min_splits: int | None = None, max_splits: int = SPREAD_MAX_SPLITS) -> DataFrame:
-    """Round-robin a small, under-split scan over ``min_splits`` partitions
-    (by default the session's parallelism), so the CPU-bound work that
-    follows (JSON encode/parse, timestamp text) uses every core. Parquet
-    splits by row group, so one large row group is one task however many
-    cores there are.
-
-    Only scans with fewer than ``min_splits`` and at most ``max_splits``
-    splits are spread, so the shuffle this adds is bounded by
-    ``max_splits`` splits (each at most ``spark.sql.files.maxPartitionBytes``
-    unless a single row group is larger), whatever the cluster size. Any
-    larger table keeps its plain scan and no shuffle is added. The
-    round-robin exchange sorts each input partition first, so a retried
-    task re-sends the same rows to the same partitions. Counting splits
-    plans the scan (file listing) but runs no job. Pass a scan (optionally
-    with filters and projections), not a plan with a shuffle: there,
-    building the RDD to count partitions would run the shuffle stages.
-    """
-    from strata.session import default_parallelism
-
-    target = min_splits or default_parallelism(df.sparkSession)
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(target) if splits < target and splits <= max_splits else df
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options) -> DataFrame:
@@ -72,8 +37,6 @@ def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def read_gold(spark: SparkSession, path: str, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """Read the final Gold table (partitioned by ``date_hour``). A date range
     prunes whole partitions before any file is opened."""
-    from pyspark.sql import functions as F
-
     from strata.schemas import GOLD
 
     gold = read_layer(spark, path, GOLD)
@@ -84,20 +47,29 @@ def read_gold(spark: SparkSession, path: str, start_date: str | None = None, end
     return gold
 
 
-def read_gold_periods(
-    spark: SparkSession, root, periods, start_date: str | None = None, end_date: str | None = None
-) -> DataFrame:
-    """Final Gold across period folders (``root.period(p)`` for each of
-    ``periods``). Each period is read through its own sink log, so a
-    replayed batch stays invisible; a glob over the folders would bypass
-    the logs. Date bounds prune partitions in every period."""
-    from strata.schemas import GOLD
-
-    out = None
-    for p in periods:
-        gold = read_gold(spark, root.period(p).gold, start_date, end_date)
-        out = gold if out is None else out.unionByName(gold)
-    return out if out is not None else spark.createDataFrame([], GOLD)
+def read_gold_current(spark: SparkSession, paths, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+    """Every hour of Gold: the closed hours from the final table and the hours
+    that the watermark has not closed yet from Silver.
+
+    The final table holds all windows up to its newest hour (append mode emits
+    windows in the order in which the watermark passes their end), so the
+    open hours are those after it. Only that one hour reaches the driver."""
+    from strata.functions.timefmt import event_time
+    from strata.operators.gold import gold_hourly
+    from strata.schemas import SILVER
+
+    closed = read_gold(spark, paths.gold)
+    newest = closed.agg(F.max(F.struct("date_hour", "hour")).alias("m")).select("m.*").first()
+    silver = read_layer(spark, paths.silver, SILVER)
+    if newest is not None and newest["date_hour"] is not None:
+        after = F.lit(newest["date_hour"]).cast("timestamp") + F.make_dt_interval(hours=F.lit(newest["hour"] + 1))
+        silver = silver.filter(event_time("timestamp") >= after)
+    both = closed.unionByName(gold_hourly(silver))
+    if start_date:
+        both = both.filter(F.col("date_hour") >= F.to_date(F.lit(start_date)))
+    if end_date:
+        both = both.filter(F.col("date_hour") <= F.to_date(F.lit(end_date)))
+    return both
 
 
 def read_gold_live(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
@@ -116,12 +88,7 @@ def read_gold_live(spark: SparkSession, path: str, snapshot: str | None = None)
 
 def read_quarantine(spark: SparkSession, root: str, layers: tuple[str, ...] = ("bronze", "silver")) -> dict[str, DataFrame]:
     """Quarantine tables per layer (each with its own schema: Bronze rows
-    keep their structs). Layers with nothing quarantined yet are skipped."""
-    out = {}
-    for layer in layers:
-        try:
-            out[layer] = spark.read.parquet(os.path.join(root, layer))
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-                raise
-    return out
+    keep their structs). A layer with nothing quarantined yet is empty."""
+    from strata.schemas import QUARANTINE
+
+    return {layer: read_or_empty(spark, os.path.join(root, layer), QUARANTINE[layer]) for layer in layers}

@@ -3,11 +3,12 @@
 from strata.streaming.layers import (  # noqa: F401
     LayerPaths,
     await_layers,
-    bronze_quarantine_stream,
-    duplicate_stream,
+    bronze_split_streams,
     bronze_stream,
+    duplicate_stream,
     gold_final_stream,
     gold_live_stream,
+    reset_layer,
     run_layers,
     silver_quarantine_stream,
     silver_stream,

@@ -37,57 +37,34 @@ from pyspark.sql import functions as F
 from strata.operators.gold import gold_latest
 from strata.schemas import GOLD_KEYS, GOLD_LIVE
 from strata.sources.tables import read_layer
+from strata.streaming.folders import delete, done_root, hadoop_path, numbered_folders
 
 # Partition columns of the snapshot table: one folder per event hour.
 SNAPSHOT_PARTITIONS = ("date_hour", "hour")
 
 
-def _hadoop(spark: SparkSession):
-    return spark._jvm.org.apache.hadoop.fs.Path
-
-
-def _fs(spark: SparkSession, path: str):
-    hpath = _hadoop(spark)(path)
-    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
-
-
-def _numbered_dirs(spark: SparkSession, root: str, key: str) -> dict[int, str]:
-    """``key=<n>`` folders directly under ``root`` (listing only)."""
-    fs, hroot = _fs(spark, root)
-    if not fs.exists(hroot):
-        return {}
-    out = {}
-    for status in fs.listStatus(hroot):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(f"{key}="):
-            try:
-                out[int(name.split("=", 1)[1])] = status.getPath().toString()
-            except ValueError:
-                continue
-    return out
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, hpath = _fs(spark, path)
-    fs.delete(hpath, True)
-
-
 def _staging_root(snapshot_path: str) -> str:
     return snapshot_path.rstrip("/") + "_staging"
 
 
-def _hour_number():
-    """Hours since the epoch, from the two partition columns only (so a
-    filter on it is a partition filter)."""
-    return F.unix_date("date_hour").cast("long") * F.lit(24) + F.col("hour")
+def _in_hours(snapshot: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Snapshot rows whose hour occurs in ``rows`` (``left_semi``) or does not
+    (``left_anti``). The join is on the partition columns, so Spark prunes the
+    snapshot's folders by the hours found at run time; nothing is collected."""
+    hours = rows.select(*SNAPSHOT_PARTITIONS).distinct()
+    same = [snapshot[c].eqNullSafe(hours[c]) if how == "left_anti" else snapshot[c] == hours[c] for c in SNAPSHOT_PARTITIONS]
+    return snapshot.join(hours, same[0] & same[1], how)
 
 
 def read_live_current(spark: SparkSession, live_path: str, snapshot_path: str) -> DataFrame:
     """Current Gold rows from the snapshot plus the live batches not yet
-    folded, collapsed to the latest row per key."""
+    folded. Hours that no such batch touches come straight from the snapshot,
+    which already has one row per key; only touched hours are collapsed."""
     snapshot = read_layer(spark, snapshot_path, GOLD_LIVE)
     live = read_layer(spark, live_path, GOLD_LIVE)
-    return gold_latest(snapshot.unionByName(live))
+    untouched = _in_hours(snapshot, live, "left_anti").drop("batch_id")
+    touched = _in_hours(snapshot, live, "left_semi")
+    return untouched.unionByName(gold_latest(touched.unionByName(live)))
 
 
 def _write_snapshot(rows: DataFrame, snapshot_path: str) -> None:
@@ -110,35 +87,30 @@ def compact_live_gold(spark: SparkSession, live_path: str, snapshot_path: str, d
 
     With ``drop_folded=False`` the folded batch partitions stay (reads stay
     correct, but keep scanning them)."""
-    fs, _ = _fs(spark, live_path)
-    Path = _hadoop(spark)
     # Finish a run that died while swapping partitions in.
-    for _, staged in sorted(_numbered_dirs(spark, _staging_root(snapshot_path), "upto").items()):
-        if fs.exists(Path(staged, "_SUCCESS")):
+    for _, staged in sorted(numbered_folders(spark, _staging_root(snapshot_path), "upto").items()):
+        fs, mark = hadoop_path(spark, f"{staged}/_SUCCESS")
+        if fs.exists(mark):
             _swap_in(spark, staged, snapshot_path)
-        _delete(spark, staged)
+        delete(spark, staged)
 
-    # A batch folder appears only when its dynamic-overwrite job commits, so
-    # listing the folders finds the complete batches without a job.
-    batches = _numbered_dirs(spark, live_path, "batch_id")
+    # Only batches marked as whole are folded (a listing, no job).
+    batches = numbered_folders(spark, live_path, "batch_id")
+    done = numbered_folders(spark, done_root(live_path), "batch_id")
+    batches = {b: folder for b, folder in batches.items() if b in done}
     if not batches:
         return None
     newest = max(batches)
-    tail = read_layer(spark, live_path, GOLD_LIVE).filter(F.col("batch_id") <= F.lit(newest))
-    snap_fs, snap_root = _fs(spark, snapshot_path)
+    tail = read_layer(spark, live_path, GOLD_LIVE).filter(F.col("batch_id").isin(sorted(batches)))
+    snap_fs, snap_root = hadoop_path(spark, snapshot_path)
     if not snap_fs.exists(snap_root):
         # First run: no snapshot rows can be lost, so no staging copy. If
         # this write dies, the live batches are still there (they are
         # deleted only after it succeeds) and the next run starts over.
         _write_snapshot(gold_latest(tail, keep_version=True).repartitionByRange(*GOLD_KEYS), snapshot_path)
-        _drop_batches(spark, batches, newest, drop_folded)
+        _drop_batches(spark, live_path, batches, drop_folded)
         return newest
-    # The event hours the tail touches: bounded by the watermark horizon (at
-    # most a day or so of hours), so the snapshot read below is pruned to
-    # those partitions. One flat IN over an hour number (not a chain of ORs,
-    # which grows the expression tree with every hour).
-    hours = [r.h for r in tail.select(_hour_number().alias("h")).distinct().collect()]
-    touched = read_layer(spark, snapshot_path, GOLD_LIVE).filter(_hour_number().isin(hours))
+    touched = _in_hours(read_layer(spark, snapshot_path, GOLD_LIVE), tail, "left_semi")
     staged = f"{_staging_root(snapshot_path)}/upto={newest}"
     merged = gold_latest(touched.unionByName(tail), keep_version=True)
     # Range-split on the full key (unique after max_by): each staged file
@@ -147,13 +119,14 @@ def compact_live_gold(spark: SparkSession, live_path: str, snapshot_path: str, d
     # hour is still cut across several tasks.
     merged.repartitionByRange(*GOLD_KEYS).write.mode("overwrite").parquet(staged)
     _swap_in(spark, staged, snapshot_path)
-    _delete(spark, staged)
-    _drop_batches(spark, batches, newest, drop_folded)
+    delete(spark, staged)
+    _drop_batches(spark, live_path, batches, drop_folded)
     return newest
 
 
-def _drop_batches(spark: SparkSession, batches: dict[int, str], newest: int, drop: bool) -> None:
+def _drop_batches(spark: SparkSession, live_path: str, batches: dict[int, str], drop: bool) -> None:
+    """Delete folded batches, the folder first: a mark without a folder is harmless."""
     if drop:
-        for b, p in batches.items():
-            if b <= newest:
-                _delete(spark, p)
+        for b, folder in sorted(batches.items()):
+            delete(spark, folder)
+            delete(spark, f"{done_root(live_path)}/batch_id={b}")

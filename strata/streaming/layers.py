@@ -32,9 +32,12 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from strata.operators.bronze import bronze_parse, with_flat_metrics
 from strata.operators.gold import gold_hourly
-from strata.operators.quality import drop_bad_rows, quality_counts, quarantine_rows
+from strata.operators.quality import drop_bad_rows, quality_counts, quarantine_rows, validate_schema
 from strata.operators.silver import SILVER_FILL, silver_flatten
 from strata.schemas import BRONZE, SILVER
+from strata.session import use_utc
+from strata.sources.raw import ANY_AGE
+from strata.streaming.folders import hadoop_path, mark_done
 from strata.streaming.metrics_sink import MetricsListener, error_metric, query_metrics, write_batch_metrics
 
 DEFAULT_WATERMARK = "25 hours"
@@ -53,6 +56,10 @@ class LayerPaths:
     def bronze(self) -> str:
         return self._p("bronze")
 
+    @property
+    def bronze_all(self) -> str:
+        return self._p("_staging", "bronze_all")
+
     @property
     def silver(self) -> str:
         return self._p("silver")
@@ -79,11 +86,76 @@ class LayerPaths:
     def checkpoint(self, name: str) -> str:
         return self._p("checkpoints", name)
 
-    def period(self, name: str) -> LayerPaths:
-        """The same layout under ``<root>/period=<name>``. Starting each
-        period (e.g. a month) in its own folder keeps every file-sink log
-        and checkpoint bounded by that period's batches."""
-        return LayerPaths(self._p(f"period={name}"))
+
+#: Output folders and checkpoints of each layer, for :func:`reset_layer`.
+def _layer_folders(paths: LayerPaths, layer: str) -> tuple[list[str], list[str]]:
+    outputs = {
+        "bronze": [paths.bronze, paths.bronze_all, paths.quarantine("bronze")],
+        "silver": [paths.silver, paths.quarantine("silver")],
+        "gold": [paths.gold],
+        "gold_live": [paths.gold_live, paths.gold_live_snapshot, paths.gold_live_snapshot + "_staging", paths.gold_live + "_done"],
+    }
+    checkpoints = {
+        "bronze": ["bronze", "bronze_all", "bronze_quarantine", "bronze_duplicates"],
+        "silver": ["silver", "silver_quarantine", "silver_duplicates"],
+        "gold": ["gold_final"],
+        "gold_live": ["gold_live"],
+    }
+    return outputs[layer], [paths.checkpoint(c) for c in checkpoints[layer]]
+
+
+# A layer's output is the next one's input, so a reset goes on downstream.
+DOWNSTREAM = {"bronze": ("bronze", "silver", "gold", "gold_live"), "silver": ("silver", "gold", "gold_live"), "gold": ("gold",), "gold_live": ("gold_live",)}
+
+
+def reset_layer(spark: SparkSession, paths: LayerPaths, layer: str) -> list[str]:
+    """Delete a layer's output, sink log and checkpoint together, and those of
+    every layer built from it, so that the next run rebuilds them all from the
+    input. Returns the folders deleted. Stop the layer queries first.
+
+    Deleting a checkpoint alone loses rows: batch numbers start again and the
+    sink skips every number that its log already has."""
+    gone = []
+    for one in DOWNSTREAM[layer]:
+        outputs, checkpoints = _layer_folders(paths, one)
+        for folder in outputs + checkpoints:
+            fs, hpath = hadoop_path(spark, folder)
+            if fs.exists(hpath):
+                fs.delete(hpath, True)
+                gone.append(folder)
+    return gone
+
+
+def _newest_number(spark: SparkSession, folder: str) -> int:
+    """Largest batch number among the files of a log folder; -1 without any."""
+    fs, hpath = hadoop_path(spark, folder)
+    if not fs.exists(hpath):
+        return -1
+    names = [status.getPath().getName().split(".")[0] for status in fs.listStatus(hpath)]
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
+def check_sink(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Raise if the sink log at ``path`` is ahead of the checkpoint by more
+    than the one batch a failure can leave uncommitted: the sink would skip
+    the next batches and their rows would be lost."""
+    logged, committed = _newest_number(spark, f"{path}/_spark_metadata"), _newest_number(spark, f"{checkpoint}/commits")
+    planned = _newest_number(spark, f"{checkpoint}/offsets")
+    if logged > max(committed, planned):
+        raise RuntimeError(
+            f"{path} holds batches up to {logged}, its checkpoint {checkpoint} only up to {max(committed, planned)}: "
+            "restore the checkpoint or call reset_layer"
+        )
+
+
+def _check_live(spark: SparkSession, paths: LayerPaths) -> None:
+    """As :func:`check_sink` for live Gold, whose versions are batch numbers."""
+    if _newest_number(spark, f"{paths.checkpoint('gold_live')}/offsets") >= 0:
+        return
+    for folder in (paths.gold_live, paths.gold_live_snapshot):
+        fs, hpath = hadoop_path(spark, folder)
+        if fs.exists(hpath):
+            raise RuntimeError(f"{folder} was written under a checkpoint that is gone: its batch numbers would clash; restore it or call reset_layer")
 
 
 def _trigger(writer: DataStreamWriter, trigger: dict | None) -> DataStreamWriter:
@@ -91,6 +163,7 @@ def _trigger(writer: DataStreamWriter, trigger: dict | None) -> DataStreamWriter
 
 
 def _file_sink(df: DataFrame, path: str, checkpoint: str, name: str, trigger: dict | None, partition_by=None):
+    check_sink(df.sparkSession, path, checkpoint)
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
@@ -137,22 +210,41 @@ def duplicate_stream(
     return _trigger(writer, trigger).start()
 
 
+def _check_schema(df: DataFrame, fields: list[str], fail_on_schema: bool) -> None:
+    """Field names against the layer's; a missing one is logged or raised."""
+    if not validate_schema(df, fields) and fail_on_schema:
+        raise ValueError(f"schema check failed: expected fields {fields}, got {df.columns}")
+
+
 def bronze_stream(
-    raw: DataFrame, paths: LayerPaths, rules, trigger: dict | None = None, drop_bad: bool = False
+    raw: DataFrame, paths: LayerPaths, rules, trigger: dict | None = None, drop_bad: bool = False, fail_on_schema: bool = False
 ) -> list[StreamingQuery]:
-    """Start the Bronze write (quarantined rows stay in the layer unless
-    ``drop_bad``). With ``drop_bad`` the Bronze quarantine query is started
-    here too, over the raw stream; otherwise it runs later over the written
-    Bronze files (:func:`bronze_quarantine_stream`), so JSON is parsed once.
-    """
+    """Start the query that parses the source, the only one that reads it: JSON
+    is parsed once, and no row can fall between two reads of a live source.
+
+    It writes Bronze; with ``drop_bad`` it writes all parsed rows to a staging
+    table, from which :func:`bronze_split_streams` derives Bronze and its
+    quarantine."""
     parsed = bronze_parse(raw)
-    flat = with_flat_metrics(parsed)
+    _check_schema(parsed, BRONZE.fieldNames(), fail_on_schema)
     # Observe on the flattened projection so the rule counts see the metric
     # columns (and every row), then write only the Bronze columns.
-    written = _keep(_observed(flat, "bronze", rules), rules, drop_bad).select(*BRONZE.fieldNames())
-    queries = [_file_sink(written, paths.bronze, paths.checkpoint("bronze"), "bronze", trigger)]
+    written = _observed(with_flat_metrics(parsed), "bronze", rules).select(*BRONZE.fieldNames())
+    path, name = (paths.bronze_all, "bronze_all") if drop_bad else (paths.bronze, "bronze")
+    return [_file_sink(written, path, paths.checkpoint(name), "bronze", trigger)]
+
+
+def bronze_split_streams(
+    spark: SparkSession, paths: LayerPaths, rules, trigger: dict | None = None, drop_bad: bool = False, max_files: int | None = None
+) -> list[StreamingQuery]:
+    """Bronze quarantine from the committed parsed rows and, with ``drop_bad``,
+    Bronze itself (the rows that break no rule)."""
+    source = _read_layer_stream(spark, paths.bronze_all if drop_bad else paths.bronze, BRONZE, max_files, None)
+    flat = with_flat_metrics(source)
+    queries = [_bronze_quarantine_sink(flat, paths, rules, trigger)]
     if drop_bad:
-        queries.append(_bronze_quarantine_sink(flat, paths, rules, trigger))
+        kept = drop_bad_rows(flat, rules).select(*BRONZE.fieldNames())
+        queries.append(_file_sink(kept, paths.bronze, paths.checkpoint("bronze"), "bronze_kept", trigger))
     return queries
 
 
@@ -166,21 +258,10 @@ def _bronze_quarantine_sink(flat: DataFrame, paths: LayerPaths, rules, trigger:
     )
 
 
-def bronze_quarantine_stream(
-    spark: SparkSession, paths: LayerPaths, rules, trigger: dict | None = None, max_files: int | None = None
-) -> StreamingQuery:
-    """Bronze quarantine from the committed Bronze files (a Parquet file
-    stream with the rule filter pushed to the scan)."""
-    bronze = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
-    return _bronze_quarantine_sink(with_flat_metrics(bronze), paths, rules, trigger)
-
-
 def _read_layer_stream(spark: SparkSession, path: str, schema, max_files: int | None, max_file_age: str | None):
-    reader = spark.readStream.format("parquet").schema(schema)
+    reader = spark.readStream.format("parquet").schema(schema).option("maxFileAge", max_file_age or ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if max_file_age:
-        reader = reader.option("maxFileAge", max_file_age)
     return reader.load(path)
 
 
@@ -192,6 +273,7 @@ def silver_stream(
     max_files: int | None = None,
     fill: dict | None = SILVER_FILL,
     drop_bad: bool = False,
+    fail_on_schema: bool = False,
 ) -> list[StreamingQuery]:
     """Start the Silver write. With ``drop_bad`` the Silver quarantine query
     is started here too, over the Bronze stream (the dropped rows never reach
@@ -199,6 +281,7 @@ def silver_stream(
     (:func:`silver_quarantine_stream`)."""
     bronze = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
     silver = silver_flatten(bronze, fill)
+    _check_schema(silver, SILVER.fieldNames(), fail_on_schema)
     main = _file_sink(
         _keep(_observed(silver, "silver", rules), rules, drop_bad),
         paths.silver,
@@ -240,33 +323,28 @@ def _gold_input(spark, paths, watermark, max_files, max_file_age, name):
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _start_stateful(spark: SparkSession, state_partitions: int | None, rocksdb: bool, start, no_data_batches: bool = True):
-    """Start a stateful query with its own state settings, which the first
-    run records in the checkpoint: ``state_partitions`` shuffle/state
-    partitions (size them to the keys alive within the watermark horizon,
-    not to the session default) and, with ``rocksdb``, state kept in RocksDB
-    off the JVM heap with changelog checkpointing (for large state).
-    ``no_data_batches=False`` skips the extra batch Spark runs only to
-    advance the watermark."""
-    conf = {}
+def _stateful_session(spark: SparkSession, state_partitions: int | None, rocksdb: bool, no_data_batches: bool = True) -> SparkSession:
+    """A session of its own for a stateful query, with the caller's settings and
+    those of its state, which the first run records in the checkpoint:
+    ``state_partitions`` shuffle/state partitions (size them to the keys alive
+    within the watermark horizon, not to the session default) and, with
+    ``rocksdb``, state kept in RocksDB off the JVM heap with changelog
+    checkpointing (for large state). ``no_data_batches=False`` skips the extra
+    batch Spark runs only to advance the watermark. The caller's session keeps
+    its settings, also while the query starts."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    use_utc(own)
     if not no_data_batches:
-        conf["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+        own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     if state_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     if rocksdb:
-        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
-        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        return start()
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return own
 
 
 def gold_final_stream(
@@ -279,6 +357,7 @@ def gold_final_stream(
     state_partitions: int | None = None,
     rocksdb: bool = False,
     output_files: int | None = None,
+    listener: MetricsListener | None = None,
 ) -> StreamingQuery:
     """Append-mode Gold: one row per key, written once its window closes.
 
@@ -288,15 +367,13 @@ def gold_final_stream(
     emitted rows alone (not the input) are round-robined over that many
     tasks before the sink, so each emission writes at most ``output_files``
     files per date."""
-    gold = _gold_input(spark, paths, watermark, max_files, max_file_age, "gold")
+    own = _stateful_session(spark, state_partitions, rocksdb)
+    if listener:
+        own.streams.addListener(listener)
+    gold = _gold_input(own, paths, watermark, max_files, max_file_age, "gold")
     if output_files:
         gold = gold.repartition(output_files)
-    return _start_stateful(
-        spark,
-        state_partitions,
-        rocksdb,
-        lambda: _file_sink(gold, paths.gold, paths.checkpoint("gold_final"), "gold_final", trigger, ["date_hour"]),
-    )
+    return _file_sink(gold, paths.gold, paths.checkpoint("gold_final"), "gold_final", trigger, ["date_hour"])
 
 
 def _live_writer(path: str, output_files: int | None = None):
@@ -310,6 +387,7 @@ def _live_writer(path: str, output_files: int | None = None):
             .partitionBy("batch_id")
             .parquet(path)
         )
+        mark_done(batch.sparkSession, path, batch_id)
 
     return write
 
@@ -324,19 +402,24 @@ def gold_live_stream(
     state_partitions: int | None = None,
     rocksdb: bool = False,
     output_files: int | None = None,
+    listener: MetricsListener | None = None,
 ) -> StreamingQuery:
     """Update-mode Gold: changed keys' cumulative rows, tagged by batch
     (``output_files`` as in :func:`gold_final_stream`)."""
-    gold = _gold_input(spark, paths, watermark, max_files, max_file_age, "gold_live")
+    _check_live(spark, paths)
+    # Update mode emits nothing in a batch without input (it would only
+    # evict expired state, which the next data batch does as well).
+    own = _stateful_session(spark, state_partitions, rocksdb, no_data_batches=False)
+    if listener:
+        own.streams.addListener(listener)
+    gold = _gold_input(own, paths, watermark, max_files, max_file_age, "gold_live")
     writer = (
         gold.writeStream.outputMode("update")
         .option("checkpointLocation", paths.checkpoint("gold_live"))
         .queryName("gold_live")
         .foreachBatch(_live_writer(paths.gold_live, output_files))
     )
-    # Update mode emits nothing in a batch without input (it would only
-    # evict expired state, which the next data batch does as well).
-    return _start_stateful(spark, state_partitions, rocksdb, lambda: _trigger(writer, trigger).start(), False)
+    return _trigger(writer, trigger).start()
 
 
 def await_layers(
@@ -344,10 +427,12 @@ def await_layers(
     paths: LayerPaths,
     layer_queries: list[tuple[str, StreamingQuery, str | None]],
     poll_seconds: float = 0.2,
+    sink: list[tuple] | None = None,
 ):
     """Wait for a group of queries, gathering every batch's progress while
     they run (Spark keeps only the most recent updates), then write one
-    metric line per batch. On failure: stop the group, write an error line
+    metric line per committed batch, also of a group that fails. On failure:
+    stop the group, write an error line with the number of the failed batch
     and re-raise."""
     progress: dict[str, dict[int, object]] = {str(q.id): {} for _, q, _ in layer_queries}
     rows: list[tuple] = []
@@ -364,21 +449,24 @@ def await_layers(
                 try:
                     done = query.awaitTermination(poll_seconds)
                 except Exception as exc:  # record, then propagate
-                    last = query.lastProgress
-                    rows.append(error_metric(layer, last.batchId if last else None, exc))
-                    for _, other, _ in layer_queries:
-                        if other.isActive:
-                            other.stop()
+                    drain(query)
+                    rows.append(error_metric(layer, max(progress[str(query.id)], default=-1) + 1, exc))
                     raise
                 drain(query)
                 if done:
                     pending.remove(entry)
+    finally:
         for layer, query, observation in layer_queries:
-            if not layer.endswith(("_quarantine", "_duplicates")):
+            if query.isActive:
+                query.stop()
+            drain(query)
+            if not layer.endswith(("_quarantine", "_duplicates", "_kept")):
                 batches = [progress[str(query.id)][b] for b in sorted(progress[str(query.id)])]
                 rows.extend(query_metrics(layer, batches, observation))
-    finally:
-        write_batch_metrics(spark, rows, paths.metrics)
+        if sink is None:
+            write_batch_metrics(spark, rows, paths.metrics)
+        else:
+            sink.extend(rows)
 
 
 def run_layers(
@@ -395,33 +483,44 @@ def run_layers(
     drop_bad: bool = False,
     duplicate_metrics: bool = False,
     output_files: int | None = None,
+    fail_on_schema: bool = False,
 ) -> None:
     """Run every layer once over all available input (``availableNow``),
-    layer after layer, and write their metric lines. Re-running with the
-    same folders resumes from the checkpoints and processes only new input.
-    With ``duplicate_metrics`` each Bronze and Silver batch also gets an
-    exact duplicate count (one more query per layer).
+    layer after layer, and write their metric lines as one file. Re-running
+    with the same folders resumes from the checkpoints and processes only new
+    input. With ``duplicate_metrics`` each Bronze and Silver batch also gets an
+    exact duplicate count (one more query per layer). With ``fail_on_schema`` a
+    layer whose input lacks a field raises instead of logging it.
     """
-    bronze = _named("bronze", bronze_stream(raw, paths, rules, drop_bad=drop_bad))
-    if duplicate_metrics:
-        bronze.append(("bronze_duplicates", duplicate_stream(bronze_parse(raw), paths, "bronze"), None))
-    await_layers(spark, paths, bronze)
-    silver = _named("silver", silver_stream(spark, paths, rules, max_files=max_files, drop_bad=drop_bad))
-    if not drop_bad:
-        silver.append(("bronze_quarantine", bronze_quarantine_stream(spark, paths, rules, max_files=max_files), None))
-    if duplicate_metrics:
-        source = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
-        silver.append(("silver_duplicates", duplicate_stream(source, paths, "silver"), None))
-    await_layers(spark, paths, silver)
-    gold_queries = []
-    if not drop_bad:
-        gold_queries.append(("silver_quarantine", silver_quarantine_stream(spark, paths, rules, max_files=max_files), None))
-    kw = dict(max_files=max_files, state_partitions=state_partitions, rocksdb=rocksdb, output_files=output_files)
-    if "final" in gold_modes:
-        gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, **kw), "gold"))
-    if "live" in gold_modes:
-        gold_queries.append(("gold_live", gold_live_stream(spark, paths, watermark, **kw), "gold_live"))
-    await_layers(spark, paths, gold_queries)
+    lines: list[tuple] = []
+    try:
+        bronze = [("bronze", q, "bronze") for q in bronze_stream(raw, paths, rules, drop_bad=drop_bad, fail_on_schema=fail_on_schema)]
+        await_layers(spark, paths, bronze, sink=lines)
+        # The quarantine, duplicates and, with drop_bad, Bronze itself read the table just written.
+        split = bronze_split_streams(spark, paths, rules, drop_bad=drop_bad, max_files=max_files)
+        beside = [("bronze_quarantine", split[0], None)]
+        if duplicate_metrics:
+            source = _read_layer_stream(spark, paths.bronze_all if drop_bad else paths.bronze, BRONZE, max_files, None)
+            beside.append(("bronze_duplicates", duplicate_stream(source, paths, "bronze"), None))
+        if drop_bad:
+            await_layers(spark, paths, [*beside, ("bronze_kept", split[1], None)], sink=lines)
+            beside = []
+        silver = _named("silver", silver_stream(spark, paths, rules, max_files=max_files, drop_bad=drop_bad, fail_on_schema=fail_on_schema)) + beside
+        if duplicate_metrics:
+            source = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
+            silver.append(("silver_duplicates", duplicate_stream(source, paths, "silver"), None))
+        await_layers(spark, paths, silver, sink=lines)
+        gold_queries = []
+        if not drop_bad:
+            gold_queries.append(("silver_quarantine", silver_quarantine_stream(spark, paths, rules, max_files=max_files), None))
+        kw = dict(max_files=max_files, state_partitions=state_partitions, rocksdb=rocksdb, output_files=output_files)
+        if "final" in gold_modes:
+            gold_queries.append(("gold", gold_final_stream(spark, paths, watermark, **kw), "gold"))
+        if "live" in gold_modes:
+            gold_queries.append(("gold_live", gold_live_stream(spark, paths, watermark, **kw), "gold_live"))
+        await_layers(spark, paths, gold_queries, sink=lines)
+    finally:
+        write_batch_metrics(spark, lines, paths.metrics)
 
 
 def start_layers(
@@ -439,9 +538,12 @@ def start_layers(
     rocksdb: bool = False,
     drop_bad: bool = False,
     output_files: int | None = None,
+    duplicate_metrics: bool = False,
+    fail_on_schema: bool = False,
 ) -> tuple[list[StreamingQuery], MetricsListener]:
     """Start all layers as long-running queries (default trigger: every
-    5 minutes) and a listener that buffers their metric lines; call
+    5 minutes) and a listener that buffers their metric lines (schema check
+    and duplicate counts as in :func:`run_layers`); call
     ``listener.flush(spark, paths.metrics)`` periodically and
     ``spark.streams.awaitAnyTermination()`` to supervise, or hand both to
     :func:`supervise_layers`."""
@@ -450,12 +552,17 @@ def start_layers(
         {"bronze": ("bronze", "bronze"), "silver": ("silver", "silver"), "gold_final": ("gold", "gold"), "gold_live": ("gold_live", "gold_live")}
     )
     spark.streams.addListener(listener)
-    queries = bronze_stream(raw, paths, rules, trigger, drop_bad)
-    if not drop_bad:
-        queries.append(bronze_quarantine_stream(spark, paths, rules, trigger, max_files))
-    queries += silver_stream(spark, paths, rules, trigger, max_files, drop_bad=drop_bad)
+    for folder in [paths.bronze, paths.silver, *([paths.bronze_all] if drop_bad else [])]:  # a file stream needs its folder
+        fs, hpath = hadoop_path(spark, folder)
+        fs.mkdirs(hpath)
+    queries = bronze_stream(raw, paths, rules, trigger, drop_bad, fail_on_schema)
+    queries += bronze_split_streams(spark, paths, rules, trigger, drop_bad, max_files)
+    queries += silver_stream(spark, paths, rules, trigger, max_files, drop_bad=drop_bad, fail_on_schema=fail_on_schema)
     if not drop_bad:
         queries.append(silver_quarantine_stream(spark, paths, rules, trigger, max_files))
+    if duplicate_metrics:
+        for layer, folder in (("bronze", paths.bronze_all if drop_bad else paths.bronze), ("silver", paths.bronze)):
+            queries.append(duplicate_stream(_read_layer_stream(spark, folder, BRONZE, max_files, None), paths, layer, trigger))
     kw = dict(
         trigger=trigger,
         max_files=max_files,
@@ -463,6 +570,7 @@ def start_layers(
         state_partitions=state_partitions,
         rocksdb=rocksdb,
         output_files=output_files,
+        listener=listener,
     )
     if "final" in gold_modes:
         queries.append(gold_final_stream(spark, paths, watermark, **kw))
@@ -527,3 +635,4 @@ def supervise_layers(
             while time.monotonic() < deadline and not any(r[4] for r in listener.rows):
                 time.sleep(0.1)
         listener.flush(spark, paths.metrics)
+        spark.streams.removeListener(listener)

@@ -33,6 +33,9 @@ def progress_metrics(layer: str, progress, observation: str | None = None) -> tu
     if observation and progress.observedMetrics and observation in progress.observedMetrics:
         observed = progress.observedMetrics[observation].asDict()
     rows = observed.pop("rows", None)
+    late = sum(int(s.numRowsDroppedByWatermark or 0) for s in progress.stateOperators or ())
+    if late:
+        observed["late_rows"] = late
     if rows is None:
         rows = progress.numInputRows
     if rows == 0:
@@ -42,13 +45,19 @@ def progress_metrics(layer: str, progress, observation: str | None = None) -> tu
 
 
 def error_metric(layer: str, batch_id: int | None, error: BaseException | str) -> tuple:
-    return (int(time.time()), layer, batch_id, 0, str(error)[:2000], None)
+    return (int(time.time()), layer, batch_id, 0, str(error), None)
+
+
+_write_lock = threading.Lock()
 
 
 def write_batch_metrics(spark: SparkSession, rows: list[tuple], path: str) -> None:
-    """Append metric rows (a handful per run) as one JSON file."""
+    """Append metric rows (a handful per run) as one JSON file. Every line
+    has every key; an absent value is written as null."""
     if rows:
-        spark.createDataFrame(rows, METRICS).coalesce(1).write.mode("append").json(path)
+        lines = spark.createDataFrame(rows, METRICS).coalesce(1)
+        with _write_lock:  # two appends to one folder at a time would remove each other's temporary files
+            lines.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
 def _did_work(p) -> bool:
@@ -56,7 +65,8 @@ def _did_work(p) -> bool:
     # windows a newly advanced watermark has closed (seen in the observed
     # row count; file sinks do not report output rows).
     observed = (p.observedMetrics or {}).values()
-    return p.numInputRows > 0 or any((m.asDict().get("rows") or 0) > 0 for m in observed)
+    late = any((s.numRowsDroppedByWatermark or 0) > 0 for s in p.stateOperators or ())
+    return late or p.numInputRows > 0 or any((m.asDict().get("rows") or 0) > 0 for m in observed)
 
 
 def query_metrics(layer: str, batches, observation: str | None = None) -> list[tuple]:
@@ -77,6 +87,7 @@ class MetricsListener(StreamingQueryListener):
         self.layers = layers
         self.rows: list[tuple] = []
         self._names: dict[str, str] = {}
+        self._last: dict[str, int] = {}  # newest batch of each query that was reported
         self._lock = threading.Lock()
 
     def onQueryStarted(self, event):
@@ -85,6 +96,8 @@ class MetricsListener(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         p = event.progress
+        with self._lock:
+            self._last[str(p.id)] = int(p.batchId)
         if p.name in self.layers and _did_work(p):
             layer, obs = self.layers[p.name]
             with self._lock:
@@ -98,7 +111,7 @@ class MetricsListener(StreamingQueryListener):
             with self._lock:
                 name = self._names.get(str(event.id))
                 layer = self.layers.get(name, (name or "unknown", None))[0]
-                self.rows.append(error_metric(layer, None, event.exception))
+                self.rows.append(error_metric(layer, self._last.get(str(event.id), -1) + 1, event.exception))
 
     def flush(self, spark: SparkSession, path: str) -> None:
         with self._lock:

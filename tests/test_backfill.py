@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.gold import gold_hourly
@@ -5,11 +6,12 @@ from strata.operators.health import quarantine_total
 from strata.operators.kpi import kpis_by_event_type
 from strata.operators.silver import silver_flatten
 from strata.plans.backfill import backfill_layers
-from strata.schemas import SILVER
+from strata.schemas import BRONZE, SILVER
 from strata.session import scratch_path
 from strata.sources.events import event_rows, events_to_json
-from strata.sources.tables import read_gold, read_layer, read_quarantine
-from strata.streaming.layers import LayerPaths
+from strata.sources.raw import read_raw_stream, write_raw_files
+from strata.sources.tables import read_gold, read_gold_current, read_layer, read_quarantine
+from strata.streaming.layers import LayerPaths, run_layers
 
 from .conftest import SF_SMALL
 
@@ -19,7 +21,7 @@ def test_backfill_equals_direct_plan(spark, rules):
     paths = LayerPaths(scratch_path(spark, "test-backfill"))
     backfill_layers(spark, events_to_json(rows), paths, rules)
     silver = read_layer(spark, paths.silver, SILVER)
-    assert silver.exceptAll(silver_flatten(rows)).count() == 0 and silver.count() == rows.count()
+    assert silver.select(*SILVER.fieldNames()).exceptAll(silver_flatten(rows)).count() == 0 and silver.count() == rows.count()
     gold = read_gold(spark, paths.gold).drop("created_at")
     direct = gold_hourly(silver_flatten(rows), created_at=False)
     assert gold.select(*direct.columns).exceptAll(direct).count() == 0 and gold.count() == direct.count()
@@ -48,18 +50,47 @@ def test_backfill_drop_bad(spark, rules):
     assert 0 < silver.count() < rows.count()
 
 
-def test_gold_across_period_folders(spark, rules):
-    from strata.sources.tables import read_gold_periods
+def _counts(spark, paths):
+    return {
+        "bronze": read_layer(spark, paths.bronze, BRONZE).count(),
+        "silver": read_layer(spark, paths.silver, SILVER).count(),
+        "gold": read_gold(spark, paths.gold).count(),
+        **{f"quarantine_{k}": df.count() for k, df in read_quarantine(spark, paths.root + "/quarantine").items()},
+    }
 
-    root = LayerPaths(scratch_path(spark, "test-periods"))
+
+@pytest.mark.parametrize("drop_bad", [False, True])
+def test_range_rerun_replaces_only_its_dates(spark, rules, drop_bad):
+    rows = event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    paths = LayerPaths(scratch_path(spark, "test-range"))
+    raw = events_to_json(rows)
+    backfill_layers(spark, raw, paths, rules, drop_bad=drop_bad)
+    before = _counts(spark, paths)
+    backfill_layers(spark, raw, paths, rules, drop_bad=drop_bad, start_date="2024-01-05", end_date="2024-01-05")
+    assert _counts(spark, paths) == before
+    # The day is gone from the source: it goes from every layer, and nothing else does.
+    there = rows.filter("timestamp LIKE '2024-01-05%'")
+    assert there.count() > 0
+    without = events_to_json(rows.filter("timestamp NOT LIKE '2024-01-05%'"))
+    backfill_layers(spark, without, paths, rules, drop_bad=drop_bad, start_date="2024-01-05", end_date="2024-01-05")
+    silver = read_layer(spark, paths.silver, SILVER)
+    assert silver.filter("timestamp LIKE '2024-01-05%'").count() == 0
+    expected = silver_flatten(rows.filter("timestamp NOT LIKE '2024-01-05%'"))
+    if not drop_bad:
+        assert silver.select(*expected.columns).exceptAll(expected).count() == 0 and silver.count() == expected.count()
+    assert read_gold(spark, paths.gold).filter("date_hour = DATE '2024-01-05'").count() == 0
+
+
+def test_backfill_refuses_a_streamed_folder(spark, rules):
+    paths = LayerPaths(scratch_path(spark, "test-refuse"))
+    raw = f"{paths.root}/raw"
     rows = event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
-    first = rows.filter(F.col("timestamp") < "2024-01-15")
-    second = rows.filter(F.col("timestamp") >= "2024-01-15")
-    backfill_layers(spark, events_to_json(first), root.period("2024-01a"), rules)
-    backfill_layers(spark, events_to_json(second), root.period("2024-01b"), rules)
-    both = read_gold_periods(spark, root, ["2024-01a", "2024-01b"]).drop("created_at")
-    expected = gold_hourly(silver_flatten(rows), created_at=False)
-    assert both.exceptAll(expected.select(*both.columns)).count() == 0
-    assert expected.select(*both.columns).exceptAll(both).count() == 0
-    bounded = read_gold_periods(spark, root, ["2024-01a", "2024-01b"], "2024-01-10", "2024-01-20")
-    assert "PartitionFilters: [isnotnull(date_hour" in bounded._jdf.queryExecution().executedPlan().toString()
+    write_raw_files(rows, raw, 1)
+    run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=("final",), state_partitions=2)
+    before = read_gold_current(spark, paths).count()
+    with pytest.raises(ValueError, match="sink log"):
+        backfill_layers(spark, events_to_json(rows), paths, rules)
+    write_raw_files(rows.limit(10), raw, 1)  # the streams go on as if nothing had happened
+    run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=("final",), state_partitions=2)
+    assert read_layer(spark, paths.bronze, BRONZE).count() == rows.count() + 10
+    assert read_gold_current(spark, paths).count() >= before

@@ -4,9 +4,10 @@ from strata.schemas import GOLD_LIVE
 from strata.session import scratch_path
 from strata.sources.tables import read_layer
 from strata.streaming.compaction import compact_live_gold, read_live_current
+from strata.streaming.folders import mark_done
 
 
-def _live_batch(spark, path, batch_id, n_hours, count):
+def _live_batch(spark, path, batch_id, n_hours, count, done=True):
     """One live Gold batch with one key in each of ``n_hours`` event hours."""
     i = F.col("id")
     known = {
@@ -20,6 +21,8 @@ def _live_batch(spark, path, batch_id, n_hours, count):
     }
     cols = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in GOLD_LIVE.fields]
     spark.range(n_hours).select(*cols).write.mode("append").partitionBy("batch_id").parquet(path)
+    if done:
+        mark_done(spark, path, batch_id)
 
 
 def test_compaction_over_hundreds_of_hours(spark):
@@ -34,3 +37,28 @@ def test_compaction_over_hundreds_of_hours(spark):
     counts = {r.event_count: r.n for r in current.groupBy("event_count").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert counts == {2: 390, 3: 10}
     assert read_layer(spark, snap, GOLD_LIVE).count() == 400  # one row per key
+
+
+def test_a_batch_without_its_mark_is_not_folded(spark):
+    root = scratch_path(spark, "test-compact-mark")
+    live, snap = f"{root}/live", f"{root}/snapshot"
+    _live_batch(spark, live, 0, 30, 1)
+    _live_batch(spark, live, 1, 5, 2, done=False)  # still being written
+    assert compact_live_gold(spark, live, snap) == 0
+    assert [r.batch_id for r in read_layer(spark, live, GOLD_LIVE).select("batch_id").distinct().collect()] == [1]
+    mark_done(spark, live, 1)
+    assert compact_live_gold(spark, live, snap) == 1
+    counts = {r.event_count: r.n for r in read_live_current(spark, live, snap).groupBy("event_count").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {2: 5, 1: 25}
+
+
+def test_untouched_hours_are_read_without_a_merge(spark):
+    root = scratch_path(spark, "test-live-read")
+    live, snap = f"{root}/live", f"{root}/snapshot"
+    _live_batch(spark, live, 0, 100, 1)
+    compact_live_gold(spark, live, snap)
+    _live_batch(spark, live, 1, 3, 2)
+    plan = read_live_current(spark, live, snap)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    assert plan.count("max_by") <= 4  # the merge is planned over touched hours and the tail only
+    assert read_live_current(spark, live, snap).count() == 100

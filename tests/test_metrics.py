@@ -40,7 +40,7 @@ def test_metrics_summary(spark, tmp_path):
 def test_metrics_timeline(spark, tmp_path):
     out = [tuple(r) for r in metrics_timeline(read_metrics(spark, _write(tmp_path, LINES))).collect()]
     t = lambda s: dt.datetime(1970, 1, 1) + dt.timedelta(seconds=s)
-    assert out == [(t(100), 42, 40, 0), (t(160), 0, 0, 0), (t(220), 0, 0, 0)]
+    assert out == [(t(100), 42, 40, 0, 0), (t(160), 0, 0, 0, 0), (t(220), 0, 0, 0, 0)]
 
 
 def test_recent_errors_top_k(spark, tmp_path):
@@ -62,3 +62,21 @@ def test_quarantine_total_counts_each_layer(spark):
     s = spark.createDataFrame([(1,)], "x int")
     out = {r.layer: r.rows for r in quarantine_total({"bronze": b, "silver": s}).collect()}
     assert out == {"bronze": 2, "silver": 1, "all": 3}
+    assert {r.layer: r.rows for r in quarantine_total({"bronze": b.limit(0), "silver": s.limit(0)}).collect()} == {"bronze": 0, "silver": 0, "all": 0}
+
+
+def test_wrongly_typed_field_is_null_and_its_line_stays(spark, tmp_path):
+    lines = [*LINES, {"ts": 1.5, "layer": "bronze", "batch_id": 9, "row_count": 7}, {"ts": 300, "layer": ["x"], "row_count": "many"}]
+    df = read_metrics(spark, _write(tmp_path, lines, bad=("{broken", "", "[1]", "5")))
+    assert df.count() == len(df.collect()) == len(lines)  # whichever columns are read
+    row = df.filter("batch_id = 9").first()
+    assert (row.ts, row.layer, row.row_count) == (None, "bronze", 7)
+    assert {r.layer: r.batches for r in metrics_summary(df).collect()}["bronze"] == 3
+
+
+def test_every_layer_has_a_place_in_the_timeline(spark, tmp_path):
+    df = read_metrics(spark, _write(tmp_path, [{"ts": 100, "layer": "gold_live", "row_count": 7}, {"ts": 100, "layer": "bronze", "row_count": 1}]))
+    (row,) = metrics_timeline(df).collect()
+    assert (row.bronze, row.other) == (1, 7)
+    (row,) = metrics_timeline(df, ["gold_live"]).collect()
+    assert (row.gold_live, row.other) == (7, 1)

@@ -1,0 +1,193 @@
+"""Ways in which rows could be lost, doubled or hidden: each is shut here."""
+
+import os
+import shutil
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators.gold import gold_hourly
+from strata.operators.silver import silver_flatten
+from strata.schemas import BRONZE, SILVER
+from strata.session import scratch_path
+from strata.sources.events import event_rows
+from strata.sources.metrics import read_metrics
+from strata.sources.raw import read_raw_stream, write_raw_files
+from strata.sources.tables import read_gold, read_gold_current, read_gold_live, read_layer, read_quarantine
+from strata.streaming.layers import LayerPaths, await_layers, reset_layer, run_layers, start_layers
+
+from .conftest import SF_SMALL
+
+
+def _rows(spark):
+    return event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+
+
+def _layout(spark, name):
+    paths = LayerPaths(scratch_path(spark, name))
+    return paths, f"{paths.root}/raw"
+
+
+def _run(spark, paths, raw, rules, **options):
+    options = {"gold_modes": ("final", "live"), "state_partitions": 2, **options}
+    run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, **options)
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _local(path):
+    return path.removeprefix("file:")
+
+
+def test_old_files_are_read(spark, rules):
+    paths, raw = _layout(spark, "test-old-files")
+    rows = _rows(spark)
+    write_raw_files(rows.limit(10), raw, 1)
+    old = time.time() - 400 * 86400
+    for name in os.listdir(_local(raw)):
+        os.utime(os.path.join(_local(raw), name), (old, old))
+    write_raw_files(rows.limit(10), raw, 1)
+    _run(spark, paths, raw, rules, gold_modes=())
+    write_raw_files(rows.limit(10), raw, 1)
+    newest = sorted(os.listdir(_local(raw)))[-1]
+    assert newest
+    for name in os.listdir(_local(raw)):  # a copy that keeps its times arrives after newer files were seen
+        if name.endswith(".parquet"):
+            shutil.copy2(os.path.join(_local(raw), name), os.path.join(_local(raw), f"late-{name}"))
+            os.utime(os.path.join(_local(raw), f"late-{name}"), (old, old))
+            break
+    _run(spark, paths, raw, rules, gold_modes=())
+    assert read_layer(spark, paths.bronze, BRONZE).count() == read_layer(spark, paths.silver, SILVER).count() == 40
+
+
+def test_lost_checkpoint_is_noticed_and_a_reset_rebuilds(spark, rules):
+    paths, raw = _layout(spark, "test-reset")
+    rows = _rows(spark)
+    write_raw_files(rows, raw, 2)
+    _run(spark, paths, raw, rules)
+    shutil.rmtree(_local(paths.checkpoint("bronze")))
+    write_raw_files(rows.limit(50), raw, 1)
+    with pytest.raises(RuntimeError, match="reset_layer"):
+        _run(spark, paths, raw, rules)
+    assert paths.bronze in reset_layer(spark, paths, "bronze")
+    _run(spark, paths, raw, rules)
+    everything = rows.unionByName(rows.limit(50))
+    assert read_layer(spark, paths.bronze, BRONZE).count() == 1050
+    assert _same(read_layer(spark, paths.silver, SILVER), silver_flatten(everything))
+    want = gold_hourly(silver_flatten(everything), created_at=False)
+    live = read_gold_live(spark, paths.gold_live, paths.gold_live_snapshot).select(*want.columns)
+    assert live.agg(F.sum("event_count")).first()[0] == want.agg(F.sum("event_count")).first()[0] == 1050
+
+
+def test_live_gold_without_its_checkpoint_is_refused(spark, rules):
+    paths, raw = _layout(spark, "test-live-reset")
+    write_raw_files(_rows(spark), raw, 1)
+    _run(spark, paths, raw, rules, gold_modes=("live",))
+    shutil.rmtree(_local(paths.checkpoint("gold_live")))
+    with pytest.raises(RuntimeError, match="batch numbers would clash"):
+        _run(spark, paths, raw, rules, gold_modes=("live",))
+    reset_layer(spark, paths, "gold_live")
+    _run(spark, paths, raw, rules, gold_modes=("live",))
+    assert read_gold_live(spark, paths.gold_live).agg(F.sum("event_count")).first()[0] == 1000
+
+
+def test_every_hour_is_in_the_current_gold(spark, rules):
+    paths, raw = _layout(spark, "test-current")
+    rows = _rows(spark)
+    assert read_gold_current(spark, paths).count() == 0  # nothing written yet
+    write_raw_files(rows, raw, 2)
+    _run(spark, paths, raw, rules, gold_modes=("final",))
+    want = gold_hourly(silver_flatten(rows), created_at=False)
+    assert read_gold(spark, paths.gold).count() < want.count()
+    assert _same(read_gold_current(spark, paths).select(*want.columns), want)
+    day = want.filter("date_hour >= DATE '2024-01-30'")
+    assert _same(read_gold_current(spark, paths, "2024-01-30").select(*want.columns), day)
+
+
+def test_late_rows_are_counted(spark, rules):
+    paths, raw = _layout(spark, "test-late-count")
+    rows = _rows(spark)
+    write_raw_files(rows.filter("timestamp >= '2024-01-20'"), raw, 1)
+    _run(spark, paths, raw, rules, gold_modes=("final",))
+    late = rows.filter("timestamp < '2024-01-10'")
+    write_raw_files(late, raw, 1)
+    _run(spark, paths, raw, rules, gold_modes=("final",))
+    lines = read_metrics(spark, paths.metrics).filter("layer = 'gold'")
+    counted = lines.agg(F.sum(F.col("extra")["late_rows"].cast("long"))).first()[0]
+    assert counted and counted <= late.count()  # rows of one key are dropped after they are combined
+
+
+def test_committed_batches_of_a_failing_query_are_recorded(spark, tmp_path):
+    paths, _ = _layout(spark, "test-third-batch")
+    src = str(tmp_path / "src")
+    for i in range(3):
+        spark.range(i * 10, i * 10 + 10, 1, 1).write.mode("append").parquet(src)
+
+    def third_fails(df, batch_id):
+        df.write.format("noop").mode("overwrite").save()
+        if batch_id == 2:
+            raise RuntimeError("long " * 500 + "the root cause")
+
+    query = (
+        spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(src).writeStream.foreachBatch(third_fails)
+        .option("checkpointLocation", paths.checkpoint("third")).trigger(availableNow=True).start()
+    )
+    with pytest.raises(Exception, match="root cause"):
+        await_layers(spark, paths, [("silver", query, None)])
+    lines = {(r.batch_id, r.row_count, r.error is not None) for r in read_metrics(spark, paths.metrics).collect()}
+    assert lines == {(0, 10, False), (1, 10, False), (2, 0, True)}
+    (text,) = [r.error for r in read_metrics(spark, paths.metrics).filter("error IS NOT NULL").collect()]
+    assert "the root cause" in text
+
+
+def test_drop_bad_reads_the_source_once(spark, rules):
+    paths, raw = _layout(spark, "test-drop-bad")
+    rows = _rows(spark)
+    write_raw_files(rows, raw, 2)
+    _run(spark, paths, raw, rules, gold_modes=("final",), drop_bad=True, duplicate_metrics=True)
+    kept = read_layer(spark, paths.bronze, BRONZE).count()
+    bad = read_quarantine(spark, f"{paths.root}/quarantine")["bronze"].select("event_id").distinct().count()
+    assert 0 < kept < 1000 and kept + bad == 1000
+    assert read_layer(spark, paths.silver, SILVER).count() == kept
+    lines = {r.layer: r.rows for r in read_metrics(spark, paths.metrics).groupBy("layer").agg(F.sum("row_count").alias("rows")).collect()}
+    assert lines["bronze"] == lines["bronze_duplicates"] == 1000 and lines["silver"] == kept
+
+
+def test_long_running_layers_check_schema_and_duplicates(spark, rules):
+    paths, raw = _layout(spark, "test-checks")
+    rows = _rows(spark)
+    write_raw_files(rows.unionByName(rows.limit(7)), raw, 1)
+    queries, listener = start_layers(
+        spark, read_raw_stream(spark, path=raw), paths, rules, trigger={"processingTime": "1 second"}, state_partitions=2,
+        duplicate_metrics=True, fail_on_schema=True,
+    )
+    try:
+        for q in queries:
+            q.processAllAvailable()
+    finally:
+        for q in queries:
+            q.stop()
+        spark.streams.removeListener(listener)
+    found = read_metrics(spark, paths.metrics).filter("layer LIKE '%_duplicates'").collect()
+    assert {(r.layer, r.extra["duplicates"], r.row_count) for r in found} == {("bronze_duplicates", "7", 1007), ("silver_duplicates", "7", 1007)}
+
+
+def test_missing_fields_can_fail_a_layer(spark):
+    from strata.streaming.layers import _check_schema
+
+    df = spark.createDataFrame([], "event_id string")
+    _check_schema(df, ["event_id", "status"], False)
+    with pytest.raises(ValueError, match="schema check failed"):
+        _check_schema(df, ["event_id", "status"], True)
+
+
+def test_stateful_queries_leave_the_session_alone(spark, rules):
+    paths, raw = _layout(spark, "test-own-session")
+    write_raw_files(_rows(spark), raw, 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    _run(spark, paths, raw, rules, state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert len([d for d in os.listdir(os.path.join(_local(paths.checkpoint("gold_final")), "state", "0")) if d.isdigit()]) == 3

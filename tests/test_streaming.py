@@ -10,7 +10,8 @@ from strata.schemas import GOLD, GOLD_LIVE, SILVER
 from strata.session import scratch_path
 from strata.sources.events import event_rows
 from strata.sources.metrics import read_metrics
-from strata.sources.raw import land_in_time_order, read_raw_stream, write_raw_files
+from strata.plans.arrivals import land_in_time_order
+from strata.sources.raw import read_raw_stream, write_raw_files
 from strata.sources.tables import read_layer
 from strata.streaming.layers import LayerPaths, await_layers, run_layers
 

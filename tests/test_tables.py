@@ -1,31 +1,21 @@
-from pyspark.sql import functions as F
-
-from strata.schemas import EVENTS
-from strata.session import default_parallelism
-from strata.sources.tables import read_table, spread_small_scan
+from strata.schemas import EVENTS, QUARANTINE
+from strata.session import scratch_path
+from strata.sources.tables import read_or_empty, read_quarantine, read_table
 
 from .conftest import SF_SMALL
 
 
-def test_single_split_scan_is_spread_over_the_cores(spark):
-    plain = read_table(spark, SF_SMALL, "events", EVENTS)
-    assert plain.rdd.getNumPartitions() == 1  # one row group
-    spread = read_table(spark, SF_SMALL, "events", EVENTS, spread=True)
-    assert spread.rdd.getNumPartitions() == default_parallelism(spark)
-    # Every row arrives once, whatever the partitioning.
-    key = F.sum(F.col("event_id")).alias("s")
-    assert spread.count() == plain.count()
-    assert spread.agg(key).first().s == plain.agg(key).first().s
+def test_scan_has_no_exchange_of_its_own(spark):
+    plan = read_table(spark, SF_SMALL, "events", EVENTS)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
-def test_scan_with_enough_splits_is_left_alone(spark):
-    df = spark.range(0, 1000, 1, 16)
-    assert spread_small_scan(df, 8) is df
-    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+def test_missing_folder_reads_empty_with_the_schema(spark):
+    df = read_or_empty(spark, scratch_path(spark, "absent"), EVENTS)
+    assert df.schema == EVENTS and df.count() == 0
 
 
-def test_large_scan_is_never_shuffled_even_on_a_wide_cluster(spark):
-    # 64 splits on a session of 1,000 cores: under-split, but too big to move
-    df = spark.range(0, 6400, 1, 64)
-    assert spread_small_scan(df, 1000) is df
-    assert spread_small_scan(df, 1000, max_splits=64) is not df
+def test_quarantine_of_a_clean_pipeline_is_empty_and_typed(spark):
+    tables = read_quarantine(spark, scratch_path(spark, "absent"))
+    assert {name: df.schema for name, df in tables.items()} == QUARANTINE
+    assert all(df.count() == 0 for df in tables.values())
