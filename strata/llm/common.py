@@ -74,42 +74,37 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
-    """``(node, component)`` for every node of ``edges``; the component is the
-    smallest node reachable.
-
-    Alternating star contraction: each round links every neighbour of a node
-    to the smallest one, first upwards, then downwards, until the edges are
-    stars. A round is two partial aggregations and two joins; its edges go to
-    a written table. Nothing but a count and a checksum reaches the driver.
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100) -> DataFrame:
+    """``(node, component)`` for every node of ``edges``; nodes have the same
+    ``component``, one of them, if and only if they are connected.
+
+    Contraction: each round every node picks, among itself and its neighbours,
+    the first in a hashed order that changes with the round; edges are then
+    drawn between the picks, and those inside one pick vanish. Stars are gone
+    after one round, long chains lose a constant share in each. A round is one
+    partial aggregation and two joins over the edges that are left; picks and
+    edges go to written tables. Only whether edges are left reaches the driver.
     """
-
-    def stars(e: DataFrame, both: bool) -> DataFrame:
-        out = e.select(F.col("u"), F.col("v"))
-        if both:
-            out = out.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = out.groupBy("u").agg(F.min("v").alias("m"))
-        j = out.join(low, "u").withColumn("m", F.least("u", "m"))
-        if both:  # neighbours above u
-            return j.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # u's smaller neighbours and u itself
-        down = j.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        return down.unionByName(j.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
-
     a, b = F.col(src), F.col(dst)
-    e = written(edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    mark = None
-    for _ in range(max_rounds):
-        e = written(stars(stars(e, True), False), "stars")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )
+    e = written(edges.filter(a != b).select(a.alias("u"), b.alias("v")), "edges")
+    picks: list[DataFrame] = []
+    while not e.isEmpty():
+        if len(picks) == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        order = lambda c, r=len(picks): F.struct(F.xxhash64(F.col(c), F.lit(r)).alias("h"), F.col(c).alias("x"))
+        first = both.groupBy("u").agg(F.min(order("v")).alias("f")).select("u", F.least(F.col("f"), order("u")).alias("f"))
+        p = written(first.select("u", F.col("f.x").alias("p")), "picks")
+        picks.append(p)
+        ends = e.join(p, "u").select("v", F.col("p").alias("a")).join(p.select(F.col("u").alias("v"), F.col("p").alias("b")), "v")
+        e = written(ends.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    if not picks:
+        return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out = picks[0].select(F.col("u").alias("node"), F.col("p").alias("component"))
+    for p in picks[1:]:
+        later = p.select(F.col("u").alias("component"), F.col("p").alias("_p"))
+        out = out.join(later, "component", "left").select("node", F.coalesce("_p", "component").alias("component"))
+    return out
 
 
 def n_chars_after(changed: DataFrame, docs: DataFrame, text_col: str = "text", n_chars_col: str = "n_chars") -> DataFrame:

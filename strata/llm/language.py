@@ -172,7 +172,7 @@ def prediction(model: ByteCnn | None, text_col: str = "text") -> Column:
         tables = model.pair_tables() if model else []  # the model itself is a few thousand numbers
         for letters, texts in batches:
             langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            rows = np.flatnonzero(letters.to_numpy(zero_copy_only=False)) if model else ()
+            rows = np.flatnonzero(letters.to_numpy(zero_copy_only=False) & (model is not None))
             for some in _chunks(rows, texts):
                 parts = [cut(t) for _, t in some]
                 sizes = [len(t) for _, t in some]

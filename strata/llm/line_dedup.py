@@ -32,6 +32,7 @@ from strata.llm.common import int64, map_rows, row_key, text_bytes, written
 
 MIN_CHARS = 40
 MIN_DOCS = 5
+SALTS = 64
 RUN_ROW = "h1 long, h2 long, doc_id long, rk long, n_lines int, positions array<int>"
 
 
@@ -109,7 +110,10 @@ def line_drops(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     pending = found.filter("open")
     who = pending.select("h1", "h2", "doc_id").distinct()  # null ids are one document
     cold = who.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("first")).filter(F.col("n") >= min_docs)
-    late = pending.join(cold, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first")))
+    # A line of a third of all documents is dealt over SALTS tasks here.
+    cold = cold.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    pending = pending.withColumn("salt", F.pmod(F.xxhash64("doc_id", "rk"), F.lit(SALTS)).cast("int"))
+    late = pending.join(cold, ["h1", "h2", "salt"]).filter(~F.col("doc_id").eqNullSafe(F.col("first")))
     cols = ["doc_id", "rk", "n_lines", "positions"]
     drops = found.filter("NOT open").select(*cols).unionByName(late.select(*cols))
     by_doc = drops.groupBy("doc_id", "rk").agg(F.max("n_lines").alias("n_lines"), F.flatten(F.collect_list("positions")).alias("positions"))

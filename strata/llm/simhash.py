@@ -293,7 +293,7 @@ def near_duplicates(
 
 
 def components(fps: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame:
-    """``fps`` (doc_id, fp, ...) with ``component`` (its smallest fingerprint)
+    """``fps`` (doc_id, fp, ...) with ``component`` (one of its fingerprints)
     and ``component_id`` (its smallest id)."""
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp-classes")
     parts = connected_components(fingerprint_links(classes.select("fp"), radius, block))

@@ -100,7 +100,9 @@ def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    cuts = np.unique(np.array(ids.filter("doc_id IS NOT NULL").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.25 / parts), np.float64))
+    shares = [i / parts for i in range(parts)]  # the first, the least id, is no cut
+    found = ids.filter("doc_id IS NOT NULL").approxQuantile("doc_id", shares, 0.25 / parts)
+    cuts = np.unique(np.array(found[1:], np.float64))
 
     def bucket(values: np.ndarray, valid: np.ndarray) -> np.ndarray:
         return np.where(valid, np.searchsorted(cuts, values.astype(np.float64), side="right") + 1, 0)
