@@ -32,7 +32,7 @@ from strata.operators.silver import silver_flatten
 from strata.plans.backfill import backfill_layers
 from strata.schemas import BRONZE, EVENTS, ID_FIELDS, METRIC_FIELDS, SILVER
 from strata.session import default_parallelism, scratch_path, session_key, use_utc
-from strata.sources.events import event_rows, events_to_json
+from strata.sources.events import event_rows, events_to_json, faulty_records
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
 from strata.plans.arrivals import land_in_time_order
 from strata.sources.raw import read_raw_stream
@@ -139,6 +139,34 @@ def q_duplicate_count(spark, sf_dir):
     return duplicate_count(silver_rows(spark, sf_dir), "event_id")
 
 
+# The same operators over records with faults (duplicates, broken JSON, bad and
+# missing times, wrongly typed and out-of-range amounts).
+
+
+def faulty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_parse(faulty_records(bronze_rows(spark, sf_dir)))
+
+
+def q_faulty_bronze_parse(spark, sf_dir):
+    return flat_bronze(faulty_bronze(spark, sf_dir))
+
+
+def q_faulty_gold_hourly(spark, sf_dir):
+    return rounded_gold(gold_hourly(silver_flatten(faulty_bronze(spark, sf_dir)), created_at=False))
+
+
+def q_faulty_quality_report(spark, sf_dir):
+    return quality_report(with_flat_metrics(faulty_bronze(spark, sf_dir)), load_rules())
+
+
+def q_faulty_quarantine_rows(spark, sf_dir):
+    return quarantine_rows(silver_flatten(faulty_bronze(spark, sf_dir)), load_rules())
+
+
+def q_faulty_duplicate_count(spark, sf_dir):
+    return duplicate_count(silver_flatten(faulty_bronze(spark, sf_dir)), "event_id")
+
+
 # ---------------------------------------------------------------- metrics log
 
 _metrics_logs: dict[tuple, str] = {}
@@ -321,6 +349,11 @@ QUERIES: dict[str, Query] = {
     "quality_report": q_quality_report,
     "quarantine_rows": q_quarantine_rows,
     "duplicate_count": q_duplicate_count,
+    "faulty_bronze_parse": q_faulty_bronze_parse,
+    "faulty_gold_hourly": q_faulty_gold_hourly,
+    "faulty_quality_report": q_faulty_quality_report,
+    "faulty_quarantine_rows": q_faulty_quarantine_rows,
+    "faulty_duplicate_count": q_faulty_duplicate_count,
     "metrics_summary": q_metrics_summary,
     "metrics_timeline": q_metrics_timeline,
     "recent_errors": q_recent_errors,

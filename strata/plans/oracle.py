@@ -65,6 +65,30 @@ _GOLD_COLS = """date_hour, hour, event_type, source, status, event_count,
        min_distance, max_distance, min_temperature, max_temperature,
        min_amount, max_amount, min_duration, max_duration"""
 
+# The rows of records with faults, as strata.sources.events.faulty_records
+# makes them: ``flat`` holds what a permissive parse leaves of each record.
+_FAULTY_ROWS = _ROWS.replace("flat AS (", "clean AS (", 1).replace(
+    "silver AS (",
+    """flat AS (
+    SELECT CASE WHEN cut THEN NULL ELSE event_id END AS event_id,
+           CASE WHEN cut OR n % 23 = 3 AND n % 19 <> 2 THEN NULL WHEN n % 19 = 2 THEN 'not a time' ELSE "timestamp" END AS "timestamp",
+           CASE WHEN cut THEN NULL ELSE event_type END AS event_type,
+           CASE WHEN cut THEN NULL ELSE source END AS source,
+           CASE WHEN cut THEN NULL ELSE status END AS status,
+           CASE WHEN cut THEN NULL ELSE distance END AS distance,
+           CASE WHEN cut THEN NULL ELSE temperature END AS temperature,
+           CASE WHEN cut OR n % 29 = 4 THEN NULL WHEN n % 31 = 5 THEN -5.0 ELSE amount END AS amount,
+           CASE WHEN cut THEN NULL ELSE duration END AS duration,
+           CASE WHEN cut THEN NULL ELSE note END AS note,
+           CASE WHEN cut OR n % 23 = 3 OR n % 19 = 2 THEN NULL ELSE event_ts END AS event_ts
+    FROM (SELECT *, n % 17 = 1 AS cut FROM (SELECT *, CAST(substr(event_id, 2) AS BIGINT) AS n FROM clean)),
+         (VALUES (1), (2)) AS delivery(number)
+    WHERE number = 1 OR n % 13 = 0
+),
+silver AS (""",
+    1,
+)
+
 # Metric lines derived from events (same mapping as
 # strata.sources.metrics.metrics_lines_from_events); the extra unparsable
 # lines are dropped by the reader, so they do not appear here.
@@ -183,6 +207,8 @@ FROM gold GROUP BY event_type ORDER BY total_events DESC, event_type"""
         "SELECT 'bronze' AS layer, n AS rows FROM q UNION ALL SELECT 'silver', n FROM q "
         "UNION ALL SELECT 'all', 2 * n FROM q",
     }
+    for name in ("bronze_parse", "gold_hourly", "quality_report", "quarantine_rows", "duplicate_count"):
+        sql[f"faulty_{name}"] = sql[name].replace(_ROWS, _FAULTY_ROWS)
     sql["bronze_stream"] = sql["bronze_parse"]
     sql["silver_stream"] = sql["silver_flatten"]
     sql["gold_hourly_live"] = gold

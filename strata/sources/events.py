@@ -56,3 +56,20 @@ def events_to_json(rows: DataFrame, *carry: str) -> DataFrame:
     JSON text of the event, the layout a Kafka sink expects. ``carry``
     names extra columns to keep alongside."""
     return rows.select(F.col("event_id").alias("key"), event_json().alias("value"), *carry)
+
+
+def faulty_records(rows: DataFrame) -> DataFrame:
+    """Bronze-shaped rows -> ``value`` records with the faults that a real
+    topic has, each from the number n in the event id (fixed values):
+    n % 13 = 0: delivered twice; n % 17 = 1: JSON text cut after 20
+    characters; n % 19 = 2: the time is no time; n % 23 = 3: no time;
+    n % 29 = 4: amount is text; n % 31 = 5: amount is -5.0.
+    """
+    n = F.substring("event_id", 2, 20).cast("long")
+    time = F.when(n % 19 == 2, F.lit("not a time")).when(n % 23 == 3, F.lit(None).cast("string")).otherwise(F.col("timestamp"))
+    amount = F.when(n % 29 == 4, F.lit(None).cast("double")).when(n % 31 == 5, F.lit(-5.0)).otherwise(F.col("metrics.amount"))
+    changed = rows.withColumn("timestamp", time).withColumn("metrics", F.col("metrics").withField("amount", amount))
+    text = event_json()
+    text = F.when(n % 29 == 4, F.replace(text, F.lit('"duration"'), F.lit('"amount":"n/a","duration"'))).otherwise(text)
+    text = F.when(n % 17 == 1, F.substring(text, 1, 20)).otherwise(text)
+    return changed.select(F.explode(F.array_repeat(text, F.when(n % 13 == 0, 2).otherwise(1))).alias("value"))
