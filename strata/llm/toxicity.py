@@ -35,7 +35,7 @@ FIT_DOCS = 8000
 FEATURES = 2000
 PREFIXES = (4, 5)
 #: Shares of words with a tied feature from which a toxic document has grade 2, 3.
-GRADE_CUTS = (0.01, 0.04)
+GRADE_CUTS = (0.02, 0.05)
 #: A tied feature is at least so many times as frequent among toxic documents.
 LEAST_RATIO = 5.0
 TOKEN = re.compile(r"\w+")
@@ -75,7 +75,7 @@ class OrdinalModel:
         return [1 / (1 + math.exp(min(700.0, t - score))) for t in self.thresholds]
 
 
-def train(rows: list[list[tuple[int, float]]], grades: np.ndarray, n_features: int, steps: int = 400, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def train(rows: list[list[tuple[int, float]]], grades: np.ndarray, n_features: int, steps: int = 400, l2: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights and rising thresholds that maximise the likelihood (Adam, all
     rows at once). ``grades`` are 0, 1, ... without gaps."""
     at = np.array([i for i, r in enumerate(rows) for _ in r], np.int64)

@@ -13,13 +13,14 @@ def test_held_out_documents(spark):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     model = toxicity.fit(docs, labels, usable=F.col("id") % 3 != 0)
     got = toxicity.score(docs, model).join(labels.select("doc_id", F.col("toxic").alias("label")), "doc_id").collect()
-    held = [r for r in got if r["doc_id"] % 3 == 0]
+    lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    # Of the other languages the sample holds too few toxic documents to learn their words.
+    held = [r for r in got if r["doc_id"] % 3 == 0 and lang[r["doc_id"]] == "en"]
     bad = [r["expected_severity"] for r in held if r["label"]]
     clean = [r["expected_severity"] for r in held if not r["label"]]
     assert len(bad) >= 5
-    order = np.mean([(b > c) + 0.5 * (b == c) for b in bad for c in clean])
-    assert order > 0.85  # few examples here: words of a language that the sample lacks can't be learned
-    assert np.mean([r["toxic"] for r in held if not r["label"]]) < 0.02
+    assert np.mean([(b > c) + 0.5 * (b == c) for b in bad for c in clean]) > 0.97
+    assert not any(r["toxic"] for r in got if r["doc_id"] % 3 == 0 and not r["label"])
 
 
 def test_thresholds_rise_and_weights_are_shared():
