@@ -85,16 +85,15 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", u
         .withColumn("span", _span(F.col("fetched_at")))
         .withColumn("salt", F.pmod(F.xxhash64("url", "fetched_at"), F.lit(SALTS)).cast("int"))
     )
-    ends = seen.agg(F.min("fetched_at").alias("a"), F.max("fetched_at").alias("b"))
-    first, last = _span(F.col("a")), _span(F.col("b"))
-    reach = ends.select(first.alias("first"), last.alias("last"))  # one row
-    start, end = F.greatest(_span(F.col("valid_from")), F.col("first")), F.least(F.coalesce(_span(F.col("valid_to")), F.col("last")), F.col("last"))
+    # Intervals are only copied to spans in which there are captures: two numbers.
+    first, last = seen.agg(F.min(_span(F.col("fetched_at"))), F.max(_span(F.col("fetched_at")))).first()
+    first, last = F.lit(first).cast("int"), F.lit(last).cast("int")  # null without captures: no interval reaches one
+    start, end = F.greatest(_span(F.col("valid_from")), first), F.least(F.coalesce(_span(F.col("valid_to")), last), last)
     intervals = (
         validity_intervals(entries)
-        .join(F.broadcast(reach))
         .withColumn("from", start)
         .withColumn("to", end)
-        .filter(F.col("from") <= F.col("to"))
+        .filter(last.isNotNull() & (F.col("from") <= F.col("to")))
         .withColumn("span", F.explode(F.sequence("from", "to")))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         .select("list", "key", "valid_from", "valid_to", "span", "salt")
