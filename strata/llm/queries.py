@@ -41,8 +41,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", substring_dedup.digest(F.col("kept").cast("binary")).alias("kept_sha256"))
+    return substring_dedup.removal_digest(table(spark, sf_dir, "documents"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,9 @@ answers it for the keys that it sees twice, and sends on one delegate for each
 of them, so a passage that a third of all documents share gives a row for each
 batch and not for each copy. Only keys that a batch holds once wait for the
 shuffle. Pairs of copies are never formed.
+
+Texts cross a shuffle compressed, once to meet their seeds; those that have
+seeds, usually the smaller part, once more to meet their repeats.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import int64, map_rows, row_key, text_bytes, written
+from strata.llm.common import int64, map_rows, text_bytes, written
 
 LENGTH = 35
 #: Words of an anchor. A window of 35 words has 24 of them.
@@ -95,9 +98,20 @@ def _states(*keys: np.ndarray) -> np.ndarray:
     return state
 
 
-def _again(rows: DataFrame, *keys: str) -> Column:
-    """Whether the key of a row that was alone in its batch occurs in another."""
-    return F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows found to repeat in their batch, and those alone in it whose
+    key another batch holds. ``known`` rows carry keys of their own that
+    spread them evenly; they only pass through."""
+    again = F.count(F.lit(1)).over(Window.partitionBy(*keys, "known")) > 1
+    return rows.withColumn("again", again).filter((F.col("state") != ALONE) | F.col("again"))
+
+
+def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, i, r, ref, t)``: i and r tell rows apart (r only has to tell
+    texts under one id apart, and null ids from 0), ref is both in one number."""
+    i, null = F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")), F.col(id_col).isNull()
+    r = F.hash(F.xxhash64(F.col(text_col), null))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), i.alias("i"), r.alias("r"), F.xxhash64(i, F.col(text_col), null).alias("ref"), text_bytes(text_col).alias("t"))
 
 
 def seeds(docs: DataFrame, length: int, k: int) -> DataFrame:
@@ -115,36 +129,46 @@ def seeds(docs: DataFrame, length: int, k: int) -> DataFrame:
             keys.append(grams[at])
             places.append(at)
         if refs:
-            key = np.concatenate(keys)
+            key, ref, place = np.concatenate(keys), np.concatenate(refs), np.concatenate(places)
+            state = _states(key)
+            known = state == KNOWN
+            key = np.where(known, _spread(ref, place), key)
             yield pa.RecordBatch.from_arrays(
-                [int64(key), pa.array(np.concatenate(refs)), pa.array(np.concatenate(places).astype(np.int32)), pa.array(_states(key))],
-                ["key", "ref", "place", "state"],
+                [int64(key), pa.array(known), pa.array(ref), pa.array(place.astype(np.int32)), pa.array(state)],
+                ["key", "known", "ref", "place", "state"],
             )
 
-    found = written(map_rows(docs.select("ref", "t"), run, "key long, ref long, place int, state tinyint"), "anchors")
-    known = found.filter(F.col("state") != ALONE).select("ref", "place")
-    shuffled = found.filter(F.col("state") != KNOWN).withColumn("again", _again(found, "key"))
-    late = shuffled.filter((F.col("state") == ALONE) & F.col("again")).select("ref", "place")
-    return known.unionByName(late).groupBy("ref").agg(F.collect_list("place").alias("seeds"))
+    found = _repeated(map_rows(docs.select("ref", "t"), run, "key long, known boolean, ref long, place int, state tinyint"), "key")
+    return found.groupBy("ref").agg(F.collect_list("place").alias("seeds"))
+
+
+def _spread(ref: np.ndarray, place: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mixed(ref.view(np.uint64) + place.astype(np.uint64) * _M[1])
+
+
+def with_seeds(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
+    """``(i, r, z, seeds)`` of the documents that have seeds, written once:
+    windows and removal both read it. ``docs`` as by :func:`identified`."""
+    packed = docs.select("i", "r", "ref", _compressed(F.col("t")).alias("z"))
+    return written(packed.join(seeds(docs, length, k), "ref").select("i", "r", "z", "seeds"), "seeded")
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
-    """``(doc_id, rk, runs)``: where each document's repeated windows start, as
-    runs ``(start, n)``. ``docs`` has (doc_id, rk, ref, t)."""
-    packed = docs.select("doc_id", "rk", "ref", _compressed(F.col("t")).alias("z"))
-    rows = packed.join(seeds(docs, length, k), "ref").select("doc_id", "rk", "z", "seeds")
+def repeated_windows(seeded: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
+    """``(i, r, runs)``: where each document's repeated windows start, as runs
+    ``(start, n)``."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         of, starts, w1, w2 = [], [], [], []
-        for i, (z, places) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+        for x, (z, places) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
             h = word_hashes(_plain(z).split())
             marked = np.zeros(max(h.shape[1], max(places) + 1), bool)
             marked[places] = True
             at = np.flatnonzero(marked[anchors(gram_hashes(h[0], k, 0), length - k + 1)])
-            of.append(np.full(len(at), i))
+            of.append(np.full(len(at), x))
             starts.append(at)
             w1.append(gram_hashes(h[0], length, 0)[at])
-            w2.append(gram_hashes(h[1], length, 1)[at])
+            w2.append(gram_hashes(h[1], length, 1)[at] >> np.uint64(33))  # 95 bits tell windows apart
         of, start, w1, w2 = (np.concatenate(x) for x in (of, starts, w1, w2))
         if not len(of):
             return
@@ -156,25 +180,24 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataF
             first = np.concatenate(([True], (of[rest][1:] != of[rest][:-1]) | (start[rest][1:] != start[rest][:-1] + 1)))
             at = rest[first]
             n = np.diff(np.concatenate((np.flatnonzero(first), [len(rest)])))
-            none = np.zeros(len(at), np.uint64)
-            yield _window_rows(batch, of[at], start[at], n, none, none, state[at])
+            yield _window_rows(batch, of[at], start[at], n, w1[at], w2[at], state[at])
 
-    schema = "doc_id long, rk long, start int, n int, w1 long, w2 long, state tinyint"
-    found = written(map_rows(rows, run, schema), "windows")
-    known = found.filter(F.col("state") != ALONE).select("doc_id", "rk", "start", "n")
-    shuffled = found.filter(F.col("state") != KNOWN).withColumn("again", _again(found, "w1", "w2"))
-    late = shuffled.filter((F.col("state") == ALONE) & F.col("again")).select("doc_id", "rk", "start", "n")
-    return known.unionByName(late).groupBy("doc_id", "rk").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    schema = "i long, r int, start int, n int, w1 long, w2 int, state tinyint, known boolean"
+    found = _repeated(map_rows(seeded, run, schema), "w1", "w2")
+    return found.groupBy("i", "r").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
 
 
 def _window_rows(batch, of, start, n, w1, w2, state) -> pa.RecordBatch:
     take = pa.array(of)
+    known = state == KNOWN
+    own = batch.column(0).take(take).to_numpy(zero_copy_only=False)
+    w1 = np.where(known, _spread(own, start), w1)
     return pa.RecordBatch.from_arrays(
         [
-            batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)),
-            int64(w1), int64(w2), pa.array(state.astype(np.int8)),
+            pa.array(own), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)),
+            int64(w1), pa.array(w2.astype(np.int32)), pa.array(state.astype(np.int8)), pa.array(known),
         ],
-        ["doc_id", "rk", "start", "n", "w1", "w2", "state"],
+        ["i", "r", "start", "n", "w1", "w2", "state", "known"],
     )
 
 
@@ -183,7 +206,7 @@ def _compressed(column: Column) -> Column:
 
     @F.arrow_udf("binary")
     def compressed(texts: pa.Array) -> pa.Array:
-        z = zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=9)
         return pa.array([z.compress(t) for t in texts.to_pylist()], pa.binary())
 
     return compressed(column)
@@ -202,6 +225,15 @@ def covered(n_words: int, runs: list[dict] | None, length: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def _removed(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
+    """(words, mask of those removed, kept text) of rows that end in z, runs."""
+    for z, runs in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+        words = _plain(z).split()
+        gone = covered(len(words), runs, length)
+        kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words
+        yield len(words), gone, b" ".join(kept)
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_removed, kept, spans)`` for every row: the kept
     words joined by one space, and the removed spans ``(first word, words)``.
@@ -210,21 +242,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, id_col: st
     keep all. Repeated rows are copies of each other: each loses its windows.
     Null ids are kept. Other columns are not read.
     """
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(text_col).alias("rk"), row_key(id_col, text_col).alias("ref"), text_bytes(text_col).alias("t"))
-    found = repeated_windows(keyed, length, k)
-    packed = keyed.select("doc_id", "rk", _compressed(F.col("t")).alias("z"))
-    on = packed["doc_id"].eqNullSafe(found["doc_id"]) & (packed["rk"] == found["rk"])
-    rows = packed.join(found, on, "left").select(packed["doc_id"], "z", "runs")
+    rows = identified(docs, id_col, text_col)
+    runs = repeated_windows(with_seeds(rows, length, k), length, k)
+    joined = rows.select("doc_id", "i", "r", _compressed(F.col("t")).alias("z")).join(runs, ["i", "r"], "left").select("doc_id", "z", "runs")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n_words, n_removed, kept, spans = [], [], [], []
-        for z, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            words = _plain(z).split()
-            gone = covered(len(words), runs, length)
-            n_words.append(len(words))
-            n_removed.append(int(gone.sum()))
-            kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]) if gone.any() else b" ".join(words))
+        for n, gone, text in _removed(batch, length):
             edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0])))).tolist()
+            n_words.append(n)
+            n_removed.append(int(gone.sum()))
+            kept.append(text)
             spans.append([{"first": a, "words": b - a} for a, b in zip(edges[::2], edges[1::2], strict=True)])
         kind = pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32())]))
         return pa.RecordBatch.from_arrays(
@@ -233,12 +261,32 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, id_col: st
         )
 
     schema = "doc_id long, n_words long, n_removed long, kept binary, spans array<struct<first: int, words: int>>"
-    return map_rows(rows, run, schema).withColumn("kept", F.col("kept").cast("string"))
+    return map_rows(joined, run, schema).withColumn("kept", F.col("kept").cast("string"))
 
 
-def digest(kept: Column) -> Column:
-    @F.arrow_udf("string")
-    def sha256(texts: pa.Array) -> pa.Array:
-        return pa.array([hashlib.sha256(t).hexdigest() for t in texts.to_pylist()])
+def removal_digest(docs: DataFrame, length: int = LENGTH, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept_sha256)`` for every row: as
+    :func:`remove_repeats`, with the SHA-256 of the kept text instead of it.
+    Texts that lose nothing are digested where they are read and do not move."""
+    rows = identified(docs, id_col, text_col)
+    seeded = with_seeds(rows, length, k)
+    cut = seeded.select("i", "r", "z").join(repeated_windows(seeded, length, k), ["i", "r"])
+
+    def removed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = [(int(gone.sum()), hashlib.sha256(text).hexdigest()) for _, gone, text in _removed(batch, length)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out])], ["i", "r", "n_removed", "cut_sha256"]
+        )
 
-    return sha256(kept)
+    @F.arrow_udf("struct<n_words: long, sha256: string>")
+    def whole(texts: pa.Array) -> pa.Array:
+        words = [t.split() for t in texts.to_pylist()]
+        sums = [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]
+        return pa.StructArray.from_arrays([pa.array([len(w) for w in words], pa.int64()), pa.array(sums, pa.string())], names=["n_words", "sha256"])
+
+    # Rows equal in id and text lose the same words: one of them speaks for all.
+    cut = map_rows(cut, removed, "i long, r int, n_removed long, cut_sha256 string").dropDuplicates(["i", "r"])
+    all_ = rows.select("doc_id", "i", "r", whole("t").alias("w")).join(cut, ["i", "r"], "left")
+    return all_.select(
+        "doc_id", "w.n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "w.sha256").alias("kept_sha256")
+    )

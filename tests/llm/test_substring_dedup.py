@@ -31,7 +31,8 @@ def brute(texts, length=35):
 def check(spark, rows, docs=None, **options):
     docs = docs or docs_of(spark, rows)
     found = sd.remove_repeats(docs, **options)
-    got = sorted(map(tuple, found.select("doc_id", "n_words", "n_removed", sd.digest(found["kept"].cast("binary"))).collect()), key=str)
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest()) for r in found.collect()), key=str)
+    assert sorted(map(tuple, sd.removal_digest(docs, **options).collect()), key=str) == got
     want = [(i, n, r, hashlib.sha256(k.encode()).hexdigest()) for (i, *_), (n, r, k) in zip(rows, brute([r[1] for r in rows], options.get("length", 35)), strict=True)]
     assert got == sorted(want, key=str)
     return found
