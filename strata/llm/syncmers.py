@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 K = 24
 S = 8  # bytes, so that an S-mer is one 64-bit number
 BINS = 64
+#: Ranges of ids for each partition: several small ones even out what a partition gets.
+RANGES = 8
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -100,8 +102,9 @@ def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    shares = [i / parts for i in range(parts)]  # the first, the least id, is no cut
-    found = ids.filter("doc_id IS NOT NULL").approxQuantile("doc_id", shares, 0.25 / parts)
+    ranges = parts * RANGES
+    shares = [i / ranges for i in range(ranges)]  # the first, the least id, is no cut
+    found = ids.filter("doc_id IS NOT NULL").approxQuantile("doc_id", shares, 0.25 / ranges)
     cuts = np.unique(np.array(found[1:], np.float64))
 
     def bucket(values: np.ndarray, valid: np.ndarray) -> np.ndarray:
