@@ -15,11 +15,13 @@ from strata.session import get_session  # noqa: E402
 
 HEADLINE = {
     "gold_hourly": "partial aggregate before the shuffle; only used columns read",
-    "kpis_by_event_type": "two aggregation levels, each partial + final; sort only on the tiny result",
+    "kpis_by_event_type": "the written Gold table is read: one aggregation by event type, no exchange on the Gold keys",
+    "kpis_by_event_type_dates": "date bounds as PartitionFilters",
+    "gold_hourly_live": "untouched hours straight from the snapshot (anti join), max_by over touched hours and the tail only",
     "quality_report": "one pass, count_if per rule, single-row final",
     "quarantine_rows": "rule filter evaluated in the scan stage, explode without shuffle",
     "duplicate_count": "ids de-duplicated per map task before the shuffle",
-    "metrics_timeline": "fixed-value pivot as one conditional aggregate: one aggregation shuffle, then the sort",
+    "metrics_timeline": "pivot as one conditional aggregate: one aggregation shuffle, then the sort",
     "recent_errors": "TakeOrderedAndProject (top-k), no full sort",
     "gold_backfill": "date_hour partition column read from the folder layout",
 }
@@ -45,7 +47,7 @@ def stream_plans(spark, sf_dir: str) -> list[str]:
     src = LayerPaths(scratch_path(spark, "plans-src"))
     backfill_layers(spark, events_to_json(bronze_rows(spark, sf_dir)), src, rules)
     paths = LayerPaths(scratch_path(spark, "plans"))
-    spark.read.parquet(src.silver).write.parquet(paths.silver)
+    spark.read.parquet(src.silver).drop("event_date").write.parquet(paths.silver)
     # Only the data batch, so the captured plan is the one that reads Silver
     # (a closing no-data batch would be the last execution otherwise).
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
