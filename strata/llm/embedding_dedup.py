@@ -171,7 +171,8 @@ def near_duplicates(
         .join(parts.withColumnRenamed("node", "k"), "k", "left")
         .withColumn("component", F.coalesce("component", "k"))
     )
-    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written, so that a large component's rows can be dealt to several tasks of the join.
+    ids = written(named.groupBy("component").agg(F.min("least").alias("component_id")), "vector-components")
     n_links = (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links")
     found = usable.select("vec_id", "k").join(named.join(ids, "component").select("k", n_links, "component_id"), "k")
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")

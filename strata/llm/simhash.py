@@ -298,7 +298,8 @@ def components(fps: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp-classes")
     parts = connected_components(fingerprint_links(classes.select("fp"), radius, block))
     labelled = classes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written, so that a large component's rows can be dealt to several tasks of the join.
+    names = written(labelled.groupBy("component").agg(F.min("least").alias("component_id")), "fp-components")
     return fps.join(labelled.join(names, "component").select("fp", "component", "component_id"), "fp")
 
 
