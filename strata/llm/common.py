@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,16 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBat
     return df.mapInArrow(run, schema)
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``most`` bytes in a binary column,
+    one row at least, so that what a task holds follows bytes and not rows."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(run)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
 def text_bytes(column: str = "text") -> Column:
     """The text as UTF-8 bytes (null as empty), so that tasks need not decode it."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

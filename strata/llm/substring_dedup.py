@@ -34,13 +34,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import int64, map_rows, text_bytes, written
+from strata.llm.common import int64, map_rows, slices, text_bytes, written
 
 LENGTH = 35
 #: Words of an anchor. A window of 35 words has 24 of them.
 K = 12
 _M = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 ALONE, DELEGATE, KNOWN = 0, 1, 2
+#: Bytes of text that a task looks at together.
+SLICE = 12 << 20
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -118,6 +120,10 @@ def seeds(docs: DataFrame, length: int, k: int) -> DataFrame:
     """``(ref, seeds)``: the places of each document's anchors that occur again."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in slices(batch, 1, SLICE):
+            yield from of(part)
+
+    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         refs, keys, places = [], [], []
         for ref, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = text.split()
@@ -159,6 +165,10 @@ def repeated_windows(seeded: DataFrame, length: int = LENGTH, k: int = K) -> Dat
     ``(start, n)``."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in slices(batch, 2, SLICE // 3):  # compressed
+            yield from windows(part)
+
+    def windows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         of, starts, w1, w2 = [], [], [], []
         for x, (z, places) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
             h = word_hashes(_plain(z).split())
