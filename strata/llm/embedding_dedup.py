@@ -1,18 +1,22 @@
 """Embedding near-duplicates by a forest of random-projection trees.
 
-A tree splits the vectors again and again by a random direction at the median
-of their projections. Vectors near a split go to both sides (spill), so a pair
-of near vectors is rarely parted, and a pair parted in one tree meets in
-another. Vectors that meet in a leaf of any tree are compared by cosine in
-double precision; links are united.
+A tree splits the vectors again and again by a random direction, at the median
+of their projections or where far fewer of them are close to the split. Vectors
+near a split go to both sides (spill), so a pair of near vectors is rarely
+parted, and a pair parted in one tree meets in another. The band that spills is
+never narrow against the distance of two linked vectors, and a node as narrow
+as that distance (a crowd of near copies) is split no further. Vectors that
+meet in a leaf of any tree are compared by cosine in double precision; links
+are united.
 
 Scale: the trees (directions, medians) come from a bounded sample of
 ``FIT_ROWS`` vectors and are a few MB; every vector is put into the leaves of
 every tree. Trees are shared by all labels; a label with few vectors stops
 higher up, where a leaf already holds about ``LEAF`` of them. Vectors equal in
 every component are one class and go through the trees once. A leaf that is
-larger than ``BLOCK`` all the same (a crowd of near copies cannot be split) is
-cut into blocks compared pair by pair in tasks of their own.
+larger than ``BLOCK`` all the same (a crowd of near copies is not split) is
+cut into blocks compared pair by pair in tasks of their own. Rows that share
+an earlier leaf, as a crowd does in every tree, are not compared again.
 
 A pair that meets in several leaves is counted in the first of them, which both
 sides can tell from the leaves they carry. So a leaf gives one count for each
@@ -36,6 +40,8 @@ TREES = 8
 LEAF = 512
 #: Half-width of the band that goes to both sides, in standard deviations of the projections.
 SPILL = 0.2
+#: Least half-width of the band, in standard deviations of a linked pair's projected difference.
+REACH_SPILL = 0.5
 FIT_ROWS = 20000
 MAX_DEPTH = 24
 BLOCK = 4096
@@ -46,31 +52,50 @@ class Forest:
     """``trees`` trees over unit vectors of ``dim`` components.
 
     Node numbers follow a heap: the root is 1, the children of n are 2n and
-    2n + 1. Directions come from the seed and the node's number. Medians and
+    2n + 1. Directions come from the seed and the node's number. Splits and
     spreads are fitted while at least ``least`` sample rows reach a node; below,
     a node splits at its direction's value at the centre of the last fitted one.
+    ``radius`` is the largest distance of linked vectors.
     """
 
-    def __init__(self, sample: np.ndarray, trees: int, depth: int, spill: float, seed: int, least: int = 32) -> None:
+    def __init__(self, sample: np.ndarray, trees: int, depth: int, spill: float, seed: int, radius: float, least: int = 32) -> None:
         self.dim, self.trees, self.spill, self.seed = sample.shape[1], trees, spill, seed
+        self.reach = radius / self.dim**0.5  # of a linked pair along a random direction
         self.splits: list[dict[int, tuple[float, float]]] = []
-        self.centres: list[dict[int, tuple[np.ndarray, float]]] = []
+        self.centres: list[dict[int, tuple[np.ndarray, float, bool]]] = []
         for t in range(trees):
             splits: dict[int, tuple[float, float]] = {}
-            centres: dict[int, tuple[np.ndarray, float]] = {}
+            centres: dict[int, tuple[np.ndarray, float, bool]] = {}
             todo = [(1, np.arange(len(sample)))]
             while todo:
                 node, rows = todo.pop()
-                if len(rows) < least or node.bit_length() > depth:
-                    x = sample[rows] if len(rows) else np.zeros((1, self.dim))
-                    centres[node] = (x.mean(axis=0).astype(np.float32), float(x.std(axis=0).mean()) or 1.0 / self.dim**0.5)
+                x = sample[rows] if len(rows) else np.zeros((1, self.dim))
+                spread = float(np.sqrt(x.var(axis=0).mean()))
+                crowd = len(rows) >= least and spread <= self.reach
+                if crowd or len(rows) < least or node.bit_length() > depth:
+                    centres[node] = (x.mean(axis=0).astype(np.float32), spread if crowd or spread else 1.0 / self.dim**0.5, crowd)
                     continue
-                p = sample[rows] @ self.direction(t, node)
-                splits[node] = (float(np.median(p)), float(p.std()))
+                p = x @ self.direction(t, node)
+                splits[node] = (self.cut(p), float(p.std()))
                 todo += [(2 * node, rows[p <= splits[node][0]]), (2 * node + 1, rows[p > splits[node][0]])]
             self.splits.append(splits)
             self.centres.append(centres)
 
+    def band(self, spread: float) -> float:
+        return max(self.spill * spread, REACH_SPILL * self.reach)
+
+    def cut(self, p: np.ndarray) -> float:
+        """The median, or the split with the fewest values in its band for each
+        value on its smaller side, if that is clearly better: the edge of a crowd."""
+        p = np.sort(p)
+        share = np.linspace(0.05, 0.95, 37)
+        at = np.quantile(p, share)
+        band = self.band(float(p.std()))
+        inside = np.searchsorted(p, at + band, "right") - np.searchsorted(p, at - band)
+        score = inside / np.minimum(share, 1 - share)
+        best = int(np.argmin(score))
+        return float(at[best] if score[best] < 0.75 * score[18] else at[18])
+
     def direction(self, tree: int, node: int) -> np.ndarray:
         v = np.random.default_rng((self.seed, tree, node)).normal(size=self.dim)
         return v / np.linalg.norm(v)
@@ -82,7 +107,7 @@ class Forest:
         up = node
         while up not in self.centres[tree]:
             up >>= 1
-        centre, spread = self.centres[tree][up]
+        centre, spread, _ = self.centres[tree][up]
         return d, float(centre @ d), spread
 
     def leaves(self, x: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +121,8 @@ class Forest:
                 node, rows = todo.pop()
                 if not len(rows):
                     continue
-                done = depth[rows] < node.bit_length()
+                crowd = self.centres[t].get(node, (None, 0.0, False))[2]
+                done = (depth[rows] < node.bit_length()) | crowd
                 if done.any():
                     rows_out.append(rows[done])
                     leaves_out.append(np.full(int(done.sum()), (t << 40) + node, np.int64))
@@ -105,7 +131,7 @@ class Forest:
                         continue
                 d, middle, spread = self.split(t, node)
                 p = x[rows] @ d - middle
-                band = self.spill * spread
+                band = self.band(spread)
                 todo += [(2 * node, rows[p <= band]), (2 * node + 1, rows[p > -band])]
         return np.concatenate(rows_out), np.concatenate(leaves_out)
 
@@ -190,7 +216,7 @@ def _compared(classes: DataFrame, least: float, trees: int, leaf: int, spill: fl
     dims_seen = sample.column("dim").to_numpy()
     for dim in np.unique(dims_seen).tolist():
         x = _matrix(sample.filter(pa.array(dims_seen == dim)).column("x").combine_chunks())
-        forests[dim] = Forest(x / np.linalg.norm(x, axis=1, keepdims=True), trees, MAX_DEPTH, spill, SEED)
+        forests[dim] = Forest(x / np.linalg.norm(x, axis=1, keepdims=True), trees, MAX_DEPTH, spill, SEED, (2 - 2 * least) ** 0.5)
 
     kind = classes.schema["x"].dataType.simpleString()
     schema = f"leaf long, leaves array<long>, label string, dim int, k binary, n long, x {kind}"
@@ -273,12 +299,15 @@ def _leaf_links(t: pa.Table, least: float, rows: int = 512) -> Iterator[pa.Recor
     left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
     links = np.zeros(len(u), np.int64)
     root = np.arange(len(u))
-    for at in range(0, len(left), rows):
-        a = left[at : at + rows]
-        i, j = np.nonzero(u[a] @ u[right].T >= least - 1e-9)
-        i, j = a[i], right[j]
+    # Rows that met in one earlier leaf were compared, counted and united there.
+    met = _met(t.column("leaves").combine_chunks(), leaf)
+    parts = [(left[~met[left]], right)] + [(left[met[left]], right[~met[right]])] * (lo != hi)
+    for a, b in [(some[at : at + rows], b) for some, b in parts for at in range(0, len(some), rows)]:
+        i, j = np.nonzero(u[a] @ u[b].T >= least - 1e-9)
+        i, j = a[i], b[j]
         if lo == hi:
-            i, j = i[i < j], j[i < j]
+            once = (i < j) | met[j]
+            i, j = i[once], j[once]
         for some in np.array_split(np.arange(len(i)), len(i) // 65536 + 1):
             x, y = i[some], j[some]
             exact = np.einsum("ij,ij->i", u[x], u[y]) >= least
@@ -293,6 +322,18 @@ def _leaf_links(t: pa.Table, least: float, rows: int = 512) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([k.take(pa.array(found)), int64(links[found]), k.take(pa.array(root[found]))], ["k", "links", "root"])
 
 
+def _met(leaves: pa.Array, leaf: int) -> np.ndarray:
+    """Which rows are in the one leaf before ``leaf`` that most of them are in."""
+    node, size = leaves.flatten().to_numpy(), leaves.value_lengths().to_numpy()
+    row = np.repeat(np.arange(len(size)), size)
+    row, node = row[node < leaf], node[node < leaf]
+    met = np.zeros(len(size), bool)
+    if len(node):
+        ids, count = np.unique(node, return_counts=True)
+        met[row[node == ids[np.argmax(count)]]] = True
+    return met
+
+
 def _earlier(leaves: pa.Array, leaf: int) -> np.ndarray:
     """For each row, a bitmap of the leaves before ``leaf`` that it shares with another row."""
     node, size = leaves.flatten().to_numpy(), leaves.value_lengths().to_numpy()

@@ -53,6 +53,19 @@ def test_recall_and_counts_against_brute_force(spark, leaf, block):
     assert all(a[1] <= b[1] for a, b in zip(got, want, strict=True))
 
 
+def test_links_inside_a_crowd_are_whole_at_depth_nine(spark):
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=64)
+    crowd = centre / np.linalg.norm(centre) * 0.94**0.5 + rng.normal(size=(1000, 64)) * (0.06 / 64) ** 0.5
+    x = np.concatenate((crowd, rng.normal(size=(2000, 64))))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    got = result(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), leaf=6, block=256)
+    want = brute(rows)
+    found, true = sum(r[1] for r in got), sum(r[1] for r in want)
+    assert 0.999 * true <= found <= true and true > 500000
+    assert all(a[1] <= b[1] for a, b in zip(got, want, strict=True))
+
+
 def test_one_leaf_is_exact(spark):
     rows = near_vectors(200, 8, 3)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
