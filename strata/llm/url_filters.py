@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 SPAN_DAYS = 32
 SALTS = 16
-#: Path segments of the longest path key.
+#: Path segments of the longest path key of the registered query's lists.
 SEGMENTS = 3
 
 
@@ -31,16 +31,19 @@ def host(url: Column) -> Column:
     return F.nullif(F.regexp_replace(found, r"\.+$", ""), F.lit(""))
 
 
-def url_keys(url: Column) -> Column:
-    """All keys that cover a URL (an empty array if it has no host)."""
+def url_keys(url: Column, segments: int = SEGMENTS, last_label: bool = False) -> Column:
+    """The keys that cover a URL (an empty array if it has no host): paths of at
+    most ``segments`` segments, and a last label alone (``d:org``) only if that
+    is the whole host or with ``last_label``."""
     h = host(url)
     labels = F.split(h, r"\.")
     n = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(labels, i, n), ".")))
+    last = n if last_label else F.greatest(n - 1, F.lit(1))
+    domains = F.transform(F.sequence(F.lit(1), last), lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(labels, i, n), ".")))
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    many = F.least(F.size(segments), F.lit(SEGMENTS))
-    paths = F.when(many >= 1, F.transform(F.sequence(F.lit(1), F.greatest(many, F.lit(1))), lambda i: F.concat(F.lit("p:"), h, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/"))))
+    parts = F.filter(F.split(path, "/"), lambda s: s != "")
+    many = F.least(F.size(parts), F.lit(segments))
+    paths = F.when(many >= 1, F.transform(F.sequence(F.lit(1), F.greatest(many, F.lit(1))), lambda i: F.concat(F.lit("p:"), h, F.lit("/"), F.array_join(F.slice(parts, 1, i), "/"))))
     none = F.array().cast("array<string>")
     return F.when(h.isNull(), none).otherwise(F.array_distinct(F.concat(domains, F.coalesce(paths, none))))
 
@@ -67,11 +70,21 @@ def _span(time: Column) -> Column:
     return F.floor(F.unix_timestamp(time) / (SPAN_DAYS * 86400)).cast("int")
 
 
-def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched_at") -> DataFrame:
+def _segments(entries: DataFrame) -> int:
+    """Path segments of the longest path key in ``entries``."""
+    many = entries.filter(F.col("key").startswith("p:")).agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0]
+    return many or 0
+
+
+def evaluate(
+    captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched_at", last_label: bool = False
+) -> DataFrame:
     """``(page_id, url, fetched_at, n_active, lists, entry, since, blocked)``
     for every capture.
 
-    ``n_active`` counts the entries active at fetch time that cover the URL,
+    ``n_active`` counts the entries active at fetch time that cover the URL
+    (paths of any depth; an entry for a last label alone, ``d:org``, covers the
+    hosts below it only with ``last_label``),
     ``lists`` names their lists in order, ``entry`` is the most specific one
     (the longest key; ties by list, then key) and ``since`` the start of its
     interval. An interval holds from its first moment to before its last. A
@@ -81,7 +94,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", u
     rows = captures.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(time_col).alias("fetched_at"))
     seen = rows.filter("url IS NOT NULL AND fetched_at IS NOT NULL").select("url", "fetched_at").distinct()
     keyed = (
-        seen.withColumn("key", F.explode(url_keys(F.col("url"))))
+        seen.withColumn("key", F.explode(url_keys(F.col("url"), _segments(entries), last_label)))
         .withColumn("span", _span(F.col("fetched_at")))
         .withColumn("salt", F.pmod(F.xxhash64("url", "fetched_at"), F.lit(SALTS)).cast("int"))
     )

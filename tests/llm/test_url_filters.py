@@ -71,3 +71,33 @@ def test_no_entries(spark):
     c = spark.createDataFrame([(1, "http://a.com", DAY)], "page_id long, url string, fetched_at timestamp")
     e = spark.createDataFrame([], "list string, key string, action string, at timestamp")
     assert [r["blocked"] for r in uf.evaluate(c, e).collect()] == [False]
+
+
+def covers(key, url):
+    """By prefix, on its own: no keys of a URL are made."""
+    if "://" not in url:
+        return False
+    rest = url.split("://", 1)[1].split("?", 1)[0].split("#", 1)[0]
+    name, _, path = rest.partition("/")
+    path = "/".join(s for s in path.split("/") if s)
+    if key.startswith("d:"):
+        return f".{name}".endswith("." + key[2:])
+    return f"{name}/{path}/".startswith(key[2:] + "/")
+
+
+def test_deep_paths_and_last_labels_against_prefixes(spark):
+    rng = random.Random(7)
+    urls = ["nothing"] + [f"http://{h}/" + "/".join(rng.choice("ab") for _ in range(rng.randrange(9))) + q for h in ("x.org", "y.x.org", "z.com") for q in ("", "?q=/a", "/") for _ in range(25)]
+    captures = [(i, u, DAY + timedelta(days=rng.randrange(100))) for i, u in enumerate(urls)]
+    keys = ["d:org", "d:com", "d:x.org", "d:rg", "p:x.org", "p:z.com/a/b/", "p:x.org/a"] + ["p:x.org/" + "/".join(rng.choice("ab") for _ in range(n)) for n in (4, 4, 4, 5, 5, 5, 8)]
+    keys += [k for u in urls if (k := "p:" + u.split("://")[-1].split("?")[0].rstrip("/")).count("/") > 4][:20]
+    entries = [(rng.choice(["l1", "l2"]), k, "add", DAY + timedelta(days=rng.randrange(60))) for k in keys]
+    c = spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp")
+    e = spark.createDataFrame(entries, "list string, key string, action string, at timestamp")
+    for last_label in (False, True):
+        # A bare host is no path key, and a last label alone counts only on demand.
+        of = {u: {k for k in keys if covers(k, u) and (k[0] == "d" or "/" in k) and not k.endswith("/") and (last_label or "." in k)} for u in urls}
+        got = sorted(map(tuple, uf.evaluate(c, e, last_label=last_label).collect()), key=str)
+        assert got == brute([(i, u, t, of[u]) for i, u, t in captures], entries)
+        assert sum(r[5] is not None and r[5].count("/") > 3 for r in got) > 10
+    assert sum(r[5] == "d:com" for r in got) > 10
