@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from strata.llm import language, line_dedup, mixing, packing, simhash
 from strata.llm.common import n_chars_after, written
 
-#: A document whose best language is no likelier than this goes: below chance among four,
-#: so of the documents with letters, none that the model can place is lost.
+#: Rejects nothing with four languages, whose likeliest has a quarter at least: only documents
+#: without letters go. With five and more languages it would start to reject.
 LEAST_SCORE = 0.25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language stay; those without letters, and those whose
-    best language is less likely than ``LEAST_SCORE``, go."""
+    """Documents with letters stay, also those in no language of the model
+    (``LEAST_SCORE`` rejects none of four); those without letters go."""
     return language.accepted(docs, LEAST_SCORE)
 
 
