@@ -6,11 +6,13 @@ The union of those windows is the union of the maximal repeats of at least
 that length.
 
 Seed: each window's anchor is its ``K``-word gram of smallest hash (winnowing:
-equal windows have equal anchors, so no repeat is missed). Documents are
-joined on the anchors; those that occur once in the corpus are out.
-Extend: around each repeated anchor, the whole windows that hold it are
-compared by 128-bit hash. Adjacent repeated windows make up a maximal
-repeat, however far it reaches on both sides.
+equal windows have equal anchors, so no repeat is missed). Anchors that occur
+once in the corpus are out.
+Windows instead of extension: the whole windows around each repeated anchor
+are grouped by a 95-bit hash. Documents are not joined on anchors and no match
+is extended; adjacent repeated windows make up the words of a maximal repeat,
+however far it reaches on both sides, but which repeat they belong to is not
+kept.
 
 Seeds and windows both need "which of these keys occurs again?". A map task
 answers it for the keys that it sees twice, and sends on one delegate for each
