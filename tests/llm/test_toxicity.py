@@ -23,6 +23,21 @@ def test_held_out_documents(spark):
     assert not any(r["toxic"] for r in got if r["doc_id"] % 3 == 0 and not r["label"])
 
 
+def test_held_out_documents_of_every_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = toxicity.fit(docs, labels, usable=F.col("id") % 3 != 0)
+    rows = toxicity.score(docs, model).join(labels.select("doc_id", F.col("toxic").alias("label")), "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    held = rows.filter("doc_id % 3 = 0 AND lang IS NOT NULL").collect()
+    langs = {r["lang"] for r in held}
+    assert langs >= {"en", "de", "es", "fr"}
+    for lang in langs:
+        bad = [r["expected_severity"] for r in held if r["lang"] == lang and r["label"]]
+        clean = [r["expected_severity"] for r in held if r["lang"] == lang and not r["label"]]
+        assert len(bad) >= 5
+        assert np.mean([(b > c) + 0.5 * (b == c) for b in bad for c in clean]) > 0.93
+
+
 def test_thresholds_rise_and_weights_are_shared():
     rng = np.random.default_rng(0)
     x = rng.normal(size=800)
