@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
-    embedding_dedup, language, line_dedup, mixing, packing, simhash, substring_dedup, syncmers, toxicity, url_filters,
+    embedding_dedup, language, line_dedup, merkle, mixing, packing, prefix_trie, simhash, substring_dedup, syncmers, token_files, toxicity,
+    url_filters,
 )
 from strata.llm.common import table
+from strata.session import scratch_path
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +58,22 @@ def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch_path(spark, "llm-token-files")
+    token_files.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_digest(spark, folder)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filters": op2_url_filters,
@@ -67,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
     "op10_syncmer_fingerprints": op10_syncmer_fingerprints,
+    "op11_token_files": op11_token_files,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: DuckDB SQL where it can express the query's rows.
@@ -74,4 +95,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_url_filters": url_filters.SQL,
     "op3_line_dedup": line_dedup.SQL,
     "op9_source_mixing": mixing.SQL,
+    "op12_merkle_manifest": merkle.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }

@@ -50,7 +50,7 @@ def words_of(text):
 
 def tables(sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "pages", "labels"):
+    for name in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{os.path.join(sf_dir, name)}.parquet'")
     return con
 

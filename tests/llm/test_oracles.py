@@ -20,7 +20,7 @@ def test_query_equals_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_on_empty_tables(spark, tmp_path, name):
-    for table in ("documents", "embeddings", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels", "conversations"):
         spark.read.parquet(f"{SF_TINY}/{table}.parquet").filter("false").write.parquet(f"{tmp_path}/{table}.parquet")
     got = QUERIES[name](spark, str(tmp_path))
     assert got.columns and got.collect() == []
