@@ -17,9 +17,12 @@ kept.
 Seeds and windows both need "which of these keys occurs again?". A map task
 answers it for the keys that it sees twice, and sends on one delegate for each
 of them, so a passage that a third of all documents share gives a row for each
-batch and not for each copy. Only keys that a batch holds once wait for the
+task and not for each copy. Only keys that a batch holds once wait for the
 shuffle. Pairs of copies are never formed.
 
+Rows are told apart by 128 bits of id and text: rows that agree in both are
+copies of each other and lose the same words.
+
 Texts cross a shuffle compressed, once to meet their seeds; those that have
 seeds, usually the smaller part, once more to meet their repeats.
 """
@@ -43,6 +46,8 @@ LENGTH = 35
 K = 12
 _M = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 ALONE, DELEGATE, KNOWN = 0, 1, 2
+#: Keys of which a task remembers that it has sent a delegate.
+MOST_SENT = 2_000_000
 #: Bytes of text that a task looks at together.
 SLICE = 12 << 20
 
@@ -111,21 +116,45 @@ def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, i, r, ref, t)``: i and r tell rows apart (r only has to tell
-    texts under one id apart, and null ids from 0), ref is both in one number."""
+    """``(doc_id, i, r, t)``: i and r, 64 bits each with seeds of their own, tell
+    rows of another id or text apart (a null id is another than 0)."""
     i, null = F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")), F.col(id_col).isNull()
-    r = F.hash(F.xxhash64(F.col(text_col), null))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), i.alias("i"), r.alias("r"), F.xxhash64(i, F.col(text_col), null).alias("ref"), text_bytes(text_col).alias("t"))
+    first, second = (F.xxhash64(F.lit(seed), i, null, F.col(text_col)) for seed in (1, 2))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), first.alias("i"), second.alias("r"), text_bytes(text_col).alias("t"))
+
+
+class Sent:
+    """Keys whose delegate a task has sent: their later copies are known to repeat."""
+
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] | None = None
+
+    def states(self, *keys: np.ndarray) -> np.ndarray:
+        """As :func:`_states`, over all that the task has seen."""
+        state = _states(*keys)
+        if self.keys is not None and len(keys[0]):
+            at = np.minimum(np.searchsorted(self.keys[0], keys[0]), len(self.keys[0]) - 1)
+            state[np.all([s[at] == k for s, k in zip(self.keys, keys, strict=True)], axis=0)] = KNOWN
+        new = [k[state == DELEGATE] for k in keys]
+        if self.keys is None or len(self.keys[0]) < MOST_SENT:
+            both = new if self.keys is None else [np.concatenate(x) for x in zip(self.keys, new, strict=True)]
+            _, first = np.unique(both[0], return_index=True)
+            self.keys = [k[first] for k in both] if len(first) else None
+        return state
 
 
 def seeds(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """``(ref, seeds)``: the places of each document's anchors that occur again."""
+    """``(i, seeds)``: the places of each document's anchors that occur again.
+    Should two rows share an ``i``, both get the seeds of either: a seed is only
+    a place to look at."""
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in slices(batch, 1, SLICE):
-            yield from of(part)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = Sent()
+        for batch in batches:
+            for part in slices(batch, 1, SLICE):
+                yield from of(part, sent)
 
-    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def of(batch: pa.RecordBatch, sent: Sent) -> Iterator[pa.RecordBatch]:
         refs, keys, places = [], [], []
         for ref, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = text.split()
@@ -138,16 +167,16 @@ def seeds(docs: DataFrame, length: int, k: int) -> DataFrame:
             places.append(at)
         if refs:
             key, ref, place = np.concatenate(keys), np.concatenate(refs), np.concatenate(places)
-            state = _states(key)
+            state = sent.states(key)
             known = state == KNOWN
             key = np.where(known, _spread(ref, place), key)
             yield pa.RecordBatch.from_arrays(
                 [int64(key), pa.array(known), pa.array(ref), pa.array(place.astype(np.int32)), pa.array(state)],
-                ["key", "known", "ref", "place", "state"],
+                ["key", "known", "i", "place", "state"],
             )
 
-    found = _repeated(map_rows(docs.select("ref", "t"), run, "key long, known boolean, ref long, place int, state tinyint"), "key")
-    return found.groupBy("ref").agg(F.collect_list("place").alias("seeds"))
+    found = _repeated(docs.select("i", "t").mapInArrow(run, "key long, known boolean, i long, place int, state tinyint"), "key")
+    return found.groupBy("i").agg(F.collect_list("place").alias("seeds"))
 
 
 def _spread(ref: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -158,19 +187,21 @@ def _spread(ref: np.ndarray, place: np.ndarray) -> np.ndarray:
 def with_seeds(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     """``(i, r, z, seeds)`` of the documents that have seeds, written once:
     windows and removal both read it. ``docs`` as by :func:`identified`."""
-    packed = docs.select("i", "r", "ref", _compressed(F.col("t")).alias("z"))
-    return written(packed.join(seeds(docs, length, k), "ref").select("i", "r", "z", "seeds"), "seeded")
+    packed = docs.select("i", "r", _compressed(F.col("t")).alias("z"))
+    return written(packed.join(seeds(docs, length, k), "i").select("i", "r", "z", "seeds"), "seeded")
 
 
 def repeated_windows(seeded: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     """``(i, r, runs)``: where each document's repeated windows start, as runs
     ``(start, n)``."""
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in slices(batch, 2, SLICE // 3):  # compressed
-            yield from windows(part)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = Sent()
+        for batch in batches:
+            for part in slices(batch, 2, SLICE // 3):  # compressed
+                yield from windows(part, sent)
 
-    def windows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def windows(batch: pa.RecordBatch, seen: Sent) -> Iterator[pa.RecordBatch]:
         of, starts, w1, w2 = [], [], [], []
         for x, (z, places) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
             h = word_hashes(_plain(z).split())
@@ -184,7 +215,7 @@ def repeated_windows(seeded: DataFrame, length: int = LENGTH, k: int = K) -> Dat
         of, start, w1, w2 = (np.concatenate(x) for x in (of, starts, w1, w2))
         if not len(of):
             return
-        state = _states(w1, w2)
+        state = seen.states(w1, w2)
         sent = np.flatnonzero(state != KNOWN)
         yield _window_rows(batch, of[sent], start[sent], np.ones(len(sent), np.int64), w1[sent], w2[sent], state[sent])
         rest = np.flatnonzero(state == KNOWN)
@@ -194,8 +225,8 @@ def repeated_windows(seeded: DataFrame, length: int = LENGTH, k: int = K) -> Dat
             n = np.diff(np.concatenate((np.flatnonzero(first), [len(rest)])))
             yield _window_rows(batch, of[at], start[at], n, w1[at], w2[at], state[at])
 
-    schema = "i long, r int, start int, n int, w1 long, w2 int, state tinyint, known boolean"
-    found = _repeated(map_rows(seeded, run, schema), "w1", "w2")
+    schema = "i long, r long, start int, n int, w1 long, w2 int, state tinyint, known boolean"
+    found = _repeated(seeded.mapInArrow(run, schema), "w1", "w2")
     return found.groupBy("i", "r").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
 
 
@@ -297,7 +328,7 @@ def removal_digest(docs: DataFrame, length: int = LENGTH, k: int = K, id_col: st
         return pa.StructArray.from_arrays([pa.array([len(w) for w in words], pa.int64()), pa.array(sums, pa.string())], names=["n_words", "sha256"])
 
     # Rows equal in id and text lose the same words: one of them speaks for all.
-    cut = map_rows(cut, removed, "i long, r int, n_removed long, cut_sha256 string").dropDuplicates(["i", "r"])
+    cut = map_rows(cut, removed, "i long, r long, n_removed long, cut_sha256 string").dropDuplicates(["i", "r"])
     all_ = rows.select("doc_id", "i", "r", whole("t").alias("w")).join(cut, ["i", "r"], "left")
     return all_.select(
         "doc_id", "w.n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "w.sha256").alias("kept_sha256")

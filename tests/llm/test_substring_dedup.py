@@ -91,3 +91,28 @@ def test_gram_hashes_tell_runs_apart():
 def test_anchor_is_the_first_smallest():
     v = np.array([5, 3, 3, 9, 1, 1, 7, 2], np.uint64)
     assert sd.anchors(v, 3).tolist() == [min(range(i, i + 3), key=lambda j: (v[j], j)) for i in range(6)]
+
+
+def test_null_ids_whose_texts_share_32_bits(spark):
+    """Texts 22365 and 303953 of this series agree in 32 bits of a hash of the text."""
+    text = lambda n: " ".join(f"{n}x{k}" for k in range(36))
+    a, b = text(22365), text(303953)
+    check(spark, [(None, a, "en", "s"), (None, b, "en", "s"), (7, a, "en", "s"), (0, b + " and more", "en", "s")])
+    check(spark, [(None, a, "en", "s"), (None, b, "en", "s"), (7, a, "en", "s")])
+
+
+def test_many_null_and_equal_ids(spark):
+    rows = [(None if i % 2 else 5, " ".join(f"{i // 4}y{k}" for k in range(40)), "en", "s") for i in range(100_000)]
+    rows = [(i, t if n % 8 < 3 else f"only {n} " + t[: len(t) // 2], la, s) for n, (i, t, la, s) in enumerate(rows)]
+    got = sorted(map(tuple, sd.removal_digest(docs_of(spark, rows)).collect()), key=str)
+    want = [(i, n, r, hashlib.sha256(k.encode()).hexdigest()) for (i, *_), (n, r, k) in zip(rows, brute([r[1] for r in rows]), strict=True)]
+    assert got == sorted(want, key=str)
+
+
+def test_a_task_sends_one_delegate_of_a_key():
+    sent = sd.Sent()
+    a, b = np.array([5, 5, 7, 9], np.uint64), np.array([1, 1, 2, 3], np.uint64)
+    assert sent.states(a, b).tolist() == [sd.DELEGATE, sd.KNOWN, sd.ALONE, sd.ALONE]
+    assert sent.states(a, b).tolist() == [sd.KNOWN, sd.KNOWN, sd.ALONE, sd.ALONE]
+    other = np.array([1, 4], np.uint64)  # equal in one half only
+    assert sent.states(np.array([5, 5], np.uint64), other).tolist() == [sd.KNOWN, sd.ALONE]
