@@ -12,9 +12,14 @@ toxic documents get a weight.
 are not toxic, and for toxic ones 1, 2 or 3 by the share of their words that
 carry a tied feature (``GRADE_CUTS``).
 
-The model is fitted on a bounded sample (``FIT_DOCS`` of either label, chosen
-by a hash of the id); features are counted by Spark, and only the selected ones
-reach the driver. Every document is scored on its whole text.
+The model is fitted on a bounded sample: at most ``FIT_DOCS`` rows of either
+label, those of the smallest hash of id and text, however many rows share a
+labelled id; repeated rows count once. Features are counted by Spark; at most
+``FEATURES`` of them, the most strongly tied, reach the driver and get weights.
+Every document is scored on its whole text.
+
+Both labels weigh alike in the fit, though most documents are clean. A document
+therefore counts as toxic only from odds of 4 to 1 on (``TOXIC_AT``).
 """
 
 from __future__ import annotations
@@ -33,6 +38,8 @@ from strata.llm.common import map_rows, written
 
 FIT_DOCS = 8000
 FEATURES = 2000
+#: Least P(grade >= 1) of a toxic document.
+TOXIC_AT = 0.8
 PREFIXES = (4, 5)
 #: Shares of words with a tied feature from which a toxic document has grade 2, 3.
 GRADE_CUTS = (0.02, 0.05)
@@ -119,19 +126,21 @@ def fit(
     usable: Column | None = None, fit_docs: int = FIT_DOCS,
 ) -> OrdinalModel | None:
     """Fit on a bounded sample of the labelled documents (of those ``usable``
-    by their id, if given). None if there are not both labels."""
+    by their id, if given). All rows that share a labelled id have its label;
+    an id that is labelled both ways is toxic. None if not both labels have rows."""
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).filter("id IS NOT NULL AND y IS NOT NULL")
     if usable is not None:
         known = known.filter(usable)
     known = written(known.groupBy("id").agg((F.max("y") > 0).cast("int").alias("y")), "toxicity-labels")
-    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(counts) < 2:
-        return None
-    draw = F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
-    share = F.when(F.col("y") == 1, min(1.0, fit_docs / counts[1])).otherwise(min(1.0, fit_docs / counts[0]))
-    chosen = known.filter(draw < share).orderBy(F.xxhash64("id")).limit(4 * fit_docs)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).filter("t IS NOT NULL")
-    sample = written(texts.join(F.broadcast(chosen), "id"), "toxicity-sample")  # at most 4 * fit_docs ids
+    rows = texts.join(known, "id").withColumn("h", F.xxhash64("id", "t"))
+    # The hash up to which a label has fit_docs rows, from the hashes alone.
+    hashes = written(rows.select("y", "h").distinct(), "toxicity-hashes")
+    last = [hashes.filter(F.col("y") == y).orderBy("h").limit(fit_docs).agg(F.max("h")).first()[0] for y in (0, 1)]
+    if None in last:
+        return None
+    upto = F.when(F.col("y") == 1, F.lit(last[1])).otherwise(F.lit(last[0]))
+    sample = written(rows.filter(F.col("h") <= upto).dropDuplicates(["y", "h"]), "toxicity-sample")  # at most 2 * fit_docs rows
 
     def seen(batch: pa.RecordBatch) -> pa.RecordBatch:
         y, names = [], []
@@ -142,8 +151,6 @@ def fit(
         return pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(names, pa.string())], ["y", "f"])
 
     total = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(total) < 2:
-        return None
     counted = map_rows(sample, seen, "y int, f string").groupBy("f").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     counted = written(counted, "toxicity-features")
     n1, n0 = float(total[1]), float(total[0])
@@ -184,8 +191,8 @@ def fit(
 def score(docs: DataFrame, model: OrdinalModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, expected_severity, grade, toxic)`` for every row.
 
-    ``grade`` is the largest grade that is as likely as not, ``toxic`` is
-    grade >= 1. Null and empty texts, and all texts without a model, have
+    ``grade`` is 0 where P(grade >= 1) is below ``TOXIC_AT``, else the largest
+    grade that is as likely as not; ``toxic`` is grade >= 1. Null and empty texts, and all texts without a model, have
     severity 0. Repeated rows stay repeated, null ids are kept, other columns
     are not read.
     """
@@ -194,7 +201,7 @@ def score(docs: DataFrame, model: OrdinalModel | None, id_col: str = "doc_id", t
     def severity(texts: pa.Array) -> pa.Array:
         p = [model.probabilities(t) if model and t else [] for t in texts.to_pylist()]
         return pa.StructArray.from_arrays(
-            [pa.array([sum(x) for x in p], pa.float64()), pa.array([sum(q >= 0.5 for q in x) for x in p], pa.int32())], names=["severity", "grade"]
+            [pa.array([sum(x) for x in p], pa.float64()), pa.array([sum(q >= 0.5 for q in x) if x and x[0] >= TOXIC_AT else 0 for x in p], pa.int32())], names=["severity", "grade"]
         )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), severity(F.coalesce(F.col(text_col), F.lit(""))).alias("s"))

@@ -35,7 +35,10 @@ def test_held_out_documents_of_every_language(spark):
         bad = [r["expected_severity"] for r in held if r["lang"] == lang and r["label"]]
         clean = [r["expected_severity"] for r in held if r["lang"] == lang and not r["label"]]
         assert len(bad) >= 5
-        assert np.mean([(b > c) + 0.5 * (b == c) for b in bad for c in clean]) > 0.93
+        assert np.mean([(b > c) + 0.5 * (b == c) for b in bad for c in clean]) > 0.95
+        flagged = [r["toxic"] for r in held if r["lang"] == lang and not r["label"]]
+        assert np.mean(flagged) <= 0.02
+        assert np.mean([r["toxic"] for r in held if r["lang"] == lang and r["label"]]) >= 0.8
 
 
 def test_thresholds_rise_and_weights_are_shared():
@@ -68,3 +71,16 @@ def test_one_label_alone_gives_no_model(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
     assert toxicity.fit(docs, labels) is None
     assert {r["expected_severity"] for r in toxicity.score(docs, None).collect()} == {0.0}
+
+
+def test_the_sample_is_bounded_by_rows(spark, monkeypatch):
+    """One labelled id stands on most rows of the table."""
+    rows = [(1, f"kind words number {i}", "en", "s") for i in range(3000)] + [(1, "the same text again", "en", "s")] * 500
+    rows += [(10 + i, f"nasty words {i % 7}", "en", "s") for i in range(30)]
+    labels = spark.createDataFrame([(1, 1, 0), *[(10 + i, 1, 1) for i in range(30)]], "doc_id long, quality int, toxic int")
+    sizes = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda rows, grades, n: sizes.append(np.bincount(grades > 0).tolist()) or train(rows, grades, n))
+    model = toxicity.fit(docs_of(spark, rows), labels, fit_docs=100)
+    assert sizes == [[100, 30]]
+    assert "nasty" in model.weights and "kind" not in model.weights
