@@ -7,13 +7,14 @@ until no target is above its clamp: every target is min(clamp, level * weight)
 for one level, found by raising the level until the clamped set settles.
 
 Sampling is seeded: with a target of e times its words, a source gives floor(e)
-whole repetitions of every document and, in the order of a seeded hash, one
-more of some documents until the target is met. The documents at that cut
-give an even part of their words each.
+whole repetitions of every document and, in the order of a seeded hash of id
+and text, one more of some documents until the target is met. The document at
+the cut gives its first words, so every source takes its target to the word.
 
 DataFrame functions only. Per-source numbers are aggregated before anything
 is ordered; a source that holds a third of all rows is one row, then at most
-``BUCKETS`` rows.
+``BUCKETS`` rows. Only the rows of the bucket at a source's cut are ordered one
+by one, by ranges, so that also copies without end of one document share tasks.
 """
 
 from __future__ import annotations
@@ -35,11 +36,16 @@ def n_words(text_col: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def draw(id_col: str = "doc_id", seed: int = SEED, buckets: int = BUCKETS) -> Column:
-    """A document's place in the seeded order, 0 to ``buckets`` - 1: the first
-    eight hex digits of md5("seed:id"), modulo ``buckets``. A null id is "null"."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
+def draw(id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> Column:
+    """A document's place in the seeded order: md5("seed:id:text") in hex. A
+    null id is "null", a null text empty. Only repeated rows share a place."""
+    known = F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("null"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), known, F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))).cast("binary"))
+
+
+def bucket(place: Column, buckets: int = BUCKETS) -> Column:
+    """The step of the order that a place falls into: its first eight digits, modulo ``buckets``."""
+    return F.conv(F.substring(place, 1, 8), 16, 10).cast("long") % buckets
 
 
 def ranked(sources: DataFrame, order: list[Column], name: str) -> DataFrame:
@@ -88,69 +94,95 @@ def water_fill(sources: DataFrame, share: float = SHARE, epochs: int = EPOCHS) -
     return sources.withColumn("target", F.when(usable, target).otherwise(0.0))
 
 
+def words_before(rows: DataFrame, source: str, place: str, size: str) -> DataFrame:
+    """``rows`` with ``_llm_before``: the words of the rows before each in its
+    source, by place; copies in any order. Range partitions sum up on their own,
+    and each adds what earlier ones hold of its first source."""
+    order = [F.col(source).asc_nulls_first(), F.col(place), F.col("_llm_copy")]
+    single = written(rows.withColumn("_llm_copy", F.monotonically_increasing_id()), "mix-cut")  # copies of one document are dealt out
+    placed = written(single.repartitionByRange(*order).withColumn("_llm_pid", F.spark_partition_id()), "mix-cut-order")
+    held = placed.groupBy(source, "_llm_pid").agg(F.sum(size).alias("n"))  # few rows: a source and a partition
+    earlier = Window.partitionBy(source).orderBy("_llm_pid").rowsBetween(Window.unboundedPreceding, -1)
+    bases = held.select(F.col(source).alias("_llm_s"), F.col("_llm_pid").alias("_llm_p"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_llm_base"))
+    inside = Window.partitionBy(source, "_llm_pid").orderBy(place, "_llm_copy").rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("_llm_in", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    out = summed.join(bases, F.col(source).eqNullSafe(F.col("_llm_s")) & (F.col("_llm_pid") == F.col("_llm_p")))
+    return out.withColumn("_llm_before", F.col("_llm_in") + F.col("_llm_base")).drop("_llm_in", "_llm_base", "_llm_s", "_llm_p", "_llm_pid", "_llm_copy")
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, seed: int = SEED,
 ) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, whole, taken)`` for every row.
+    """``(doc_id, source, size, place, source_size, target, whole, taken)`` for every row.
 
     ``taken`` counts words, repeats included: ``whole`` repetitions and, where
-    the seeded order says so, a further one or a part of one. Null and empty
-    texts have size 0 and give 0; a null source is a source like any other.
-    Rows with the same id share their place in the seeded order; null ids share
-    one place. An empty table gives no rows. Other columns are not read.
+    the seeded order says so, a further one or, for one row of a source, a part
+    of one. Null and empty texts have size 0 and give 0; a null source is a
+    source like any other. Null ids and repeated ids are told apart by their
+    texts; which of several equal rows gives more is arbitrary, the amounts are
+    not. An empty table gives no rows. Other columns are not read.
     """
     rows = written(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"))
-        .withColumn("place", draw("doc_id", seed)),
+        docs.select(
+            F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"),
+            draw(id_col, text_col, seed).alias("place"),
+        ),
         "mix-sizes",
     )
-    places = rows.groupBy("source", "place").agg(F.sum("size").alias("words"))
-    sources = places.groupBy("source").agg(F.sum("words").alias("source_size"))
+    steps = rows.groupBy("source", bucket(F.col("place")).alias("b")).agg(F.sum("size").alias("words"))
+    sources = steps.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = written(water_fill(written(cyclic_weights(sources, weights), "mix-weights"), share, epochs), "mix-targets")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     targets = targets.withColumn("whole", whole).withColumn("extra", F.floor(F.col("target") - F.col("whole") * F.col("source_size")).cast("long"))
-    by_source = Window.partitionBy("s").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = (
-        places.withColumnRenamed("source", "s")
-        .withColumn("before", F.coalesce(F.sum("words").over(by_source), F.lit(0)))
+    by_source = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = written(
+        steps.withColumnRenamed("source", "s")
+        .withColumn("earlier", F.coalesce(F.sum("words").over(by_source), F.lit(0)))
         .join(targets, F.col("s").eqNullSafe(F.col("source")))
-        .withColumn("left", F.col("extra") - F.col("before"))
-        .select("s", F.col("place").alias("p"), "words", "left", "source_size", "target", "whole")
+        .withColumn("left", F.col("extra") - F.col("earlier"))
+        .select("s", "b", "words", "left", "source_size", "target", "whole"),
+        "mix-steps",
     )
-    part = (
-        F.when(F.col("left") <= 0, F.lit(0).cast("long"))
-        .when(F.col("left") >= F.col("words"), F.col("size"))
-        .otherwise(F.expr("(left * size) div words"))
-    )
-    return (
-        rows.join(cuts, F.col("source").eqNullSafe(F.col("s")) & (F.col("place") == F.col("p")))
-        .select("doc_id", "source", "size", "source_size", "target", "whole", (F.col("whole") * F.col("size") + part).alias("taken"))
-    )
+    placed = rows.withColumn("_b", bucket(F.col("place"))).join(cuts, F.col("source").eqNullSafe(F.col("s")) & (F.col("_b") == F.col("b")))
+    at_cut = (F.col("left") > 0) & (F.col("left") < F.col("words"))  # one bucket of a source at most
+    plain = placed.filter(~at_cut).withColumn("more", F.when(F.col("left") > 0, F.col("size")).otherwise(F.lit(0).cast("long")))
+    cut = words_before(placed.filter(at_cut), "source", "place", "size")
+    cut = cut.withColumn("more", F.least("size", F.greatest(F.lit(0).cast("long"), F.col("left") - F.col("_llm_before"))))
+    names = ["doc_id", "source", "size", "place", "source_size", "target", "whole"]
+    return plain.unionByName(cut.drop("_llm_before")).select(*names, (F.col("whole") * F.col("size") + F.col("more")).alias("taken"))
 
 
 def mixed_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", n_chars_col: str = "n_chars", **options
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", n_chars_col: str = "n_chars", seed: int = SEED, **options
 ) -> DataFrame:
     """The mix itself, with the columns of ``docs``: every document as often as
     it is taken whole, then once more with its first words if a part is taken.
 
     A document taken 0 times goes. The whole repetitions keep the text as it
     is; a part ends after its last word taken. ``n_chars``, if there is such a
-    column, follows the text.
+    column, follows the text. Columns of ``docs`` whose names begin with
+    ``_llm_`` are in the way and raise.
     """
     names = docs.columns
-    taken = mix(docs, id_col, text_col, source_col, **options)
-    # Rows of one id and size take the same, so one row of the mix speaks for them.
-    taken = taken.groupBy("doc_id", "source", "size").agg(F.max("taken").alias("_llm_taken"))
-    taken = taken.select(F.col("doc_id").alias("_llm_id"), F.col("source").alias("_llm_source"), F.col("size").alias("_llm_words"), "_llm_taken")
-    sized = docs.withColumn("_llm_size", n_words(text_col))
-    rows = sized.join(
-        taken,
-        F.col(id_col).cast("long").eqNullSafe(F.col("_llm_id"))
-        & F.col(source_col).cast("string").eqNullSafe(F.col("_llm_source"))
-        & (F.col("_llm_size") == F.col("_llm_words")),
-    )
+    if any(c.startswith("_llm_") for c in names):
+        raise ValueError("columns beginning with _llm_ are used inside")
+    # Equal rows of a source take alike, but for those that the cut goes through: one group of a source.
+    taken = mix(docs, id_col, text_col, source_col, seed=seed, **options).groupBy("source", "place").agg(
+        F.min("taken").alias("_llm_low"), F.max("taken").alias("_llm_high"), F.sum("taken").alias("_llm_sum"), F.count(F.lit(1)).alias("_llm_n"),
+        F.max("whole").alias("_llm_whole"),
+    )
+    taken = written(taken.withColumnsRenamed({"source": "_llm_source", "place": "_llm_place"}), "mix-taken")
+    sized = docs.withColumn("_llm_size", n_words(text_col)).withColumn("_llm_at", draw(id_col, text_col, seed))
+    of = F.col(source_col).cast("string").eqNullSafe(F.col("_llm_source")) & (F.col("_llm_at") == F.col("_llm_place"))
+    alike = sized.join(taken.filter("_llm_low = _llm_high"), of).withColumn("_llm_taken", F.col("_llm_low"))
+    cut = sized.join(taken.filter("_llm_low < _llm_high"), of)
+    # Of n equal rows some take one more, one a part: they are counted off, by the words before them.
+    numbered = words_before(cut, "_llm_source", "_llm_place", "_llm_size")
+    extra = F.col("_llm_sum") - F.col("_llm_n") * F.col("_llm_whole") * F.col("_llm_size")
+    more = F.least("_llm_size", F.greatest(F.lit(0).cast("long"), extra - F.col("_llm_before")))
+    numbered = numbered.withColumn("_llm_taken", F.col("_llm_whole") * F.col("_llm_size") + more).select(*alike.columns)
+    rows = alike.unionByName(numbered)
     times = F.expr("CASE WHEN _llm_size > 0 THEN _llm_taken div _llm_size ELSE 0 END")
     part = F.expr("CASE WHEN _llm_size > 0 THEN _llm_taken % _llm_size ELSE 0 END")
     rows = rows.withColumn("_llm_part", part).withColumn(
@@ -170,7 +202,7 @@ def mixed_documents(
 SQL = f"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT % {BUCKETS} AS place
+    md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')) AS place
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -186,14 +218,10 @@ WITH d AS (
   SELECT source, source_size, least((2 * source_size)::DOUBLE, level * weight) AS target FROM s, l
 ), e AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t
-), p AS (
-  SELECT source, place, sum(size)::BIGINT AS words FROM d GROUP BY source, place
-), c AS (
-  SELECT p.source, place, words, source_size, target, whole, floor(target - whole * source_size)::BIGINT
-    - coalesce(sum(words) OVER (PARTITION BY p.source ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS rest
-  FROM p JOIN e ON p.source IS NOT DISTINCT FROM e.source
+), r AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY ('0x' || substr(place, 1, 8))::BIGINT % {BUCKETS}, place, doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d
 )
-SELECT doc_id, size, source_size, target, (whole * size + CASE WHEN rest <= 0 THEN 0 WHEN rest >= words THEN size
-  ELSE (rest * size) // words END)::BIGINT AS taken
-FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.place = c.place
+SELECT doc_id, size, source_size, target, (whole * size + least(size, greatest(0, floor(target - whole * source_size)::BIGINT - before)))::BIGINT AS taken
+FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source
 """
