@@ -21,9 +21,11 @@ log = logging.getLogger(__name__)
 DEFAULT_RULES_PATH = os.path.join(os.path.dirname(os.path.dirname(__file__)), "config", "quality_rules.yaml")
 
 
-def load_rules(path: str | os.PathLike | None = None, *, strict: bool = False) -> dict:
+def load_rules(path: str | os.PathLike | None = None, *, strict: bool = False, fields: Iterable[str] | None = None) -> dict:
     """Read a rules YAML file. A missing file gives ``{}`` with a warning
-    (or raises when ``strict``). Bounds are checked with :func:`check_rules`."""
+    (or raises when ``strict``). Bounds are checked with :func:`check_rules`,
+    and with ``fields`` the names of the rules too: a misspelt rule would
+    otherwise be skipped as one on an absent field."""
     import yaml
 
     path = os.fspath(path) if path is not None else DEFAULT_RULES_PATH
@@ -34,7 +36,7 @@ def load_rules(path: str | os.PathLike | None = None, *, strict: bool = False) -
         return {}
     with open(path, encoding="utf-8") as fh:
         rules = yaml.safe_load(fh) or {}
-    check_rules(rules)
+    check_rules(rules, fields)
     return rules
 
 

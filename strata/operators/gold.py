@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.timefmt import event_time
-from strata.schemas import GOLD_KEYS, METRIC_FIELDS
+from strata.functions.timefmt import with_event_time
+from strata.schemas import EVENT_TS, GOLD_KEYS, METRIC_FIELDS
 
 GROUP_FIELDS = ["event_type", "source", "status"]
 
@@ -25,21 +25,22 @@ def gold_windows(
     watermark: str | None = None,
 ) -> DataFrame:
     """Aggregate Silver rows per (event-time window, event_type, source,
-    status). Rows whose timestamp text does not parse are dropped.
+    status). Rows whose timestamp text does not parse are dropped. Rows that
+    carry the typed event time already are not parsed again.
 
     With ``watermark`` (e.g. ``"25 hours"``) a stream keeps bounded state and
     may run in append mode; rows older than the watermark are dropped.
     Spark plans this as partial aggregation before the shuffle, so a hot key
     is pre-combined on every map task.
     """
-    timed = silver.withColumn("event_ts", event_time("timestamp")).filter(F.col("event_ts").isNotNull())
+    timed = with_event_time(silver).filter(F.col(EVENT_TS).isNotNull())
     if watermark:
-        timed = timed.withWatermark("event_ts", watermark)
+        timed = timed.withWatermark(EVENT_TS, watermark)
     aggs = [F.count("event_id").alias("event_count")]
     aggs += [F.avg(m).alias(f"avg_{m}") for m in METRIC_FIELDS]
     aggs += [F.min(m).alias(f"min_{m}") for m in METRIC_FIELDS]
     aggs += [F.max(m).alias(f"max_{m}") for m in METRIC_FIELDS]
-    return timed.groupBy(F.window("event_ts", window).alias("window"), *GROUP_FIELDS).agg(*aggs)
+    return timed.groupBy(F.window(EVENT_TS, window).alias("window"), *GROUP_FIELDS).agg(*aggs)
 
 
 def shape_gold(windows: DataFrame, created_at: bool = True) -> DataFrame:

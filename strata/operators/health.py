@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.quality import distinct_over
+
 # The layers with a column of their own in the timeline; the rest is ``other``.
 LAYERS = ("bronze", "silver", "gold")
 
@@ -85,7 +87,24 @@ def quarantine_files(layers: Mapping[str, DataFrame]) -> DataFrame:
     for name, df in layers.items():
         try:
             files = df.select(F.col("_metadata.file_path").alias("file"))
-        except AnalysisException:  # not a file scan: a layer with no folder yet
+        except AnalysisException as exc:
+            if not (exc.getCondition() or "").startswith("UNRESOLVED_COLUMN") or "_metadata" not in str(exc):
+                raise
+            # not a file scan: a layer with no folder yet
             files = df.select(F.lit(None).cast("string").alias("file"))
         parts.append(files.agg(F.lit(name).alias("layer"), F.count_distinct("file").alias("files")))
     return _with_all(parts, "files")
+
+
+def distinct_by_layer(metrics: DataFrame, key: str = "event_ids") -> DataFrame:
+    """``(layer, rows, distinct_ids)`` over the metric lines that carry a sketch
+    of their batch's ids: the sketches are merged, no data is read. The count is
+    approximate (:func:`strata.operators.quality.sketch_error`)."""
+    lines = metrics.filter(F.col("extra")[key].isNotNull())
+    return distinct_over(lines.select("layer", F.col("row_count").alias("rows"), F.unbase64(F.col("extra")[key]).alias("ids")), "layer")
+
+
+def duplicates_by_layer(metrics: DataFrame) -> DataFrame:
+    """``(layer, rows, duplicates)`` over the metric lines of the duplicate counts."""
+    lines = metrics.filter(F.col("layer").endswith("_duplicates"))
+    return lines.groupBy("layer").agg(F.sum("row_count").alias("rows"), F.sum(F.col("extra")["duplicates"].cast("long")).alias("duplicates"))

@@ -93,14 +93,44 @@ def drop_bad_rows(df: DataFrame, rules: Mapping | None) -> DataFrame:
     return df.filter(~F.coalesce(any_violation(rule_predicates(rules, df.columns)), F.lit(False)))
 
 
-def duplicate_count(df: DataFrame, id_field: str = "event_id") -> DataFrame:
+def duplicate_count(df: DataFrame, id_field: str = "event_id", lg_k: int | None = None) -> DataFrame:
     """One row ``(total, distinct_ids, duplicates)``: rows minus distinct
     non-NULL ids, so NULL ids count as duplicates. Spark de-duplicates ids
-    on each map task before the shuffle, so a hot id stays cheap."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_distinct(id_field).alias("distinct_ids"),
-    ).withColumn("duplicates", F.col("total") - F.col("distinct_ids"))
+    on each map task before the shuffle, so a hot id stays cheap.
+
+    With ``lg_k`` (4 to 21) ids are counted by a HyperLogLog sketch of 2**lg_k
+    registers: one sketch a task crosses the network instead of its ids, and the
+    count has a relative standard error of :func:`sketch_error`."""
+    distinct = F.count_distinct(id_field) if lg_k is None else F.hll_sketch_estimate(F.hll_sketch_agg(id_field, F.lit(lg_k)))
+    return df.agg(F.count(F.lit(1)).alias("total"), distinct.alias("distinct_ids")).withColumn("duplicates", F.col("total") - F.col("distinct_ids"))
+
+
+#: Registers (as a power of two) of the sketches kept with batches and dates.
+LG_K = 12
+
+
+def sketch_error(lg_k: int = LG_K) -> float:
+    """Relative standard error of a count by a HyperLogLog sketch."""
+    return 1.04 / 2 ** (lg_k / 2)
+
+
+def distinct_sketches(df: DataFrame, *by: str, id_field: str = "event_id", lg_k: int = LG_K) -> DataFrame:
+    """One mergeable sketch of the ids for each value of ``by`` (say a date):
+    ``(*by, rows, ids)``. Kept beside the data, it answers how many distinct ids
+    any union of these groups holds without reading the data again."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg(id_field, F.lit(lg_k)).alias("ids"))
+
+
+def distinct_over(sketches: DataFrame, *by: str) -> DataFrame:
+    """``(*by, rows, distinct_ids)`` over the union of sketches in each group."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("ids"))
+    return sketches.groupBy(*by).agg(F.sum("rows").alias("rows"), F.coalesce(merged, F.lit(0)).alias("distinct_ids"))
+
+
+def id_sketch(id_field: str = "event_id", lg_k: int = LG_K) -> Column:
+    """The sketch of a batch's ids as text, for ``observe`` and a metric line
+    (:func:`strata.operators.health.distinct_by_layer` merges them)."""
+    return F.base64(F.hll_sketch_agg(id_field, F.lit(lg_k)))
 
 
 # Scalar forms of the checks, for callers that want Python values.

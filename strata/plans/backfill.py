@@ -9,26 +9,34 @@ A back-fill has its own folders: it refuses a layout that a stream writes,
 because a file sink's log would go on listing the files that the back-fill
 replaced. Every layer is partitioned by event date, and a run replaces the
 dates it is given in every layer and no others.
+
+Files a date: rows that stand in no order of dates (parsed records, aggregates)
+are dealt by date before they are written, and Spark splits large dates and
+joins small ones by size (a rebalance), so files follow the rows of a date and
+not the number of tasks. What is derived from a written layer by a filter or a
+projection keeps the layout of the files it is read from.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
-from strata.functions.timefmt import event_time
-from strata.operators.bronze import bronze_parse, with_flat_metrics
+from strata.functions.timefmt import event_time, with_event_time
+from strata.operators.bronze import bronze_table, with_flat_metrics
 from strata.operators.gold import gold_hourly
 from strata.operators.quality import drop_bad_rows, quarantine_rows
 from strata.operators.silver import SILVER_FILL, silver_flatten
-from strata.schemas import BRONZE, BRONZE_FIELDS, SILVER, SILVER_FIELDS
-from strata.sources.tables import read_layer
-from strata.streaming.folders import delete, hadoop_path
+from strata.schemas import BRONZE_FIELDS, BRONZE_TABLE, EVENT_DATE, PARSED, SILVER_FIELDS, SILVER_TABLE
+from strata.sources.tables import read_or_empty
+from strata.storage import delete, hadoop_path
 from strata.streaming.layers import LayerPaths
 
-DATE = "event_date"
+DATE = EVENT_DATE
 #: Name of the partition that Spark gives to rows without a date.
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -44,18 +52,31 @@ def _event_date() -> Column:
     return F.to_date(event_time("timestamp"))
 
 
-def _replace(df: DataFrame, path: str, by: str, start: str | None, end: str | None) -> None:
+def _replace(df: DataFrame, path: str, by: str, start: str | None, end: str | None, deal: bool) -> None:
     """Write ``df`` over the partitions of the dates from ``start`` to ``end``
-    (all of the table without them). The range's old partitions are deleted
-    first, so dates that no longer have rows go too; a run that dies in
-    between is repeated."""
-    ranged = start is not None or end is not None
-    if ranged:
-        for day, folder in _dates(df.sparkSession, path, by).items():
-            if day != NO_DATE and (start or day) <= day <= (end or day):
-                delete(df.sparkSession, folder)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if ranged else "static")
-    writer.partitionBy(by).parquet(path)
+    (all of the table without them); dates that no longer have rows go too.
+
+    A range is written beside the table first and then moved into its place
+    date by date, so a run that dies while it computes leaves the table as it
+    was; one that dies while it moves is repeated."""
+    if deal:
+        df = df.hint("rebalance", by)
+    if start is None and end is None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(by).parquet(path)
+        return
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}_staging/{uuid.uuid4().hex[:12]}"
+    df.write.partitionBy(by).parquet(staged)
+    new = _dates(spark, staged, by)
+    old = {day: folder for day, folder in _dates(spark, path, by).items() if day != NO_DATE and (start or day) <= day <= (end or day)}
+    fs, _ = hadoop_path(spark, path)
+    for day in sorted({*new, *old}):
+        if day in old:
+            delete(spark, old[day])
+        if day in new:
+            fs.mkdirs(hadoop_path(spark, path)[1])
+            fs.rename(hadoop_path(spark, new[day])[1], hadoop_path(spark, f"{path}/{by}={day}")[1])
+    delete(spark, staged)
 
 
 def _dates(spark: SparkSession, path: str, by: str) -> dict[str, str]:
@@ -97,30 +118,32 @@ def backfill_layers(
             df = df.filter(day <= F.lit(end_date).cast("date"))
         return df
 
-    def replace(df: DataFrame, path: str, by: str = DATE) -> None:
-        if by == DATE:
+    def replace(df: DataFrame, path: str, by: str = DATE, deal: bool = False) -> None:
+        if by == DATE and DATE not in df.columns:
             df = df.withColumn(DATE, _event_date())
-        _replace(df, path, by, start_date, end_date)
+        _replace(df, path, by, start_date, end_date, deal)
 
-    def written(path: str, schema, fields: list[str]) -> DataFrame:
+    def written(path: str, schema: StructType, fields: list[str]) -> DataFrame:
         """The dates of this run, read back with the layer's own columns."""
-        rows = read_layer(spark, path, schema)
-        return (in_range(rows, F.col(DATE)) if DATE in rows.columns else rows).select(*fields)  # no rows, no partition
+        dated = StructType([*[f for f in schema.fields if f.name != DATE], StructField(DATE, DateType(), True)])
+        return in_range(read_or_empty(spark, path, dated), F.col(DATE)).select(*fields)
 
-    # Parse once: write the parsed rows, then derive the quarantine (and,
-    # with drop_bad, the kept rows) from the written table, where the rule
-    # filter is pushed into the Parquet scan.
+    # Parse once: write the parsed rows and the text of those that did not
+    # parse, then derive the quarantine (and, with drop_bad, the kept rows)
+    # from the written table, where the rule filter is pushed into the scan.
+    table = BRONZE_TABLE.fieldNames()
     parsed_path = paths.bronze_all if drop_bad else paths.bronze
-    replace(in_range(bronze_parse(raw), _event_date()), parsed_path)
-    flat = with_flat_metrics(written(parsed_path, BRONZE, BRONZE_FIELDS))
-    replace(quarantine_rows(flat, rules), paths.quarantine("bronze"))
+    replace(in_range(bronze_table(raw), _event_date()), parsed_path, deal=True)
+    flat = with_flat_metrics(written(parsed_path, BRONZE_TABLE, table))
+    replace(quarantine_rows(flat.drop(*set(table) - set(BRONZE_FIELDS)), rules), paths.quarantine("bronze"))
     if drop_bad:
-        replace(drop_bad_rows(flat, rules).select(*BRONZE_FIELDS), paths.bronze)
+        replace(drop_bad_rows(flat, rules).select(*table), paths.bronze)
 
-    silver = silver_flatten(written(paths.bronze, BRONZE, BRONZE_FIELDS), fill)
-    replace(drop_bad_rows(silver, rules) if drop_bad else silver, paths.silver)
-    silver_written = written(paths.silver, SILVER, SILVER_FIELDS)
+    events = written(paths.bronze, BRONZE_TABLE, table).filter(PARSED).select(*BRONZE_FIELDS)
+    silver = silver_flatten(events, fill)
+    replace(with_event_time(drop_bad_rows(silver, rules) if drop_bad else silver), paths.silver)
+    silver_written = written(paths.silver, SILVER_TABLE, SILVER_TABLE.fieldNames())
     # Bad rows are not in a drop_bad Silver table: check the flattened input.
-    replace(quarantine_rows(silver if drop_bad else silver_written, rules), paths.quarantine("silver"))
+    replace(quarantine_rows(silver if drop_bad else silver_written.select(*SILVER_FIELDS), rules), paths.quarantine("silver"))
 
-    replace(gold_hourly(silver_written), paths.gold, "date_hour")
+    replace(gold_hourly(silver_written), paths.gold, "date_hour", deal=True)

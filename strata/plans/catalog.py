@@ -17,9 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.rules import load_rules
-from strata.operators.bronze import bronze_parse, with_flat_metrics
+from strata.functions.timefmt import event_time
+from strata.operators.bronze import bronze_parse, bronze_table, dead_letters, with_flat_metrics
 from strata.operators.gold import GOLD_ORDER, gold_hourly
-from strata.operators.health import metrics_summary, metrics_timeline, quarantine_files, quarantine_total, recent_errors
+from strata.operators.health import (
+    distinct_by_layer,
+    duplicates_by_layer,
+    metrics_summary,
+    metrics_timeline,
+    quarantine_files,
+    quarantine_total,
+    recent_errors,
+)
 from strata.operators.kpi import (
     hourly_volume,
     kpis_by_event_type,
@@ -27,18 +36,29 @@ from strata.operators.kpi import (
     kpis_by_event_type_weighted,
     total_events,
 )
-from strata.operators.quality import duplicate_count, quality_report, quarantine_rows
+from strata.operators.quality import distinct_over, distinct_sketches, duplicate_count, quality_report, quarantine_rows, sketch_error
 from strata.operators.silver import silver_flatten
 from strata.plans.backfill import backfill_layers
-from strata.schemas import BRONZE, EVENTS, ID_FIELDS, METRIC_FIELDS, SILVER
+from strata.schemas import EVENTS, ID_FIELDS, METRIC_FIELDS, SILVER
 from strata.session import default_parallelism, scratch_path, session_key, use_utc
 from strata.sources.events import event_rows, events_to_json, faulty_records
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
 from strata.plans.arrivals import land_in_time_order
 from strata.sources.raw import read_raw_stream
-from strata.sources.tables import read_gold, read_gold_current, read_gold_live, read_layer, read_quarantine, read_table
+from strata.sources.tables import (
+    read_bronze,
+    read_dead_letters,
+    read_gold,
+    read_gold_current,
+    read_gold_live,
+    read_layer,
+    read_quarantine,
+    read_silver,
+    read_table,
+)
 from strata.streaming.compaction import compact_live_gold
 from strata.streaming.layers import LayerPaths, run_layers
+from strata.streaming.repair import repair_gold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -167,6 +187,21 @@ def q_faulty_duplicate_count(spark, sf_dir):
     return duplicate_count(silver_flatten(faulty_bronze(spark, sf_dir)), "event_id")
 
 
+def q_faulty_dead_letters(spark, sf_dir):
+    return dead_letters(bronze_table(faulty_records(bronze_rows(spark, sf_dir))))
+
+
+def q_distinct_ids_by_date(spark, sf_dir):
+    """Distinct ids of each date, exact, and whether the merged sketches of its
+    hours are within four standard errors of that."""
+    events = silver_flatten(faulty_bronze(spark, sf_dir)).withColumn("at", event_time("timestamp"))
+    by_hour = distinct_sketches(events, F.to_date("at").alias("date"), F.hour("at").alias("hour"))
+    estimate = distinct_over(by_hour, "date").withColumnRenamed("distinct_ids", "estimate")
+    exact = events.groupBy(F.to_date("at").alias("d")).agg(F.count_distinct("event_id").alias("distinct_ids"))
+    near = F.abs(F.col("estimate") - F.col("distinct_ids")) <= 4 * sketch_error() * F.col("distinct_ids") + 1
+    return estimate.join(exact, F.col("date").eqNullSafe(F.col("d"))).select("date", "rows", "distinct_ids", near.alias("near"))
+
+
 # ---------------------------------------------------------------- metrics log
 
 _metrics_logs: dict[tuple, str] = {}
@@ -208,7 +243,7 @@ _stream_lock = threading.Lock()
 # files and every query takes at most MAX_FILES of them in a micro-batch. Live
 # Gold is compacted after the first slice, so reads go through a snapshot plus
 # the batches that followed it.
-ARRIVALS = 2
+ARRIVALS = 4
 SLICE_FILES = 4
 MAX_FILES = 2
 
@@ -241,7 +276,7 @@ def streamed_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
 
 
 def q_bronze_stream(spark, sf_dir):
-    return flat_bronze(read_layer(spark, streamed_layers(spark, sf_dir).bronze, BRONZE))
+    return flat_bronze(read_bronze(spark, streamed_layers(spark, sf_dir).bronze))
 
 
 def q_silver_stream(spark, sf_dir):
@@ -320,11 +355,73 @@ def q_backfill_after_stream(spark, sf_dir):
         paths = _rerun_roots.get(key)
         if paths is None:
             paths = LayerPaths(scratch_path(spark, "after-stream"))
-            backfill_layers(spark, events_to_json(read_layer(spark, streamed.bronze, BRONZE)), paths, load_rules())
+            backfill_layers(spark, events_to_json(read_bronze(spark, streamed.bronze)), paths, load_rules())
             _rerun_roots[key] = paths
     return rounded_gold(read_gold(spark, paths.gold))
 
 
+# Records with faults in two deliveries: the second brings one row in LATE and
+# every second copy of a record, most of them when the watermark has passed
+# their hours. Then the closed hours are repaired from Silver.
+LATE = 41
+_faulty_roots: dict[tuple, LayerPaths] = {}
+
+
+def faulty_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
+    """The stream chain over the faulty records of the whole ``events`` table,
+    with late deliveries and a repair; once per session and folder."""
+    key = (session_key(spark), sf_dir)
+    with _stream_lock:
+        paths = _faulty_roots.get(key)
+        if paths is None:
+            paths = LayerPaths(scratch_path(spark, "faulty-layers"))
+            rows, n = bronze_rows(spark, sf_dir), F.substring("event_id", 2, 20).cast("long")
+            on_time = faulty_records(rows.filter(n % LATE != 7)).distinct()
+            for part in (on_time, faulty_records(rows).exceptAll(on_time)):
+                part.write.mode("append").parquet(f"{paths.root}/raw")
+                run_layers(
+                    spark,
+                    read_raw_stream(spark, path=f"{paths.root}/raw"),
+                    paths,
+                    load_rules(),
+                    state_partitions=default_parallelism(spark),
+                    duplicate_horizon="24 hours",
+                    distinct_sketches=True,
+                )
+            repair_gold(spark, paths)
+            _faulty_roots[key] = paths
+    return paths
+
+
+def q_faulty_dead_letters_stream(spark, sf_dir):
+    return read_dead_letters(spark, faulty_layers(spark, sf_dir).bronze)
+
+
+def q_gold_hourly_repaired(spark, sf_dir):
+    return rounded_gold(read_gold_current(spark, faulty_layers(spark, sf_dir)))
+
+
+def q_silver_date_range(spark, sf_dir):
+    """Silver of seven dates: a read of these partitions."""
+    return read_silver(spark, faulty_layers(spark, sf_dir).silver, *SOME_DATES).select(*SILVER.fieldNames(), "event_date")
+
+
+def q_faulty_duplicates_stream(spark, sf_dir):
+    """Rows and duplicates of each layer over all batches, from the metric lines."""
+    return duplicates_by_layer(read_metrics(spark, faulty_layers(spark, sf_dir).metrics))
+
+
+def q_faulty_layer_metrics(spark, sf_dir):
+    """Rows and dead letters of Bronze from its metric lines, and whether the
+    merged sketches of its batches are near the distinct ids of the table."""
+    paths = faulty_layers(spark, sf_dir)
+    lines = read_metrics(spark, paths.metrics).filter("layer = 'bronze'")
+    counts = lines.agg(F.sum("row_count").alias("rows"), F.sum(F.col("extra")["dead_letters"].cast("long")).alias("dead_letters"))
+    (estimate,) = distinct_by_layer(lines).select("distinct_ids").first() or (0,)
+    exact = read_bronze(spark, paths.bronze).agg(F.count_distinct("event_id")).first()[0]
+    return counts.withColumn("distinct_near", F.lit(abs(estimate - exact) <= 4 * sketch_error() * exact + 1))
+
+
 def q_gold_hourly_final(spark, sf_dir):
     return rounded_gold(read_gold_current(spark, streamed_layers(spark, sf_dir)))
 
@@ -354,6 +451,8 @@ QUERIES: dict[str, Query] = {
     "faulty_quality_report": q_faulty_quality_report,
     "faulty_quarantine_rows": q_faulty_quarantine_rows,
     "faulty_duplicate_count": q_faulty_duplicate_count,
+    "faulty_dead_letters": q_faulty_dead_letters,
+    "distinct_ids_by_date": q_distinct_ids_by_date,
     "metrics_summary": q_metrics_summary,
     "metrics_timeline": q_metrics_timeline,
     "recent_errors": q_recent_errors,
@@ -364,6 +463,11 @@ QUERIES: dict[str, Query] = {
     "gold_hourly_live": q_gold_hourly_live,
     "gold_hourly_final": q_gold_hourly_final,
     "layer_metrics": q_layer_metrics,
+    "faulty_dead_letters_stream": q_faulty_dead_letters_stream,
+    "gold_hourly_repaired": q_gold_hourly_repaired,
+    "silver_date_range": q_silver_date_range,
+    "faulty_duplicates_stream": q_faulty_duplicates_stream,
+    "faulty_layer_metrics": q_faulty_layer_metrics,
     "gold_backfill": q_gold_backfill,
     "backfill_rerun_range": q_backfill_rerun_range,
     "backfill_after_stream": q_backfill_after_stream,

@@ -209,6 +209,33 @@ FROM gold GROUP BY event_type ORDER BY total_events DESC, event_type"""
     }
     for name in ("bronze_parse", "gold_hourly", "quality_report", "quarantine_rows", "duplicate_count"):
         sql[f"faulty_{name}"] = sql[name].replace(_ROWS, _FAULTY_ROWS)
+    # The first 20 characters of the JSON text of the records that are cut there.
+    cut = """SELECT n, substr('{"event_id":"' || event_id || '",' ||
+       CASE WHEN n % 23 = 3 AND n % 19 <> 2 THEN '"event_type":"' ELSE '"timestamp":"' END, 1, 20) AS raw
+    FROM (SELECT *, CAST(substr(event_id, 2) AS BIGINT) AS n FROM flat) WHERE n % 17 = 1"""
+    sql["faulty_dead_letters"] = (
+        f"WITH {_ROWS}\nSELECT raw FROM ({cut}), (VALUES (1), (2)) AS delivery(number) WHERE number = 1 OR n % 13 = 0"
+    )
+    sql["faulty_dead_letters_stream"] = sql["faulty_dead_letters"]
+    sql["gold_hourly_repaired"] = sql["faulty_gold_hourly"]
+    # Unreadable records are no events: their rows are NULL in ``flat``.
+    events = "(SELECT * FROM silver WHERE event_id IS NOT NULL)"
+    sql["silver_date_range"] = (
+        f"WITH {_FAULTY_ROWS}\nSELECT {flat_cols}, event_ts::DATE AS event_date FROM {events} "
+        "WHERE event_ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'"
+    )
+    sql["distinct_ids_by_date"] = (
+        f"WITH {_FAULTY_ROWS}\nSELECT event_ts::DATE AS date, count(*)::BIGINT AS rows, "
+        "count(DISTINCT event_id)::BIGINT AS distinct_ids, TRUE AS near FROM silver GROUP BY event_ts::DATE"
+    )
+    sql["faulty_duplicates_stream"] = (
+        f"WITH {_FAULTY_ROWS}\nSELECT layer || '_duplicates' AS layer, count(*)::BIGINT AS rows, "
+        f"(count(*) - count(DISTINCT event_id))::BIGINT AS duplicates FROM {events}, (VALUES ('bronze'), ('silver')) AS t(layer) GROUP BY layer"
+    )
+    sql["faulty_layer_metrics"] = (
+        f"WITH {_FAULTY_ROWS}\nSELECT count(*)::BIGINT AS rows, count(*) FILTER (WHERE event_id IS NULL)::BIGINT AS dead_letters, "
+        "TRUE AS distinct_near FROM flat"
+    )
     sql["bronze_stream"] = sql["bronze_parse"]
     sql["silver_stream"] = sql["silver_flatten"]
     sql["gold_hourly_live"] = gold

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from strata.schemas import GOLD
 from strata.sources.metrics import read_metrics
-from strata.sources.tables import read_gold_current, read_gold_live, read_layer, read_quarantine
+from strata.sources.tables import read_bronze, read_dead_letters, read_gold_closed, read_gold_current, read_gold_live, read_layer, read_quarantine
 from strata.streaming.layers import LayerPaths
 
 def register_views(spark: SparkSession, paths: LayerPaths, gold: str = "final") -> list[str]:
@@ -21,12 +21,13 @@ def register_views(spark: SparkSession, paths: LayerPaths, gold: str = "final")
     from strata.schemas import BRONZE, SILVER
 
     tables = {
-        "final": lambda: read_layer(spark, paths.gold, GOLD),
+        "final": lambda: read_gold_closed(spark, paths),
         "current": lambda: read_gold_current(spark, paths),
         "live": lambda: read_gold_live(spark, paths.gold_live, paths.gold_live_snapshot),
     }
     views = {
-        "bronze": read_layer(spark, paths.bronze, BRONZE),
+        "bronze": read_bronze(spark, paths.bronze),
+        "dead_letters": read_dead_letters(spark, paths.bronze),
         "silver": read_layer(spark, paths.silver, SILVER),
         "gold": tables[gold](),
         "metrics": read_metrics(spark, paths.metrics),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DateType,
     DoubleType,
     IntegerType,
@@ -40,6 +41,11 @@ BRONZE = StructType(
     ]
 )
 
+# The Bronze table: the text of a record that did not parse stands beside the
+# (empty) event, in partitions of its own.
+RAW_TEXT, PARSED = "raw", "parsed"
+BRONZE_TABLE = StructType([*BRONZE.fields, StructField(RAW_TEXT, StringType(), True), StructField(PARSED, BooleanType(), True)])
+
 # Typed layer: flat, one column per metric.
 SILVER = StructType(
     [StructField(n, StringType(), True) for n in ID_FIELDS]
@@ -47,6 +53,10 @@ SILVER = StructType(
     + [StructField(NOTE_FIELD, StringType(), True)]
 )
 
+# The Silver table: the event time as a timestamp, and its date as partition.
+EVENT_TS, EVENT_DATE = "event_ts", "event_date"
+SILVER_TABLE = StructType([*SILVER.fields, StructField(EVENT_TS, TimestampType(), True), StructField(EVENT_DATE, DateType(), True)])
+
 # Hourly facts. Grain: (date_hour, hour, event_type, source, status).
 GOLD_KEYS = ["date_hour", "hour", "event_type", "source", "status"]
 GOLD = StructType(

@@ -1,10 +1,13 @@
 """The layer jobs as Structured Streaming queries.
 
-* Bronze: raw JSON stream -> parsed events -> Parquet file sink; its
-  quarantine query reads the committed Bronze files (JSON is parsed once).
-* Silver: Bronze file stream -> flattened, filled rows -> file sink; its
-  quarantine query reads the committed Silver files, where the rules are
-  plain comparisons on flat columns that reach the Parquet scan.
+* Bronze: raw JSON stream -> parsed events -> Parquet file sink; the text of
+  records that did not parse goes to a partition of its own in the same
+  commit. Its quarantine query reads the committed Bronze files (JSON is
+  parsed once).
+* Silver: Bronze file stream -> flattened, filled rows with a typed event
+  time -> file sink partitioned by event date; its quarantine query reads the
+  committed Silver files, where the rules are plain comparisons on flat
+  columns that reach the Parquet scan.
 * Gold, final form: Silver file stream -> hourly windows with a watermark ->
   append-mode file sink partitioned by ``date_hour``; each window is written
   once, after the watermark passes its end.
@@ -30,15 +33,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from strata.operators.bronze import bronze_parse, with_flat_metrics
+from strata.functions.timefmt import with_event_time
+from strata.operators.bronze import bronze_table, with_flat_metrics
 from strata.operators.gold import gold_hourly
-from strata.operators.quality import drop_bad_rows, quality_counts, quarantine_rows, validate_schema
+from strata.operators.quality import drop_bad_rows, id_sketch, quality_counts, quarantine_rows, validate_schema
 from strata.operators.silver import SILVER_FILL, silver_flatten
-from strata.schemas import BRONZE, SILVER
+from strata.schemas import BRONZE, BRONZE_TABLE, EVENT_DATE, EVENT_TS, PARSED, SILVER, SILVER_TABLE
 from strata.session import use_utc
 from strata.sources.raw import ANY_AGE
+from strata.storage import has_flat_files
 from strata.streaming.folders import hadoop_path, mark_done
-from strata.streaming.metrics_sink import MetricsListener, error_metric, query_metrics, write_batch_metrics
+from strata.streaming.metrics_sink import FIRST, MetricsListener, error_metric, query_metrics, write_batch_metrics
 
 DEFAULT_WATERMARK = "25 hours"
 
@@ -68,6 +73,10 @@ class LayerPaths:
     def gold(self) -> str:
         return self._p("gold", "fact_events_hourly")
 
+    @property
+    def gold_corrections(self) -> str:
+        return self._p("gold", "fact_events_hourly_corrections")
+
     @property
     def gold_live(self) -> str:
         return self._p("gold", "fact_events_hourly_live")
@@ -92,8 +101,10 @@ def _layer_folders(paths: LayerPaths, layer: str) -> tuple[list[str], list[str]]
     outputs = {
         "bronze": [paths.bronze, paths.bronze_all, paths.quarantine("bronze")],
         "silver": [paths.silver, paths.quarantine("silver")],
-        "gold": [paths.gold],
-        "gold_live": [paths.gold_live, paths.gold_live_snapshot, paths.gold_live_snapshot + "_staging", paths.gold_live + "_done"],
+        "gold": [paths.gold, paths.gold_corrections, paths.gold_corrections + "_versions"],
+        "gold_live": [
+            paths.gold_live, paths.gold_live_snapshot, paths.gold_live_snapshot + "_versions", paths.gold_live_snapshot + "_staging", paths.gold_live + "_done",
+        ],
     }
     checkpoints = {
         "bronze": ["bronze", "bronze_all", "bronze_quarantine", "bronze_duplicates"],
@@ -176,8 +187,12 @@ def _file_sink(df: DataFrame, path: str, checkpoint: str, name: str, trigger: di
     return _trigger(writer, trigger).start()
 
 
-def _observed(df: DataFrame, name: str, rules) -> DataFrame:
-    return df.observe(name, F.count(F.lit(1)).alias("rows"), *quality_counts(df, rules))
+def _observed(df: DataFrame, name: str, rules, *more) -> DataFrame:
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), *quality_counts(df, rules), *more)
+
+
+def _sketch(wanted: bool) -> list:
+    return [id_sketch().alias("event_ids")] if wanted else []
 
 
 def _keep(df: DataFrame, rules, drop_bad: bool) -> DataFrame:
@@ -210,6 +225,40 @@ def duplicate_stream(
     return _trigger(writer, trigger).start()
 
 
+def keyed_duplicate_stream(
+    df: DataFrame, paths: LayerPaths, layer: str, horizon: str, trigger: dict | None = None, id_field: str = "event_id"
+) -> StreamingQuery:
+    """Exact duplicate count across micro-batches, as a ``<layer>_duplicates``
+    metric line: rows minus ids not seen within ``horizon`` (NULL ids count as
+    duplicates, as in :func:`strata.operators.quality.duplicate_count`).
+
+    The ids seen are keyed state. They expire by arrival, not by event time: a
+    record that is delivered again comes soon after the first, whatever time it
+    carries, and a record without a time counts as well. State and shuffle hold
+    ids only; counts come from ``observe``, and a replayed batch counts alike."""
+    name = f"{layer}_duplicates"
+    rows = F.count(F.lit(1)).alias("rows")
+    ids = df.select(F.col(id_field).alias("id"), F.current_timestamp().alias("arrived")).observe(name, rows)
+    first = ids.filter("id IS NOT NULL").withWatermark("arrived", horizon).dropDuplicatesWithinWatermark(["id"]).observe(name + FIRST, rows)
+    writer = first.writeStream.format("noop").outputMode("append").option("checkpointLocation", paths.checkpoint(name)).queryName(name)
+    return _trigger(writer, trigger).start()
+
+
+def _duplicate_queries(
+    spark, paths, layer, folder, per_batch: bool, horizon: str | None, trigger, max_files, state_partitions, rocksdb, listener=None
+) -> list[tuple[str, StreamingQuery, str | None]]:
+    """The duplicate count of a layer that was asked for, as (layer, query, observation)."""
+    name = f"{layer}_duplicates"
+    if horizon:
+        own = _stateful_session(spark, state_partitions, rocksdb, no_data_batches=False)
+        if listener:
+            own.streams.addListener(listener)
+        return [(name, keyed_duplicate_stream(_read_bronze_stream(own, folder, max_files), paths, layer, horizon, trigger), name)]
+    if per_batch:
+        return [(name, duplicate_stream(_read_bronze_stream(spark, folder, max_files), paths, layer, trigger), None)]
+    return []
+
+
 def _check_schema(df: DataFrame, fields: list[str], fail_on_schema: bool) -> None:
     """Field names against the layer's; a missing one is logged or raised."""
     if not validate_schema(df, fields) and fail_on_schema:
@@ -217,21 +266,25 @@ def _check_schema(df: DataFrame, fields: list[str], fail_on_schema: bool) -> Non
 
 
 def bronze_stream(
-    raw: DataFrame, paths: LayerPaths, rules, trigger: dict | None = None, drop_bad: bool = False, fail_on_schema: bool = False
+    raw: DataFrame, paths: LayerPaths, rules, trigger: dict | None = None, drop_bad: bool = False, fail_on_schema: bool = False,
+    distinct_sketches: bool = False,
 ) -> list[StreamingQuery]:
     """Start the query that parses the source, the only one that reads it: JSON
     is parsed once, and no row can fall between two reads of a live source.
 
     It writes Bronze; with ``drop_bad`` it writes all parsed rows to a staging
     table, from which :func:`bronze_split_streams` derives Bronze and its
-    quarantine."""
-    parsed = bronze_parse(raw)
+    quarantine. Records of which nothing could be read go to the same table's
+    partition ``parsed=false`` with their text, so they are committed with the
+    batch that read them; the metric line counts them (``dead_letters``)."""
+    parsed = bronze_table(raw)
     _check_schema(parsed, BRONZE.fieldNames(), fail_on_schema)
     # Observe on the flattened projection so the rule counts see the metric
     # columns (and every row), then write only the Bronze columns.
-    written = _observed(with_flat_metrics(parsed), "bronze", rules).select(*BRONZE.fieldNames())
+    more = [F.count_if(~F.col(PARSED)).alias("dead_letters"), *_sketch(distinct_sketches)]
+    written = _observed(with_flat_metrics(parsed), "bronze", rules, *more).select(*BRONZE_TABLE.fieldNames())
     path, name = (paths.bronze_all, "bronze_all") if drop_bad else (paths.bronze, "bronze")
-    return [_file_sink(written, path, paths.checkpoint(name), "bronze", trigger)]
+    return [_file_sink(written, path, paths.checkpoint(name), "bronze", trigger, [PARSED])]
 
 
 def bronze_split_streams(
@@ -239,12 +292,12 @@ def bronze_split_streams(
 ) -> list[StreamingQuery]:
     """Bronze quarantine from the committed parsed rows and, with ``drop_bad``,
     Bronze itself (the rows that break no rule)."""
-    source = _read_layer_stream(spark, paths.bronze_all if drop_bad else paths.bronze, BRONZE, max_files, None)
-    flat = with_flat_metrics(source)
-    queries = [_bronze_quarantine_sink(flat, paths, rules, trigger)]
-    if drop_bad:
-        kept = drop_bad_rows(flat, rules).select(*BRONZE.fieldNames())
-        queries.append(_file_sink(kept, paths.bronze, paths.checkpoint("bronze"), "bronze_kept", trigger))
+    path = paths.bronze_all if drop_bad else paths.bronze
+    queries = [_bronze_quarantine_sink(with_flat_metrics(_read_bronze_stream(spark, path, max_files)), paths, rules, trigger)]
+    if drop_bad:  # dead letters break no rule and go on
+        table = with_flat_metrics(_read_layer_stream(spark, path, BRONZE_TABLE, max_files, None))
+        kept = drop_bad_rows(table, rules).select(*BRONZE_TABLE.fieldNames())
+        queries.append(_file_sink(kept, paths.bronze, paths.checkpoint("bronze"), "bronze_kept", trigger, [PARSED]))
     return queries
 
 
@@ -265,6 +318,12 @@ def _read_layer_stream(spark: SparkSession, path: str, schema, max_files: int |
     return reader.load(path)
 
 
+def _read_bronze_stream(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
+    """The events of a Bronze table (the filter prunes the dead letters' folders)."""
+    table = _read_layer_stream(spark, path, BRONZE_TABLE, max_files, None)
+    return table.filter(F.coalesce(PARSED, F.lit(True))).select(*BRONZE.fieldNames())
+
+
 def silver_stream(
     spark: SparkSession,
     paths: LayerPaths,
@@ -274,20 +333,21 @@ def silver_stream(
     fill: dict | None = SILVER_FILL,
     drop_bad: bool = False,
     fail_on_schema: bool = False,
+    distinct_sketches: bool = False,
 ) -> list[StreamingQuery]:
     """Start the Silver write. With ``drop_bad`` the Silver quarantine query
     is started here too, over the Bronze stream (the dropped rows never reach
     Silver); otherwise it runs later over the written Silver files
     (:func:`silver_quarantine_stream`)."""
-    bronze = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
-    silver = silver_flatten(bronze, fill)
+    silver = silver_flatten(_read_bronze_stream(spark, paths.bronze, max_files), fill)
     _check_schema(silver, SILVER.fieldNames(), fail_on_schema)
     main = _file_sink(
-        _keep(_observed(silver, "silver", rules), rules, drop_bad),
+        with_event_time(_keep(_observed(silver, "silver", rules, *_sketch(distinct_sketches)), rules, drop_bad)),
         paths.silver,
         paths.checkpoint("silver"),
         "silver",
         trigger,
+        [EVENT_DATE],
     )
     if not drop_bad:
         return [main]
@@ -310,12 +370,14 @@ def silver_quarantine_stream(
     """Silver quarantine from the committed Silver files. Silver columns are
     flat and filled, so the any-rule filter is pushed to the Parquet scan
     and row groups whose min/max lie inside every range are skipped."""
-    silver = _read_layer_stream(spark, paths.silver, SILVER, max_files, None)
+    silver = _read_layer_stream(spark, paths.silver, SILVER_TABLE, max_files, None).select(*SILVER.fieldNames())
     return _silver_quarantine_sink(silver, paths, rules, trigger)
 
 
 def _gold_input(spark, paths, watermark, max_files, max_file_age, name):
-    silver = _read_layer_stream(spark, paths.silver, SILVER, max_files, max_file_age)
+    silver = _read_layer_stream(spark, paths.silver, SILVER_TABLE, max_files, max_file_age)
+    if has_flat_files(spark, paths.silver):  # written without the typed time
+        silver = silver.drop(EVENT_TS, EVENT_DATE)
     # Count the rows each batch emits (observed after the aggregate).
     return gold_hourly(silver, watermark=watermark).observe(name, F.count(F.lit(1)).alias("rows"))
 
@@ -460,7 +522,7 @@ def await_layers(
             if query.isActive:
                 query.stop()
             drain(query)
-            if not layer.endswith(("_quarantine", "_duplicates", "_kept")):
+            if observation or not layer.endswith(("_quarantine", "_duplicates", "_kept")):
                 batches = [progress[str(query.id)][b] for b in sorted(progress[str(query.id)])]
                 rows.extend(query_metrics(layer, batches, observation))
         if sink is None:
@@ -482,6 +544,8 @@ def run_layers(
     rocksdb: bool = False,
     drop_bad: bool = False,
     duplicate_metrics: bool = False,
+    duplicate_horizon: str | None = None,
+    distinct_sketches: bool = False,
     output_files: int | None = None,
     fail_on_schema: bool = False,
 ) -> None:
@@ -489,26 +553,30 @@ def run_layers(
     layer after layer, and write their metric lines as one file. Re-running
     with the same folders resumes from the checkpoints and processes only new
     input. With ``duplicate_metrics`` each Bronze and Silver batch also gets an
-    exact duplicate count (one more query per layer). With ``fail_on_schema`` a
+    exact duplicate count (one more query per layer); with ``duplicate_horizon``
+    (e.g. ``"24 hours"``) the count goes across batches
+    (:func:`keyed_duplicate_stream`). With ``distinct_sketches`` their metric
+    lines carry a mergeable sketch of the batch's ids. With ``fail_on_schema`` a
     layer whose input lacks a field raises instead of logging it.
     """
     lines: list[tuple] = []
     try:
-        bronze = [("bronze", q, "bronze") for q in bronze_stream(raw, paths, rules, drop_bad=drop_bad, fail_on_schema=fail_on_schema)]
+        checks = dict(fail_on_schema=fail_on_schema, distinct_sketches=distinct_sketches)
+        bronze = [("bronze", q, "bronze") for q in bronze_stream(raw, paths, rules, drop_bad=drop_bad, **checks)]
         await_layers(spark, paths, bronze, sink=lines)
         # The quarantine, duplicates and, with drop_bad, Bronze itself read the table just written.
         split = bronze_split_streams(spark, paths, rules, drop_bad=drop_bad, max_files=max_files)
         beside = [("bronze_quarantine", split[0], None)]
-        if duplicate_metrics:
-            source = _read_layer_stream(spark, paths.bronze_all if drop_bad else paths.bronze, BRONZE, max_files, None)
-            beside.append(("bronze_duplicates", duplicate_stream(source, paths, "bronze"), None))
+
+        def duplicates(layer: str, folder: str) -> list:
+            return _duplicate_queries(spark, paths, layer, folder, duplicate_metrics, duplicate_horizon, None, max_files, state_partitions, rocksdb)
+
+        beside += duplicates("bronze", paths.bronze_all if drop_bad else paths.bronze)
         if drop_bad:
             await_layers(spark, paths, [*beside, ("bronze_kept", split[1], None)], sink=lines)
             beside = []
-        silver = _named("silver", silver_stream(spark, paths, rules, max_files=max_files, drop_bad=drop_bad, fail_on_schema=fail_on_schema)) + beside
-        if duplicate_metrics:
-            source = _read_layer_stream(spark, paths.bronze, BRONZE, max_files, None)
-            silver.append(("silver_duplicates", duplicate_stream(source, paths, "silver"), None))
+        silver = _named("silver", silver_stream(spark, paths, rules, max_files=max_files, drop_bad=drop_bad, **checks)) + beside
+        silver += duplicates("silver", paths.bronze)
         await_layers(spark, paths, silver, sink=lines)
         gold_queries = []
         if not drop_bad:
@@ -540,29 +608,35 @@ def start_layers(
     output_files: int | None = None,
     duplicate_metrics: bool = False,
     fail_on_schema: bool = False,
+    duplicate_horizon: str | None = None,
+    distinct_sketches: bool = False,
 ) -> tuple[list[StreamingQuery], MetricsListener]:
     """Start all layers as long-running queries (default trigger: every
-    5 minutes) and a listener that buffers their metric lines (schema check
-    and duplicate counts as in :func:`run_layers`); call
-    ``listener.flush(spark, paths.metrics)`` periodically and
-    ``spark.streams.awaitAnyTermination()`` to supervise, or hand both to
-    :func:`supervise_layers`."""
+    5 minutes) and a listener that buffers their metric lines (schema check,
+    duplicate counts and sketches as in :func:`run_layers`). Hand both to
+    :func:`supervise_layers`: stateful queries run in sessions of their own, so
+    ``spark.streams.awaitAnyTermination()`` would not notice that they fail."""
     trigger = trigger or {"processingTime": "5 minutes"}
     listener = MetricsListener(
-        {"bronze": ("bronze", "bronze"), "silver": ("silver", "silver"), "gold_final": ("gold", "gold"), "gold_live": ("gold_live", "gold_live")}
+        {
+            "bronze": ("bronze", "bronze"), "silver": ("silver", "silver"), "gold_final": ("gold", "gold"), "gold_live": ("gold_live", "gold_live"),
+            **({f"{x}_duplicates": (f"{x}_duplicates", f"{x}_duplicates") for x in ("bronze", "silver")} if duplicate_horizon else {}),
+        }
     )
     spark.streams.addListener(listener)
     for folder in [paths.bronze, paths.silver, *([paths.bronze_all] if drop_bad else [])]:  # a file stream needs its folder
         fs, hpath = hadoop_path(spark, folder)
         fs.mkdirs(hpath)
-    queries = bronze_stream(raw, paths, rules, trigger, drop_bad, fail_on_schema)
+    queries = bronze_stream(raw, paths, rules, trigger, drop_bad, fail_on_schema, distinct_sketches)
     queries += bronze_split_streams(spark, paths, rules, trigger, drop_bad, max_files)
-    queries += silver_stream(spark, paths, rules, trigger, max_files, drop_bad=drop_bad, fail_on_schema=fail_on_schema)
+    queries += silver_stream(spark, paths, rules, trigger, max_files, drop_bad=drop_bad, fail_on_schema=fail_on_schema, distinct_sketches=distinct_sketches)
     if not drop_bad:
         queries.append(silver_quarantine_stream(spark, paths, rules, trigger, max_files))
-    if duplicate_metrics:
-        for layer, folder in (("bronze", paths.bronze_all if drop_bad else paths.bronze), ("silver", paths.bronze)):
-            queries.append(duplicate_stream(_read_layer_stream(spark, folder, BRONZE, max_files, None), paths, layer, trigger))
+    for layer, folder in (("bronze", paths.bronze_all if drop_bad else paths.bronze), ("silver", paths.bronze)):
+        found = _duplicate_queries(
+            spark, paths, layer, folder, duplicate_metrics, duplicate_horizon, trigger, max_files, state_partitions, rocksdb, listener
+        )
+        queries += [q for _, q, _ in found]
     kw = dict(
         trigger=trigger,
         max_files=max_files,
@@ -592,13 +666,18 @@ def supervise_layers(
     *,
     flush_every: float = 60.0,
     compact_every: float | None = 3600.0,
+    repair_every: float | None = None,
+    grace: float = 3600.0,
     run_for: float | None = None,
     poll: float = 1.0,
 ) -> None:
     """Supervise long-running layers (from :func:`start_layers`) on the driver:
     write the buffered metric lines every ``flush_every`` seconds, fold live
     Gold into its snapshot every ``compact_every`` seconds (when the live
-    query runs), and return once a query stops or ``run_for`` seconds pass.
+    query runs), bring closed Gold hours in line with late rows every
+    ``repair_every`` seconds (:mod:`strata.streaming.repair`), and return once a
+    query stops or ``run_for`` seconds pass. What compaction and repair
+    supersede stays ``grace`` seconds for readers.
 
     A failed query is not swallowed: the others are stopped, its error line
     is written and the exception is raised. On return the queries are
@@ -606,7 +685,9 @@ def supervise_layers(
     checkpoints."""
     from strata.streaming.compaction import compact_live_gold
 
-    start = last_flush = last_compact = time.monotonic()
+    from strata.streaming.repair import repair_gold
+
+    start = last_flush = last_compact = last_repair = time.monotonic()
     live = any(q.name == "gold_live" for q in queries)
     failure = None
     try:
@@ -620,8 +701,11 @@ def supervise_layers(
                 listener.flush(spark, paths.metrics)
                 last_flush = now
             if live and compact_every is not None and now - last_compact >= compact_every:
-                compact_live_gold(spark, paths.gold_live, paths.gold_live_snapshot)
+                compact_live_gold(spark, paths.gold_live, paths.gold_live_snapshot, grace=grace)
                 last_compact = time.monotonic()
+            if repair_every is not None and now - last_repair >= repair_every:
+                repair_gold(spark, paths, grace=grace)
+                last_repair = time.monotonic()
             if any(not q.isActive for q in queries) or (run_for is not None and now - start >= run_for):
                 return
             time.sleep(poll)

@@ -23,16 +23,24 @@ def _epoch_seconds(iso: str | None) -> int:
     return int(datetime.fromisoformat(iso.replace("Z", "+00:00")).timestamp())
 
 
+#: Observation, beside the one of all rows, of the rows whose id was not seen before.
+FIRST = "_first"
+
+
 def progress_metrics(layer: str, progress, observation: str | None = None) -> tuple:
     """One metric row ``(ts, layer, batch_id, row_count, error, extra)`` from
     a ``StreamingQueryProgress``. ``row_count`` is the observed ``rows``
     count when an observation is named (its other counts go to ``extra``),
     else the input row count; a batch with no rows is noted as
-    ``empty_batch``."""
+    ``empty_batch``. A second observation of first sightings gives the
+    duplicates."""
     observed = {}
     if observation and progress.observedMetrics and observation in progress.observedMetrics:
         observed = progress.observedMetrics[observation].asDict()
     rows = observed.pop("rows", None)
+    first = (progress.observedMetrics or {}).get(f"{observation}{FIRST}")
+    if rows is not None and first is not None:
+        observed["duplicates"] = rows - first["rows"]
     late = sum(int(s.numRowsDroppedByWatermark or 0) for s in progress.stateOperators or ())
     if late:
         observed["late_rows"] = late

@@ -94,3 +94,44 @@ def test_backfill_refuses_a_streamed_folder(spark, rules):
     run_layers(spark, read_raw_stream(spark, path=raw), paths, rules, gold_modes=("final",), state_partitions=2)
     assert read_layer(spark, paths.bronze, BRONZE).count() == rows.count() + 10
     assert read_gold_current(spark, paths).count() >= before
+
+
+def test_files_of_a_date_follow_its_rows(spark, rules):
+    from strata.sources.tables import read_silver
+
+    rows = event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    paths = LayerPaths(scratch_path(spark, "test-files"))
+    backfill_layers(spark, events_to_json(rows).repartition(12), paths, rules)  # every task holds every date
+    for layer, date in ((spark.read.parquet(paths.bronze), "event_date"), (read_silver(spark, paths.silver), "event_date"), (read_gold(spark, paths.gold), "date_hour")):
+        per_date = layer.groupBy(date).agg(F.count_distinct("_metadata.file_path").alias("files")).collect()
+        assert len(per_date) > 20 and max(r.files for r in per_date) == 1
+
+
+def test_a_rerun_that_dies_while_it_computes_leaves_its_dates(spark, rules):
+    rows = event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    paths = LayerPaths(scratch_path(spark, "test-dies"))
+    raw = events_to_json(rows)
+    backfill_layers(spark, raw, paths, rules)
+    before = read_gold(spark, paths.gold).count()
+    broken = raw.withColumn("value", F.expr("if(key = 'e77', raise_error('broken source'), value)"))
+    with pytest.raises(Exception, match="broken source"):
+        backfill_layers(spark, broken, paths, rules, start_date="2024-01-02", end_date="2024-01-20")
+    assert read_layer(spark, paths.bronze, BRONZE).count() == rows.count()
+    assert read_gold(spark, paths.gold).count() == before
+    backfill_layers(spark, raw.filter("key <> 'e77'"), paths, rules, start_date="2024-01-02", end_date="2024-01-30")
+    assert read_layer(spark, paths.silver, SILVER).filter("event_id = 'e77'").count() == 0
+
+
+def test_dead_letters_of_a_backfill(spark, rules):
+    from strata.sources.events import faulty_records
+    from strata.sources.tables import read_bronze, read_dead_letters
+
+    records = faulty_records(event_rows(spark.read.parquet(f"{SF_SMALL}/events.parquet")))
+    cut = sorted(r[0] for r in records.filter("length(value) = 20").collect())
+    for drop_bad in (False, True):
+        paths = LayerPaths(scratch_path(spark, "test-backfill-dead"))
+        backfill_layers(spark, records, paths, rules, drop_bad=drop_bad)
+        assert sorted(r[0] for r in read_dead_letters(spark, paths.bronze).collect()) == cut
+        assert read_bronze(spark, paths.bronze).filter("event_id IS NULL").count() == 0
+        backfill_layers(spark, records, paths, rules, drop_bad=drop_bad, start_date="2024-01-05", end_date="2024-01-05")
+        assert read_dead_letters(spark, paths.bronze).count() == len(cut)

@@ -78,3 +78,15 @@ def test_default_rules_path_exists():
 
     assert os.path.exists(DEFAULT_RULES_PATH)
     assert F is not None
+
+
+def test_a_rule_on_an_unknown_field_can_be_refused(tmp_path):
+    import pytest
+
+    from strata.functions.rules import load_rules
+
+    path = tmp_path / "rules.yaml"
+    path.write_text("numeric_ranges:\n  amuont: {min: 0}\n")
+    assert load_rules(path)
+    with pytest.raises(ValueError, match="amuont"):
+        load_rules(path, fields=["amount"])
