@@ -19,15 +19,11 @@ from pyspark.sql import functions as F
 from strata.llm import language, line_dedup, mixing, packing, simhash
 from strata.llm.common import n_chars_after, written
 
-#: Rejects nothing with four languages, whose likeliest has a quarter at least: only documents
-#: without letters go. With five and more languages it would start to reject.
-LEAST_SCORE = 0.25
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters stay, also those in no language of the model
-    (``LEAST_SCORE`` rejects none of four); those without letters go."""
-    return language.accepted(docs, LEAST_SCORE)
+    """Documents in one of the labelled languages stay; those that are likelier
+    noise, and those without letters, go."""
+    return language.accepted(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,10 @@ is trained in numpy on labelled text. A text is cut into windows that cover
 all of it; the log-probabilities of its windows are averaged, weighted by
 their bytes.
 
+For a filter that rejects text in no language (:func:`accepted`), the network
+has one more class, noise: windows made from the labelled ones by shuffling
+their bytes, and random ones. :func:`identify` has languages only.
+
 A filter of even width is a sum of lookups by pairs of bytes, so applying the
 network takes one table lookup for two bytes of each filter width.
 """
@@ -129,13 +133,30 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def noise_windows(windows: np.ndarray, n: int, seed: int = 11) -> np.ndarray:
+    """(n, WINDOW) bytes in no language. Half are labelled windows with their
+    bytes shuffled, so that the frequencies of letters tell nothing; the rest
+    are runs of random letters and digits, of any printable ASCII, and of random
+    two-byte letters."""
+    rng = np.random.default_rng(seed)
+    kinds = np.array_split(np.arange(n), [n // 2, n * 5 // 8, n * 3 // 4])
+    out = np.zeros((n, windows.shape[1]), np.uint8)
+    out[kinds[0]] = rng.permuted(windows[rng.integers(0, len(windows), len(kinds[0]))], axis=1)
+    signs = np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789        ", np.uint8)
+    out[kinds[1]] = signs[rng.integers(0, len(signs), out[kinds[1]].shape)]
+    out[kinds[2]] = rng.integers(32, 127, out[kinds[2]].shape)
+    out[kinds[3]] = np.where(np.arange(windows.shape[1]) % 2 == 0, rng.integers(0xC3, 0xDF, out[kinds[3]].shape), rng.integers(0x80, 0xC0, out[kinds[3]].shape))
+    return out
+
+
 def fit(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    per_lang: int = FIT_DOCS, windows: int = FIT_WINDOWS,
+    per_lang: int = FIT_DOCS, windows: int = FIT_WINDOWS, noise: bool = False,
 ) -> ByteCnn | None:
     """Train on a bounded sample: about ``per_lang`` documents of each language,
     chosen by a hash of the id, and ``windows`` windows of each, spread over its
-    whole text. None if nothing is labelled."""
+    whole text. With ``noise``, ``und`` is one more class, of as many windows as
+    a language has on average. None if nothing is labelled."""
     usable = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).rlike(LETTER) & ~held_out(id_col))
     usable = usable.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     draw = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
@@ -159,8 +180,12 @@ def fit(
     langs = sorted({g[1] for g in got})
     at = {lang: i for i, lang in enumerate(langs)}
     x = np.frombuffer(b"".join(g[2] for g in got), np.uint8).reshape(-1, WINDOW)
+    y = np.array([at[g[1]] for g in got])
+    if noise:
+        made = noise_windows(x, max(8, len(x) // len(langs)))
+        x, y, langs = np.concatenate((x, made)), np.concatenate((y, np.full(len(made), len(langs)))), [*langs, UNDETERMINED]
     steps = max(1, len(x) // 64)
-    return train(x, np.array([at[g[1]] for g in got]), langs, epochs=int(min(30, max(2, -(-1500 // steps)))))
+    return train(x, y, langs, epochs=int(min(30, max(2, -(-1500 // steps)))))
 
 
 def prediction(model: ByteCnn | None, text_col: str = "text") -> Column:
@@ -230,9 +255,13 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(docs, fit(docs, id_col, text_col, lang_col), id_col, text_col)
 
 
-def accepted(docs: DataFrame, least_score: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is at least
-    ``least_score`` likely. Rows without letters have none and go."""
-    model = fit(docs, id_col, text_col, lang_col)
+def accepted(docs: DataFrame, least_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are text in one of the
+    languages: not likelier noise than any language, and at least ``least_score``
+    likely. Rows without letters have no language and go. Without any label
+    there is no language to know, and all rows go."""
+    if "_llm_language" in docs.columns:
+        raise ValueError("a column _llm_language is used inside")
+    model = fit(docs, id_col, text_col, lang_col, noise=True)
     found = docs.withColumn("_llm_language", prediction(model, text_col))
     return found.filter((F.col("_llm_language.lang") != UNDETERMINED) & (F.col("_llm_language.score") >= least_score)).select(*docs.columns)

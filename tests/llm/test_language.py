@@ -57,3 +57,37 @@ def test_accepted_keeps_columns(spark):
     assert out.columns == docs.columns
     assert {r["doc_id"] for r in out.collect()} >= {1, 2, 3, 4, 5, 6, 7, 12, 14}
     assert not {8, 9, 10, 11} & {r["doc_id"] for r in out.collect()}
+
+
+def test_noise_goes_and_clean_held_out_documents_stay(spark):
+    import random
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rng = random.Random(8)
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789"
+    soup = lambda n: " ".join("".join(rng.choices(signs, k=rng.randrange(2, 12))) for _ in range(n))
+    shuffled = ["".join(rng.sample(r["text"], len(r["text"]))) for r in docs.filter("length(text) BETWEEN 300 AND 3000").limit(40).collect()]
+    noise = [soup(rng.randrange(40, 400)) for _ in range(40)] + shuffled
+    noise += ["".join(chr(rng.randrange(0x400, 0x460)) for _ in range(600)), "0x" + " ".join(f"{rng.randrange(1 << 32):08x}" for _ in range(90))]
+    rows = [(10_000_000 + i, t, None, "noise", len(t)) for i, t in enumerate(noise)]
+    both = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = {r["doc_id"] for r in language.accepted(both).select("doc_id").collect()}
+    assert len([i for i in kept if i >= 10_000_000]) <= 0.05 * len(noise)
+    clean = {r["doc_id"] for r in docs.filter("text RLIKE '\\\\p{L}'").filter(language.held_out()).select("doc_id").collect()}
+    assert len(clean - kept) <= 0.002 * len(clean)
+
+
+def test_pair_tables_equal_the_plain_convolution():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 256, (40, language.WINDOW)).astype(np.uint8)
+    model = language.train(x, rng.integers(0, 3, 40), ["a", "b", "c"], epochs=2)
+    pooled = []
+    for w in model.filters:
+        emb = model.embed[x]
+        steps = x.shape[1] - len(w) + 1
+        pooled.append(sum(emb[:, j : j + steps] @ w[j] for j in range(len(w))).max(axis=1))
+    z = np.maximum(np.concatenate(pooled, axis=1) + model.bias, 0) @ model.out + model.out_bias
+    want = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    assert np.abs(model.log_probs(x, model.pair_tables()) - want).max() < 1e-5
