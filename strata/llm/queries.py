@@ -11,7 +11,7 @@ from strata.llm import (
     embedding_dedup, language, line_dedup, merkle, mixing, packing, prefix_trie, simhash, substring_dedup, syncmers, token_files, toxicity,
     url_filters,
 )
-from strata.llm.common import table
+from strata.llm.common import table, written
 from strata.session import scratch_path
 
 
@@ -22,7 +22,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return url_filters.evaluate(url_filters.captures_of(pages), url_filters.entries_of(pages))
+    return url_filters.evaluate(url_filters.captures_of(pages), written(url_filters.entries_of(pages), "url-entries"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,14 +4,17 @@ A list is a log of dated entries: a key was added to or removed from it at a
 time. Entries become validity intervals, and an as-of join evaluates every
 capture against the entries that were active when it was fetched.
 
-Keys are ``d:<domain>``, which covers a host and all hosts below it, and
-``p:<host>/<segments>``, which covers URLs below a path.
+Keys are ``d:<domain>``, which covers a host and all hosts below it (``d:org``
+covers every host that ends in org), and ``p:<host>/<segments>``, which covers
+URLs below a path. An IP address is a domain as a whole: ``d:10.0.0.1``,
+``d:[2001:db8::1]``; no part of it is one.
 
 DataFrame functions only. The join is an equality on the key, on a span of
 ``SPAN_DAYS`` days and on a salt, so neither a host that holds a third of all
 captures nor a key with a long history makes a large group: captures of a key
 are dealt over ``SALTS`` tasks, intervals are copied to these and to the spans
-they reach into.
+they reach into, of those that hold captures at all: one capture with a date
+far off adds one span.
 """
 
 from __future__ import annotations
@@ -21,28 +24,27 @@ from pyspark.sql import functions as F
 
 SPAN_DAYS = 32
 SALTS = 16
-#: Path segments of the longest path key of the registered query's lists.
-SEGMENTS = 3
+IP = r"^(\[.*|\d{1,3}(\.\d{1,3}){3})$"
 
 
 def host(url: Column) -> Column:
     """The host in lower case, without user, port and trailing dot; null if there is none."""
-    found = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1))
+    found = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@]+)", 1))
     return F.nullif(F.regexp_replace(found, r"\.+$", ""), F.lit(""))
 
 
-def url_keys(url: Column, segments: int = SEGMENTS, last_label: bool = False) -> Column:
+def url_keys(url: Column, segments: int | None = None, last_label: bool = True) -> Column:
     """The keys that cover a URL (an empty array if it has no host): paths of at
-    most ``segments`` segments, and a last label alone (``d:org``) only if that
-    is the whole host or with ``last_label``."""
+    most ``segments`` segments (None: of any depth), and a last label alone
+    (``d:org``) unless ``last_label`` is off and the host has more."""
     h = host(url)
-    labels = F.split(h, r"\.")
+    labels = F.when(h.rlike(IP), F.array(h)).otherwise(F.split(h, r"\."))
     n = F.size(labels)
     last = n if last_label else F.greatest(n - 1, F.lit(1))
     domains = F.transform(F.sequence(F.lit(1), last), lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(labels, i, n), ".")))
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    many = F.least(F.size(parts), F.lit(segments))
+    many = F.size(parts) if segments is None else F.least(F.size(parts), F.lit(segments))
     paths = F.when(many >= 1, F.transform(F.sequence(F.lit(1), F.greatest(many, F.lit(1))), lambda i: F.concat(F.lit("p:"), h, F.lit("/"), F.array_join(F.slice(parts, 1, i), "/"))))
     none = F.array().cast("array<string>")
     return F.when(h.isNull(), none).otherwise(F.array_distinct(F.concat(domains, F.coalesce(paths, none))))
@@ -76,15 +78,25 @@ def _segments(entries: DataFrame) -> int:
     return many or 0
 
 
+def copied(intervals: DataFrame, spans: list[int]) -> DataFrame:
+    """``intervals`` for each salt and each of ``spans`` that they reach into."""
+    known = F.array(*[F.lit(x) for x in spans]).cast("array<int>")
+    start, end = _span(F.col("valid_from")), _span(F.col("valid_to"))
+    reached = intervals.withColumn("from", start).withColumn("to", end).withColumn(
+        "span", F.explode(F.filter(known, lambda x: (x >= F.col("from")) & (F.col("to").isNull() | (x <= F.col("to")))))
+    )
+    return reached.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def evaluate(
-    captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched_at", last_label: bool = False
+    captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched_at", last_label: bool = True
 ) -> DataFrame:
     """``(page_id, url, fetched_at, n_active, lists, entry, since, blocked)``
     for every capture.
 
     ``n_active`` counts the entries active at fetch time that cover the URL
     (paths of any depth; an entry for a last label alone, ``d:org``, covers the
-    hosts below it only with ``last_label``),
+    hosts below it unless ``last_label`` is off),
     ``lists`` names their lists in order, ``entry`` is the most specific one
     (the longest key; ties by list, then key) and ``since`` the start of its
     interval. An interval holds from its first moment to before its last. A
@@ -98,19 +110,9 @@ def evaluate(
         .withColumn("span", _span(F.col("fetched_at")))
         .withColumn("salt", F.pmod(F.xxhash64("url", "fetched_at"), F.lit(SALTS)).cast("int"))
     )
-    # Intervals are only copied to spans in which there are captures: two numbers.
-    first, last = seen.agg(F.min(_span(F.col("fetched_at"))), F.max(_span(F.col("fetched_at")))).first()
-    first, last = F.lit(first).cast("int"), F.lit(last).cast("int")  # null without captures: no interval reaches one
-    start, end = F.greatest(_span(F.col("valid_from")), first), F.least(F.coalesce(_span(F.col("valid_to")), last), last)
-    intervals = (
-        validity_intervals(entries)
-        .withColumn("from", start)
-        .withColumn("to", end)
-        .filter(last.isNotNull() & (F.col("from") <= F.col("to")))
-        .withColumn("span", F.explode(F.sequence("from", "to")))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        .select("list", "key", "valid_from", "valid_to", "span", "salt")
-    )
+    # At most some hundred numbers a decade.
+    spans = sorted(r[0] for r in seen.select(_span(F.col("fetched_at")).alias("span")).distinct().collect())
+    intervals = copied(validity_intervals(entries), spans).select("list", "key", "valid_from", "valid_to", "span", "salt")
     active = (F.col("valid_from") <= F.col("fetched_at")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
     matches = keyed.join(intervals, ["key", "span", "salt"]).filter(active)
     best = F.min(F.struct((-F.length("key")).alias("l"), F.col("list"), F.col("key"), F.col("valid_from")))
@@ -166,15 +168,15 @@ def _sql_digits(text: str, salt: str, modulo: int) -> str:
 SQL = f"""
 WITH c AS (
   SELECT page_id, url, TIMESTAMP '{DAY_ZERO}' + to_minutes({_sql_digits("page_id::VARCHAR", "fetch", 365 * 1440)}) AS fetched_at,
-    nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\\.+$', ''), '') AS host,
+    nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?(\\[[^\\]/?#]*\\]|[^/?#:@]+)', 1)), '\\.+$', ''), '') AS host,
     list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS segments
   FROM pages
 ), labels AS (
-  SELECT *, string_split(host, '.') AS labels FROM c
+  SELECT *, CASE WHEN regexp_matches(host, '{IP}') THEN [host] ELSE string_split(host, '.') END AS labels FROM c
 ), k AS (
   SELECT DISTINCT url, fetched_at, unnest(list_concat(
-    list_transform(range(1, greatest(len(labels) - 1, 1) + 1), lambda i: 'd:' || array_to_string(labels[i:], '.')),
-    list_transform(range(1, least(len(segments), {SEGMENTS}) + 1), lambda i: 'p:' || host || '/' || array_to_string(segments[1:i], '/'))
+    list_transform(range(1, len(labels) + 1), lambda i: 'd:' || array_to_string(labels[i:], '.')),
+    list_transform(range(1, len(segments) + 1), lambda i: 'p:' || host || '/' || array_to_string(segments[1:i], '/'))
   )) AS key FROM labels WHERE host IS NOT NULL
 ), listed AS (
   SELECT key, ['adult', 'malware', 'optout'][({_sql_digits("key", "list", 12)} + 1)::INTEGER] AS list,

@@ -17,13 +17,38 @@ def keys_of(spark, url):
 
 def test_keys(spark):
     assert keys_of(spark, "HTTPS://me:pw@A.b.Example.COM.:8080/x//y/z/w?q=/a#f") == [
-        "d:a.b.example.com", "d:b.example.com", "d:example.com", "p:a.b.example.com/x", "p:a.b.example.com/x/y", "p:a.b.example.com/x/y/z",
+        "d:a.b.example.com", "d:b.example.com", "d:example.com", "d:com", "p:a.b.example.com/x", "p:a.b.example.com/x/y", "p:a.b.example.com/x/y/z",
+        "p:a.b.example.com/x/y/z/w",
     ]
+    df = spark.createDataFrame([("http://a.example.com/x/y",)], "url string")
+    assert df.select(uf.url_keys(F.col("url"), 1, False)).first()[0] == ["d:a.example.com", "d:example.com", "p:a.example.com/x"]
     assert keys_of(spark, "http://localhost") == ["d:localhost"]
     for bad in (None, "", "no url", "mailto:x@y", "http:///path"):
         assert keys_of(spark, bad) == []
 
 
+def test_addresses_are_whole(spark):
+    assert keys_of(spark, "http://[2001:DB8::1]:8080/x") == ["d:[2001:db8::1]", "p:[2001:db8::1]/x"]
+    assert keys_of(spark, "http://me@10.0.0.1:80/") == ["d:10.0.0.1"]
+    assert keys_of(spark, "http://10.0.0.1.example/") == ["d:10.0.0.1.example", "d:0.0.1.example", "d:0.1.example", "d:1.example", "d:example"]
+    c = spark.createDataFrame([(1, "http://10.0.0.1/a", DAY), (2, "http://[2001:db8::1]/x", DAY)], "page_id long, url string, fetched_at timestamp")
+    e = spark.createDataFrame([("l", k, "add", DAY) for k in ("d:0.1", "d:1", "d:[2001:db8::1]")], "list string, key string, action string, at timestamp")
+    assert {(r["page_id"], r["entry"]) for r in uf.evaluate(c, e).collect()} == {(1, None), (2, "d:[2001:db8::1]")}
+
+
+def test_an_outlier_date_adds_one_span(spark):
+    far = datetime(1900, 1, 1)
+    captures = [(i, "http://a.com", DAY + timedelta(days=i)) for i in range(3)] + [(9, "http://a.com", far)]
+    c = spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp")
+    e = spark.createDataFrame([("l", "d:a.com", "add", datetime(1899, 1, 1)), ("l", "d:b.com", "add", DAY)], "list string, key string, action string, at timestamp")
+    assert all(r["blocked"] for r in uf.evaluate(c, e).collect())
+    spans = sorted(r[0] for r in c.select(uf._span(F.col("fetched_at"))).distinct().collect())
+    assert len(spans) == 2
+    copies = uf.copied(uf.validity_intervals(e), spans)
+    assert {(r["key"], r["n"]) for r in copies.groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()} == {("d:a.com", 2 * uf.SALTS), ("d:b.com", uf.SALTS)}
+    assert copies.filter("false").count() == uf.copied(uf.validity_intervals(e), []).count() == 0
+
+
 def brute(captures, entries):
     state = {}
     for e in entries:
