@@ -93,42 +93,71 @@ def document_anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """``(bucket, halo, doc_id, t)`` dealt and sorted so that each row is
-    followed by the next document in the order of falling id (null last).
-
-    The ids are cut into ranges at their quantiles. The first document of each
-    range is sent to the range before it as well (``halo``), and the very first
-    to the last range. Only the ids are read for that; the driver holds one id
-    for each range.
+    followed by the next document in the order of falling id (null last), equal
+    ids by the hash of their text.
+
+    The ids are cut into ranges at their quantiles. An id that holds more than
+    two ranges' worth of rows, or the rows without one, is cut further by the
+    hash of the text; only copies equal in id and text stay together. The first
+    document of each range is sent to the range before it as well (``halo``),
+    and the very first to the last range. Only the ids, and the texts of such
+    heavy ids, are read for that; the driver holds a few numbers for each range.
     """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    ids = rows.select("doc_id")
     ranges = parts * RANGES
     shares = [i / ranges for i in range(ranges)]  # the first, the least id, is no cut
-    found = ids.filter("doc_id IS NOT NULL").approxQuantile("doc_id", shares, 0.25 / ranges)
-    cuts = np.unique(np.array(found[1:], np.float64))
+    found = np.array(ids.filter("doc_id IS NOT NULL").approxQuantile("doc_id", shares, 0.25 / ranges), np.float64)
+    heavy = found[1:][found[1:] == found[:-1]]  # an id of several ranges gets one of its own
+    cuts = np.unique(np.concatenate((found[1:], heavy, heavy + 1)))
 
-    def bucket(values: np.ndarray, valid: np.ndarray) -> np.ndarray:
-        return np.where(valid, np.searchsorted(cuts, values.astype(np.float64), side="right") + 1, 0)
+    def bucket(values: pa.Array) -> np.ndarray:
+        known = values.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64)
+        return np.where(values.is_valid().to_numpy(zero_copy_only=False), np.searchsorted(cuts, known, side="right") + 1, 0)
 
     @F.arrow_udf("int")
     def bucket_of(x: pa.Array) -> pa.Array:
-        return pa.array(bucket(x.fill_null(0).to_numpy(zero_copy_only=False), x.is_valid().to_numpy(zero_copy_only=False)).astype(np.int32))
-
-    heads = {r["bucket"]: r["head"] for r in ids.groupBy(bucket_of("doc_id").alias("bucket")).agg(F.max("doc_id").alias("head")).collect()}
-    order = sorted(heads)
-    before = {b: order[(i + 1) % len(order)] for i, b in enumerate(order)}  # whose last document is followed by the head of b
+        return pa.array(bucket(x).astype(np.int32))
+
+    seen = ids.groupBy(bucket_of("doc_id").alias("b")).agg(F.max("doc_id").alias("head"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).collect()
+    mean = sum(r["n"] for r in seen) / ranges
+    # Slices of the hash, for buckets of a single id.
+    slices = {r["b"]: int(-(-r["n"] // max(1, mean))) if r["head"] == r["least"] and r["n"] > 2 * mean else 1 for r in seen}
+    cut_by_hash = sorted(b for b, k in slices.items() if k > 1)
+
+    def slice_of(h: np.ndarray, b: np.ndarray) -> np.ndarray:
+        k = np.ones(max([1, *[x + 1 for x in slices]]), np.uint64)
+        k[list(slices)] = list(slices.values())
+        high = (h.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)  # rises with the signed hash
+        return ((high * k[b]) >> np.uint64(32)).astype(np.int64)
+
+    @F.arrow_udf("struct<b: int, s: int>")
+    def places_of(x: pa.Array, h: pa.Array) -> pa.Array:
+        b = bucket(x)
+        return pa.StructArray.from_arrays([pa.array(b.astype(np.int32)), pa.array(slice_of(h.to_numpy(), b).astype(np.int32))], names=["b", "s"])
+
+    hashed = rows.withColumn("h", F.xxhash64("t"))
+    heads: dict[tuple[int, int], int | None] = {(r["b"], 0): r["head"] for r in seen if slices[r["b"]] == 1}  # the id of the first document
+    if cut_by_hash:
+        some = hashed.filter(bucket_of("doc_id").isin(cut_by_hash)).select(places_of("doc_id", "h").alias("p"), "h")
+        heads |= {(r["b"], r["s"]): r["h"] for r in some.groupBy("p.b", "p.s").agg(F.min("h").alias("h")).collect()}  # its hash
+    order = sorted(heads, key=lambda x: (-x[0], x[1]))  # as the documents follow each other
+    number = {x: i for i, x in enumerate(order)}
 
     @F.arrow_udf("array<struct<bucket: int, halo: boolean>>")
-    def places(x: pa.Array) -> pa.Array:
-        own = bucket(x.fill_null(0).to_numpy(zero_copy_only=False), x.is_valid().to_numpy(zero_copy_only=False)).tolist()
+    def places(x: pa.Array, h: pa.Array) -> pa.Array:
+        b = bucket(x)
+        s = slice_of(h.to_numpy(), b)
         out = []
-        for v, b in zip(x.to_pylist(), own, strict=True):
-            out.append([{"bucket": b, "halo": False}] + ([{"bucket": before[b], "halo": True}] if heads[b] == v else []))
+        for v, w, own in zip(x.to_pylist(), h.to_pylist(), zip(b.tolist(), s.tolist(), strict=True), strict=True):
+            i = number[own]
+            first = heads[own] == (w if slices[own[0]] > 1 else v)
+            out.append([{"bucket": i, "halo": False}] + ([{"bucket": (i - 1) % len(order), "halo": True}] if first else []))
         return pa.array(out, pa.list_(pa.struct([("bucket", pa.int32()), ("halo", pa.bool_())])))
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rows = rows.withColumn("p", F.explode(places("doc_id"))).select("p.bucket", "p.halo", "doc_id", "t")
-    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "halo", F.col("doc_id").desc_nulls_last(), F.xxhash64("t"), "t")
+    dealt = hashed.withColumn("p", F.explode(places("doc_id", "h"))).select("p.bucket", "p.halo", "doc_id", "h", "t")
+    return dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "halo", F.col("doc_id").desc_nulls_last(), "h", "t").drop("h")
 
 
 def edited_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:

@@ -74,3 +74,24 @@ def test_document_anchors(spark):
     got = syncmers.document_anchors(docs_of(spark, rows)).collect()
     assert len(got) == len(rows)
     assert sum(len(r["anchors"]) for r in got) == sum(len(syncmers.anchors((t or "").encode())[0]) for _, t, *_ in rows)
+
+
+@pytest.mark.parametrize("hot", [None, 500])
+def test_a_third_of_all_ids_is_null_or_the_same(spark, hot):
+    rows = [(hot if i % 3 == 0 else i, f"text number {i} of this table " * (1 + i % 4), "en", "s") for i in range(3000)]
+    docs = docs_of(spark, rows)
+    dealt = syncmers.with_successor(docs, parts=8)
+    from pyspark.sql import functions as F
+
+    sizes = [r["n"] for r in dealt.filter("NOT halo").groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 2 * 3000 / 8
+    assert dealt.filter("halo").count() <= 2 * 8 * syncmers.RANGES  # one a range, or a slice of one
+    # by falling id, equal ids by the hash of the text, null last
+    hashes = {t: h for t, h in docs.select("text", F.xxhash64("text")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    want = []
+    for j, (i, t, *_) in enumerate(order):
+        following, m = order[(j + 1) % len(order)][1], len(t) // 3
+        want.append((i, len(t), hashlib.sha256((t[: len(t) - m] + following[:m]).encode()).hexdigest()))
+    got = syncmers.edited_digest(docs, parts=8).select("doc_id", "n_chars", "edited_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
