@@ -10,9 +10,14 @@ first bin with room (the tightest) and goes on to its successors until one
 has neither its source nor its cluster, tested on two bitmaps that each bin
 carries; if none has, it opens a bin. Pieces come in falling size.
 
-Spark deals the rests to shards of about ``SHARD`` pieces by a hash, so that a
-source or cluster that holds a third of all rows is spread over all shards;
-each shard is packed in one task with memory for its own pieces only.
+Spark deals the rests to shards of about ``SHARD`` pieces by a hash of the
+document and, for equal rows, of their number, so that a source or cluster that
+holds a third of all rows is spread over all shards and the bins do not depend
+on the order of the rows. Each shard is packed in one task with memory for its
+own pieces only. Bins that stay below ``FILLED`` of their capacity are opened
+again: their pieces are dealt to fewer shards and packed once more, which lets
+pieces meet that a round before kept apart; at most ``ROUNDS`` rounds, and none
+that would open nearly all bins of the last.
 """
 
 from __future__ import annotations
@@ -26,9 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_rows, row_key, text_bytes, written
+from strata.llm.ordered import running
 
 CAPACITY = 2048
 SHARD = 4096
+FILLED = 0.95
+ROUNDS = 5
 
 
 def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity: int) -> list[int]:
@@ -89,24 +97,28 @@ def pack(
     copies: they share a cluster and so never share a bin. ``cluster`` names
     the duplicate clusters; left out, texts equal but for case and blanks
     form one. Null clusters conflict with nothing. ``bin_id`` is unique over
-    all shards. Other columns are not read.
+    all shards. The bins are the same whatever the order of the rows; which of
+    equal rows goes where is arbitrary. Other columns are not read.
     """
     rows = written(sized(docs, id_col, text_col, source_col, cluster), "pack-sizes")
-    shards = max(1, -(-rows.count() // shard))
-    pieces = rows.select("*", F.monotonically_increasing_id().alias("row"))
+    n_rows = rows.count()
+    same = ["doc_id", "rk", "source", "cluster"]
+    pieces = running(rows, same, [F.col("n_words")], name="pack-copies").withColumnRenamed("pos", "copy").drop("part")  # equal rows are numbered
     rest = F.when((F.col("n_words") % capacity == 0) & (F.col("n_words") > 0), F.lit(capacity)).otherwise(F.col("n_words") % capacity)
     pieces = pieces.withColumn("last", rest).withColumn("full", ((F.col("n_words") - F.col("last")) / capacity).cast("long"))
-    spot = F.pmod(F.xxhash64("doc_id", "rk", "row", F.lit("shard")), F.lit(shards))
-    rests = (
-        pieces.select("doc_id", "rk", "source", "cluster", "n_words", "full", "last", spot.alias("shard"))
-        .repartition("shard")
-        .sortWithinPartitions("shard", F.col("last").desc(), "doc_id", "rk")
-    )
+
+    def dealt(some: DataFrame, count: int, salt: str) -> tuple[DataFrame, int]:
+        """Pieces in shards, each in falling size."""
+        shards = max(1, -(-count // shard))
+        spot = F.pmod(F.xxhash64(*same, "copy", F.lit(salt)), F.lit(shards))
+        order = [F.col("shard"), F.col("last").desc(), *same, "copy"]
+        return some.select(*same, "copy", "n_words", "full", "last", spot.alias("shard")).repartition("shard").sortWithinPartitions(*order), shards
+
     schema = "doc_id long, n_words long, piece long, start_word long, size long, bin_id string, source_hash long, cluster long"
     names = ["doc_id", "n_words", "piece", "start_word", "size", "bin_id", "source_hash", "cluster"]
 
-    def packed(t: pa.Table) -> pa.RecordBatch:
-        """One shard, in falling size."""
+    def packed(t: pa.Table, name: str) -> pa.RecordBatch:
+        """One shard, in falling size; ``fill`` is that of the piece's bin."""
         source = np.unique(t.column("source").to_numpy(), return_inverse=True)[1]
         clusters = t.column("cluster").combine_chunks()
         ids, at, n = np.unique(clusters.fill_null(0).to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
@@ -116,37 +128,56 @@ def pack(
         bins = best_fit(sizes, source.tolist(), bit.tolist(), capacity)
         number = t.column("shard")[0].as_py()
         full = t.column("full").to_numpy()
+        fill = np.bincount(bins, sizes)[bins] / capacity
         return pa.RecordBatch.from_arrays(
             [
                 t.column("doc_id").combine_chunks(), t.column("n_words").combine_chunks(), pa.array(full), pa.array(full * capacity),
-                pa.array(sizes, pa.int64()), pa.array([f"{number}-{b}" for b in bins]), t.column("source").combine_chunks(), clusters,
+                pa.array(sizes, pa.int64()), pa.array([f"{name}{number}-{b}" for b in bins]), t.column("source").combine_chunks(), clusters,
+                t.column("rk").combine_chunks(), t.column("copy").combine_chunks(), pa.array(fill),
             ],
-            names,
+            [*names, "rk", "copy", "fill"],
         )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            number = batch.column("shard").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                part = batch.slice(a, b - a)
-                if held and held[0].column("shard")[0].as_py() != part.column("shard")[0].as_py():
-                    yield packed(pa.Table.from_batches(held))
-                    held = []
-                held.append(part)
-        if held:
-            yield packed(pa.Table.from_batches(held))
-
-    whole = pieces.filter("full > 0").select(
-        "doc_id", "n_words", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)).alias("piece"),
-        F.col("source").alias("source_hash"), "cluster", "rk", "row",
-    )
+    def packer(name: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                number = batch.column("shard").to_numpy()
+                cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    part = batch.slice(a, b - a)
+                    if held and held[0].column("shard")[0].as_py() != part.column("shard")[0].as_py():
+                        yield packed(pa.Table.from_batches(held), name)
+                        held = []
+                    held.append(part)
+            if held:
+                yield packed(pa.Table.from_batches(held), name)
+
+        return run
+
+    inner = schema + ", rk long, copy long, fill double"
+    closed: list[DataFrame] = []
+    loose, count = pieces, n_rows
+    for number in range(ROUNDS):
+        rests, shards = dealt(loose, count, f"round {number}")
+        bins = rests.mapInArrow(packer(f"{number}-"), inner)
+        if shards == 1 or number == ROUNDS - 1:
+            break
+        bins = written(bins, "pack-round")
+        again = bins.filter(F.col("fill") < FILLED)
+        before, count = count, again.count()
+        if count > 0.9 * before:  # what is left conflicts, or is small in all
+            break
+        closed.append(bins.filter(F.col("fill") >= FILLED))
+        loose = again.withColumnsRenamed({"source_hash": "source", "piece": "full", "size": "last"})
+    for done in closed:
+        bins = bins.unionByName(done)
+    whole = pieces.filter("full > 0").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)))
     whole = whole.select(
         "doc_id", "n_words", "piece", (F.col("piece") * capacity).alias("start_word"), F.lit(capacity).cast("long").alias("size"),
-        F.concat_ws("-", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "row", "piece").alias("bin_id"),
-        "source_hash", "cluster",
+        F.concat_ws("-", F.lit("full"), F.hex(F.xxhash64(*same)), F.hex("rk"), "copy", "piece").alias("bin_id"),
+        F.col("source").alias("source_hash"), "cluster",
     )
-    return rests.mapInArrow(run, schema).unionByName(whole)
+    return bins.select(*names).unionByName(whole)

@@ -75,3 +75,34 @@ def test_given_clusters(spark):
     docs = docs_of(spark, [(i // 2, f"t {i}", "en", f"s{i}") for i in range(10)])
     got = packing.pack(docs, cluster=F.col("doc_id")).collect()
     assert len({(r["doc_id"], r["bin_id"]) for r in got}) == 10 and len({r["bin_id"] for r in got}) == 2
+
+
+@pytest.mark.parametrize("shard", [64, 4096])
+def test_bins_do_not_depend_on_the_order_of_rows(spark, shard):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = docs.unionByName(docs.limit(30)).unionByName(docs.limit(30))  # equal rows too
+
+    def bins(df):
+        out = defaultdict(list)
+        for r in packing.pack(df, capacity=1024, shard=shard).collect():
+            out[r["bin_id"]].append((r["doc_id"], r["piece"], r["size"], r["source_hash"]))
+        return sorted(sorted(x, key=str) for x in out.values())
+
+    want = bins(docs)
+    assert bins(docs.repartition(7)) == want
+    assert bins(docs.orderBy(F.rand(3)).coalesce(3)) == want
+
+
+def test_later_rounds_fill_bins(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    n = {}
+    for shard in (16, 4096):
+        n[shard] = len(checked(rows, packing.pack(docs, shard=shard).collect(), 2048))
+    first = packing.FILLED
+    try:
+        packing.FILLED = -1.0  # no bin is opened again
+        alone = len(checked(rows, packing.pack(docs, shard=16).collect(), 2048))
+    finally:
+        packing.FILLED = first
+    assert n[4096] <= n[16] <= (n[4096] + alone) / 2
