@@ -12,7 +12,8 @@ are united.
 Scale: the trees (directions, medians) come from a bounded sample of
 ``FIT_ROWS`` vectors and are a few MB; every vector is put into the leaves of
 every tree. Trees are shared by all labels; a label with few vectors stops
-higher up, where a leaf already holds about ``LEAF`` of them. Vectors equal in
+higher up, where a leaf already holds about ``LEAF`` of them, and one that is
+not split at all goes through one tree. Vectors equal in
 every component are one class and go through the trees once. A leaf that is
 larger than ``BLOCK`` all the same (a crowd of near copies is not split) is
 cut into blocks compared pair by pair in tasks of their own. Rows that share
@@ -116,7 +117,8 @@ class Forest:
         tree's number times 2^40 plus the node's."""
         rows_out, leaves_out = [], []
         for t in range(self.trees):
-            todo = [(1, np.arange(len(x)))]
+            # A label that no tree splits is one leaf: one tree is enough.
+            todo = [(1, np.arange(len(x)) if t == 0 else np.flatnonzero(depth > 0))]
             while todo:
                 node, rows = todo.pop()
                 if not len(rows):
@@ -347,3 +349,22 @@ def _earlier(leaves: pa.Array, leaf: int) -> np.ndarray:
     place = number[at[keep]]
     np.bitwise_or.at(bits, (row[keep], place >> 3), np.left_shift(1, place & 7).astype(np.uint8))
     return bits
+
+
+#: DuckDB SQL for the contract's query: every pair of a label.
+SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e, coalesce(label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, FALSE) AS ok
+  FROM embeddings
+), l AS (
+  SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.label = b.label AND a.ok AND b.ok AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {LEAST_COSINE}
+), reach(r, other) AS (
+  SELECT r, r FROM v UNION SELECT reach.r, l.b FROM reach JOIN l ON l.a = reach.other
+), c AS (
+  SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.other GROUP BY reach.r
+)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = v.r)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, FALSE) AS kept
+FROM v JOIN c USING (r)
+"""

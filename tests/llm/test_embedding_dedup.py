@@ -87,3 +87,57 @@ def test_edge_rows(spark):
     ]
     df = spark.createDataFrame([(*r, "x", "y", 5) for r in rows], "vec_id long, embedding array<double>, label int, k string, leaf string, n int")
     assert result(df) == brute(rows)
+
+
+def test_sql_of_the_contract(spark):
+    import duckdb
+
+    rows = near_vectors(300, 12, 9) + [(900, None, 0), (901, [0.0] * 12, 0), (902, [1.0] * 12, None), (903, [float("nan")] * 12, 0), (None, [1.0] * 12, 0)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[], label INTEGER)")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", rows)
+    got = con.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({ed.SQL})").fetchall()
+    assert sorted(got, key=str) == brute(rows)
+    assert result(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")) == brute(rows)
+
+
+def test_a_label_that_is_not_split_goes_through_one_tree():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    forest = ed.Forest(x, 4, 10, 0.2, 1, (2 - 2 * 0.93) ** 0.5)
+    row, node = forest.leaves(x, np.where(np.arange(3000) % 2, 0, 3))
+    copies = np.bincount(row)
+    assert (copies[1::2] == 1).all() and (node[row % 2 == 1] == 1).all()
+    assert (copies[::2] >= 4).all()
+
+
+def test_registered_parameters_on_a_hundred_thousand_vectors(spark):
+    """Planted pairs at the threshold, a crowd of near copies and exact copies
+    among strangers; most rows have one label, which the trees split eight times."""
+    rng = np.random.default_rng(7)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    dim, strangers, pairs, crowd = 64, 92_000, 4_000, 4_000
+    base = unit(rng.normal(size=(strangers, dim)))
+    cosine = rng.uniform(0.93, 0.96, (pairs, 1))
+    aside = rng.normal(size=(pairs, dim))
+    aside = unit(aside - (aside * base[:pairs]).sum(axis=1, keepdims=True) * base[:pairs])
+    near = base[:pairs] * cosine + aside * np.sqrt(1 - cosine**2)
+    centre = unit(rng.normal(size=dim))
+    noise = rng.normal(size=(crowd, dim)) * (0.055 / dim) ** 0.5
+    x = np.concatenate((base, near, unit(centre * 0.945**0.5 + noise), base[-500:]))
+    label = np.where(rng.random(len(x)) < 0.9, 0, 1)
+    label[strangers : strangers + pairs] = label[:pairs]
+    label[strangers + pairs : strangers + pairs + crowd] = 0
+    label[-500:] = label[strangers - 500 : strangers]
+    df = spark.createDataFrame([(i, v.tolist(), int(la)) for i, (v, la) in enumerate(zip(x, label, strict=True))], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in df.transform(ed.near_duplicates).collect()}
+    true = found = 0
+    for at in range(0, len(x), 4000):
+        rows = np.arange(at, min(at + 4000, len(x)))
+        links = ((x[rows] @ x.T >= 0.93) & (label[rows][:, None] == label[None, :])).sum(axis=1) - 1
+        mine = np.array([got[i] for i in rows.tolist()])
+        assert (mine <= links + 1).all()  # the last bit of a cosine may differ here
+        true, found = true + links.sum(), found + mine.sum()
+    planted = np.array([got[i] for i in range(strangers, strangers + pairs)])
+    assert (planted >= 1).mean() > 0.99 and found >= 0.99 * true and true > 1_000_000
