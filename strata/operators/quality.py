@@ -93,6 +93,45 @@ def drop_bad_rows(df: DataFrame, rules: Mapping | None) -> DataFrame:
     return df.filter(~F.coalesce(any_violation(rule_predicates(rules, df.columns)), F.lit(False)))
 
 
+def _leaves(schema: StructType, above: str = "") -> list[str]:
+    """Dotted paths of all fields, structs before their fields."""
+    out = []
+    for f in schema.fields:
+        out.append(above + f.name)
+        if isinstance(f.dataType, StructType):
+            out += _leaves(f.dataType, f"{above}{f.name}.")
+    return out
+
+
+def kind_error_counts(text: Column, data: Column, schema: StructType) -> list[Column]:
+    """``count_if`` aggregate per field of a parsed record, named after its
+    path: how often the field is present in the text, and not null there, but
+    of a kind that the schema does not take, so that the parse gave NULL. The
+    text is read a second time as a Variant, which keeps every kind; text that
+    is no JSON counts nowhere. Usable in ``agg`` or in ``observe`` on a stream."""
+    v = F.try_parse_json(text)
+    counts = []
+    for path in _leaves(schema):
+        there = F.try_variant_get(v, f"$.{path}", "variant")
+        parsed = data
+        for name in path.split("."):
+            parsed = parsed.getField(name)
+        wrong = there.isNotNull() & ~F.is_variant_null(there) & parsed.isNull()
+        counts.append(F.count_if(F.coalesce(wrong, F.lit(False))).alias(path))
+    return counts
+
+
+def kind_errors(raw: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
+    """``(field, wrong_kind)`` per field of ``schema`` over JSON records, from
+    one pass: values that a permissive parse turns into NULL unseen. A field
+    inside a struct that is itself of a wrong kind counts with the struct."""
+    text = F.col(value_col).cast("string")
+    paths = _leaves(schema)
+    rows = raw.select(text.alias("t"), F.from_json(text, schema).alias("d"))
+    counts = rows.agg(*[c.alias(f"_{i}") for i, c in enumerate(kind_error_counts(F.col("t"), F.col("d"), schema))])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(p).alias("field"), F.col(f"_{i}").alias("wrong_kind")) for i, p in enumerate(paths)])))
+
+
 def duplicate_count(df: DataFrame, id_field: str = "event_id", lg_k: int | None = None) -> DataFrame:
     """One row ``(total, distinct_ids, duplicates)``: rows minus distinct
     non-NULL ids, so NULL ids count as duplicates. Spark de-duplicates ids

@@ -36,10 +36,10 @@ from strata.operators.kpi import (
     kpis_by_event_type_weighted,
     total_events,
 )
-from strata.operators.quality import distinct_over, distinct_sketches, duplicate_count, quality_report, quarantine_rows, sketch_error
+from strata.operators.quality import distinct_over, distinct_sketches, duplicate_count, kind_errors, quality_report, quarantine_rows, sketch_error
 from strata.operators.silver import silver_flatten
 from strata.plans.backfill import backfill_layers
-from strata.schemas import EVENTS, ID_FIELDS, METRIC_FIELDS, SILVER
+from strata.schemas import BRONZE, EVENTS, ID_FIELDS, METRIC_FIELDS, SILVER
 from strata.session import default_parallelism, scratch_path, session_key, use_utc
 from strata.sources.events import event_rows, events_to_json, faulty_records
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
@@ -191,6 +191,10 @@ def q_faulty_dead_letters(spark, sf_dir):
     return dead_letters(bronze_table(faulty_records(bronze_rows(spark, sf_dir))))
 
 
+def q_faulty_kind_errors(spark, sf_dir):
+    return kind_errors(faulty_records(bronze_rows(spark, sf_dir)), BRONZE)
+
+
 def q_distinct_ids_by_date(spark, sf_dir):
     """Distinct ids of each date, exact, and whether the merged sketches of its
     hours are within four standard errors of that."""
@@ -452,6 +456,7 @@ QUERIES: dict[str, Query] = {
     "faulty_quarantine_rows": q_faulty_quarantine_rows,
     "faulty_duplicate_count": q_faulty_duplicate_count,
     "faulty_dead_letters": q_faulty_dead_letters,
+    "faulty_kind_errors": q_faulty_kind_errors,
     "distinct_ids_by_date": q_distinct_ids_by_date,
     "metrics_summary": q_metrics_summary,
     "metrics_timeline": q_metrics_timeline,

@@ -5,6 +5,7 @@ correctness oracle; column names and types match the Spark results."""
 from __future__ import annotations
 
 from strata.functions.rules import load_rules
+from strata.schemas import ID_FIELDS, METRIC_FIELDS
 
 # Event rows from the driver table, same mapping as strata.sources.events
 # (fixed values), and the Silver (filled) form.
@@ -216,6 +217,12 @@ FROM gold GROUP BY event_type ORDER BY total_events DESC, event_type"""
     sql["faulty_dead_letters"] = (
         f"WITH {_ROWS}\nSELECT raw FROM ({cut}), (VALUES (1), (2)) AS delivery(number) WHERE number = 1 OR n % 13 = 0"
     )
+    fields = [*ID_FIELDS, "metrics", *[f"metrics.{m}" for m in METRIC_FIELDS], "extra", "extra.note"]
+    n_wrong = """(SELECT count(*) FROM (SELECT CAST(substr(event_id, 2) AS BIGINT) AS n FROM flat), (VALUES (1), (2)) AS delivery(number)
+    WHERE n % 29 = 4 AND n % 17 <> 1 AND (number = 1 OR n % 13 = 0))"""
+    sql["faulty_kind_errors"] = f"WITH {_ROWS}\nSELECT field, CASE WHEN field = 'metrics.amount' THEN {n_wrong} ELSE 0 END::BIGINT AS wrong_kind FROM (VALUES " + ", ".join(
+        f"('{f}')" for f in fields
+    ) + ") AS t(field)"
     sql["faulty_dead_letters_stream"] = sql["faulty_dead_letters"]
     sql["gold_hourly_repaired"] = sql["faulty_gold_hourly"]
     # Unreadable records are no events: their rows are NULL in ``flat``.
