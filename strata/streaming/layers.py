@@ -278,7 +278,7 @@ def bronze_stream(
     partition ``parsed=false`` with their text, so they are committed with the
     batch that read them; the metric line counts them (``dead_letters``)."""
     parsed = bronze_table(raw)
-    _check_schema(parsed, BRONZE.fieldNames(), fail_on_schema)
+    _check_schema(parsed.drop(*set(BRONZE_TABLE.fieldNames()) - set(BRONZE.fieldNames())), BRONZE.fieldNames(), fail_on_schema)
     # Observe on the flattened projection so the rule counts see the metric
     # columns (and every row), then write only the Bronze columns.
     more = [F.count_if(~F.col(PARSED)).alias("dead_letters"), *_sketch(distinct_sketches)]
@@ -616,6 +616,9 @@ def start_layers(
     duplicate counts and sketches as in :func:`run_layers`). Hand both to
     :func:`supervise_layers`: stateful queries run in sessions of their own, so
     ``spark.streams.awaitAnyTermination()`` would not notice that they fail."""
+    from strata.streaming.recovery import recover_metrics
+
+    recover_metrics(spark, paths, drop_bad)  # lines that a driver took with it
     trigger = trigger or {"processingTime": "5 minutes"}
     listener = MetricsListener(
         {
