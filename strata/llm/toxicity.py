@@ -132,15 +132,15 @@ def fit(
     if usable is not None:
         known = known.filter(usable)
     known = written(known.groupBy("id").agg((F.max("y") > 0).cast("int").alias("y")), "toxicity-labels")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).filter("t IS NOT NULL")
-    rows = texts.join(known, "id").withColumn("h", F.xxhash64("id", "t"))
-    # The hash up to which a label has fit_docs rows, from the hashes alone.
-    hashes = written(rows.select("y", "h").distinct(), "toxicity-hashes")
-    last = [hashes.filter(F.col("y") == y).orderBy("h").limit(fit_docs).agg(F.max("h")).first()[0] for y in (0, 1)]
-    if None in last:
+    hashed = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
+    hashed = hashed.withColumn("h", F.xxhash64("id", "t"))
+    # The rows of the smallest hashes of either label: found without their texts, then fetched by a list of bounded length.
+    hashes = written(hashed.select("id", "h").join(known, "id").select("y", "h").distinct(), "toxicity-hashes")
+    least = [hashes.filter(F.col("y") == y).orderBy("h").limit(fit_docs) for y in (0, 1)]
+    chosen = written(least[0].unionByName(least[1]), "toxicity-chosen")  # at most 2 * fit_docs numbers
+    if chosen.select("y").distinct().count() < 2:
         return None
-    upto = F.when(F.col("y") == 1, F.lit(last[1])).otherwise(F.lit(last[0]))
-    sample = written(rows.filter(F.col("h") <= upto).dropDuplicates(["y", "h"]), "toxicity-sample")  # at most 2 * fit_docs rows
+    sample = written(hashed.join(F.broadcast(chosen), "h").dropDuplicates(["y", "h"]), "toxicity-sample")
 
     def seen(batch: pa.RecordBatch) -> pa.RecordBatch:
         y, names = [], []
