@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from strata.functions.timefmt import with_event_time
 from strata.schemas import BRONZE, BRONZE_TABLE, EVENT_DATE, EVENT_TS, GOLD, PARSED, RAW_TEXT, SILVER_TABLE
+from strata.sources.epochs import gold_epochs
 from strata.storage import has_flat_files
 
 
@@ -75,9 +76,14 @@ def between(df: DataFrame, column: str, start_date: str | None, end_date: str |
 
 
 def read_gold(spark: SparkSession, path: str, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
-    """Read the final Gold table (partitioned by ``date_hour``). A date range
-    prunes whole partitions before any file is opened."""
-    return between(read_layer(spark, path, GOLD), "date_hour", start_date, end_date)
+    """Read the final Gold table (partitioned by ``date_hour``), all its epochs
+    that hold dates of the range. The range prunes whole partitions before any
+    file is opened."""
+    some = [e for e in gold_epochs(spark, path) if e.overlaps(start_date, end_date)]
+    gold = read_layer(spark, some[0].folder, GOLD) if some else spark.createDataFrame([], GOLD)
+    for epoch in some[1:]:
+        gold = gold.unionByName(read_layer(spark, epoch.folder, GOLD))
+    return between(gold, "date_hour", start_date, end_date)
 
 
 def read_gold_closed(spark: SparkSession, paths, start_date: str | None = None, end_date: str | None = None) -> DataFrame:

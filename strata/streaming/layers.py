@@ -40,6 +40,7 @@ from strata.operators.quality import drop_bad_rows, id_sketch, quality_counts, q
 from strata.operators.silver import SILVER_FILL, silver_flatten
 from strata.schemas import BRONZE, BRONZE_TABLE, EVENT_DATE, EVENT_TS, PARSED, SILVER, SILVER_TABLE
 from strata.session import use_utc
+from strata.sources.epochs import epochs_root, gold_epochs
 from strata.sources.raw import ANY_AGE
 from strata.storage import has_flat_files
 from strata.streaming.folders import hadoop_path, mark_done
@@ -101,7 +102,7 @@ def _layer_folders(paths: LayerPaths, layer: str) -> tuple[list[str], list[str]]
     outputs = {
         "bronze": [paths.bronze, paths.bronze_all, paths.quarantine("bronze")],
         "silver": [paths.silver, paths.quarantine("silver")],
-        "gold": [paths.gold, paths.gold_corrections, paths.gold_corrections + "_versions"],
+        "gold": [paths.gold, epochs_root(paths.gold), paths.gold_corrections, paths.gold_corrections + "_versions"],
         "gold_live": [
             paths.gold_live, paths.gold_live_snapshot, paths.gold_live_snapshot + "_versions", paths.gold_live_snapshot + "_staging", paths.gold_live + "_done",
         ],
@@ -115,6 +116,10 @@ def _layer_folders(paths: LayerPaths, layer: str) -> tuple[list[str], list[str]]
     return outputs[layer], [paths.checkpoint(c) for c in checkpoints[layer]]
 
 
+def gold_checkpoint(paths: LayerPaths, epoch: int) -> str:
+    return paths.checkpoint(f"gold_final_{epoch}" if epoch else "gold_final")
+
+
 # A layer's output is the next one's input, so a reset goes on downstream.
 DOWNSTREAM = {"bronze": ("bronze", "silver", "gold", "gold_live"), "silver": ("silver", "gold", "gold_live"), "gold": ("gold",), "gold_live": ("gold_live",)}
 
@@ -129,6 +134,8 @@ def reset_layer(spark: SparkSession, paths: LayerPaths, layer: str) -> list[str]
     gone = []
     for one in DOWNSTREAM[layer]:
         outputs, checkpoints = _layer_folders(paths, one)
+        if one == "gold":
+            checkpoints += [gold_checkpoint(paths, e.number) for e in gold_epochs(spark, paths.gold)[1:]]
         for folder in outputs + checkpoints:
             fs, hpath = hadoop_path(spark, folder)
             if fs.exists(hpath):
@@ -374,10 +381,13 @@ def silver_quarantine_stream(
     return _silver_quarantine_sink(silver, paths, rules, trigger)
 
 
-def _gold_input(spark, paths, watermark, max_files, max_file_age, name):
+def _gold_input(spark, paths, watermark, max_files, max_file_age, name, start: int | None = None):
     silver = _read_layer_stream(spark, paths.silver, SILVER_TABLE, max_files, max_file_age)
     if has_flat_files(spark, paths.silver):  # written without the typed time
         silver = silver.drop(EVENT_TS, EVENT_DATE)
+    if start is not None:  # the hours of an epoch; the date prunes the folders before
+        at = F.timestamp_seconds(F.lit(start))
+        silver = with_event_time(silver).filter((F.col(EVENT_DATE) >= F.to_date(at)) & (F.col(EVENT_TS) >= at))
     # Count the rows each batch emits (observed after the aggregate).
     return gold_hourly(silver, watermark=watermark).observe(name, F.count(F.lit(1)).alias("rows"))
 
@@ -421,7 +431,8 @@ def gold_final_stream(
     output_files: int | None = None,
     listener: MetricsListener | None = None,
 ) -> StreamingQuery:
-    """Append-mode Gold: one row per key, written once its window closes.
+    """Append-mode Gold: one row per key, written once its window closes. It
+    goes on in the table's newest epoch (:mod:`strata.streaming.epochs`).
 
     Without ``output_files`` every state partition writes its own file into
     each ``date_hour`` an emission touches; with hundreds of state
@@ -432,10 +443,11 @@ def gold_final_stream(
     own = _stateful_session(spark, state_partitions, rocksdb)
     if listener:
         own.streams.addListener(listener)
-    gold = _gold_input(own, paths, watermark, max_files, max_file_age, "gold")
+    epoch = gold_epochs(spark, paths.gold)[-1]
+    gold = _gold_input(own, paths, watermark, max_files, max_file_age, "gold", epoch.start)
     if output_files:
         gold = gold.repartition(output_files)
-    return _file_sink(gold, paths.gold, paths.checkpoint("gold_final"), "gold_final", trigger, ["date_hour"])
+    return _file_sink(gold, epoch.folder, gold_checkpoint(paths, epoch.number), "gold_final", trigger, ["date_hour"])
 
 
 def _live_writer(path: str, output_files: int | None = None):

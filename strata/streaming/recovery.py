@@ -20,9 +20,10 @@ import time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.epochs import gold_epochs
 from strata.sources.metrics import read_metrics
 from strata.storage import hadoop_path
-from strata.streaming.layers import LayerPaths
+from strata.streaming.layers import LayerPaths, gold_checkpoint
 from strata.streaming.metrics_sink import write_batch_metrics
 
 
@@ -103,7 +104,9 @@ def recover_metrics(spark: SparkSession, paths: LayerPaths, drop_bad: bool = Fal
     layers start, while no query writes (:func:`strata.streaming.layers.start_layers` does)."""
     bronze = ("bronze", "bronze_all", paths.bronze_all) if drop_bad else ("bronze", "bronze", paths.bronze)
     lines: list[tuple] = []
-    for layer, name, sink in (bronze, ("silver", "silver", paths.silver), ("gold", "gold_final", paths.gold)):
+    for layer, name, sink in (bronze, ("silver", "silver", paths.silver)):
         lines += missing_lines(spark, paths, layer, paths.checkpoint(name), sink)
+    epoch = gold_epochs(spark, paths.gold)[-1]
+    lines += missing_lines(spark, paths, "gold", gold_checkpoint(paths, epoch.number), epoch.folder)
     write_batch_metrics(spark, lines, paths.metrics)
     return len(lines)
