@@ -176,7 +176,8 @@ def mixed_documents(
     sized = docs.withColumn("_llm_size", n_words(text_col)).withColumn("_llm_at", draw(id_col, text_col, seed))
     of = F.col(source_col).cast("string").eqNullSafe(F.col("_llm_source")) & (F.col("_llm_at") == F.col("_llm_place"))
     alike = sized.join(taken.filter("_llm_low = _llm_high"), of).withColumn("_llm_taken", F.col("_llm_low"))
-    cut = sized.join(taken.filter("_llm_low < _llm_high"), of)
+    # Written on their own, so that Spark sees how few they are and the texts need not be dealt for them.
+    cut = sized.join(written(taken.filter("_llm_low < _llm_high"), "mix-taken-cut"), of)
     # Of n equal rows some take one more, one a part: they are counted off, by the words before them.
     numbered = words_before(cut, "_llm_source", "_llm_place", "_llm_size")
     extra = F.col("_llm_sum") - F.col("_llm_n") * F.col("_llm_whole") * F.col("_llm_size")
