@@ -94,6 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filters": url_filters.SQL,
     "op3_line_dedup": line_dedup.SQL,
+    "op4_embedding_near_dedup": embedding_dedup.SQL,
+    "op7_substring_dedup": substring_dedup.SQL,
     "op9_source_mixing": mixing.SQL,
     "op12_merkle_manifest": merkle.SQL,
     "op13_prefix_trie": prefix_trie.SQL,

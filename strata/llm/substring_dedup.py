@@ -133,13 +133,16 @@ class Sent:
         """As :func:`_states`, over all that the task has seen."""
         state = _states(*keys)
         if self.keys is not None and len(keys[0]):
+            # Of keys that agree in their first half only one is found; the others are sent again.
             at = np.minimum(np.searchsorted(self.keys[0], keys[0]), len(self.keys[0]) - 1)
             state[np.all([s[at] == k for s, k in zip(self.keys, keys, strict=True)], axis=0)] = KNOWN
-        new = [k[state == DELEGATE] for k in keys]
-        if self.keys is None or len(self.keys[0]) < MOST_SENT:
-            both = new if self.keys is None else [np.concatenate(x) for x in zip(self.keys, new, strict=True)]
-            _, first = np.unique(both[0], return_index=True)
-            self.keys = [k[first] for k in both] if len(first) else None
+        new = [k[state == DELEGATE] for k in keys]  # none of them sent before
+        order = np.argsort(new[0])
+        if self.keys is None:
+            self.keys = [k[order] for k in new] if len(order) else None
+        elif len(self.keys[0]) < MOST_SENT:
+            at = np.searchsorted(self.keys[0], new[0][order])
+            self.keys = [np.insert(s, at, k[order]) for s, k in zip(self.keys, new, strict=True)]
         return state
 
 
@@ -333,3 +336,20 @@ def removal_digest(docs: DataFrame, length: int = LENGTH, k: int = K, id_col: st
     return all_.select(
         "doc_id", "w.n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "w.sha256").alias("kept_sha256")
     )
+
+
+#: DuckDB SQL for the contract's query.
+SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), w AS (
+  SELECT r, i, md5(array_to_string(words[i:i + {LENGTH - 1}], ' ')) AS m FROM (SELECT *, unnest(range(1, len(words) - {LENGTH - 2})) AS i FROM d)
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + {LENGTH})) AS at FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)
+), k AS (
+  SELECT d.r, string_agg(word, ' ' ORDER BY d.at) AS kept, count(*) AS n FROM (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM d) d
+  LEFT JOIN gone ON gone.r = d.r AND gone.at = d.at WHERE gone.r IS NULL GROUP BY d.r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
