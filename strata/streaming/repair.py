@@ -14,8 +14,10 @@ the last repair cannot have changed an hour, so only the dates of newer files
 are looked at (the filter on the files' times skips the others unopened; the
 rest is a filter on the date partition). For those dates two columns give the
 row counts; only hours whose counts differ, or that hold rows without an id,
-which the counts of Gold do not show, are aggregated again. Of these, only
-hours whose rows differ are published.
+which the counts of Gold do not show, are aggregated again. Hours whose counts
+differ have other rows; of the others only those whose rows turn out to differ
+are published. Lists of hours are broadcast, so rows of Silver and Gold are
+picked where they are scanned.
 """
 
 from __future__ import annotations
@@ -41,12 +43,12 @@ def silver_hours(silver: DataFrame) -> DataFrame:
 
 
 def hours_to_check(silver: DataFrame, gold: DataFrame) -> DataFrame:
-    """``(date_hour, hour)`` whose counts of events differ between Silver and
-    Gold, also hours that only one of them has, and hours with rows that a
-    count of ids leaves out."""
+    """``(date_hour, hour, differs)``: hours whose counts of events differ
+    between Silver and Gold, also hours that only one of them has
+    (``differs``), and hours with rows that a count of ids leaves out."""
     of_gold = gold.groupBy(*HOUR).agg(F.sum("event_count").alias("emitted"))
     both = silver_hours(silver).join(of_gold, list(HOUR), "full_outer")
-    return both.filter("NOT (events <=> emitted) OR no_id > 0").select(*HOUR)
+    return both.withColumn("differs", F.expr("NOT (events <=> emitted)")).filter("differs OR no_id > 0").select(*HOUR, "differs")
 
 
 def _other(column: str) -> Column:
@@ -73,7 +75,7 @@ def hours_that_differ(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def _of_hours(df: DataFrame, hours: DataFrame, date: str, hour: Column) -> DataFrame:
     """Rows of these hours. The date is a partition column, so Spark prunes by the dates found."""
-    h = hours.select(F.col("date_hour").alias("_date"), F.col("hour").alias("_hour"))
+    h = F.broadcast(hours.select(F.col("date_hour").alias("_date"), F.col("hour").alias("_hour")))
     return df.join(h, (F.col(date) == F.col("_date")) & (hour == F.col("_hour")), "left_semi")
 
 
@@ -113,22 +115,20 @@ def repair_gold(
 
     hour_of = F.hour(EVENT_TS)
     found: list[tuple] = []
-    suspects = _collected(spark, hours_to_check(silver, closed))
-    if suspects is not None:
-        rebuilt = gold_hourly(_of_hours(silver, suspects, EVENT_DATE, hour_of))
-        changed = _collected(spark, hours_that_differ(rebuilt, _of_hours(closed, suspects, "date_hour", F.col("hour"))))
-        if changed is not None:
-            rows = gold_hourly(_of_hours(silver, changed, EVENT_DATE, hour_of))
-            replace_hours(spark, paths.gold_corrections, rows.repartitionByRange(*GOLD_KEYS), changed, mark)
-            found = sorted(tuple(r) for r in changed.collect())
+    suspects = hours_to_check(silver, closed).collect()  # at most as many as the checked dates have
+    found = [(r["date_hour"], r["hour"]) for r in suspects if r["differs"]]
+    doubtful = [(r["date_hour"], r["hour"]) for r in suspects if not r["differs"]]
+    if doubtful:
+        hours = spark.createDataFrame(doubtful, HOURS)
+        rebuilt = gold_hourly(_of_hours(silver, hours, EVENT_DATE, hour_of))
+        found += [tuple(r) for r in hours_that_differ(rebuilt, _of_hours(closed, hours, "date_hour", F.col("hour"))).collect()]
+    if found:
+        found.sort()
+        changed = spark.createDataFrame(found, HOURS)
+        rows = gold_hourly(_of_hours(silver, changed, EVENT_DATE, hour_of))
+        replace_hours(spark, paths.gold_corrections, rows.repartitionByRange(*GOLD_KEYS), changed, mark)
     if not found and mark > (last.mark if last else 0):  # nothing to correct up to here
         none = emitted.filter("false")
         replace_hours(spark, paths.gold_corrections, none, none, mark)
     sweep(spark, paths.gold_corrections, grace)
     return found
-
-
-def _collected(spark: SparkSession, hours: DataFrame) -> DataFrame | None:
-    """The hours (at most as many as the checked dates have) as a local table; None without any."""
-    rows = hours.collect()
-    return spark.createDataFrame(rows, HOURS) if rows else None
