@@ -1,15 +1,23 @@
-"""Landing the event rows as a raw folder in event-time order: the input of
-the registered streaming queries and of the streaming tests."""
+"""Landing the event rows as a raw folder, in event-time order or in two
+deliveries: the input of the registered streaming queries and of the streaming
+tests. Deliveries are written in one pass beside the raw folder
+(``<path>_landing``); one lands when its files are moved into it."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.timefmt import event_time
+from strata.schemas import RAW
 from strata.sources.events import events_to_json
+from strata.storage import move_files, open_partitions
+
+# Bytes of a row group of landed files, and files that a landing task keeps open.
+ROW_GROUP = 8 << 20
+OPEN_PARTS = 8
 
 
 def land_in_time_order(rows: DataFrame, path: str, n_chunks: int, files: int | None = None) -> Iterator[int]:
@@ -31,3 +39,38 @@ def land_in_time_order(rows: DataFrame, path: str, n_chunks: int, files: int | N
         part = events_to_json(rows.filter(chunk == i))
         (part.repartition(files) if files else part).write.mode("append").parquet(path)
         yield i
+
+
+def land_deliveries(records: DataFrame, path: str, late: str = "late") -> Iterator[int]:
+    """Land ``value`` records as two deliveries in a raw folder, yielding after
+    each: one copy of every text that some record not ``late`` has, then all
+    the other copies, late records among them.
+
+    Late records are never in the first delivery, so only the others are dealt
+    by their text, once, and both deliveries are written in that pass."""
+    value = F.col("value")
+    copy = F.row_number().over(Window.partitionBy(value).orderBy(value))
+    dealt = records.filter(~F.col(late)).select(value, (copy > 1).alias(late))
+    dealt = dealt.unionByName(records.filter(late).select(value, late))
+    _land_parts(dealt, path, late)
+    for part in ("false", "true"):
+        _move_part(records, path, late, part)
+        yield int(part == "true")
+
+
+def _landing(path: str) -> str:
+    return path.rstrip("/") + "_landing"
+
+
+def _land_parts(rows: DataFrame, path: str, column: str) -> None:
+    """Write rows in one pass beside the raw folder, a folder for each value of
+    ``column``. Small row groups let a micro-batch of few files use many tasks."""
+    with open_partitions(rows.sparkSession, OPEN_PARTS):
+        rows.write.mode("append").option("parquet.block.size", ROW_GROUP).partitionBy(column).parquet(_landing(path))
+
+
+def _move_part(rows: DataFrame, path: str, column: str, value: object) -> None:
+    """Move the files of one value into the raw folder; without any, an empty file."""
+    spark = rows.sparkSession
+    if not move_files(spark, f"{_landing(path)}/{column}={value}", path, f"{column}-{value}-"):
+        spark.createDataFrame([], RAW).write.mode("append").parquet(path)

@@ -43,7 +43,7 @@ from strata.schemas import BRONZE, EVENTS, ID_FIELDS, METRIC_FIELDS, SILVER
 from strata.session import default_parallelism, scratch_path, session_key, use_utc
 from strata.sources.events import event_rows, events_to_json, faulty_records
 from strata.sources.metrics import metrics_lines_from_events, read_metrics, write_metrics_log
-from strata.plans.arrivals import land_in_time_order
+from strata.plans.arrivals import land_deliveries, land_in_time_order
 from strata.sources.raw import read_raw_stream
 from strata.sources.tables import (
     read_bronze,
@@ -380,9 +380,8 @@ def faulty_layers(spark: SparkSession, sf_dir: str) -> LayerPaths:
         if paths is None:
             paths = LayerPaths(scratch_path(spark, "faulty-layers"))
             rows, n = bronze_rows(spark, sf_dir), F.substring("event_id", 2, 20).cast("long")
-            on_time = faulty_records(rows.filter(n % LATE != 7)).distinct()
-            for part in (on_time, faulty_records(rows).exceptAll(on_time)):
-                part.write.mode("append").parquet(f"{paths.root}/raw")
+            late = ~F.coalesce(n % LATE != 7, F.lit(False))
+            for _ in land_deliveries(faulty_records(rows.withColumn("late", late), "late"), f"{paths.root}/raw"):
                 run_layers(
                     spark,
                     read_raw_stream(spark, path=f"{paths.root}/raw"),

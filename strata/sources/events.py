@@ -58,9 +58,10 @@ def events_to_json(rows: DataFrame, *carry: str) -> DataFrame:
     return rows.select(F.col("event_id").alias("key"), event_json().alias("value"), *carry)
 
 
-def faulty_records(rows: DataFrame) -> DataFrame:
+def faulty_records(rows: DataFrame, *carry: str) -> DataFrame:
     """Bronze-shaped rows -> ``value`` records with the faults that a real
-    topic has, each from the number n in the event id (fixed values):
+    topic has, each from the number n in the event id (fixed values;
+    ``carry`` as in :func:`events_to_json`):
     n % 13 = 0: delivered twice; n % 17 = 1: JSON text cut after 20
     characters; n % 19 = 2: the time is no time; n % 23 = 3: no time;
     n % 29 = 4: amount is text; n % 31 = 5: amount is -5.0.
@@ -72,4 +73,4 @@ def faulty_records(rows: DataFrame) -> DataFrame:
     text = event_json()
     text = F.when(n % 29 == 4, F.replace(text, F.lit('"duration"'), F.lit('"amount":"n/a","duration"'))).otherwise(text)
     text = F.when(n % 17 == 1, F.substring(text, 1, 20)).otherwise(text)
-    return changed.select(F.explode(F.array_repeat(text, F.when(n % 13 == 0, 2).otherwise(1))).alias("value"))
+    return changed.select(F.explode(F.array_repeat(text, F.when(n % 13 == 0, 2).otherwise(1))).alias("value"), *carry)
