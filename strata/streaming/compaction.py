@@ -44,8 +44,10 @@ def _staging_root(snapshot_path: str) -> str:
 def _in_hours(snapshot: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     """Snapshot rows whose hour occurs in ``rows`` (``left_semi``) or does not
     (``left_anti``). The join is on the partition columns, so Spark prunes the
-    snapshot's folders by the hours found at run time; nothing is collected."""
-    hours = rows.select(*HOUR).distinct()
+    snapshot's folders by the hours found at run time. The hours (as many as
+    there are in the batches, whatever the number of rows) are broadcast, so the
+    snapshot is not shuffled."""
+    hours = F.broadcast(rows.select(*HOUR).distinct())
     same = [snapshot[c].eqNullSafe(hours[c]) if how == "left_anti" else snapshot[c] == hours[c] for c in HOUR]
     return snapshot.join(hours, same[0] & same[1], how)
 
