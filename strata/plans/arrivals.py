@@ -1,7 +1,7 @@
 """Landing the event rows as a raw folder, in event-time order or in two
 deliveries: the input of the registered streaming queries and of the streaming
-tests. Deliveries are written in one pass beside the raw folder
-(``<path>_landing``); one lands when its files are moved into it."""
+tests. All parts are written in one pass beside the raw folder
+(``<path>_landing``); a part lands when its files are moved into it."""
 
 from __future__ import annotations
 
@@ -18,14 +18,15 @@ from strata.storage import move_files, open_partitions
 # Bytes of a row group of landed files, and files that a landing task keeps open.
 ROW_GROUP = 8 << 20
 OPEN_PARTS = 8
+SLICE = "slice"
 
 
 def land_in_time_order(rows: DataFrame, path: str, n_chunks: int, files: int | None = None) -> Iterator[int]:
     """Append Bronze-shaped rows to a raw folder in ``n_chunks`` event-time
     slices, oldest first, yielding after each slice lands, so a stream
     resumed between slices sees data arrive in time order. Rows without a
-    parseable time go first. A slice is a filter over the input, written as it
-    is scanned, or round-robin as ``files`` files.
+    parseable time go first. The rows of all slices are written in one pass, as
+    they are scanned, or dealt in turn so that a slice has ``files`` files.
     """
     t = F.unix_micros(event_time("timestamp"))
     lo, hi = rows.agg(F.min(t), F.max(t)).first()
@@ -35,9 +36,12 @@ def land_in_time_order(rows: DataFrame, path: str, n_chunks: int, files: int | N
         return
     span = hi - lo + 1
     chunk = F.coalesce(F.least(F.floor((t - F.lit(lo)) * F.lit(n_chunks) / F.lit(span)), F.lit(n_chunks - 1)), F.lit(0))
+    sliced = rows.withColumn(SLICE, chunk.cast("int"))
+    if files:  # file of a slice = partition; the turn is the same on a retried task
+        sliced = sliced.repartitionById(n_chunks * files, (F.col(SLICE) * files + F.pmod(F.monotonically_increasing_id(), F.lit(files))).cast("int"))
+    _land_parts(events_to_json(sliced, SLICE), path, SLICE)
     for i in range(n_chunks):
-        part = events_to_json(rows.filter(chunk == i))
-        (part.repartition(files) if files else part).write.mode("append").parquet(path)
+        _move_part(rows, path, SLICE, i)
         yield i
 
 
