@@ -114,7 +114,10 @@ def evaluate(
     spans = sorted(r[0] for r in seen.select(_span(F.col("fetched_at")).alias("span")).distinct().collect())
     intervals = copied(validity_intervals(entries), spans).select("list", "key", "valid_from", "valid_to", "span", "salt")
     active = (F.col("valid_from") <= F.col("fetched_at")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
-    matches = keyed.join(intervals, ["key", "span", "salt"]).filter(active)
+    # Merged, whatever the planner makes of the entries: it goes by the size of
+    # their files, the copies are hundreds of times that, and a broadcast would
+    # pass all of them through the driver.
+    matches = keyed.join(intervals.hint("merge"), ["key", "span", "salt"]).filter(active)
     best = F.min(F.struct((-F.length("key")).alias("l"), F.col("list"), F.col("key"), F.col("valid_from")))
     found = matches.groupBy("url", "fetched_at").agg(
         F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists"), best.alias("best")

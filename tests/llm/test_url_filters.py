@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from strata.llm import url_filters as uf
+from strata.llm.common import written
 
 DAY = datetime(2024, 1, 1)
 
@@ -49,6 +50,18 @@ def test_an_outlier_date_adds_one_span(spark):
     assert copies.filter("false").count() == uf.copied(uf.validity_intervals(e), []).count() == 0
 
 
+def test_copied_intervals_do_not_pass_through_the_driver(spark):
+    captures = [(i, f"http://h{i % 40}.com/{i}", DAY + timedelta(days=i)) for i in range(300)]
+    c = spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp")
+    log = spark.range(2000).selectExpr("'l' AS list", "concat('d:h', id, '.com') AS key", "'add' AS action", "timestamp'2023-01-01 00:00:00' AS at")
+    got = uf.evaluate(c, written(log, "test-url-entries"))  # files of a few KB, hundreds of thousands of copies
+    assert [(r["n_active"], r["entry"]) for r in got.orderBy("page_id").collect()] == [(1, f"d:h{i % 40}.com") for i in range(300)]
+    query = got._jdf.queryExecution()
+    for plan in (query.sparkPlan(), query.executedPlan()):
+        joins = [x for x in plan.toString().splitlines() if "Join" in x and "salt#" in x]
+        assert joins and all("SortMergeJoin" in x for x in joins)
+
+
 def brute(captures, entries):
     state = {}
     for e in entries:
