@@ -665,6 +665,7 @@ def start_layers(
         queries.append(gold_final_stream(spark, paths, watermark, **kw))
     if "live" in gold_modes:
         queries.append(gold_live_stream(spark, paths, watermark, **kw))
+    listener.queries = list(queries)
     return queries, listener
 
 

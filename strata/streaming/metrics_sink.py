@@ -93,7 +93,8 @@ class MetricsListener(StreamingQueryListener):
     def __init__(self, layers: dict[str, tuple[str, str | None]]):
         # query name -> (layer, observation name)
         self.layers = layers
-        self.rows: list[tuple] = []
+        self.queries: list[StreamingQuery] = []  # whose batches ``rows`` and ``flush`` wait for
+        self._rows: list[tuple] = []
         self._names: dict[str, str] = {}
         self._last: dict[str, int] = {}  # newest batch of each query that was reported
         self._lock = threading.Lock()
@@ -105,11 +106,10 @@ class MetricsListener(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         with self._lock:
+            if p.name in self.layers and _did_work(p):
+                layer, obs = self.layers[p.name]
+                self._rows.append(progress_metrics(layer, p, obs))
             self._last[str(p.id)] = int(p.batchId)
-        if p.name in self.layers and _did_work(p):
-            layer, obs = self.layers[p.name]
-            with self._lock:
-                self.rows.append(progress_metrics(layer, p, obs))
 
     def onQueryIdle(self, event):
         pass
@@ -119,9 +119,31 @@ class MetricsListener(StreamingQueryListener):
             with self._lock:
                 name = self._names.get(str(event.id))
                 layer = self.layers.get(name, (name or "unknown", None))[0]
-                self.rows.append(error_metric(layer, self._last.get(str(event.id), -1) + 1, event.exception))
+                self._rows.append(error_metric(layer, self._last.get(str(event.id), -1) + 1, event.exception))
+
+    def _settle(self, timeout: float = 10.0) -> None:
+        """Wait until the batches that ``queries`` report have come here:
+        their events are asynchronous."""
+        due: dict[str, int] = {}
+        for p in (p for q in self.queries for p in q.recentProgress):
+            if p.name in self.layers and _did_work(p):
+                due[str(p.id)] = max(int(p.batchId), due.get(str(p.id), -1))
+        deadline = time.monotonic() + timeout
+        while time.monotonic() < deadline:
+            with self._lock:
+                if all(self._last.get(i, -1) >= b for i, b in due.items()):
+                    return
+            time.sleep(0.05)
+
+    @property
+    def rows(self) -> list[tuple]:
+        """The buffered lines, those of all batches reported so far."""
+        self._settle()
+        with self._lock:
+            return list(self._rows)
 
     def flush(self, spark: SparkSession, path: str) -> None:
+        self._settle()
         with self._lock:
-            rows, self.rows = self.rows, []
+            rows, self._rows = self._rows, []
         write_batch_metrics(spark, rows, path)

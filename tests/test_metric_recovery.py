@@ -1,6 +1,8 @@
 """Metric lines of a driver that died between two flushes."""
 
 import shutil
+import threading
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from strata.sources.events import event_rows
 from strata.sources.metrics import read_metrics
 from strata.sources.raw import read_raw_stream, write_raw_files
 from strata.streaming.layers import LayerPaths, reset_layer, run_layers, start_layers
+from strata.streaming.metrics_sink import MetricsListener
 from strata.streaming.recovery import committed_batches, files_of_batch, recover_metrics
 
 from .conftest import SF_SMALL
@@ -47,6 +50,16 @@ def test_a_dead_driver_loses_and_doubles_no_line(spark, rules):
     assert _lines(spark, paths) == want
 
 
+def test_lines_of_reported_batches_are_awaited():
+    p = SimpleNamespace(id="q", name="bronze", batchId=0, numInputRows=7, observedMetrics={}, stateOperators=[], timestamp="2024-01-01T00:00:00Z")
+    listener = MetricsListener({"bronze": ("bronze", None)})
+    listener.queries = [SimpleNamespace(recentProgress=[p])]
+    late = threading.Timer(0.5, listener.onQueryProgress, [SimpleNamespace(progress=p)])
+    late.start()
+    assert [r[1:4] for r in listener.rows] == [("bronze", 0, 7)]
+    late.join()
+
+
 def test_only_lines_of_this_checkpoint_count(spark, rules):
     paths = LayerPaths(scratch_path(spark, "test-lines-reset"))
     raw = f"{paths.root}/raw"
